@@ -3,20 +3,44 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fluxgrain.llm import pii
+from fluxgrain.llm import langid, packing, pii, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = langid.held_out(4, 2)
+    found = langid.classify(docs, langid.learn(docs.where(~out)))
+    return found.select("doc_id", out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    out = langid.held_out(5, 0)
+    found = toxicity.score(docs, toxicity.fit(docs, labels.where(~out)))
+    return found.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def queries() -> dict:
-    return {"op7_pii": op7_pii}
+    return {
+        "op3_packing": op3_packing,
+        "op6_language": op6_language,
+        "op7_pii": op7_pii,
+        "op9_toxicity": op9_toxicity,
+    }
 
 
 def oracle_sql() -> dict:
