@@ -1,11 +1,12 @@
 """Toxicity by a factorization machine over hashed terms.
 
-A text's terms are its words (lower case, punctuation at the ends off) and the 4- and 5-letter beginnings of longer words,
+A text's terms are its words (lower case, punctuation at the ends off) and the 4- to 7-byte beginnings of longer words,
 hashed to 2**bits indices, each counted once. The model is
 ``w0 + sum w[i] + (|sum V[i]|^2 - sum |V[i]|^2) / 2`` over a text's terms, so that pairs of terms (an insult with a mention
 of a group) weigh more or less than both alone. It is fitted by AdaGrad on at most ``rows`` labelled texts (of each label up to
 half of them, those with the smallest hash of their id): that sample's hashed terms, at most ``terms`` of a text, are all
-that reaches the driver. Terms in fewer than three sampled texts keep the weight 0, so that chance words do not speak.
+that reaches the driver. Terms in fewer than three sampled texts, or whose log odds
+between the labels are within three standard errors of 0, keep the weight 0, so that chance words do not speak.
 
 Null texts and texts without terms get the score of no terms at all. Repeated rows are scored each for itself. Without
 labelled rows, or with one label only, the scores are that label's share (0 if there is none).
@@ -21,6 +22,9 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Lengths, in bytes, of the beginnings of words that are terms too; and how many standard errors a term's log odds must be from 0.
+PREFIXES = (4, 5, 6, 7)
+SIGNIFICANT = 3.0
 EDGE = b".,;:!?\"'()[]{}*#$%&<>|-"
 
 
@@ -32,10 +36,7 @@ def terms(text: str | None, bits: int = 18) -> np.ndarray:
     for w in set(text.lower().encode("utf-8", "replace").split()):
         if w := w.strip(EDGE):
             found.add(w)
-            if len(w) > 5:
-                found.add(b"5" + w[:5])
-            if len(w) > 4:
-                found.add(b"4" + w[:4])
+            found.update(b"%d" % n + w[:n] for n in PREFIXES if len(w) > n)
     return np.unique(np.fromiter(map(xxhash.xxh3_64_intdigest, found), dtype=np.uint64, count=len(found)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
@@ -52,17 +53,21 @@ class Machine:
         total = np.add.reduceat(v, starts, axis=0)
         return self.w0 + np.add.reduceat(self.w[ids], starts) + ((total**2).sum(1) - np.add.reduceat((v**2).sum(1), starts)) / 2, total
 
-    def fit(self, texts: list[np.ndarray], labels: list[int], epochs: int = 6, rate: float = 0.1, decay: float = 1e-4, batch: int = 64) -> "Machine":
-        seen = np.bincount(np.concatenate([*texts, np.empty(0, dtype=np.int64)]), minlength=1 << self.bits)
-        rare = seen < 3
-        self.v[rare] = 0
-        texts = [t[~rare[t]] for t in texts]
+    def fit(self, texts: list[np.ndarray], labels: list[int], epochs: int = 6, rate: float = 0.1, decay: float = 1e-4, batch: int = 64, balance: float = 0.5) -> "Machine":
         y = np.array(labels, dtype=np.float64)
+        ones, zeros = (np.bincount(np.concatenate([*(t for t, x in zip(texts, labels) if x == k), np.empty(0, dtype=np.int64)]), minlength=1 << self.bits) for k in (1, 0))
+        odds = np.log((ones + 0.5) / (y.sum() + 1)) - np.log((zeros + 0.5) / (len(y) - y.sum() + 1))
+        chance = np.abs(odds) < SIGNIFICANT * np.sqrt(1 / (ones + 0.5) + 1 / (zeros + 0.5))
+        chance |= ones + zeros < 3
+        self.v[chance] = 0
+        texts = [t[~chance[t]] for t in texts]
         share = y.mean() if len(y) else 0.0
         self.w0 = float(np.log((share + 1e-6) / (1 - share + 1e-6)))
         if share in (0.0, 1.0):
             self.v[:] = 0
             return self
+        heavy = np.where(y == 1, ((1 - share) / share) ** balance, 1.0)  # errors on the rarer label weigh more
+        self.w0 *= 1 - balance
         gw, gv, g0 = np.full(len(self.w), 1e-6), np.full(self.v.shape, 1e-6), 1e-6
         rng = np.random.default_rng(11)
         for _ in range(epochs):
@@ -71,7 +76,7 @@ class Machine:
                 own = order[at : at + batch]
                 ids, lens = np.concatenate([texts[i] for i in own]), np.array([len(texts[i]) for i in own])
                 z, total = self.raw(ids, np.cumsum(lens) - lens)
-                err = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[own]
+                err = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[own]) * heavy[own]
                 each = np.repeat(err, lens)
                 touched, back = np.unique(ids, return_inverse=True)
                 dw = np.bincount(back, weights=each) / len(own) + decay * self.w[touched]
