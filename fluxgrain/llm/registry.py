@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fluxgrain.llm import langid, packing, pii, toxicity
+from fluxgrain.llm import langid, license, packing, pii, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -36,6 +40,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op1_license": op1_license,
         "op3_packing": op3_packing,
         "op6_language": op6_language,
         "op7_pii": op7_pii,
@@ -44,4 +49,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {}
+    return {
+        "op1_license": license.scan_sql(),
+    }
