@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fluxgrain.llm import langid, license, packing, pii, toxicity
+from fluxgrain.llm import langid, license, packing, pii, search, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,20 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op10_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+OP10_SQL = """WITH good AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM good q JOIN good c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, (row_number() OVER w)::INTEGER AS rank, vec_id, score FROM pairs
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY rank <= 5"""
+
+
 def queries() -> dict:
     return {
         "op1_license": op1_license,
@@ -45,10 +59,12 @@ def queries() -> dict:
         "op6_language": op6_language,
         "op7_pii": op7_pii,
         "op9_toxicity": op9_toxicity,
+        "op10_search": op10_search,
     }
 
 
 def oracle_sql() -> dict:
     return {
         "op1_license": license.scan_sql(),
+        "op10_search": OP10_SQL,
     }
