@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fluxgrain.llm import langid, license, packing, pii, search, toxicity
+from fluxgrain.llm import langid, license, packing, pii, quality, search, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.quality(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "d2")
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = langid.held_out(4, 2)
@@ -56,6 +61,7 @@ def queries() -> dict:
     return {
         "op1_license": op1_license,
         "op3_packing": op3_packing,
+        "op5_quality": op5_quality,
         "op6_language": op6_language,
         "op7_pii": op7_pii,
         "op9_toxicity": op9_toxicity,
