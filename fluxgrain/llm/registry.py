@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fluxgrain.llm import langid, license, packing, pii, quality, search, toxicity
+from fluxgrain.llm import langid, license, packing, pii, quality, search, substring, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,10 @@ def op1_license(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license.scan(table(spark, sf_dir, "documents"))
 
 
+def op2_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -60,6 +64,7 @@ WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY rank <=
 def queries() -> dict:
     return {
         "op1_license": op1_license,
+        "op2_substring": op2_substring,
         "op3_packing": op3_packing,
         "op5_quality": op5_quality,
         "op6_language": op6_language,
