@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fluxgrain.llm import langid, license, packing, pii, quality, search, substring, toxicity
+from fluxgrain.llm import langid, license, neardup, packing, pii, quality, search, substring, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op4_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(table(spark, sf_dir, "documents"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.quality(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "d2")
@@ -66,6 +70,7 @@ def queries() -> dict:
         "op1_license": op1_license,
         "op2_substring": op2_substring,
         "op3_packing": op3_packing,
+        "op4_neardup": op4_neardup,
         "op5_quality": op5_quality,
         "op6_language": op6_language,
         "op7_pii": op7_pii,
