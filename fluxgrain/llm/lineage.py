@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def kept(df: DataFrame) -> DataFrame:
-    """df, written to the folder that spark.checkpoint.dir names (all executors share it) and read from there from now on.
-
-    Only where the session has no such folder, as in local tests, a temporary one is taken.
-    """
-    sc = df.sparkSession.sparkContext
+def folder(spark: SparkSession) -> str:
+    """The shared folder that spark.checkpoint.dir names; only where the session has none, as in local tests, a temporary one."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-checkpoints-"))
+    return sc.getCheckpointDir()
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """df, written to the shared folder and read from there from now on."""
+    folder(df.sparkSession)
     return df.checkpoint()

@@ -220,7 +220,7 @@ def classes(docs: DataFrame, gram: int = GRAM, bands: int = BANDS, rows: int = R
 
 
 def keep_first(docs: DataFrame, **options) -> DataFrame:
-    """The rows of docs that stand for their class (those whose id names it); rows without an id stay."""
+    """The rows of docs that stand for their class (those whose id names it), equal rows once; rows without an id stay."""
     first = classes(docs, **options).where("doc_id = class_id").select(F.col("doc_id").alias("first_id")).distinct()
     stay = docs.join(first, docs["doc_id"] == first["first_id"], "left_semi")
-    return stay.unionByName(docs.where("doc_id IS NULL"))
+    return stay.dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id IS NULL"))

@@ -134,3 +134,10 @@ def quality(docs: DataFrame, **options) -> DataFrame:
     """doc_id, the counts, base_failed, d2 and kept of every row of docs (doc_id, text, lang, source)."""
     stats = kept(counts(docs, "lang", "source"))
     return judge(stats, **options)
+
+
+def keep_good(docs: DataFrame, **options) -> DataFrame:
+    """The rows of docs that pass; rows of equal id and text fare alike."""
+    stats = kept(counts(docs.select("doc_id", "text", "lang", "source", F.xxhash64("text").alias("text_hash")), "lang", "source", "text_hash"))
+    good = judge(stats, **options).where("kept").select(F.col("doc_id").alias("good_id"), F.col("text_hash").alias("good_hash")).distinct()
+    return docs.join(good, docs["doc_id"].eqNullSafe(good["good_id"]) & (F.xxhash64(docs["text"]) == good["good_hash"]), "left_semi")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fluxgrain.llm import langid, license, neardup, packing, pii, quality, search, substring, toxicity
+from fluxgrain.llm import langid, license, mixing, neardup, packing, pii, quality, search, substring, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +44,10 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(table(spark, sf_dir, "documents"))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     out = langid.held_out(5, 0)
@@ -65,6 +69,12 @@ SELECT query_id, (row_number() OVER w)::INTEGER AS rank, vec_id, score FROM pair
 WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY rank <= 5"""
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict:
     return {
         "op1_license": op1_license,
@@ -74,8 +84,10 @@ def queries() -> dict:
         "op5_quality": op5_quality,
         "op6_language": op6_language,
         "op7_pii": op7_pii,
+        "op8_mixing": op8_mixing,
         "op9_toxicity": op9_toxicity,
         "op10_search": op10_search,
+        "pipeline": pipeline,
     }
 
 
