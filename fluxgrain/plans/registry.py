@@ -1,5 +1,12 @@
-"""Registered queries: name -> callable(spark, sf_dir) and name -> DuckDB SQL."""
+"""Registered queries: name -> callable(spark, sf_dir) and, where SQL can say the same, name -> DuckDB SQL."""
+
+from __future__ import annotations
+
+from fluxgrain.plans import checks, messages, rollups, tables
 
 QUERIES: dict = {}
 ORACLES: dict = {}
-FLAGSHIP = "rollup_1h"
+for module in (rollups, checks, messages, tables):
+    QUERIES.update(module.QUERIES)
+    ORACLES.update(module.ORACLES)
+FLAGSHIP = "rollup_1d_local"
