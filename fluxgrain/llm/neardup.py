@@ -10,7 +10,8 @@ meet in a bucket.
 Texts of equal words are one representative from the start. In a bucket, pivots are compared with the other members by the exact weighted Jaccard
 similarity (sum of lesser weights over sum of greater). One minus it is a metric, so a member that is linked to a
 pivot needs no more comparison if all members not linked to it are too far off (by the triangle inequality); it leaves, and
-so does the pivot. The others go on with further pivots until nothing is left to compare. So a bucket of n copies costs n
+so does the pivot. Bands whose remaining members are one component are done; the others go on with twice as many pivots, each compared
+with the members of other components, until nothing is left to compare. So a bucket of n copies costs n
 comparisons, yet no link between members of one bucket that would join two classes is passed over. Classes are the
 components of the links; a class is named by its smallest id.
 
@@ -175,7 +176,7 @@ def classes(docs: DataFrame, gram: int = GRAM, bands: int = BANDS, rows: int = R
     owned = kept(signed.join(heads, "words", "left").select("doc_id", F.coalesce("head", "doc_id").alias("head"), F.when(F.col("doc_id") == F.col("head"), F.col("bands")).alias("bands")))
     members = owned.where("bands IS NOT NULL").select(F.explode("bands").alias("band"), F.col("doc_id").alias("d")).distinct()
     many = kept(members.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"))
-    state = kept(members.join(many, "band").select("band", "d", F.lit(None).cast("bigint").alias("label")))
+    state = kept(members.join(many, "band").select("band", "d"))
     texts = kept(docs.join(state.select(F.col("d").alias("doc_id")).distinct(), "doc_id").dropDuplicates(["doc_id"]))
 
     def verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -184,36 +185,37 @@ def classes(docs: DataFrame, gram: int = GRAM, bands: int = BANDS, rows: int = R
             sims = [jaccard(weigh.pivot(r.p, r.p_text), weigh.of(words(r.text))) for r in b.itertuples(index=False)]
             yield pd.DataFrame({"p": b["p"], "d": b["d"], "sim": sims})
 
-    seen = None
+    seen = roots = None
     pivots = 1
-    while not state.isEmpty():
-        # bands go on while they have members of more than one label; pivots: unlabelled ones first, in an order that differs by band
-        drawn = F.struct(F.col("label").isNotNull(), F.xxhash64("band", "d"), F.col("d"))
-        chosen = state.groupBy("band").agg(*[F.min(drawn).alias("p")]) if pivots == 1 else state.withColumn("n", F.row_number().over(Window.partitionBy("band").orderBy(drawn))).where(F.col("n") <= pivots).groupBy("band").agg(F.collect_list(drawn).alias("p"))
-        chosen = kept(chosen.select("band", F.explode(F.array("p") if pivots == 1 else F.col("p")).alias("p")).select("band", F.col("p.d").alias("p")))
-        met = kept(state.join(chosen, "band").where("p <> d").select("band", "d", "label", "p"))
+    while True:
+        state = state.withColumn("c", F.col("d")) if roots is None else kept(state.join(roots, state["d"] == roots["v"], "left").select("band", "d", F.coalesce("root", "d").alias("c")))
+        # of each component in a band the first member by a hash that differs by band; pivots: those of the components with the fewest members, not the last one's
+        lead = F.min(F.struct(F.xxhash64("band", "d"), F.col("d"))).getField("d")
+        parts = state.groupBy("band", "c").agg(F.count("*").alias("n"), lead.alias("p"))
+        if pivots == 1:
+            chosen = parts.groupBy("band").agg(F.count("*").alias("k"), F.min(F.struct("n", F.xxhash64("band", "p"), "p", "c")).alias("x")).where("k > 1").select("band", "x.p", F.col("x.c").alias("pc"))
+        else:
+            chosen = parts.withColumn("n", F.row_number().over(Window.partitionBy("band").orderBy(F.desc("n"), F.xxhash64("band", "p")))).where("n > 1")
+            chosen = chosen.withColumn("n", F.row_number().over(Window.partitionBy("band").orderBy(F.desc("n")))).where(F.col("n") <= pivots).select("band", "p", F.col("c").alias("pc"))
+        chosen = kept(chosen)
+        if chosen.isEmpty():
+            break
+        met = kept(state.join(chosen, "band").where("c <> pc").select("band", "d", "p"))
         pairs = met.select("p", "d").distinct()
         pairs = pairs.join(seen, ["p", "d"], "left_anti") if seen is not None else pairs
         with_text = pairs.join(texts.select(F.col("doc_id").alias("d"), "text"), "d").join(texts.select(F.col("doc_id").alias("p"), F.col("text").alias("p_text")), "p")
-        new = with_text.mapInPandas(verified, "p bigint, d bigint, sim double")
-        seen = kept(new if seen is None else seen.unionByName(new))
+        new = kept(with_text.mapInPandas(verified, "p bigint, d bigint, sim double"))
+        seen = new if seen is None else kept(seen.unionByName(new))
         met = kept(met.join(seen, ["p", "d"]))
-        far = met.where(F.col("sim") < like).groupBy("band", "p").agg(F.max("sim").alias("nearest"))
-        member = met.join(kept(far), ["band", "p"], "left")
+        far = kept(met.where(F.col("sim") < like).groupBy("band", "p").agg(F.max("sim").alias("nearest")))
         # linked to the pivot, and no member that is not could be linked to it: nothing is left to compare
-        done = (F.col("sim") >= like) & (F.coalesce(F.col("nearest"), F.lit(-1.0)) < like - (1 - F.col("sim")) - 1e-9)
-        member = member.groupBy("band", "d").agg(F.bool_or(done).alias("done"), F.max("label").alias("label"), F.min(F.when(F.col("sim") >= like, F.col("p"))).alias("to"))
-        member = member.where("NOT done").select("band", "d", F.coalesce("label", "to").alias("label"))
-        member = member.join(kept(chosen).withColumnRenamed("p", "d"), ["band", "d"], "left_anti")
-        member = kept(member)
-        open_bands = member.groupBy("band").agg(F.count("*").alias("n"), F.count("label").alias("labelled"), F.min("label").alias("x"), F.max("label").alias("y"))
-        open_bands = kept(open_bands.where((F.col("n") > 1) & ((F.col("labelled") < F.col("n")) | (F.col("x") < F.col("y")))).select("band"))
-        state = kept(member.join(open_bands, "band"))
-        pivots = 4
-    if seen is None:
-        roots = owned.select(F.col("doc_id").alias("v"), F.col("doc_id").alias("root")).limit(0)
-    else:
+        over = met.where(F.col("sim") >= like).join(far, ["band", "p"], "left").where(F.coalesce("nearest", F.lit(-1.0)) < like - (1 - F.col("sim")) - 1e-9)
+        gone = kept(over.select("band", "d").unionByName(chosen.select("band", F.col("p").alias("d"))).distinct())
+        state = state.select("band", "d").join(chosen.select("band").distinct(), "band", "left_semi").join(gone, ["band", "d"], "left_anti")
         roots = components(seen.where(F.col("sim") >= like).select(F.col("p").alias("a"), F.col("d").alias("b")))
+        pivots = 4 if pivots == 1 else 2 * pivots
+    if roots is None:
+        roots = owned.select(F.col("doc_id").alias("v"), F.col("doc_id").alias("root")).limit(0)
     named = owned.join(roots, F.col("head") == F.col("v"), "left").select("doc_id", F.coalesce("root", "head").alias("class_id"))
     nameless = docs.where("doc_id IS NULL").select("doc_id", F.lit(None).cast("bigint").alias("class_id"))
     return named.unionByName(nameless)
