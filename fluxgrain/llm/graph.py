@@ -19,10 +19,8 @@ def components(links: DataFrame) -> DataFrame:
     state = kept(both.groupBy("a").agg(F.min("b").alias("l")).select(F.col("a").alias("v"), F.least("a", "l").alias("l")))
     while True:
         near = both.join(state, both["b"] == state["v"]).groupBy("a").agg(F.min("l").alias("m"))
-        lower = state.join(near, state["v"] == near["a"]).select("v", F.col("l").alias("was"), F.least("l", "m").alias("l"))
-        lower = kept(lower)
+        lower = kept(state.join(near, state["v"] == near["a"]).select("v", F.col("l").alias("was"), F.least("l", "m").alias("l")))
+        if lower.where("l <> was").isEmpty():
+            return lower.select("v", F.col("l").alias("root"))
         jump = lower.select(F.col("v").alias("x"), F.col("l").alias("far"))
-        state = kept(lower.join(jump, lower["l"] == jump["x"]).select("v", "was", F.least("l", "far").alias("l")))
-        if state.where("l <> was").isEmpty():
-            return state.select("v", F.col("l").alias("root"))
-        state = state.select("v", "l")
+        state = kept(lower.join(jump, lower["l"] == jump["x"]).select("v", F.least("l", "far").alias("l")))

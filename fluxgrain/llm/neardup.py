@@ -10,8 +10,8 @@ meet in a bucket.
 Texts of equal words are one representative from the start. In a bucket, pivots are compared with the other members by the exact weighted Jaccard
 similarity (sum of lesser weights over sum of greater). One minus it is a metric, so a member that is linked to a
 pivot needs no more comparison if all members not linked to it are too far off (by the triangle inequality); it leaves, and
-so does the pivot. Bands whose remaining members are one component are done; the others go on with twice as many pivots, each compared
-with the members of other components, until nothing is left to compare. So a bucket of n copies costs n
+so does the pivot. Bands whose remaining members are known to be one component are done; the others go on with twice as many pivots, each compared
+with the members not known to be of its component, until nothing is left to compare. So a bucket of n copies costs n
 comparisons, yet no link between members of one bucket that would join two classes is passed over. Classes are the
 components of the links; a class is named by its smallest id.
 
@@ -141,6 +141,14 @@ class Weights:
         return self.cache[doc_id]
 
 
+def members_labels(seen: DataFrame, like: float) -> DataFrame:
+    """(d, l): the least id within two links of each linked document. Equal labels mean one component; the converse may fail, which costs comparisons only."""
+    links = seen.where(F.col("sim") >= like)
+    both = links.select(F.col("p").alias("a"), F.col("d").alias("b")).unionByName(links.select(F.col("d").alias("a"), F.col("p").alias("b")))
+    near = both.groupBy(F.col("a").alias("b")).agg(F.min(F.least("a", "b")).alias("l"))
+    return both.join(near, "b").groupBy(F.col("a").alias("d")).agg(F.min("l").alias("l"))
+
+
 def classes(docs: DataFrame, gram: int = GRAM, bands: int = BANDS, rows: int = ROWS, like: float = LIKE) -> DataFrame:
     """(doc_id, class_id) of every row of docs (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -175,7 +183,7 @@ def classes(docs: DataFrame, gram: int = GRAM, bands: int = BANDS, rows: int = R
     heads = kept(signed.where("words IS NOT NULL").groupBy("words").agg(F.min("doc_id").alias("head")))
     owned = kept(signed.join(heads, "words", "left").select("doc_id", F.coalesce("head", "doc_id").alias("head"), F.when(F.col("doc_id") == F.col("head"), F.col("bands")).alias("bands")))
     members = owned.where("bands IS NOT NULL").select(F.explode("bands").alias("band"), F.col("doc_id").alias("d")).distinct()
-    many = kept(members.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"))
+    many = members.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     state = kept(members.join(many, "band").select("band", "d"))
     texts = kept(docs.join(state.select(F.col("d").alias("doc_id")).distinct(), "doc_id").dropDuplicates(["doc_id"]))
 
@@ -185,13 +193,15 @@ def classes(docs: DataFrame, gram: int = GRAM, bands: int = BANDS, rows: int = R
             sims = [jaccard(weigh.pivot(r.p, r.p_text), weigh.of(words(r.text))) for r in b.itertuples(index=False)]
             yield pd.DataFrame({"p": b["p"], "d": b["d"], "sim": sims})
 
-    seen = roots = None
+    seen = None
     pivots = 1
     while True:
-        state = state.withColumn("c", F.col("d")) if roots is None else kept(state.join(roots, state["d"] == roots["v"], "left").select("band", "d", F.coalesce("root", "d").alias("c")))
-        # of each component in a band the first member by a hash that differs by band; pivots: those of the components with the fewest members, not the last one's
+        label = F.col("d") if seen is None else F.coalesce("l", "d")
+        labels = members_labels(seen, like) if seen is not None else None
+        now = kept((state if labels is None else state.join(labels, "d", "left")).select("band", "d", label.alias("c")))
+        # of each label in a band the first member by a hash that differs by band; pivots: those of the labels with the fewest members, not the last one's
         lead = F.min(F.struct(F.xxhash64("band", "d"), F.col("d"))).getField("d")
-        parts = state.groupBy("band", "c").agg(F.count("*").alias("n"), lead.alias("p"))
+        parts = now.groupBy("band", "c").agg(F.count("*").alias("n"), lead.alias("p"))
         if pivots == 1:
             chosen = parts.groupBy("band").agg(F.count("*").alias("k"), F.min(F.struct("n", F.xxhash64("band", "p"), "p", "c")).alias("x")).where("k > 1").select("band", "x.p", F.col("x.c").alias("pc"))
         else:
@@ -200,22 +210,23 @@ def classes(docs: DataFrame, gram: int = GRAM, bands: int = BANDS, rows: int = R
         chosen = kept(chosen)
         if chosen.isEmpty():
             break
-        met = kept(state.join(chosen, "band").where("c <> pc").select("band", "d", "p"))
+        met = now.join(chosen, "band").where("c <> pc").select("band", "d", "p")
         pairs = met.select("p", "d").distinct()
         pairs = pairs.join(seen, ["p", "d"], "left_anti") if seen is not None else pairs
         with_text = pairs.join(texts.select(F.col("doc_id").alias("d"), "text"), "d").join(texts.select(F.col("doc_id").alias("p"), F.col("text").alias("p_text")), "p")
-        new = kept(with_text.mapInPandas(verified, "p bigint, d bigint, sim double"))
-        seen = new if seen is None else kept(seen.unionByName(new))
-        met = kept(met.join(seen, ["p", "d"]))
-        far = kept(met.where(F.col("sim") < like).groupBy("band", "p").agg(F.max("sim").alias("nearest")))
+        new = with_text.mapInPandas(verified, "p bigint, d bigint, sim double")
+        seen = kept(new if seen is None else seen.unionByName(new))
+        met = met.join(seen, ["p", "d"])
+        far = met.where(F.col("sim") < like).groupBy("band", "p").agg(F.max("sim").alias("nearest"))
         # linked to the pivot, and no member that is not could be linked to it: nothing is left to compare
         over = met.where(F.col("sim") >= like).join(far, ["band", "p"], "left").where(F.coalesce("nearest", F.lit(-1.0)) < like - (1 - F.col("sim")) - 1e-9)
-        gone = kept(over.select("band", "d").unionByName(chosen.select("band", F.col("p").alias("d"))).distinct())
-        state = state.select("band", "d").join(chosen.select("band").distinct(), "band", "left_semi").join(gone, ["band", "d"], "left_anti")
-        roots = components(seen.where(F.col("sim") >= like).select(F.col("p").alias("a"), F.col("d").alias("b")))
-        pivots = 4 if pivots == 1 else 2 * pivots
-    if roots is None:
+        gone = over.select("band", "d").unionByName(chosen.select("band", F.col("p").alias("d"))).distinct()
+        state = now.select("band", "d").join(chosen.select("band").distinct(), "band", "left_semi").join(gone, ["band", "d"], "left_anti")
+        pivots = 8 if pivots == 1 else 2 * pivots
+    if seen is None:
         roots = owned.select(F.col("doc_id").alias("v"), F.col("doc_id").alias("root")).limit(0)
+    else:
+        roots = components(seen.where(F.col("sim") >= like).select(F.col("p").alias("a"), F.col("d").alias("b")))
     named = owned.join(roots, F.col("head") == F.col("v"), "left").select("doc_id", F.coalesce("root", "head").alias("class_id"))
     nameless = docs.where("doc_id IS NULL").select("doc_id", F.lit(None).cast("bigint").alias("class_id"))
     return named.unionByName(nameless)
