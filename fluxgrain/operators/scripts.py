@@ -109,9 +109,9 @@ def transform(messages: DataFrame, functions: list[tuple[Callable, str]], column
 def minute_stats(runs: DataFrame) -> DataFrame:
     """Per script, version and minute: runs, errors, timeouts, mean and nearest-rank 95th percentile of the time, largest time and input.
 
-    runs: (script_id, version, at, elapsed_ms, failed, timed_out, input_bytes).
+    runs: (script_id, version, run_at, elapsed_ms, failed, timed_out, input_bytes).
     """
-    g = runs.groupBy("script_id", "version", F.date_trunc("minute", "at").alias("bucket"))
+    g = runs.groupBy("script_id", "version", F.date_trunc("minute", "run_at").alias("bucket"))
     return g.agg(
         F.count("*").alias("processed"),
         F.count(F.when(F.col("failed"), 1)).alias("errors"),
