@@ -69,8 +69,7 @@ def tlv(data: bytes, model: str | None = None) -> list[tuple[str, float, str | N
     return out
 
 
-@F.pandas_udf(f"struct<values:{VALUES},error:string>")
-def tlv_values(data: pd.Series, model: pd.Series) -> pd.DataFrame:
+def _tlv_batch(data: pd.Series, model: pd.Series) -> pd.DataFrame:
     values, errors = [], []
     for d, m in zip(data, model):
         found, error = [], None
@@ -83,6 +82,11 @@ def tlv_values(data: pd.Series, model: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"values": values, "error": errors})
 
 
+def tlv_values(data: Column, model: Column) -> Column:
+    """struct<values, error> of binary payloads; Arrow batches, as a payload is read field by field."""
+    return F.pandas_udf(_tlv_batch, f"struct<values:{VALUES},error:string>")(data, model)
+
+
 def _text(messages: DataFrame) -> Column:
     """The payload as text, null where it is no UTF-8."""
     text = F.col("payload").cast("string")

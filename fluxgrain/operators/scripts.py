@@ -138,7 +138,7 @@ def hourly(hours: DataFrame, minutes: DataFrame) -> DataFrame:
 
 def advice(stats: DataFrame, code: DataFrame | None = None) -> DataFrame:
     """(script_id, version, advice, p95_ms, error_rate) of scripts' latest versions that are slow (over 20 ms) or fail often (a tenth)."""
-    latest = stats.groupBy("script_id").agg(F.max_by("version", "bucket").alias("version"))
+    latest = stats.groupBy("script_id").agg(F.max_by("version", F.struct("bucket", "version")).alias("version"))
     g = stats.join(latest, ["script_id", "version"]).groupBy("script_id", "version")
     rows = g.agg(F.max("p95_ms").alias("p95_ms"), F.max("max_input").alias("max_input"), (F.sum("errors") / F.sum("processed")).alias("error_rate"))
     loop = F.lit(False)
