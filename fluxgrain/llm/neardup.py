@@ -10,9 +10,10 @@ meet in a bucket.
 Texts of equal words are one representative from the start. In a bucket, pivots are compared with the other members by the exact weighted Jaccard
 similarity (sum of lesser weights over sum of greater). One minus it is a metric, so a member that is linked to a
 pivot needs no more comparison if all members not linked to it are too far off (by the triangle inequality); it leaves, and
-so does the pivot. Bands whose remaining members are known to be one component are done; the others go on with twice as many pivots, each compared
-with the members not known to be of its component, until nothing is left to compare. So a bucket of n copies costs n
-comparisons, yet no link between members of one bucket that would join two classes is passed over. Classes are the
+so does the pivot. What then is left of buckets that are not known to be one component (texts that are alike, but not alike enough, meet too)
+is split into blocks, and every two blocks are compared in one task, which gives out no more links than join what it has. So a bucket of n copies costs n
+comparisons, yet no link between members of one bucket that would join two classes is passed over; only members that stay unlinked cost more,
+as the square of their number over the size of a block. Classes are the
 components of the links; a class is named by its smallest id.
 
 Texts without words are in no bucket: each is a class of its own. So are rows without an id (class null). Rows that repeat an id are one document. An
@@ -37,6 +38,8 @@ from fluxgrain.llm.words import mix, ngram_hashes, word_hashes, words
 
 GRAM, BANDS, ROWS, LIKE = 5, 16, 4, 0.8
 BITS, CHUNK = 20, 8192
+#: Pivots of a bucket in each round before its rest is compared in blocks of so many members.
+PIVOTS, BLOCK = (1, 2), 256
 
 
 def shingles(ws: list[bytes], gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
@@ -135,18 +138,69 @@ class Weights:
         h, n = shingles(ws, self.gram)
         return h, n * self.idf[(h >> np.uint64(64 - BITS)).astype(np.intp)]
 
+    def counted(self, ws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Shingle hashes, counts and inverse document frequencies."""
+        h, n = shingles(ws, self.gram)
+        return h, n, self.idf[(h >> np.uint64(64 - BITS)).astype(np.intp)]
+
     def pivot(self, doc_id: int, text: str) -> tuple[np.ndarray, np.ndarray]:
         if doc_id not in self.cache:
             self.cache = {doc_id: self.of(words(text))}
         return self.cache[doc_id]
 
 
-def members_labels(seen: DataFrame, like: float) -> DataFrame:
-    """(d, l): the least id within two links of each linked document. Equal labels mean one component; the converse may fail, which costs comparisons only."""
+def spanning(ids: list[int], labels: list[int], sets: list[tuple], like: float) -> list[tuple[int, int]]:
+    """Links (a, b) that join whatever links of similarity ``like`` or more join, given that equal labels are joined already.
+
+    All similarities of the given sets at once: a shingle's weight differs between texts by its count only, so the sum of lesser
+    weights is a sum over count levels of products of 0/1 matrices.
+    """
+    if len(set(labels)) < 2:
+        return []
+    h, n, idf = (np.concatenate([s[i] for s in sets]) for i in range(3))
+    text = np.repeat(np.arange(len(sets)), [len(s[0]) for s in sets])
+    total = np.bincount(text, weights=n * idf, minlength=len(sets))
+    _, first, column, found = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(found > 1)
+    at = np.full(len(found), -1)
+    at[shared] = np.arange(len(shared))
+    column, weight = at[column], idf[first][shared]
+    both = np.zeros((len(sets), len(sets)))
+    for low in range(0, len(shared), 4096):
+        own = (column >= low) & (column < low + 4096)
+        t, c, k = text[own], column[own] - low, n[own]
+        below = 0
+        for level in np.unique(k):
+            over = k >= level
+            m = np.zeros((len(sets), min(4096, len(shared) - low)))
+            m[t[over], c[over]] = 1
+            both += (m * (weight[low : low + 4096] * (level - below))) @ m.T
+            below = level
+    sim = both / np.maximum(total[:, None] + total[None, :] - both, 1e-300)
+    group = {x: x for x in labels}
+
+    def root(x: int) -> int:
+        while group[x] != x:
+            group[x] = x = group[group[x]]
+        return x
+
+    out = []
+    for i, j in zip(*(x.tolist() for x in np.nonzero(np.triu(sim >= like - 1e-12, 1)))):
+        a, b = root(labels[i]), root(labels[j])
+        if a != b:
+            group[max(a, b)] = min(a, b)
+            out.append((ids[i], ids[j]))
+    return out
+
+
+def members_labels(seen: DataFrame, like: float, hops: int = 4) -> DataFrame:
+    """(d, l): the least id within ``hops`` links of each linked document. Equal labels mean one component; the converse may fail, which costs comparisons only."""
     links = seen.where(F.col("sim") >= like)
     both = links.select(F.col("p").alias("a"), F.col("d").alias("b")).unionByName(links.select(F.col("d").alias("a"), F.col("p").alias("b")))
     near = both.groupBy(F.col("a").alias("b")).agg(F.min(F.least("a", "b")).alias("l"))
-    return both.join(near, "b").groupBy(F.col("a").alias("d")).agg(F.min("l").alias("l"))
+    for _ in range(hops - 1):
+        near = both.join(near, "b").groupBy(F.col("a").alias("b")).agg(F.min("l").alias("l"))
+    return near.withColumnRenamed("b", "d")
 
 
 def classes(docs: DataFrame, gram: int = GRAM, bands: int = BANDS, rows: int = ROWS, like: float = LIKE) -> DataFrame:
@@ -193,23 +247,19 @@ def classes(docs: DataFrame, gram: int = GRAM, bands: int = BANDS, rows: int = R
             sims = [jaccard(weigh.pivot(r.p, r.p_text), weigh.of(words(r.text))) for r in b.itertuples(index=False)]
             yield pd.DataFrame({"p": b["p"], "d": b["d"], "sim": sims})
 
-    seen = None
-    pivots = 1
-    while True:
-        label = F.col("d") if seen is None else F.coalesce("l", "d")
+    def open_members() -> DataFrame:
+        """The members (band, d, c) with c a label: equal labels are known to be one component."""
         labels = members_labels(seen, like) if seen is not None else None
-        now = kept((state if labels is None else state.join(labels, "d", "left")).select("band", "d", label.alias("c")))
-        # of each label in a band the first member by a hash that differs by band; pivots: those of the labels with the fewest members, not the last one's
-        lead = F.min(F.struct(F.xxhash64("band", "d"), F.col("d"))).getField("d")
+        return kept(state.withColumn("c", F.col("d")) if labels is None else state.join(labels, "d", "left").select("band", "d", F.coalesce("l", "d").alias("c")))
+
+    seen = None
+    for pivots in PIVOTS:
+        now = open_members()
+        # of each label in a band the first member by a hash of its id, so that bands share pivots; pivots: those of the labels with the fewest members, not the last one's
+        lead = F.min(F.struct(F.xxhash64("d"), F.col("d"))).getField("d")
         parts = now.groupBy("band", "c").agg(F.count("*").alias("n"), lead.alias("p"))
-        if pivots == 1:
-            chosen = parts.groupBy("band").agg(F.count("*").alias("k"), F.min(F.struct("n", F.xxhash64("band", "p"), "p", "c")).alias("x")).where("k > 1").select("band", "x.p", F.col("x.c").alias("pc"))
-        else:
-            chosen = parts.withColumn("n", F.row_number().over(Window.partitionBy("band").orderBy(F.desc("n"), F.xxhash64("band", "p")))).where("n > 1")
-            chosen = chosen.withColumn("n", F.row_number().over(Window.partitionBy("band").orderBy(F.desc("n")))).where(F.col("n") <= pivots).select("band", "p", F.col("c").alias("pc"))
-        chosen = kept(chosen)
-        if chosen.isEmpty():
-            break
+        chosen = parts.withColumn("n", F.row_number().over(Window.partitionBy("band").orderBy(F.desc("n"), F.desc(F.xxhash64("p"))))).where("n > 1")
+        chosen = kept(chosen.withColumn("n", F.row_number().over(Window.partitionBy("band").orderBy(F.desc("n")))).where(F.col("n") <= pivots).select("band", "p", F.col("c").alias("pc")))
         met = now.join(chosen, "band").where("c <> pc").select("band", "d", "p")
         pairs = met.select("p", "d").distinct()
         pairs = pairs.join(seen, ["p", "d"], "left_anti") if seen is not None else pairs
@@ -222,11 +272,19 @@ def classes(docs: DataFrame, gram: int = GRAM, bands: int = BANDS, rows: int = R
         over = met.where(F.col("sim") >= like).join(far, ["band", "p"], "left").where(F.coalesce("nearest", F.lit(-1.0)) < like - (1 - F.col("sim")) - 1e-9)
         gone = over.select("band", "d").unionByName(chosen.select("band", F.col("p").alias("d"))).distinct()
         state = now.select("band", "d").join(chosen.select("band").distinct(), "band", "left_semi").join(gone, ["band", "d"], "left_anti")
-        pivots = 8 if pivots == 1 else 2 * pivots
-    if seen is None:
-        roots = owned.select(F.col("doc_id").alias("v"), F.col("doc_id").alias("root")).limit(0)
-    else:
-        roots = components(seen.where(F.col("sim") >= like).select(F.col("p").alias("a"), F.col("d").alias("b")))
+
+    # what is left of bands with more than one label: blocks of members, every two of them in one task
+    now = open_members()
+    sizes = now.groupBy("band").agg(F.count("*").alias("n"), F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
+    dealt = now.join(kept(sizes.select("band", F.ceil(F.col("n") / BLOCK).alias("blocks"))), "band").withColumn("own", F.pmod(F.xxhash64("d"), "blocks"))
+    dealt = dealt.select("band", "d", "c", "own", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.select("band", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "d", "c").join(texts.select(F.col("doc_id").alias("d"), "text"), "d")
+
+    def linked(part: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(spanning(part["d"].tolist(), part["c"].tolist(), [Weights(table.value, gram).counted(words(t)) for t in part["text"]], like), columns=["a", "b"])
+
+    rest = dealt.groupBy("band", "x", "y").applyInPandas(linked, "a bigint, b bigint")
+    roots = components(seen.where(F.col("sim") >= like).select(F.col("p").alias("a"), F.col("d").alias("b")).unionByName(rest))
     named = owned.join(roots, F.col("head") == F.col("v"), "left").select("doc_id", F.coalesce("root", "head").alias("class_id"))
     nameless = docs.where("doc_id IS NULL").select("doc_id", F.lit(None).cast("bigint").alias("class_id"))
     return named.unionByName(nameless)
