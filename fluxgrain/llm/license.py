@@ -64,7 +64,7 @@ RULES = (
     ("MIT", ("mit-ref",)),
     ("Unlicense", ("unlicense",)),
 )
-KEYWORDS = "licen|permi|warrant|redistribut|public domain"
+KEYWORDS = "licen|permi|warrant|redistribut|public domain|free software|hope that"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 CUT = r"[.!?;:,]*[ \t\r\f]*\n|[.!?;:]+[ \t\r\f]+|[.!?;:]+$"
 OTHER = "[^a-z0-9.]+"
