@@ -105,3 +105,22 @@ def derived_points(points: DataFrame, devices: DataFrame, now: Column) -> DataFr
         .when(F.col("time") > now + F.expr("interval 5 minutes"), "FUTURE_TIME")
     )
     return rows.select(*points.columns, reason.alias("reason"))
+
+
+def missing_months(existing: DataFrame, now: Column, ahead: int = 3) -> DataFrame:
+    """The months from now's on, ``ahead`` more, that no partition in existing (month as yyyy-MM) holds."""
+    first = F.date_trunc("month", now)
+    wanted = existing.sparkSession.range(1).select(F.explode(F.sequence(first, F.add_months(first, ahead).cast("timestamp"), F.expr("interval 1 month"))).alias("m"))
+    return wanted.select(F.date_format("m", "yyyy-MM").alias("month")).join(existing.select("month").distinct(), "month", "left_anti")
+
+
+def expired_days(existing: DataFrame, now: Column, keep_days: int) -> DataFrame:
+    """Daily partitions (day as yyyy-MM-dd) that are older than the days kept and one more."""
+    return existing.where(F.to_date("day") < F.date_sub(F.to_date(now), keep_days + 1)).select("day").distinct()
+
+
+def known_zone(zone: Column) -> Column:
+    """The zone if it is a name of the time zone database, else null; offsets are none."""
+    from zoneinfo import available_timezones
+
+    return F.when(zone.isin(sorted(available_timezones())), zone)

@@ -111,3 +111,24 @@ def lag_level(backlog: DataFrame, now: Column) -> DataFrame:
     each = backlog.groupBy("partition").agg(F.max("received_at").alias("at"))
     worst = each.agg(F.max((F.unix_micros(now) - F.unix_micros("at")) / 1_000_000).alias("lag_sec"))
     return worst.select("lag_sec", F.when(F.col("lag_sec") > 300, "CRITICAL").when(F.col("lag_sec") > 60, "WARNING").otherwise("OK").alias("level"))
+
+
+def connectivity_events(messages: DataFrame, interval: Column, multiplier: Column) -> DataFrame:
+    """(device_id, kind, at): ONLINE at a device's first message and at each one after a silence of more than interval times
+    multiplier, OFFLINE when such a silence has lasted that long."""
+    order = Window.partitionBy("device_id").orderBy("received_at").rowsBetween(Window.unboundedPreceding, -1)
+    rows = messages.select("device_id", "received_at", F.floor(interval * multiplier * 1000 + 0.5).cast("bigint").alias("limit_ms")).withColumn("seen", F.max("received_at").over(order))
+    back = F.col("seen").isNull() | ((F.unix_micros("received_at") - F.unix_micros("seen")) / 1000 > F.col("limit_ms"))
+    rows = rows.where(back)
+    gone = F.timestamp_micros(F.unix_micros("seen") + F.col("limit_ms") * 1000)
+    events = F.array(F.struct(F.lit("ONLINE").alias("kind"), F.col("received_at").alias("at")), F.struct(F.lit("OFFLINE").alias("kind"), gone.alias("at")))
+    return rows.select("device_id", F.inline(events)).where("at IS NOT NULL").distinct()
+
+
+def uplink_signals(messages: DataFrame) -> DataFrame:
+    """(device_id, message_id, version) of uplinks of active, real devices: the topic's event is up or, without one, the decoder is
+    the LoRaWAN one; the version is the frame counter or else the received time in milliseconds."""
+    event = F.regexp_extract(F.coalesce("topic", F.lit("")), "/event/([^/]+)$", 1)
+    up = F.when(event != "", event == "up").otherwise(F.coalesce(F.col("decoder") == "chirpstack-v4", F.lit(False)))
+    rows = messages.where((F.col("status") == "ACTIVE") & ~F.coalesce("virtual", F.lit(False)) & up)
+    return rows.select("device_id", "message_id", F.coalesce(F.when(F.col("frame_counter") >= 0, F.col("frame_counter")), F.unix_millis("received_at")).alias("version"))

@@ -209,3 +209,25 @@ def recent_window_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = Window.partitionBy("device_id", "metric_key").orderBy(F.unix_micros("time")).rangeBetween(-21_600_000_000, -1)
     recent = F.collect_list("value").over(w)
     return from_events(spark, sf_dir, 5).select("raw_message_id", F.when(F.size(recent) > 0, recent).alias("recent"))
+
+
+@query(
+    "connectivity_events",
+    f"""WITH p AS (SELECT device_id, received_at, max(received_at) OVER (PARTITION BY device_id ORDER BY received_at ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM {T}),
+b AS (SELECT * FROM p WHERE seen IS NULL OR epoch_us(received_at) - epoch_us(seen) > 43200000000)
+SELECT DISTINCT device_id, 'ONLINE' AS kind, received_at AS "at" FROM b UNION SELECT DISTINCT device_id, 'OFFLINE', seen + INTERVAL 12 HOUR FROM b WHERE seen IS NOT NULL""",
+)
+def connectivity_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return state.connectivity_events(from_events(spark, sf_dir), F.lit(14400), F.lit(3.0))
+
+
+@query(
+    "uplink_signals",
+    f"""SELECT device_id, raw_message_id AS message_id, CASE WHEN raw_message_id % 4 > 0 THEN raw_message_id ELSE epoch_us(received_at) // 1000 END AS version FROM {T}
+WHERE device_id % 9 > 0 AND raw_message_id % 8 <> 1 AND CASE raw_message_id % 3 WHEN 0 THEN true WHEN 1 THEN false ELSE device_id % 2 = 0 END""",
+)
+def uplink_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p, i = from_events(spark, sf_dir), F.col("raw_message_id")
+    topic = F.when(i % 3 == 0, "application/a/device/1/event/up").when(i % 3 == 1, "application/a/device/1/event/join").otherwise("plain/topic")
+    rows = p.select("device_id", i.alias("message_id"), topic.alias("topic"), F.when(F.col("device_id") % 2 == 0, "chirpstack-v4").otherwise("single-value").alias("decoder"), F.when(F.col("device_id") % 9 > 0, "ACTIVE").otherwise("DISABLED").alias("status"), (i % 8 == 1).alias("virtual"), F.when(i % 4 > 0, i).alias("frame_counter"), "received_at")
+    return state.uplink_signals(rows)

@@ -220,3 +220,22 @@ def formulas_applicable(spark: SparkSession, sf_dir: str) -> DataFrame:
 def progress_percent(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = spark.read.parquet(f"{sf_dir}/orders.parquet")
     return o.select("o_orderkey", maintenance.progress_percent(F.col("o_orderkey") % 60, F.col("o_custkey") % 50).alias("percent"))
+
+
+@query("missing_months", f"SELECT strftime(m, '%Y-%m') AS month FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-04-01', INTERVAL 1 MONTH)) AS m) WHERE strftime(m, '%Y-%m') NOT IN (SELECT strftime(time, '%Y-%m') FROM {T})")
+def missing_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = from_events(spark, sf_dir)
+    return maintenance.missing_months(p.select(F.date_format("time", "yyyy-MM").alias("month")), at("2024-01-15 00:00:00"))
+
+
+@query("expired_days", f"SELECT DISTINCT strftime(time, '%Y-%m-%d') AS day FROM {T} WHERE time::DATE < DATE '2024-01-20' - 8")
+def expired_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = from_events(spark, sf_dir)
+    return maintenance.expired_days(p.select(F.date_format("time", "yyyy-MM-dd").alias("day")), at("2024-01-20 05:00:00"), 7)
+
+
+@query("known_zones", "SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'Asia/Seoul' WHEN 1 THEN 'America/New_York' END AS zone FROM events")
+def known_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = F.col("raw_message_id") % 4
+    zone = F.when(m == 0, "Asia/Seoul").when(m == 1, "America/New_York").when(m == 2, "+09:00").otherwise("Mars/Base")
+    return from_events(spark, sf_dir).select(F.col("raw_message_id").alias("event_id"), maintenance.known_zone(zone).alias("zone"))
