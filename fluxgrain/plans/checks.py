@@ -79,7 +79,7 @@ q AS (SELECT *, (flags & 1 = 0) AND (top IS NULL OR time > top) AS counts FROM p
 r AS (SELECT *, lag(value) OVER w AS prev, lag(time) OVER w AS prev_time FROM q WINDOW w AS (PARTITION BY device_id, metric_key, counts ORDER BY time, raw_message_id)),
 s AS (SELECT *, sum(CASE WHEN prev = value THEN 0 ELSE 1 END) OVER (PARTITION BY device_id, metric_key, counts ORDER BY time, raw_message_id ROWS UNBOUNDED PRECEDING) AS island FROM r),
 u AS (SELECT *, row_number() OVER (PARTITION BY device_id, metric_key, counts, island ORDER BY time, raw_message_id) AS run FROM s)
-SELECT raw_message_id, counts AND (coalesce(stuck AND prev IS NOT NULL AND run >= 12, false) OR coalesce(hi > lo AND abs(value - prev) / greatest(1.0, (epoch_ms(time) - epoch_ms(prev_time)) / 60000.0::DOUBLE) > (hi - lo) * 0.1875::DOUBLE, false)) AS suspect FROM u""",
+SELECT raw_message_id, counts AND (coalesce(stuck AND prev IS NOT NULL AND run >= 12, false) OR coalesce(hi > lo AND abs(value - prev) / greatest(1.0, ((epoch_us(time) // 1000) - (epoch_us(prev_time) // 1000)) / 60000.0::DOUBLE) > (hi - lo) * 0.1875::DOUBLE, false)) AS suspect FROM u""",
 )
 def suspect_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     defs = spark.createDataFrame(DEFS, "metric_key string, valid_min double, valid_max double, value_type string, state_type boolean")
@@ -88,7 +88,7 @@ def suspect_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "clock_skew_mean",
-    f"""SELECT raw_message_id, sum(s) OVER w / count(*) OVER w / 1000.0::DOUBLE AS skew_sec FROM (SELECT *, (epoch_ms(time) - epoch_ms(received_at))::DOUBLE AS s, epoch_ms(received_at) AS ms FROM {from_events_sql(5)})
+    f"""SELECT raw_message_id, sum(s) OVER w / count(*) OVER w / 1000.0::DOUBLE AS skew_sec FROM (SELECT *, ((epoch_us(time) // 1000) - (epoch_us(received_at) // 1000))::DOUBLE AS s, (epoch_us(received_at) // 1000) AS ms FROM {from_events_sql(5)})
 WINDOW w AS (PARTITION BY device_id ORDER BY ms RANGE BETWEEN 3600000 PRECEDING AND CURRENT ROW)""",
 )
 def clock_skew_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
