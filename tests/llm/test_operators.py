@@ -37,6 +37,92 @@ def test_license(spark, docs, empty):
     assert all(re.search(license.KEYWORDS, s) for s, name in license.known().items() if "+" not in name)
 
 
+WRAPPED = {
+    "MIT": """MIT License
+
+Copyright (c) 2020 Jane Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+""",
+    "ISC": """ISC License
+
+Copyright (c) 2020 Jane Doe
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE.
+""",
+    "GPL-3.0-or-later": """Copyright (C) 2020 Jane Doe
+
+This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+""",
+    "GPL-2.0-or-later": """Copyright (C) 2020 Jane Doe
+
+This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+""",
+    "Apache-2.0": """Copyright 2020 Jane Doe
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+""",
+    "Unlicense": "Notes\nThis is free and unencumbered software released into the public\ndomain.\n",
+}
+
+
+def test_license_wrapped(spark):
+    kinds = {"plain": lambda t: t, "crlf": lambda t: t.replace("\n", "\r\n"), "comment": lambda t: "".join(f" * {x}\n" for x in t.splitlines()), "no blank lines": lambda t: re.sub("\n+", "\n", t), "inside": lambda t: "some words\n" + t + "other words\n\n" * 3000}
+    rows = [(name, kind, f(t)) for name, t in WRAPPED.items() for kind, f in kinds.items()]
+    df = spark.createDataFrame([(i, t) for i, (_, _, t) in enumerate(rows)], "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in license.scan(df).collect()}
+    assert [(k, got[i]["license"]) for i, (_, k, _) in enumerate(rows)] == [(k, name) for name, k, _ in rows]
+    whole = dict(license.heard_sequences()[::-1])  # the first rule of each name
+    assert all(got[i]["sentence_ids"].split(",") == whole[name] for i, (name, _, _) in enumerate(rows) if name == "Apache-2.0")
+
+
 # substring dedup
 
 
