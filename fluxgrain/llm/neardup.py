@@ -1,9 +1,10 @@
 """Near-duplicate documents: improved consistent weighted sampling over TF-IDF shingles, banded and verified.
 
 A text's shingles are its runs of five words (the whole text if it has fewer), each weighted by its count in the text times
-log(1 + documents / documents that have it). Document frequencies are counted over all texts in a table of
-2**20 hashed counters: shingles that share a counter add up, so a frequency is never underrated, and the table's size does
-not depend on the corpus. Each text gets ``bands * rows`` samples by improved consistent weighted sampling; two texts
+log(1 + documents / documents that have it). Document frequencies are exact (of 64-bit hashes): rows are dealt into blocks, each block sends its
+distinct shingles with their counts, in order and cut into ranges of hashes, to one task a range, which adds the counts up and sends the
+sums back to the blocks. Blocks and ranges have a fixed mean size, so their number grows with the corpus and a task's memory does not.
+Each text gets ``bands * rows`` samples by improved consistent weighted sampling; two texts
 agree on a sample with the probability of their weighted Jaccard similarity. Texts that agree on all samples of a band
 meet in a bucket.
 
@@ -23,6 +24,7 @@ than their tasks.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -37,7 +39,9 @@ from fluxgrain.llm.lineage import kept
 from fluxgrain.llm.words import mix, ngram_hashes, word_hashes, words
 
 GRAM, BANDS, ROWS, LIKE = 5, 16, 4, 0.8
-BITS, CHUNK = 20, 8192
+BITS = 20
+#: Mean bytes of text whose shingles a block or a range of hashes holds.
+SHARE = 12 << 20
 #: Pivots of a bucket in each round before its rest is compared in blocks of so many members.
 PIVOTS, BLOCK = (1, 2), 256
 
@@ -49,31 +53,43 @@ def shingles(ws: list[bytes], gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]
     return np.unique(g, return_counts=True)
 
 
-def document_frequencies(docs: DataFrame, gram: int = GRAM) -> np.ndarray:
-    """The table of hashed counters over all texts. Each partition counts by itself; chunks of counters are added up by task."""
-    chunks = (1 << BITS) // CHUNK
+def planes(a: np.ndarray) -> bytes:
+    """An array's bytes, those of equal place together, which compress better."""
+    return a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes()
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = np.zeros(1 << BITS, dtype=np.int64)
-        for b in batches:
-            own = [shingles(words(t), gram)[0] >> np.uint64(64 - BITS) for t in b["text"]]
-            for at in range(0, len(own), 512):
-                table += np.bincount(np.concatenate(own[at : at + 512]).astype(np.int64), minlength=1 << BITS)
-        parts = table.reshape(chunks, CHUNK)
-        yield pd.DataFrame([(i, p.astype("<i8" if p.max() >= 1 << 31 else "<i4").tobytes()) for i, p in enumerate(parts) if p.any()], columns=["chunk", "counts"])
-
-    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total: dict[int, np.ndarray] = {}
-        for b in batches:
-            for i, c in zip(b["chunk"], b["counts"]):
-                total[i] = total.get(i, 0) + np.frombuffer(c, dtype="<i4" if len(c) == 4 * CHUNK else "<i8").astype(np.int64)
-        yield pd.DataFrame([(i, p.astype("<i8").tobytes()) for i, p in total.items()], columns=["chunk", "counts"])
 
-    kind = "chunk int, counts binary"
-    out = np.zeros((chunks, CHUNK), dtype=np.int64)
-    for r in docs.select("text").mapInPandas(count, kind).repartition("chunk").mapInPandas(add, kind).collect():
-        out[r["chunk"]] = np.frombuffer(r["counts"], dtype="<i8")
-    return out.ravel()
+def from_planes(b: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(b, dtype=np.uint8).reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).ravel()
+
+
+def cut_at(h: np.ndarray, ranges: int) -> np.ndarray:
+    """Where each of the equal ranges of hashes begins and ends in sorted hashes."""
+    bounds = np.array([(i << 64) // ranges for i in range(1, ranges)], dtype=np.uint64)
+    return np.r_[0, np.searchsorted(h, bounds), len(h)]
+
+
+def distinct(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct hashes of a block's texts and the number of texts that have each."""
+    return np.unique(np.concatenate([np.empty(0, dtype=np.uint64), *sets]), return_counts=True)
+
+
+def frequencies(dealt: DataFrame, ranges: int, gram: int) -> DataFrame:
+    """(block, r, counts): for each block of dealt (block, text) and range r the document frequencies of the block's shingles in that range, in their order."""
+
+    def send(part: pd.DataFrame) -> pd.DataFrame:
+        h, n = distinct([shingles(words(t), gram)[0] for t in part["text"]])
+        at = cut_at(h, ranges)
+        out = [(part["block"].iloc[0], r, planes(np.diff(h[x:y], prepend=np.uint64(0))), planes(n[x:y].astype(np.uint32))) for r, (x, y) in enumerate(zip(at[:-1], at[1:])) if x < y]
+        return pd.DataFrame(out, columns=["block", "r", "hashes", "counts"])
+
+    def add(part: pd.DataFrame) -> pd.DataFrame:
+        sent = [np.cumsum(from_planes(b, np.uint64), dtype=np.uint64) for b in part["hashes"]]
+        _, at = np.unique(np.concatenate(sent), return_inverse=True)
+        total = np.bincount(at, weights=np.concatenate([from_planes(b, np.uint32) for b in part["counts"]])).astype(np.uint32)
+        ends = np.cumsum([len(x) for x in sent])
+        return pd.DataFrame({"block": part["block"], "r": part["r"], "counts": [planes(total[at[y - len(x) : y]]) for x, y in zip(sent, ends)]})
+
+    return dealt.groupBy("block").applyInPandas(send, "block bigint, r bigint, hashes binary, counts binary").groupBy("r").applyInPandas(add, "block bigint, r bigint, counts binary")
 
 
 @lru_cache(maxsize=1)
@@ -129,26 +145,49 @@ def jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
 
 
 class Weights:
-    """Weighted shingles of texts under the broadcast table of inverse document frequencies."""
+    """Weighted shingles of texts under a table of inverse document frequencies by a hash's first bits: an approximation for comparison, not used by classes()."""
 
     def __init__(self, idf: np.ndarray, gram: int):
-        self.idf, self.gram, self.cache = idf, gram, {}
+        self.idf, self.gram = idf, gram
 
     def of(self, ws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         h, n = shingles(ws, self.gram)
         return h, n * self.idf[(h >> np.uint64(64 - BITS)).astype(np.intp)]
 
-    def counted(self, ws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+
+class Exact:
+    """Weighted shingles of texts that come with the document frequencies of their sorted shingles (packed by ``pack``)."""
+
+    def __init__(self, total: int, gram: int):
+        self.total, self.gram, self.cache = total, gram, {}
+
+    @staticmethod
+    def pack(df: np.ndarray) -> bytes:
+        return zlib.compress(planes(df.astype(np.uint32)), 1)
+
+    def idf(self, df: np.ndarray) -> np.ndarray:
+        return np.log1p(self.total / df)
+
+    def counted(self, text: str, df: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Shingle hashes, counts and inverse document frequencies."""
-        h, n = shingles(ws, self.gram)
-        return h, n, self.idf[(h >> np.uint64(64 - BITS)).astype(np.intp)]
+        h, n = shingles(words(text), self.gram)
+        return h, n, self.idf(from_planes(zlib.decompress(df), np.uint32))
+
+    def of(self, text: str, df: bytes) -> tuple[np.ndarray, np.ndarray]:
+        h, n, idf = self.counted(text, df)
+        return h, n * idf
 
-    def pivot(self, doc_id: int, text: str) -> tuple[np.ndarray, np.ndarray]:
+    def pivot(self, doc_id: int, text: str, df: bytes) -> tuple[np.ndarray, np.ndarray]:
         if doc_id not in self.cache:
-            self.cache = {doc_id: self.of(words(text))}
+            self.cache = {doc_id: self.of(text, df)}
         return self.cache[doc_id]
 
 
+def named_by(ws: list[bytes]) -> str | None:
+    """Equal for texts of equal words."""
+    return xxhash.xxh3_128_hexdigest(b" ".join(ws)) if ws else None
+
+
 def spanning(ids: list[int], labels: list[int], sets: list[tuple], like: float) -> list[tuple[int, int]]:
     """Links (a, b) that join whatever links of similarity ``like`` or more join, given that equal labels are joined already.
 
@@ -203,48 +242,56 @@ def members_labels(seen: DataFrame, like: float, hops: int = 4) -> DataFrame:
     return near.withColumnRenamed("b", "d")
 
 
-def classes(docs: DataFrame, gram: int = GRAM, bands: int = BANDS, rows: int = ROWS, like: float = LIKE) -> DataFrame:
+def classes(docs: DataFrame, gram: int = GRAM, bands: int = BANDS, rows: int = ROWS, like: float = LIKE, share: int = SHARE) -> DataFrame:
     """(doc_id, class_id) of every row of docs (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    total = docs.count()
-    idf = np.log1p(total / np.maximum(document_frequencies(docs, gram), 1)).astype(np.float64)
-    table = docs.sparkSession.sparkContext.broadcast(idf)  # 8 MB at any size of the corpus
-
-    def signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        weigh = Weights(table.value, gram)
-        for b in batches:
-            at = 0
-            while at < len(b):
-                ids, keys, sets, size = [], [], [], 0
-                while at < len(b) and size < 60_000:
-                    ws = words(b["text"].iloc[at])
-                    ids.append(b["doc_id"].iloc[at])
-                    keys.append(xxhash.xxh3_128_hexdigest(b" ".join(ws)) if ws else None)
-                    sets.append(weigh.of(ws))
-                    size += len(sets[-1][0])
-                    at += 1
-                full = [i for i, s in enumerate(sets) if len(s[0])]
-                found: list = [None] * len(ids)
-                if full:
-                    lens = np.array([len(sets[i][0]) for i in full])
-                    s = samples(np.concatenate([sets[i][0] for i in full]), np.concatenate([sets[i][1] for i in full]), np.cumsum(lens) - lens, bands * rows)
-                    for i, k in zip(full, banded(s, bands, rows)):
-                        found[i] = k
-                yield pd.DataFrame({"doc_id": pd.array(ids, dtype="Int64") if None in ids else ids, "words": keys, "bands": found})
-
-    signed = kept(docs.where("doc_id IS NOT NULL").mapInPandas(signatures, "doc_id bigint, words string, bands array<bigint>"))
+    total, size = docs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    pieces = size // share + 1
+    dealt = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(pieces)).alias("block"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNotNull().alias("has_id"), "text")
+
+    def signatures(part: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        weigh = Exact(total, gram)
+        sets = [shingles(words(t), gram) for t in part["text"]]
+        h, _ = distinct([s[0] for s in sets])
+        df = np.concatenate([np.empty(0, dtype=np.uint32), *(from_planes(b, np.uint32) for b in found.sort_values("r")["counts"])])
+        if len(df) != len(h):
+            raise RuntimeError(f"a block has {len(h)} distinct shingles and frequencies of {len(df)}: its input differed between two readings")
+        own = [df[np.searchsorted(h, s[0])] for s in sets]
+        bands_of: list = [None] * len(sets)
+        full = [i for i, s in enumerate(sets) if len(s[0])]
+        while full:
+            lens = np.cumsum([len(sets[i][0]) for i in full[:4096]])
+            now, full = full[: (k := max(1, int(np.searchsorted(lens, 60_000))))], full[k:]
+            starts = np.r_[0, lens[: k - 1]]
+            s = samples(np.concatenate([sets[i][0] for i in now]), np.concatenate([sets[i][1] * weigh.idf(own[i]) for i in now]), starts, bands * rows)
+            for i, key in zip(now, banded(s, bands, rows)):
+                bands_of[i] = key
+        out = pd.DataFrame({"doc_id": part["doc_id"], "words": [named_by(words(t)) for t in part["text"]], "bands": bands_of, "df": [Exact.pack(x) for x in own]})
+        return out[part["has_id"].to_numpy(dtype=bool)]
+
+    # both sides read one exchange of dealt
+    replies = frequencies(dealt, pieces, gram)
+    signed = kept(dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(signatures, "doc_id bigint, words string, bands array<bigint>, df binary"))
     # texts of equal words: the smallest id stands for all
     heads = kept(signed.where("words IS NOT NULL").groupBy("words").agg(F.min("doc_id").alias("head")))
     owned = kept(signed.join(heads, "words", "left").select("doc_id", F.coalesce("head", "doc_id").alias("head"), F.when(F.col("doc_id") == F.col("head"), F.col("bands")).alias("bands")))
     members = owned.where("bands IS NOT NULL").select(F.explode("bands").alias("band"), F.col("doc_id").alias("d")).distinct()
     many = members.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     state = kept(members.join(many, "band").select("band", "d"))
-    texts = kept(docs.join(state.select(F.col("d").alias("doc_id")).distinct(), "doc_id").dropDuplicates(["doc_id"]))
+
+    def own_text(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows whose frequencies are those of their text, which may fail where rows repeat an id."""
+        for b in batches:
+            yield b.loc[[named_by(words(t)) == w for t, w in zip(b["text"], b["words"])], ["doc_id", "text", "df"]]
+
+    asked = state.select(F.col("d").alias("doc_id")).distinct()
+    with_df = docs.join(asked, "doc_id").join(signed.join(asked, "doc_id", "left_semi").select("doc_id", "words", "df"), "doc_id")
+    texts = kept(with_df.mapInPandas(own_text, "doc_id bigint, text string, df binary").dropDuplicates(["doc_id"]))
 
     def verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        weigh = Weights(table.value, gram)
+        weigh = Exact(total, gram)
         for b in batches:
-            sims = [jaccard(weigh.pivot(r.p, r.p_text), weigh.of(words(r.text))) for r in b.itertuples(index=False)]
+            sims = [jaccard(weigh.pivot(r.p, r.p_text, r.p_df), weigh.of(r.text, r.df)) for r in b.itertuples(index=False)]
             yield pd.DataFrame({"p": b["p"], "d": b["d"], "sim": sims})
 
     def open_members() -> DataFrame:
@@ -263,7 +310,7 @@ def classes(docs: DataFrame, gram: int = GRAM, bands: int = BANDS, rows: int = R
         met = now.join(chosen, "band").where("c <> pc").select("band", "d", "p")
         pairs = met.select("p", "d").distinct()
         pairs = pairs.join(seen, ["p", "d"], "left_anti") if seen is not None else pairs
-        with_text = pairs.join(texts.select(F.col("doc_id").alias("d"), "text"), "d").join(texts.select(F.col("doc_id").alias("p"), F.col("text").alias("p_text")), "p")
+        with_text = pairs.join(texts.select(F.col("doc_id").alias("d"), "text", "df"), "d").join(texts.select(F.col("doc_id").alias("p"), F.col("text").alias("p_text"), F.col("df").alias("p_df")), "p")
         new = with_text.mapInPandas(verified, "p bigint, d bigint, sim double")
         seen = kept(new if seen is None else seen.unionByName(new))
         met = met.join(seen, ["p", "d"])
@@ -278,10 +325,10 @@ def classes(docs: DataFrame, gram: int = GRAM, bands: int = BANDS, rows: int = R
     sizes = now.groupBy("band").agg(F.count("*").alias("n"), F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
     dealt = now.join(kept(sizes.select("band", F.ceil(F.col("n") / BLOCK).alias("blocks"))), "band").withColumn("own", F.pmod(F.xxhash64("d"), "blocks"))
     dealt = dealt.select("band", "d", "c", "own", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other"))
-    dealt = dealt.select("band", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "d", "c").join(texts.select(F.col("doc_id").alias("d"), "text"), "d")
+    dealt = dealt.select("band", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "d", "c").join(texts.select(F.col("doc_id").alias("d"), "text", "df"), "d")
 
     def linked(part: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(spanning(part["d"].tolist(), part["c"].tolist(), [Weights(table.value, gram).counted(words(t)) for t in part["text"]], like), columns=["a", "b"])
+        return pd.DataFrame(spanning(part["d"].tolist(), part["c"].tolist(), [Exact(total, gram).counted(t, f) for t, f in zip(part["text"], part["df"])], like), columns=["a", "b"])
 
     rest = dealt.groupBy("band", "x", "y").applyInPandas(linked, "a bigint, b bigint")
     roots = components(seen.where(F.col("sim") >= like).select(F.col("p").alias("a"), F.col("d").alias("b")).unionByName(rest))

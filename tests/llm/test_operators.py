@@ -261,6 +261,27 @@ def test_neardup(spark, docs, empty):
     assert single.columns == df.columns and {r["doc_id"] for r in single.collect()} == {d for d in got if got[d] == d}
 
 
+def test_neardup_frequencies_are_exact(spark):
+    """Texts whose shared shingles would share hashed counters with many other texts are judged by their own frequencies."""
+    shared = " ".join(f"s{i}" for i in range(14))
+    a, b = f"{shared} x", f"{shared} y"
+    counter = lambda h: h >> np.uint64(64 - neardup.BITS)
+    both = np.intersect1d(neardup.shingles(words(a))[0], neardup.shingles(words(b))[0])
+    tries = [b"w%d" % i for i in range(4_000_000)]
+    hits = np.flatnonzero(np.isin(counter(neardup.mix(neardup.word_hashes(tries))), counter(both)))
+    texts = [a, b, *(tries[i].decode() for i in hits), None, ""]
+    sets = [neardup.shingles(words(t)) for t in texts]
+    h, df = np.unique(np.concatenate([s[0] for s in sets]), return_counts=True)
+    exact = [(s[0], s[1] * np.log1p(len(texts) / df[np.searchsorted(h, s[0])])) for s in sets]
+    table = np.bincount(counter(np.concatenate([s[0] for s in sets])).astype(np.int64), minlength=1 << neardup.BITS)
+    rough = neardup.Weights(np.log1p(len(texts) / np.maximum(table, 1)), 5)
+    assert neardup.jaccard(exact[0], exact[1]) >= 0.8 > neardup.jaccard(rough.of(words(a)), rough.of(words(b)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for options in ({}, {"share": 40}):
+        got = {r["doc_id"]: r["class_id"] for r in neardup.classes(docs, **options).collect()}
+        assert got == {i: 0 if i == 1 else i for i in range(len(texts))}
+
+
 def test_sampling_agrees_with_similarity():
     rng = np.random.default_rng(5)
     h = np.sort(rng.integers(1, 1 << 63, 600).astype(np.uint64))
