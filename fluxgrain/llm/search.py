@@ -17,6 +17,7 @@ empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -80,10 +81,14 @@ FOUND = "query_id bigint, query_row bigint, vec_id bigint, score bigint"
 
 
 def top_k(rows: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", size: int = 2048, chunk: int = 1024) -> DataFrame:
-    """query_id, rank, vec_id, score of the k best candidates of each query; is_query is a condition on the column ``vec_id``."""
+    """query_id, rank, vec_id, score of the k best candidates of each query; is_query is a condition on the column ``vec_id``. Vectors of each length are searched among themselves."""
     good = usable(rows, id_col, vector_col)
-    dim = good.agg(F.max(F.size("v"))).first()[0]
-    good = good.where(F.size("v") == (dim or 0))
+    lengths = sorted(r[0] for r in good.select(F.size("v")).distinct().collect()) or [0]
+    return reduce(DataFrame.unionByName, [top_k_alike(good.where(F.size("v") == n), is_query, k, size, chunk) for n in lengths])
+
+
+def top_k_alike(good: DataFrame, is_query: Column, k: int, size: int, chunk: int) -> DataFrame:
+    """top_k for usable vectors of one length."""
     forward = kept(blocks(good, size))
     queries = blocks(good.where(is_query), chunk).select(F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("matrix").alias("q"))
     queries = kept(queries)

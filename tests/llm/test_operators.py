@@ -471,6 +471,13 @@ def test_search(spark):
     assert search.top_k(df.limit(0), F.col("vec_id") == 0).count() == 0
 
 
+def test_search_mixed_lengths(spark):
+    rows = [(0, [1.0, 2.0]), (1, [3.0, 1.0]), (2, [0.5, 0.5]), (3, [1.0, 1.0, 1.0]), (50, [2.0, 0.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in search.top_k(df, F.col("vec_id") % 50 == 0).collect())
+    assert got == [(0, 1, 1), (0, 2, 2), (50, 1, 3)]
+
+
 # pipeline
 
 
