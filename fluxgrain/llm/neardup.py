@@ -1,49 +1,52 @@
 """Near-duplicate documents: improved consistent weighted sampling over TF-IDF shingles, banded and verified.
 
 A text's shingles are its runs of five words (the whole text if it has fewer), each weighted by its count in the text times
-log(1 + documents / documents that have it). Document frequencies are exact (of 64-bit hashes): rows are dealt into blocks, each block sends its
+log(1 + documents / documents that have it). Texts of equal words are one representative from the start, which counts as often as it has copies.
+
+Document frequencies are exact (of 64-bit hashes): representatives are dealt into blocks, each block sends its
 distinct shingles with their counts, in order and cut into ranges of hashes, to one task a range, which adds the counts up and sends the
-sums back to the blocks. Blocks and ranges have a fixed mean size, so their number grows with the corpus and a task's memory does not.
-Each text gets ``bands * rows`` samples by improved consistent weighted sampling; two texts
-agree on a sample with the probability of their weighted Jaccard similarity. Texts that agree on all samples of a band
-meet in a bucket.
-
-Texts of equal words are one representative from the start. In a bucket, pivots are compared with the other members by the exact weighted Jaccard
-similarity (sum of lesser weights over sum of greater). One minus it is a metric, so a member that is linked to a
-pivot needs no more comparison if all members not linked to it are too far off (by the triangle inequality); it leaves, and
-so does the pivot. What then is left of buckets that are not known to be one component (texts that are alike, but not alike enough, meet too)
-is split into blocks, and every two blocks are compared in one task, which gives out no more links than join what it has. So a bucket of n copies costs n
-comparisons, yet no link between members of one bucket that would join two classes is passed over; only members that stay unlinked cost more,
-as the square of their number over the size of a block. Classes are the
-components of the links; a class is named by its smallest id.
-
-Texts without words are in no bucket: each is a class of its own. So are rows without an id (class null). Rows that repeat an id are one document. An
-empty table gives no rows. All tables that rounds build on are written to the shared folder, so lost executors cost no more
-than their tasks.
+sums back to the blocks. Blocks and ranges have a fixed mean size, so their number grows with the corpus and a task's memory does not;
+there are never more rows than shingles. A shingle that no other text has cannot be in any intersection. So a text with more than
+1 - ``like`` of its weight in such shingles has no partner, whatever the other text is; it is a class of its own and gets neither samples nor buckets.
+
+All other texts get ``bands * rows`` samples by improved consistent weighted sampling; two texts agree on a sample with the probability of
+their weighted Jaccard similarity. Texts that agree on all samples of a band meet in a bucket. From here on packed shingles travel (those that another
+text has too, and the weight of all), never texts. In a bucket every member is compared with the pivot, the member whose shingles are the most frequent on
+average (the text that others were made from, if there is one), by the exact weighted Jaccard similarity (sum of lesser weights over sum of greater).
+A pair that meets in several buckets is compared once. The pivot then is done; buckets whose other members are one component are done too. The rest is
+split into blocks by bytes, and every two blocks, but not two of the pivot's own component, are compared in one task; there a pair is compared in its
+first common band only, and not if it is joined already or if its weights alone rule out ``like``. So a bucket of n copies costs n comparisons, and no
+link between members of one bucket that would join two classes is passed over; only members that stay unlinked cost more, as the square of
+their bytes over the size of a block. Classes are the components of the links; a class is named by its smallest id.
+
+Texts without words are in no bucket: each is a class of its own. So are rows without an id (class null). Rows that repeat an id are one document: they
+share a class, even with different texts. An empty table gives no rows. Columns but the id and the text are not read. All tables that later steps build on are written to the shared
+folder, so lost executors cost no more than their tasks.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+import zstandard
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fluxgrain.llm.graph import components
-from fluxgrain.llm.lineage import kept
+from fluxgrain.llm.lineage import kept, stored
+from fluxgrain.llm.rows import map_rows
 from fluxgrain.llm.words import mix, ngram_hashes, word_hashes, words
 
 GRAM, BANDS, ROWS, LIKE = 5, 16, 4, 0.8
 BITS = 20
 #: Mean bytes of text whose shingles a block or a range of hashes holds.
 SHARE = 12 << 20
-#: Pivots of a bucket in each round before its rest is compared in blocks of so many members.
-PIVOTS, BLOCK = (1, 2), 256
+#: Bytes of packed shingles in a block of what is left of a bucket.
+BLOCK = 6 << 20
 
 
 def shingles(ws: list[bytes], gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
@@ -68,24 +71,37 @@ def cut_at(h: np.ndarray, ranges: int) -> np.ndarray:
     return np.r_[0, np.searchsorted(h, bounds), len(h)]
 
 
-def distinct(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct hashes of a block's texts and the number of texts that have each."""
-    return np.unique(np.concatenate([np.empty(0, dtype=np.uint64), *sets]), return_counts=True)
+def heads(part: pd.DataFrame, gram: int) -> tuple[pd.DataFrame, list[tuple[np.ndarray, np.ndarray]]]:
+    """A block's representatives and the shingles of each."""
+    own = part[part["copies"] > 0]
+    wanted, texts, un = set(own["name"]), {}, zstandard.ZstdDecompressor()
+    for name, z in zip(part["name"], part["z"]):
+        if z is not None and name in wanted:
+            texts[name] = z
+    return own, [shingles(un.decompress(texts[x]).split(), gram) for x in own["name"]]
+
+
+def distinct(own: pd.DataFrame, sets: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct shingles of a block's representatives and the number of documents that have each."""
+    every = np.concatenate([np.empty(0, dtype=np.uint64), *(s[0] for s in sets)])
+    h, at = np.unique(every, return_inverse=True)
+    copies = np.repeat(own["copies"].to_numpy(dtype=np.float64), [len(s[0]) for s in sets])
+    return h, np.bincount(at, weights=copies, minlength=len(h)).astype(np.uint64)
 
 
 def frequencies(dealt: DataFrame, ranges: int, gram: int) -> DataFrame:
-    """(block, r, counts): for each block of dealt (block, text) and range r the document frequencies of the block's shingles in that range, in their order."""
+    """(block, r, counts): for each block of dealt and range r the document frequencies of the block's shingles in that range, in their order."""
 
     def send(part: pd.DataFrame) -> pd.DataFrame:
-        h, n = distinct([shingles(words(t), gram)[0] for t in part["text"]])
+        h, n = distinct(*heads(part, gram))
         at = cut_at(h, ranges)
-        out = [(part["block"].iloc[0], r, planes(np.diff(h[x:y], prepend=np.uint64(0))), planes(n[x:y].astype(np.uint32))) for r, (x, y) in enumerate(zip(at[:-1], at[1:])) if x < y]
+        out = [(part["block"].iloc[0], r, planes(np.diff(h[x:y], prepend=np.uint64(0))), planes(n[x:y])) for r, (x, y) in enumerate(zip(at[:-1], at[1:])) if x < y]
         return pd.DataFrame(out, columns=["block", "r", "hashes", "counts"])
 
     def add(part: pd.DataFrame) -> pd.DataFrame:
         sent = [np.cumsum(from_planes(b, np.uint64), dtype=np.uint64) for b in part["hashes"]]
         _, at = np.unique(np.concatenate(sent), return_inverse=True)
-        total = np.bincount(at, weights=np.concatenate([from_planes(b, np.uint32) for b in part["counts"]])).astype(np.uint32)
+        total = np.bincount(at, weights=np.concatenate([from_planes(b, np.uint64) for b in part["counts"]])).astype(np.uint64)
         ends = np.cumsum([len(x) for x in sent])
         return pd.DataFrame({"block": part["block"], "r": part["r"], "counts": [planes(total[at[y - len(x) : y]]) for x, y in zip(sent, ends)]})
 
@@ -155,186 +171,183 @@ class Weights:
         return h, n * self.idf[(h >> np.uint64(64 - BITS)).astype(np.intp)]
 
 
-class Exact:
-    """Weighted shingles of texts that come with the document frequencies of their sorted shingles (packed by ``pack``)."""
+def pack(h: np.ndarray, n: np.ndarray, df: np.ndarray) -> bytes:
+    """A text's sorted shingles, their counts in the text and their document frequencies."""
+    return zstandard.compress(planes(np.diff(h, prepend=np.uint64(0))) + planes(n.astype(np.uint32)) + planes(df.astype(np.uint64)), 1)
 
-    def __init__(self, total: int, gram: int):
-        self.total, self.gram, self.cache = total, gram, {}
 
-    @staticmethod
-    def pack(df: np.ndarray) -> bytes:
-        return zlib.compress(planes(df.astype(np.uint32)), 1)
+def unpack(z: bytes, total: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shingles, counts and inverse document frequencies."""
+    raw = zstandard.decompress(z)
+    k = len(raw) // 20
+    return np.cumsum(from_planes(raw[: 8 * k], np.uint64), dtype=np.uint64), from_planes(raw[8 * k : 12 * k], np.uint32).astype(np.int64), idf(from_planes(raw[12 * k :], np.uint64), total)
 
-    def idf(self, df: np.ndarray) -> np.ndarray:
-        return np.log1p(self.total / df)
 
-    def counted(self, text: str, df: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Shingle hashes, counts and inverse document frequencies."""
-        h, n = shingles(words(text), self.gram)
-        return h, n, self.idf(from_planes(zlib.decompress(df), np.uint32))
+def idf(df: np.ndarray, total: int) -> np.ndarray:
+    return np.log1p(total / df)
 
-    def of(self, text: str, df: bytes) -> tuple[np.ndarray, np.ndarray]:
-        h, n, idf = self.counted(text, df)
-        return h, n * idf
 
-    def pivot(self, doc_id: int, text: str, df: bytes) -> tuple[np.ndarray, np.ndarray]:
-        if doc_id not in self.cache:
-            self.cache = {doc_id: self.of(text, df)}
-        return self.cache[doc_id]
-
-
-def named_by(ws: list[bytes]) -> str | None:
+def named_by(ws: list[bytes]) -> bytes | None:
     """Equal for texts of equal words."""
-    return xxhash.xxh3_128_hexdigest(b" ".join(ws)) if ws else None
+    return xxhash.xxh3_128_digest(b" ".join(ws)) if ws else None
 
 
-def spanning(ids: list[int], labels: list[int], sets: list[tuple], like: float) -> list[tuple[int, int]]:
+def spanning(ids: list[int], labels: list[int], sets: list[tuple], like: float, weights: np.ndarray | None = None, halves: np.ndarray | None = None, bands: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Links (a, b) that join whatever links of similarity ``like`` or more join, given that equal labels are joined already.
 
-    All similarities of the given sets at once: a shingle's weight differs between texts by its count only, so the sum of lesser
-    weights is a sum over count levels of products of 0/1 matrices.
+    sets: shingles, counts, inverse document frequencies; weights: the weight of each whole set, if more than that of its shingles here. With halves only
+    pairs of different halves are compared; with bands (their earlier bands' keys) only pairs that have none of these in common. One text after
+    the other is the pivot: its weights lie in a table by shingle, and the lesser weights of all texts that may be linked to it are summed at once.
     """
     if len(set(labels)) < 2:
         return []
-    h, n, idf = (np.concatenate([s[i] for s in sets]) for i in range(3))
-    text = np.repeat(np.arange(len(sets)), [len(s[0]) for s in sets])
-    total = np.bincount(text, weights=n * idf, minlength=len(sets))
-    _, first, column, found = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
-    shared = np.flatnonzero(found > 1)
-    at = np.full(len(found), -1)
-    at[shared] = np.arange(len(shared))
-    column, weight = at[column], idf[first][shared]
-    both = np.zeros((len(sets), len(sets)))
-    for low in range(0, len(shared), 4096):
-        own = (column >= low) & (column < low + 4096)
-        t, c, k = text[own], column[own] - low, n[own]
-        below = 0
-        for level in np.unique(k):
-            over = k >= level
-            m = np.zeros((len(sets), min(4096, len(shared) - low)))
-            m[t[over], c[over]] = 1
-            both += (m * (weight[low : low + 4096] * (level - below))) @ m.T
-            below = level
-    sim = both / np.maximum(total[:, None] + total[None, :] - both, 1e-300)
-    group = {x: x for x in labels}
-
-    def root(x: int) -> int:
-        while group[x] != x:
-            group[x] = x = group[group[x]]
-        return x
-
+    lens = np.array([len(s[0]) for s in sets])
+    starts = np.cumsum(lens) - lens
+    _, column = np.unique(np.concatenate([s[0] for s in sets]), return_inverse=True)
+    weight = np.concatenate([s[1] * s[2] for s in sets])
+    common = np.bincount(np.repeat(np.arange(len(sets)), lens), weights=weight, minlength=len(sets))
+    whole = common if weights is None else np.asarray(weights, dtype=np.float64)
+    table = np.zeros(int(column.max(initial=-1)) + 1)
+    root = np.unique(np.asarray(labels), return_inverse=True)[1]
     out = []
-    for i, j in zip(*(x.tolist() for x in np.nonzero(np.triu(sim >= like - 1e-12, 1)))):
-        a, b = root(labels[i]), root(labels[j])
-        if a != b:
-            group[max(a, b)] = min(a, b)
-            out.append((ids[i], ids[j]))
+    for i in range(len(sets) - 1):
+        able = np.minimum(common[i], common[i + 1 :]) * (1 + like) >= (whole[i] + whole[i + 1 :]) * like * (1 - 1e-9)
+        able &= (root[i + 1 :] != root[i]) & (lens[i + 1 :] > 0)
+        if halves is not None:
+            able &= halves[i + 1 :] != halves[i]
+        if bands is not None and bands.shape[1]:
+            able &= ~(bands[i + 1 :] == bands[i]).any(axis=1)
+        others = i + 1 + np.flatnonzero(able)
+        if not len(others):
+            continue
+        own = slice(starts[i], starts[i] + lens[i])
+        table[column[own]] = weight[own]
+        ends = np.cumsum(lens[others])
+        at = np.arange(ends[-1]) + np.repeat(starts[others] - (ends - lens[others]), lens[others])
+        both = np.add.reduceat(np.minimum(table[column[at]], weight[at]), ends - lens[others])
+        table[column[own]] = 0
+        for j in others[both >= (like - 1e-12) * (whole[i] + whole[others] - both)].tolist():
+            if root[j] != root[i]:
+                root[root == root[j]] = root[i]
+                out.append((ids[i], ids[j]))
     return out
 
 
-def members_labels(seen: DataFrame, like: float, hops: int = 4) -> DataFrame:
-    """(d, l): the least id within ``hops`` links of each linked document. Equal labels mean one component; the converse may fail, which costs comparisons only."""
-    links = seen.where(F.col("sim") >= like)
-    both = links.select(F.col("p").alias("a"), F.col("d").alias("b")).unionByName(links.select(F.col("d").alias("a"), F.col("p").alias("b")))
-    near = both.groupBy(F.col("a").alias("b")).agg(F.min(F.least("a", "b")).alias("l"))
-    for _ in range(hops - 1):
-        near = both.join(near, "b").groupBy(F.col("a").alias("b")).agg(F.min("l").alias("l"))
-    return near.withColumnRenamed("b", "d")
-
-
-def classes(docs: DataFrame, gram: int = GRAM, bands: int = BANDS, rows: int = ROWS, like: float = LIKE, share: int = SHARE) -> DataFrame:
+def classes(docs: DataFrame, gram: int = GRAM, bands: int = BANDS, rows: int = ROWS, like: float = LIKE, share: int = SHARE, block: int = BLOCK) -> DataFrame:
     """(doc_id, class_id) of every row of docs (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    total, size = docs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
-    pieces = size // share + 1
-    dealt = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(pieces)).alias("block"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNotNull().alias("has_id"), "text")
+
+    def names(ids: list, texts: list) -> dict:
+        found = [words(t) for t in texts]
+        return {"doc_id": ids, "name": [named_by(w) for w in found], "size": [sum(map(len, w)) + len(w) for w in found]}
+
+    named = stored(map_rows(docs, names, "doc_id bigint, name binary, size bigint"))
+    total = named.count()
+    texts = stored(named.where("name IS NOT NULL").groupBy("name").agg(F.min("doc_id").alias("head"), F.count("*").alias("copies"), F.max("size").alias("size")))
+    pieces = texts.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0] // share + 1
+
+    def whole(batches: Iterator[tuple[list, list]]) -> Iterator[dict]:
+        """The words of texts; of those without an id, which may be many copies, each text once a task."""
+        said, z = set(), zstandard.ZstdCompressor(level=1)
+        for ids, some in batches:
+            out = {"doc_id": [], "name": [], "z": []}
+            for d, t in zip(ids, some):
+                name = named_by(w := words(t))
+                if name is None or d is None and name in said:
+                    continue
+                if d is None:
+                    said.add(name)
+                for k, v in zip(out, (d, name, z.compress(b" ".join(w)))):
+                    out[k].append(v)
+            yield out
+
+    sent = map_rows(docs, whole, "doc_id bigint, name binary, z binary", streamed=True).withColumn("copies", F.lit(0).cast("bigint"))
+    marks = texts.select(F.col("head").alias("doc_id"), "name", F.lit(None).cast("binary").alias("z"), "copies")
+    place = F.coalesce("doc_id", F.xxhash64("name"))
+    dealt = sent.unionByName(marks).select(F.pmod(F.xxhash64(place), F.lit(pieces)).alias("block"), F.coalesce("doc_id", F.lit(0)).alias("d"), F.col("doc_id").isNotNull().alias("has_id"), "name", "copies", "z")
 
     def signatures(part: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        weigh = Exact(total, gram)
-        sets = [shingles(words(t), gram) for t in part["text"]]
-        h, _ = distinct([s[0] for s in sets])
-        df = np.concatenate([np.empty(0, dtype=np.uint32), *(from_planes(b, np.uint32) for b in found.sort_values("r")["counts"])])
+        own, sets = heads(part, gram)
+        h, _ = distinct(own, sets)
+        df = np.concatenate([np.empty(0, dtype=np.uint64), *(from_planes(b, np.uint64) for b in found.sort_values("r")["counts"])])
         if len(df) != len(h):
             raise RuntimeError(f"a block has {len(h)} distinct shingles and frequencies of {len(df)}: its input differed between two readings")
-        own = [df[np.searchsorted(h, s[0])] for s in sets]
-        bands_of: list = [None] * len(sets)
-        full = [i for i, s in enumerate(sets) if len(s[0])]
-        while full:
-            lens = np.cumsum([len(sets[i][0]) for i in full[:4096]])
-            now, full = full[: (k := max(1, int(np.searchsorted(lens, 60_000))))], full[k:]
-            starts = np.r_[0, lens[: k - 1]]
-            s = samples(np.concatenate([sets[i][0] for i in now]), np.concatenate([sets[i][1] * weigh.idf(own[i]) for i in now]), starts, bands * rows)
-            for i, key in zip(now, banded(s, bands, rows)):
-                bands_of[i] = key
-        out = pd.DataFrame({"doc_id": part["doc_id"], "words": [named_by(words(t)) for t in part["text"]], "bands": bands_of, "df": [Exact.pack(x) for x in own]})
-        return out[part["has_id"].to_numpy(dtype=bool)]
+        full = []
+        for d, has_id, copies, (x, n) in zip(own["d"], own["has_id"], own["copies"], sets):
+            f = df[np.searchsorted(h, x)]
+            w = n * idf(f, total)
+            shared = f > copies
+            if has_id and w[shared].sum() >= like * w.sum() * (1 - 1e-9):
+                full.append((d, float(w.sum() / n.sum()), float(w.sum()), x, w, pack(x[shared], n[shared], f[shared])))
+        keys = []
+        for at in range(0, len(full), 256):
+            now = full[at : at + 256]
+            lens = np.array([len(r[3]) for r in now])
+            s = samples(np.concatenate([r[3] for r in now]), np.concatenate([r[4] for r in now]), np.cumsum(lens) - lens, bands * rows)
+            keys += list(banded(s, bands, rows))
+        return pd.DataFrame({"d": [r[0] for r in full], "rank": [r[1] for r in full], "weight": [r[2] for r in full], "bands": pd.Series(keys, dtype=object), "z": pd.Series([r[5] for r in full], dtype=object)})
 
     # both sides read one exchange of dealt
     replies = frequencies(dealt, pieces, gram)
-    signed = kept(dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(signatures, "doc_id bigint, words string, bands array<bigint>, df binary"))
-    # texts of equal words: the smallest id stands for all
-    heads = kept(signed.where("words IS NOT NULL").groupBy("words").agg(F.min("doc_id").alias("head")))
-    owned = kept(signed.join(heads, "words", "left").select("doc_id", F.coalesce("head", "doc_id").alias("head"), F.when(F.col("doc_id") == F.col("head"), F.col("bands")).alias("bands")))
-    members = owned.where("bands IS NOT NULL").select(F.explode("bands").alias("band"), F.col("doc_id").alias("d")).distinct()
-    many = members.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-    state = kept(members.join(many, "band").select("band", "d"))
-
-    def own_text(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Rows whose frequencies are those of their text, which may fail where rows repeat an id."""
-        for b in batches:
-            yield b.loc[[named_by(words(t)) == w for t, w in zip(b["text"], b["words"])], ["doc_id", "text", "df"]]
+    signed = stored(dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(signatures, "d bigint, rank double, weight double, bands array<bigint>, z binary"))
 
-    asked = state.select(F.col("d").alias("doc_id")).distinct()
-    with_df = docs.join(asked, "doc_id").join(signed.join(asked, "doc_id", "left_semi").select("doc_id", "words", "df"), "doc_id")
-    texts = kept(with_df.mapInPandas(own_text, "doc_id bigint, text string, df binary").dropDuplicates(["doc_id"]))
+    # buckets of more than one, each with its pivot
+    members = signed.select(F.explode("bands").alias("band"), "d", "rank", F.octet_length("z").alias("size")).dropDuplicates(["band", "d"])
+    many = members.groupBy("band").agg(F.count("*").alias("n"), F.min(F.struct("rank", "d")).getField("d").alias("p")).where("n > 1")
+    state = stored(members.join(many, "band").select("band", "d", "p", "n", "size"))
+    pairs = state.where("d <> p").select("p", "d").distinct()
+    asked = pairs.join(signed.select("d", "weight", "z"), "d").join(signed.select(F.col("d").alias("p"), F.col("weight").alias("p_weight"), F.col("z").alias("p_z")), "p")
 
     def verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        weigh = Exact(total, gram)
+        last, pivot = None, None
         for b in batches:
-            sims = [jaccard(weigh.pivot(r.p, r.p_text, r.p_df), weigh.of(r.text, r.df)) for r in b.itertuples(index=False)]
-            yield pd.DataFrame({"p": b["p"], "d": b["d"], "sim": sims})
-
-    def open_members() -> DataFrame:
-        """The members (band, d, c) with c a label: equal labels are known to be one component."""
-        labels = members_labels(seen, like) if seen is not None else None
-        return kept(state.withColumn("c", F.col("d")) if labels is None else state.join(labels, "d", "left").select("band", "d", F.coalesce("l", "d").alias("c")))
-
-    seen = None
-    for pivots in PIVOTS:
-        now = open_members()
-        # of each label in a band the first member by a hash of its id, so that bands share pivots; pivots: those of the labels with the fewest members, not the last one's
-        lead = F.min(F.struct(F.xxhash64("d"), F.col("d"))).getField("d")
-        parts = now.groupBy("band", "c").agg(F.count("*").alias("n"), lead.alias("p"))
-        chosen = parts.withColumn("n", F.row_number().over(Window.partitionBy("band").orderBy(F.desc("n"), F.desc(F.xxhash64("p"))))).where("n > 1")
-        chosen = kept(chosen.withColumn("n", F.row_number().over(Window.partitionBy("band").orderBy(F.desc("n")))).where(F.col("n") <= pivots).select("band", "p", F.col("c").alias("pc")))
-        met = now.join(chosen, "band").where("c <> pc").select("band", "d", "p")
-        pairs = met.select("p", "d").distinct()
-        pairs = pairs.join(seen, ["p", "d"], "left_anti") if seen is not None else pairs
-        with_text = pairs.join(texts.select(F.col("doc_id").alias("d"), "text", "df"), "d").join(texts.select(F.col("doc_id").alias("p"), F.col("text").alias("p_text"), F.col("df").alias("p_df")), "p")
-        new = with_text.mapInPandas(verified, "p bigint, d bigint, sim double")
-        seen = kept(new if seen is None else seen.unionByName(new))
-        met = met.join(seen, ["p", "d"])
-        far = met.where(F.col("sim") < like).groupBy("band", "p").agg(F.max("sim").alias("nearest"))
-        # linked to the pivot, and no member that is not could be linked to it: nothing is left to compare
-        over = met.where(F.col("sim") >= like).join(far, ["band", "p"], "left").where(F.coalesce("nearest", F.lit(-1.0)) < like - (1 - F.col("sim")) - 1e-9)
-        gone = over.select("band", "d").unionByName(chosen.select("band", F.col("p").alias("d"))).distinct()
-        state = now.select("band", "d").join(chosen.select("band").distinct(), "band", "left_semi").join(gone, ["band", "d"], "left_anti")
-
-    # what is left of bands with more than one label: blocks of members, every two of them in one task
-    now = open_members()
-    sizes = now.groupBy("band").agg(F.count("*").alias("n"), F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
-    dealt = now.join(kept(sizes.select("band", F.ceil(F.col("n") / BLOCK).alias("blocks"))), "band").withColumn("own", F.pmod(F.xxhash64("d"), "blocks"))
-    dealt = dealt.select("band", "d", "c", "own", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other"))
-    dealt = dealt.select("band", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "d", "c").join(texts.select(F.col("doc_id").alias("d"), "text", "df"), "d")
+            like_ones = []
+            for r in b.itertuples(index=False):
+                if last != (r.p, r.p_z):
+                    last, (h, n, x) = (r.p, r.p_z), unpack(r.p_z, total)
+                    pivot = h, n * x
+                h, n, x = unpack(r.z, total)
+                _, i, j = np.intersect1d(pivot[0], h, assume_unique=True, return_indices=True)
+                both = float(np.minimum(pivot[1][i], (n * x)[j]).sum())
+                like_ones.append(both >= (like - 1e-12) * (r.weight + r.p_weight - both))
+            yield b.loc[like_ones, ["p", "d"]].rename(columns={"p": "a", "d": "b"})
+
+    # rows of one id are one document, whatever their texts
+    heads_of = named.join(texts.select("name", "head"), "name", "left").select("doc_id", F.coalesce("head", "doc_id").alias("head")).where("doc_id IS NOT NULL")
+    repeated = heads_of.groupBy("doc_id").agg(F.min("head").alias("a"), F.max("head").alias("b"), F.collect_set("head").alias("all")).where("a < b").select(F.col("doc_id").alias("a"), F.explode("all").alias("b"))
+    links = stored(asked.mapInPandas(verified, "a bigint, b bigint").unionByName(repeated))
+    roots = components(links)
+
+    # what is left of buckets: members that are not the pivot's component, with one another and with those that are
+    label = lambda x: roots.select(F.col("v").alias(x), F.col("root").alias(f"c_{x}"))
+    now = state.where("n > 2 AND d <> p").join(label("d"), "d", "left").join(label("p"), "p", "left")
+    now = now.select("band", "d", "size", F.coalesce("c_d", "d").alias("c"), (F.coalesce("c_d", "d") != F.coalesce("c_p", "p")).cast("int").alias("out"))
+    blocks = lambda side: F.ceil(F.sum(F.when(F.col("out") == side, F.col("size")).otherwise(0)) / F.lit(float(block)))
+    sizes = now.groupBy("band").agg(F.min("c").alias("low"), F.max("c").alias("high"), blocks(1).alias("outs"), blocks(0).alias("ins")).where("low < high")
+    dealt_rest = stored(now.join(sizes.select("band", "outs", "ins"), "band"))
+    drawn = F.xxhash64("d")
+    upto = lambda n: F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1)
+    outer, inner = dealt_rest.where("out = 1").withColumn("own", F.pmod(drawn, "outs")), dealt_rest.where("out = 0").withColumn("own", F.pmod(drawn, "ins"))
+    among = outer.withColumn("other", F.explode(upto("outs"))).select("band", "d", "c", F.lit(0).alias("kind"), F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own")
+    across = outer.where("ins > 0").withColumn("y", F.explode(upto("ins"))).select("band", "d", "c", F.lit(1).alias("kind"), F.col("own").alias("x"), "y", F.lit(-1).cast("bigint").alias("own"))
+    against = inner.withColumn("x", F.explode(upto("outs"))).select("band", "d", "c", F.lit(1).alias("kind"), "x", F.col("own").alias("y"), F.lit(-2).cast("bigint").alias("own"))
+    rest = among.unionByName(across).unionByName(against).join(signed.select("d", "rank", "weight", "bands", "z"), "d")
 
     def linked(part: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(spanning(part["d"].tolist(), part["c"].tolist(), [Exact(total, gram).counted(t, f) for t, f in zip(part["text"], part["df"])], like), columns=["a", "b"])
-
-    rest = dealt.groupBy("band", "x", "y").applyInPandas(linked, "a bigint, b bigint")
-    roots = components(seen.where(F.col("sim") >= like).select(F.col("p").alias("a"), F.col("d").alias("b")).unionByName(rest))
-    named = owned.join(roots, F.col("head") == F.col("v"), "left").select("doc_id", F.coalesce("root", "head").alias("class_id"))
-    nameless = docs.where("doc_id IS NULL").select("doc_id", F.lit(None).cast("bigint").alias("class_id"))
-    return named.unionByName(nameless)
+        part = part.sort_values(["rank", "d"])
+        first = part.iloc[0]
+        keys = np.stack(part["bands"].to_list())
+        column = int(np.flatnonzero(keys[0] == first["band"])[0])
+        halves = part["own"].to_numpy() if first["kind"] or first["x"] != first["y"] else None
+        got = spanning(part["d"].tolist(), part["c"].tolist(), [unpack(z, total) for z in part["z"]], like, part["weight"].to_numpy(), halves, keys[:, :column])
+        return pd.DataFrame(got, columns=["a", "b"])
+
+    more = stored(rest.groupBy("band", "kind", "x", "y").applyInPandas(linked, "a bigint, b bigint"))
+    if not more.isEmpty():
+        roots = components(roots.select(F.col("v").alias("a"), F.col("root").alias("b")).unionByName(more))
+    owned = named.where("doc_id IS NOT NULL").join(texts.select("name", "head"), "name", "left").select("doc_id", F.coalesce("head", "doc_id").alias("head"))
+    known = owned.join(roots, F.col("head") == F.col("v"), "left").select("doc_id", F.coalesce("root", "head").alias("class_id"))
+    return known.unionByName(named.where("doc_id IS NULL").select("doc_id", F.lit(None).cast("bigint").alias("class_id")))
 
 
 def keep_first(docs: DataFrame, **options) -> DataFrame:
