@@ -44,7 +44,7 @@ from fluxgrain.llm.words import mix, ngram_hashes, word_hashes, words
 GRAM, BANDS, ROWS, LIKE = 5, 16, 4, 0.8
 BITS = 20
 #: Mean bytes of text whose shingles a block or a range of hashes holds.
-SHARE = 12 << 20
+SHARE = 6 << 20
 #: Bytes of packed shingles in a block of what is left of a bucket.
 BLOCK = 6 << 20
 
