@@ -1,16 +1,19 @@
 """Personal data in texts: patterns propose spans, checksums confirm them, context words move the score.
 
 Kinds with a fixed definition (always kept): email, ip (parts at most 255), card (14 to 19 digits, Luhn), phone
-(international, 10 to 15 digits). Kinds that the method adds: iban (ISO 13616 shape, mod-97) and tel (a national number,
-kept only where nearby words speak of a telephone).
+(international, 10 to 15 digits). Kinds that the method adds: iban (ISO 13616 shape, mod-97), tel (a national number,
+kept only where nearby words speak of a telephone) and secret (20 to 512 letters and digits of many kinds, kept only
+where a word such as token or password is just before it).
 
-Nulls and empty texts have no spans. Repeated rows are scored each for itself. Work per text is linear in its length: no
+Nulls and empty texts have no spans. Repeated rows and rows without an id are scored each for itself; an empty table gives no rows. Other columns are
+not read, or stay as they are where texts are masked, whatever their names. Work per text is linear in its length: no
 pattern can be retried from each position of a long run.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Iterator
 
@@ -18,8 +21,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fluxgrain.llm.rows import map_rows
+
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = (*BASE_KINDS, "iban", "tel")
+KINDS = (*BASE_KINDS, "iban", "tel", "secret")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 #: A match starts at the first digit of a run: later starts in a run that failed fail too.
@@ -28,8 +33,9 @@ CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 TEL = re.compile(r"(?<![0-9+.,-])\(?0?[0-9]{2,4}\)?[ /.-][0-9]{3,4}[ .-]?[0-9]{3,5}(?![0-9.,-]?[0-9])")
+SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,512}(?![A-Za-z0-9+/_-])")
 #: A span's score before context, the words that raise it, and those that lower it.
-PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.8, "iban": 0.85, "tel": 0.3}
+PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.8, "iban": 0.85, "tel": 0.3, "secret": 0.3}
 NEAR = {
     "email": ("mail", "contact", "write"),
     "ip": ("ip", "host", "server", "address"),
@@ -37,7 +43,10 @@ NEAR = {
     "phone": ("phone", "tel", "call", "mobile", "fax"),
     "iban": ("iban", "bank", "account", "konto"),
     "tel": ("phone", "tel", "call", "mobile", "fax", "telefon"),
+    "secret": ("token", "secret", "password", "passwd", "apikey", "key", "credential", "bearer", "authorization"),
 }
+#: A secret's words stand before it, with only such characters between.
+ASSIGNED = re.compile(r"([A-Za-z]+)[\"']?\s*(?:[:=]|=>)\s*[\"']?$")
 AGAINST = ("isbn", "version", "order", "serial", "page")
 CONTEXT_CHARS, CONTEXT_STEP, KEEP_AT = 40, 0.25, 0.5
 
@@ -55,6 +64,12 @@ def mod97(iban: str) -> bool:
     return 15 <= len(s) <= 34 and int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
 
 
+def varied(s: str) -> bool:
+    """Whether a string looks drawn at random: letters and digits, over three bits a character."""
+    n = len(s)
+    return bool(re.search("[0-9]", s) and re.search("[A-Za-z]", s)) and -sum(c / n * math.log2(c / n) for c in map(s.count, set(s))) > 3
+
+
 def emails(text: str) -> Iterator[tuple[int, int]]:
     """Matches of ``[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+`` found from each @, so that long runs are read once."""
     end, at = 0, text.find("@")
@@ -70,6 +85,9 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
 
 
 def score(kind: str, text: str, start: int, end: int) -> float:
+    if kind == "secret":
+        m = ASSIGNED.search(text[max(0, start - CONTEXT_CHARS) : start])
+        return PRIOR[kind] + 2 * CONTEXT_STEP * bool(m and m[1].lower() in NEAR[kind])
     near = (text[max(0, start - CONTEXT_CHARS) : start] + " " + text[end : end + CONTEXT_CHARS]).lower()
     found = set(re.findall(r"[a-z]+", near))
     s = PRIOR[kind] + CONTEXT_STEP * bool(found.intersection(NEAR[kind])) - CONTEXT_STEP * bool(found.intersection(AGAINST))
@@ -97,6 +115,7 @@ def spans(text: str | None) -> list[tuple[int, int, int, float]]:
                 until, i = max(until, taken[i][1]), i + 1
             if until <= m.start():
                 found.append((m.start(), 5, m.end()))
+        found += [(m.start(), 6, m.end()) for m in SECRET.finditer(text) if varied(m[0])]
     out = [(s, k, e, score(KINDS[k], text, s, e)) for s, k, e in sorted(found)]
     return [x for x in out if x[1] < len(BASE_KINDS) or x[3] >= KEEP_AT]
 
@@ -116,30 +135,30 @@ def redact(text: str | None) -> str | None:
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, spans array<struct<kind, start, end, score>>. No shuffle; texts stay in their partition."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame({"id": b["id"], "spans": [[{"kind": KINDS[k], "start": s, "end": e, "score": x} for s, k, e, x in spans(t)] for t in b["text"]]})
+    def run(ids: list, texts: list) -> dict:
+        return {"id": ids, "spans": [[{"kind": KINDS[k], "start": s, "end": e, "score": x} for s, k, e, x in spans(t)] for t in texts]}
 
     kind = docs.schema[id_col].dataType.simpleString()
-    found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInPandas(run, f"id {kind}, spans array<struct<kind:string,start:bigint,end:bigint,score:double>>")
+    found = map_rows(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), run, f"id {kind}, spans array<struct<kind:string,start:bigint,end:bigint,score:double>>")
     return found.withColumnRenamed("id", id_col)
 
 
 def pii_digest(docs: DataFrame) -> DataFrame:
     """Counts and digests of find_pii's spans for each document (null text: empty)."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = []
-            for doc_id, t in zip(b["doc_id"], b["text"]):
-                found = spans(t)
-                base = [x for x in found if x[1] < len(BASE_KINDS)]
-                said = [f"{KINDS[k]}:{s}:{e}" for s, k, e, _ in found]
-                digest = hashlib.sha256(",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e, _ in base).encode()).hexdigest()
-                rows.append((doc_id, *(sum(k == n for _, k, _, _ in base) for n in range(4)), digest, ",".join(said), ",".join(f"{x[3]:.2f}" for x in found)))
-            yield pd.DataFrame(rows, columns=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "scores"])
-
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string, scores string")
+    names = ("n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "scores")
+
+    def run(ids: list, texts: list) -> dict:
+        rows = []
+        for t in texts:
+            found = spans(t)
+            base = [x for x in found if x[1] < len(BASE_KINDS)]
+            said = [f"{KINDS[k]}:{s}:{e}" for s, k, e, _ in found]
+            digest = hashlib.sha256(",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e, _ in base).encode()).hexdigest()
+            rows.append((*(sum(k == n for _, k, _, _ in base) for n in range(4)), digest, ",".join(said), ",".join(f"{x[3]:.2f}" for x in found)))
+        return {"doc_id": ids, **{k: [r[i] for r in rows] for i, k in enumerate(names)}}
+
+    return map_rows(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), run, "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string, scores string")
 
 
 def redact_pii(docs: DataFrame) -> DataFrame:
