@@ -9,7 +9,7 @@ which need no padding.
 
 Each partition of the input is packed by itself as a stream: there is no shuffle, memory holds one Arrow batch and one
 block, and a task that is repeated gives the same windows again. Sequence ids are unique as they begin with the
-partition's number. Null texts count as empty (the end id alone); repeated rows are packed each for itself; an empty table
+partition's number. Null texts count as empty (the end id alone); repeated rows and rows without an id are packed each for itself; an empty table
 gives no rows; columns but the id and the text are not read.
 """
 
@@ -22,11 +22,12 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fluxgrain.llm.rows import map_rows
+
 CAPACITY = 2048
 END_ID = 1
 #: Characters for which both tokenizer libraries are known to agree; any other text goes to the slower one.
@@ -98,22 +99,25 @@ class Packer:
         self.block: list[tuple] = []
         self.tokens = 0
         self.out: list[tuple] = []
+        self.rows = 0
 
     def sequence(self, parts: list[tuple]) -> None:
         offset = 0
-        for doc_id, start, ids, total in parts:
+        for (_, doc_id), start, ids, total in parts:
             self.out.append((doc_id, start, len(ids), zlib.crc32(ids.tobytes()), total, self.next, offset))
             offset += len(ids)
         self.next += 1
 
-    def add(self, doc_id: int, ids: np.ndarray) -> None:
+    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
+        self.rows += 1
+        doc = (self.rows, doc_id)  # rows that share an id, or have none, are told apart
         whole = len(ids) // self.capacity * self.capacity
         for s in range(0, whole, self.capacity):
-            self.sequence([(doc_id, s, ids[s : s + self.capacity], len(ids))])
+            self.sequence([(doc, s, ids[s : s + self.capacity], len(ids))])
         at = whole
         while at < len(ids):
             n = min(self.part, len(ids) - at, self.windows * self.fill - self.tokens)
-            self.block.append((doc_id, at, ids[at : at + n], len(ids)))
+            self.block.append((doc, at, ids[at : at + n], len(ids)))
             self.tokens += n
             at += n
             if self.tokens == self.windows * self.fill:
@@ -128,7 +132,7 @@ class Packer:
                 break
             k += 1
         parts: dict[int, list[tuple]] = {}
-        for w, p in sorted(zip(window.tolist(), self.block), key=lambda x: (x[0], x[1][:2])):
+        for w, p in sorted(zip(window.tolist(), self.block), key=lambda x: (x[0], x[1][0][0], x[1][1])):
             own = parts.setdefault(w, [])
             if own and own[-1][0] == p[0] and own[-1][1] + len(own[-1][2]) == p[1]:  # neighbours of one document are one piece again
                 own[-1] = (p[0], own[-1][1], np.concatenate([own[-1][2], p[2]]), p[3])
@@ -167,14 +171,15 @@ PIECE = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_token
 def pack(docs: DataFrame, capacity: int = CAPACITY, block_windows: int = 256, part: int = 512, json_path: str | None = None, ranks_path: str | None = None) -> DataFrame:
     """One row per piece of a document; see the module's text. Sequences are gapless from offset 0 and hold at most ``capacity`` ids."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[tuple[list, list]]) -> Iterator[dict]:
         encode, packer = encoder(json_path, ranks_path), Packer(TaskContext.get().partitionId() << 36, capacity, block_windows, part)
         names = [x.split()[0] for x in PIECE.split(", ")]
-        for b in batches:
-            for doc_id, text in zip(b["doc_id"].tolist(), b["text"]):
+        settled = lambda: dict(zip(names, map(list, zip(*rows)))) if (rows := packer.pieces()) else {k: [] for k in names}
+        for ids, texts in batches:
+            for doc_id, text in zip(ids, texts):
                 packer.add(doc_id, encode(text or ""))
-            yield pd.DataFrame(packer.pieces(), columns=names)
+            yield settled()
         packer.finish()
-        yield pd.DataFrame(packer.pieces(), columns=names)
+        yield settled()
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text")).mapInPandas(run, PIECE)
+    return map_rows(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), run, PIECE, streamed=True)
