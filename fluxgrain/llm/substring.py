@@ -3,7 +3,7 @@
 A window is ``length`` consecutive words of one document. Words covered by a window whose words also stand in a document
 with a smaller id are removed; windows are judged on the input.
 
-How the work is dealt out. Each window has an anchor: the smallest hash of the ``gram``-word runs in it, which depends on the
+How the work is dealt out. Anchors are a candidate filter before the automata, one that loses nothing (tested against a full scan). Each window has an anchor: the smallest hash of the ``gram``-word runs in it, which depends on the
 window's words alone, so that equal windows have equal anchors. Only anchors found in two documents or more matter. An
 anchor's home is the smallest document that has it. The windows of a home's anchors are its reference shard (of at most
 about ``shard`` words, long documents have several); every other document sends the windows of those anchors to that shard.
@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fluxgrain.llm.lineage import kept
+from fluxgrain.llm.rows import map_rows
 from fluxgrain.llm.words import ngram_hashes, word_hashes, words
 
 LENGTH, GRAM, SHARD, SHARE = 50, 10, 16_384, 400
@@ -190,17 +191,17 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
     """doc_id, n_words, n_removed, kept_sha256 (and kept_text, words joined by a space, if texts) of every row of docs (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out = []
-            for r in b.itertuples(index=False):
-                ws = words(r.text)
-                a, at = anchors(word_hashes(ws), length, gram)
-                own, first = np.unique(a, return_index=True)
-                out.append((r.doc_id, digest(ws), len(ws), own, at[first] // shard))
-            yield pd.DataFrame(out, columns=["doc_id", "sha", "n_words", "a", "s"])
+    def read(ids: list, some: list) -> dict:
+        out = {"doc_id": ids, "sha": [], "n_words": [], "a": [], "s": []}
+        for t in some:
+            ws = words(t)
+            a, at = anchors(word_hashes(ws), length, gram)
+            own, first = np.unique(a, return_index=True)
+            for k, v in (("sha", digest(ws)), ("n_words", len(ws)), ("a", own), ("s", at[first] // shard)):
+                out[k].append(v)
+        return out
 
-    read_all = kept(docs.mapInPandas(read, "doc_id bigint, sha string, n_words bigint, a array<bigint>, s array<int>"))
+    read_all = kept(map_rows(docs, read, "doc_id bigint, sha string, n_words bigint, a array<bigint>, s array<int>"))
     places = read_all.where("doc_id IS NOT NULL").select("doc_id", F.explode(F.arrays_zip("a", "s")).alias("x")).select("x.a", "doc_id", "x.s")
     asked = kept(docs.join(homes(places), "doc_id"))
     one = kept(streamed(passages(asked, length, gram, share), length))
