@@ -509,3 +509,51 @@ def test_sql(spark):
         assert sorted(got.columns) == sorted(want.columns)
         key = lambda df: sorted(str([None if x is None or x != x else x for x in r]) for r in df[sorted(df.columns)].astype(object).itertuples(index=False))
         assert key(got) == key(want)
+
+
+def test_ids_without_loss(spark):
+    """An id beyond 2**53 beside rows without one comes back as it is from every operator."""
+    big = 2**53 + 1
+    text = "some plain words of a longer text that says token = \"04dbebab91ab85687d33eeaaf9ac699e1188f962\" and no more " * 5
+    rows = [(big, text, "en", "s", len(text)), (None, text, "en", "s", len(text)), (None, "²½ Ⅷ 3", None, None, 6), (None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    model = [("en", b"some plain words"), ("de", b"einige andere worte")]
+    results = {
+        "license": license.scan(df),
+        "substring": substring.remove_repeats(df),
+        "packing": packing.pack(df),
+        "neardup": neardup.classes(df),
+        "quality": quality.quality(df),
+        "language": langid.classify(df, model),
+        "pii": pii.pii_digest(df),
+        "spans": pii.find_pii(df),
+        "mixing": mixing.plan(df),
+        "mixed": mixing.mix(df),
+        "masked": pii.redact_pii(df),
+        "toxicity": toxicity.score(df, toxicity.Machine(8, 2)),
+    }
+    for name, out in results.items():
+        got = {r["doc_id"] for r in out.select("doc_id").collect()}
+        assert got == {big, None}, name
+    assert neardup.keep_first(df).where("doc_id IS NULL").count() == 3
+    assert {r["lang_pred"] for r in langid.classify(df, model).collect()} == {"en", "und"}
+    held = packing.pack(df).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()
+    whole = {None: 0, big: 0}
+    for d, t, *_ in rows:
+        whole[d] += len(packing.encoder()(t or ""))
+    assert {r["doc_id"]: r["n"] for r in held} == whole
+
+
+def test_secrets():
+    kinds = lambda t: [pii.KINDS[k] for _, k, _, _ in pii.spans(t)]
+    assert kinds('x token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" y') == ["secret"]
+    assert kinds("commit 04dbebab91ab85687d33eeaaf9ac699e1188f962") == [] and kinds('token = "aaaaaaaaaaaaaaaaaaaaaaaa1"') == []
+
+
+def test_machine_learns_exclusive_pairs():
+    """Either term is toxic, both together are not: neither says anything alone."""
+    rng = np.random.default_rng(9)
+    texts = [np.unique(np.r_[rng.integers(10, 40, 6), [1] * a, [2] * b]).astype(np.int64) for a, b in [(1, 1), (1, 0), (0, 1), (0, 0)] * 150]
+    y = [0, 1, 1, 0] * 150
+    m = toxicity.Machine(8, 4).fit(texts, y, epochs=60)
+    assert ((m.score(texts) >= 0.5) == np.array(y, dtype=bool)).mean() > 0.95
