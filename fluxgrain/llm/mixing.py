@@ -7,11 +7,11 @@ dropped; a source's budget over its tokens is how often it is read.
 
 The budget is realised in blocks: a source's documents fall by a hash of their id into blocks of about ``block`` documents.
 Each block is read in whole passes, each in a permutation of its own, and once more up to the remaining share of its
-tokens; the document at the edge is taken with the probability of its part that fits, drawn from its hash. No step gathers a source: shares are grouped sums, and
-ordering is within a block.
+tokens; the document at the edge is taken with the probability of its part that fits, drawn from its hash. No step gathers a source: shares are grouped sums, the
+table of sources is counted and then broadcast (or, if large, sources are salted), and ordering is within a block.
 
 Only built-in functions run. Null texts and texts without words have no tokens and are read once, as are sources without tokens; null
-sources are one source. Rows that repeat an id are documents each for itself. An empty table gives no rows.
+sources are one source. Rows that repeat an id, and rows without one, are documents each for itself. An empty table gives no rows. Columns of any name pass through mix().
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fluxgrain.llm.joins import with_groups
 from fluxgrain.llm.lineage import kept
 
 WORD = "[^ \t\n\x0b\f\r]+"
@@ -51,10 +52,12 @@ def exponent(shares: DataFrame, entropy: float, repeats: float, turns: int = 10,
     return high
 
 
-def plan(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, block: int = BLOCK, seed: int = SEED) -> DataFrame:
-    """One row per reading of a document: doc_id, text_hash, source, n_tokens, copy (from 1), block, place (from 1, in the block's permutation), weight."""
+def planned(docs: DataFrame, entropy: float, repeats: float, block: int, seed: int, whole_rows: bool) -> DataFrame:
+    """One row per reading of a document in the order of its block's permutations; whole_rows adds ``row``, the document's own columns."""
     key = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("null"))
-    rows = kept(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "source", key.alias("g"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("n_tokens")))
+    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if whole_rows else []
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "source", key.alias("g"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("n_tokens"), *row)
+    rows = rows if whole_rows else kept(rows)
     sizes = kept(rows.groupBy("g").agg(F.sum("n_tokens").alias("t"), F.count("*").alias("n")))
     total = sizes.agg(F.sum("t")).first()[0] or 0
     shares = kept(sizes.where("t > 0").select("g", (F.col("t") / F.lit(float(max(total, 1)))).alias("p")))
@@ -68,22 +71,22 @@ def plan(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, bl
         F.coalesce(reads, F.lit(1.0)).alias("reads"),
     )
     drawn = lambda *c: F.pmod(F.xxhash64(F.lit(seed), *c), F.lit(1 << 40))
-    dealt = rows.join(kept(mixed), "g").withColumn("block", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), "blocks"))
+    dealt = with_groups(rows, kept(mixed), ["g"]).withColumn("block", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text_hash"), "blocks"))
     whole = F.floor(F.col("reads") + 1e-9)
-    every = dealt.withColumn("copy", F.explode(F.sequence(F.lit(1), (whole + 1).cast("int")))).withColumn("order", drawn("copy", "doc_id", "text_hash"))
+    every = dealt.withColumn("copy", F.explode(F.sequence(F.lit(1), F.when(whole < F.col("reads") - 1e-9, whole + 1).otherwise(whole).cast("int")))).withColumn("order", drawn("copy", "doc_id", "text_hash"))
     own = Window.partitionBy("g", "block", "copy")
     order = own.orderBy("order", "doc_id", "text_hash")
     every = every.withColumns({"place": F.row_number().over(order), "upto": F.sum("n_tokens").over(order.rowsBetween(Window.unboundedPreceding, 0)), "all": F.sum("n_tokens").over(own)})
     room = (F.col("reads") - whole) * F.col("all") - (F.col("upto") - F.col("n_tokens"))
     part = (room >= F.col("n_tokens")) | (drawn(F.lit("edge"), "doc_id", "text_hash") / float(1 << 40) < room / F.col("n_tokens"))
-    taken = every.where((F.col("copy") <= whole) | ((F.col("n_tokens") > 0) & (room > 0) & part))
-    return taken.select("doc_id", "text_hash", "source", "n_tokens", "copy", "block", "place", "weight")
+    return every.where((F.col("copy") <= whole) | ((F.col("n_tokens") > 0) & (room > 0) & part))
+
+
+def plan(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, block: int = BLOCK, seed: int = SEED) -> DataFrame:
+    """One row per reading of a document: doc_id, text_hash, source, n_tokens, copy (from 1), block, place (from 1, in the block's permutation), weight."""
+    return planned(docs, entropy, repeats, block, seed, False).select("doc_id", "text_hash", "source", "n_tokens", "copy", "block", "place", "weight")
 
 
-def mix(docs: DataFrame, **options) -> DataFrame:
-    """docs with each row as often as the plan reads it, each partition in the order of the permutations."""
-    copies = plan(docs, **options).groupBy(F.col("doc_id").alias("plan_id"), F.col("text_hash").alias("plan_hash")).agg(F.max("copy").alias("plan_copies"))
-    found = docs.join(copies, docs["doc_id"].eqNullSafe(copies["plan_id"]) & (F.xxhash64(docs["text"]) == copies["plan_hash"]))
-    out = found.withColumn("plan_copy", F.explode(F.sequence(F.lit(1), F.col("plan_copies"))))
-    out = out.sortWithinPartitions("plan_copy", F.xxhash64(F.lit(SEED), "plan_copy", "plan_id"))
-    return out.select(*[docs[c] for c in docs.columns])
+def mix(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, block: int = BLOCK, seed: int = SEED) -> DataFrame:
+    """docs with each row as often as the plan reads it, block by block, each pass of a block in its permutation."""
+    return planned(docs, entropy, repeats, block, seed, True).select("row.*")
