@@ -8,8 +8,10 @@ then every other block whose bound is not below its k-th score so far (wave two)
 even by a tie, which the smaller id wins. Queries travel in chunks of at most ``chunk`` and blocks of at most ``rows``
 vectors, so a task holds one block and one chunk of queries at a time, however many rows share an id.
 
-Rows without an id, and vectors null or with null or non-finite components, take no part; nor do vectors whose length is
-not the longest one's (an inner product with them is undefined). Rows that repeat an id are candidates each for itself, but
+Products of integers below 2**53 are taken in floating point, where they are exact; larger ones in 64-bit integers, up to 2**63.
+
+Rows without an id, and vectors null or with null or non-finite components, take no part; vectors of each length are
+searched among themselves (an inner product between lengths is undefined). Rows that repeat an id are candidates each for itself, but
 never for a query of the same id; each row that is a query gets an answer of its own. An
 empty table gives no rows.
 """
@@ -64,16 +66,29 @@ def blocks(rows: DataFrame, size: int = 2048, parts: int | None = None) -> DataF
 
 
 def matrix(data: bytes, n: int) -> np.ndarray:
-    """Rows as float64: sums of products of these integers stay exact as long as they are below 2**53."""
-    return np.frombuffer(data, dtype="<i8").reshape(n, -1).astype(np.float64)
+    return np.frombuffer(data, dtype="<i8").reshape(n, -1)
+
+
+def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a @ b of integers, exact: by way of float64 where no sum can reach 2**53."""
+    top = lambda x: max(int(x.max(initial=0)), -int(x.min(initial=0)))
+    most = top(a) * top(b) * a.shape[-1]
+    if most < 1 << 53:
+        return (a.astype(np.float64) @ b.astype(np.float64)).astype(np.int64)
+    if most >= 1 << 63:
+        raise OverflowError("scores of these vectors do not fit into 64 bits")
+    return a @ b
+
+
+LOWEST = np.iinfo(np.int64).min
 
 
 def best(scores: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray]]:
     """For each query (a row of scores) the places of its k best candidates, ties to the smaller id; its own id is none."""
-    scores = np.where(ids[None, :] == own[:, None], -np.inf, scores)
-    kth = np.partition(scores, -k, axis=1)[:, -k] if scores.shape[1] > k else np.full(len(scores), -np.inf)
+    scores = np.where(ids[None, :] == own[:, None], LOWEST, scores)
+    kth = np.partition(scores, -k, axis=1)[:, -k] if scores.shape[1] > k else np.full(len(scores), LOWEST)
     for i in range(len(scores)):
-        at = np.flatnonzero((scores[i] >= kth[i]) & (scores[i] > -np.inf))
+        at = np.flatnonzero((scores[i] >= kth[i]) & (scores[i] > LOWEST))
         yield i, at[np.lexsort((ids[at], -scores[i][at]))][:k]
 
 
@@ -100,7 +115,7 @@ def top_k_alike(good: DataFrame, is_query: Column, k: int, size: int, chunk: int
                 ids = np.frombuffer(r.q_ids, dtype="<i8")
                 q = matrix(r.q, len(ids))
                 high, low = np.frombuffer(r.high, dtype="<i8"), np.frombuffer(r.low, dtype="<i8")
-                out.append((r.q_block, r.block, (np.maximum(q, 0) @ high + np.minimum(q, 0) @ low).astype("<f8").tobytes()))
+                out.append((r.q_block, r.block, (product(np.maximum(q, 0), high) + product(np.minimum(q, 0), low)).astype("<i8").tobytes()))
             yield pd.DataFrame(out, columns=["q_block", "block", "bounds"])
 
     # every chunk of queries meets the block's maxima: chunks are dealt to the blocks by an equi-join on a generated list of chunks
@@ -112,12 +127,12 @@ def top_k_alike(good: DataFrame, is_query: Column, k: int, size: int, chunk: int
         top: dict[int, tuple] = {}
         for b in batches:
             for r in b.itertuples(index=False):
-                new = np.frombuffer(r.bounds, dtype="<f8")
+                new = np.frombuffer(r.bounds, dtype="<i8")
                 ids = np.frombuffer(r.block, dtype="<i8") if isinstance(r.block, bytes) else np.full(len(new), r.block)
-                was, were = top.get(r.q_block, (np.full(len(new), -np.inf), np.full(len(new), -1)))
+                was, were = top.get(r.q_block, (np.full(len(new), LOWEST), np.full(len(new), -1)))
                 win = (new > was) | ((new == was) & (ids < were))
                 top[r.q_block] = np.where(win, new, was), np.where(win, ids, were)
-        yield pd.DataFrame([(q, v.astype("<f8").tobytes(), i.astype("<i8").tobytes()) for q, (v, i) in top.items()], columns=["q_block", "bounds", "block"])
+        yield pd.DataFrame([(q, v.astype("<i8").tobytes(), i.astype("<i8").tobytes()) for q, (v, i) in top.items()], columns=["q_block", "bounds", "block"])
 
     def first_blocks(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         ids = np.frombuffer(next(leaders(iter([part])))["block"][0], dtype="<i8")
@@ -130,7 +145,7 @@ def top_k_alike(good: DataFrame, is_query: Column, k: int, size: int, chunk: int
                 at = np.flatnonzero(np.unpackbits(np.frombuffer(r.wanted, dtype=np.uint8))[: len(q_ids)])
                 if not len(at):
                     continue
-                scores = matrix(r.q, len(q_ids))[at] @ matrix(r.matrix, len(ids)).T
+                scores = product(matrix(r.q, len(q_ids))[at], matrix(r.matrix, len(ids)).T)
                 out = [(q_ids[at[i]], (r.q_block << 12) + at[i], ids[j], int(scores[i, j])) for i, own in best(scores, ids, q_ids[at], k) for j in own]
                 yield pd.DataFrame(out, columns=[x.split()[0] for x in FOUND.split(", ")])
 
@@ -148,8 +163,8 @@ def top_k_alike(good: DataFrame, is_query: Column, k: int, size: int, chunk: int
         for b in batches:
             out = []
             for r in b.itertuples(index=False):
-                bound = np.frombuffer(r.bounds, dtype="<f8")
-                least = np.full(len(bound), -np.inf)
+                bound = np.frombuffer(r.bounds, dtype="<i8")
+                least = np.full(len(bound), LOWEST)
                 for s in r.kths if r.kths is not None else []:
                     if s["kth"] is not None:
                         least[s["at"]] = s["kth"]
