@@ -557,3 +557,82 @@ def test_machine_learns_exclusive_pairs():
     y = [0, 1, 1, 0] * 150
     m = toxicity.Machine(8, 4).fit(texts, y, epochs=60)
     assert ((m.score(texts) >= 0.5) == np.array(y, dtype=bool)).mean() > 0.95
+
+
+def test_quality_agrees_with_brute_force(spark):
+    """kept against a minimum covariance determinant by sorting, from 40 random starts."""
+    rng = np.random.default_rng(12)
+    word = lambda hi: "".join(chr(97 + x) for x in rng.integers(0, 26, int(rng.integers(2, hi))))
+    rows = []
+    for i in range(420):
+        bad = i % 7 == 0
+        mark = "#" * int(rng.integers(0, 3)) if rng.random() < 0.3 else ""
+        ws = [word(9) + ("|#" if bad else "") + (mark if k == 0 else "") for k in range(120)]
+        ws += ws[:6] if rng.random() < 0.4 else []
+        rows.append((i, "\n".join(" ".join(ws[k : k + 12]) for k in range(0, len(ws), 12)), "en", "s"))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    got = {r["doc_id"]: r for r in quality.quality(df).collect()}
+    stats = quality.vector(quality.counts(df)).collect()
+    x = np.array([[r[c] for c in quality.X] for r in stats])
+    floor = np.array([quality.FLOOR[c] for c in quality.X])
+
+    def model(own, factor):
+        m, c = own.mean(0), np.cov(own.T, bias=True) * factor
+        low = np.zeros((4, 4))
+        for a in range(4):
+            for b in range(a + 1):
+                rest = c[a, b] - low[a, :b] @ low[b, :b]
+                low[a, b] = np.sqrt(max(rest, floor[a] ** 2)) if a == b else rest / low[b, b]
+        return m, low
+
+    d2 = lambda m, low: (np.linalg.solve(low, (x - m).T) ** 2).sum(0)
+    h, found = int(np.ceil(0.75 * len(x))), []
+    for _ in range(40):
+        m, low = model(x[rng.choice(len(x), 12, replace=False)], 1.0)
+        for _ in range(30):
+            m, low = model(x[np.argsort(d2(m, low), kind="stable")[:h]], quality.FACTOR_75)
+        found.append((np.log(np.diag(low)).sum(), m, low))
+    _, m, low = min(found, key=lambda f: f[0])
+    m, low = model(x[d2(m, low) <= quality.QUANTILE_975], quality.FACTOR_975)
+    want = dict(zip((r["doc_id"] for r in stats), d2(m, low)))
+    for i, w in want.items():
+        if not 0.85 < w / quality.CUTOFF < 1.15:
+            assert got[i]["kept"] == (w <= quality.CUTOFF), (i, w, got[i]["d2"])
+    assert 0 < sum(not r["kept"] for r in got.values()) < 100
+
+
+def test_groups_join_alike_when_salted(spark):
+    from fluxgrain.llm.joins import with_groups
+
+    rows, groups = spark.range(500).selectExpr("id", "id % 7 AS g"), spark.range(7).selectExpr("id AS g", "id * 10 AS x")
+    plain = sorted(map(tuple, with_groups(rows, groups, ["g"]).select("id", "x").collect()))
+    assert plain == sorted(map(tuple, with_groups(rows, groups, ["g"], small=1).select("id", "x").collect())) == [(i, i % 7 * 10) for i in range(500)]
+
+
+def test_mixing_realises_permutations(spark):
+    """Each pass of a block is whole, in an order of its own, and columns of the plan's own names pass through."""
+    rows = [(i, "a b c d", "big" if i % 4 else "small", i) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string, copy int").withColumn("g", F.lit("clash"))
+    plan = mixing.plan(df, block=50).orderBy("source", "block", "copy", "place").collect()
+    passes = collections.defaultdict(list)
+    for r in plan:
+        passes[r["source"], r["block"], r["copy"]].append(r["doc_id"])
+    assert all(len(set(p)) == len(p) for p in passes.values()) and [r["place"] for r in plan[:3]] == [1, 2, 3]
+    for (s, b, c), p in passes.items():
+        if c == 2 and len(p) > 8:
+            assert set(p) <= set(passes[s, b, 1]) and p != [d for d in passes[s, b, 1] if d in set(p)]
+    got = [r["doc_id"] for r in mixing.mix(df, block=50).collect()]
+    assert sorted(got) == sorted(r["doc_id"] for r in plan)
+    at = {p[0]: k for k, p in passes.items() if len(p) > 1}
+    starts = [i for i, d in enumerate(got) if d in at]
+    assert any(got[i : i + len(passes[at[got[i]]])] == passes[at[got[i]]] for i in starts)
+    assert mixing.mix(df).columns == df.columns
+
+
+def test_search_large_integers(spark):
+    """Scores beyond 2**53 that floating point would call equal."""
+    big = 10**9
+    rows = [(0, [big, 1]), (1, [big, 1]), (2, [big, 2]), (3, [1, 1])]
+    df = spark.createDataFrame([(i, [x / 256 for x in v]) for i, v in rows], "vec_id bigint, embedding array<double>")
+    got = [(r["vec_id"], r["score"]) for r in search.top_k(df, F.col("vec_id") == 0).orderBy("rank").collect()]
+    assert got == [(2, big**2 + 2), (1, big**2 + 1), (3, big + 1)]
