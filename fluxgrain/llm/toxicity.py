@@ -60,9 +60,12 @@ def often(texts: list[np.ndarray], size: int) -> np.ndarray:
 
 
 def dense(texts: list[np.ndarray], columns: np.ndarray) -> np.ndarray:
+    every = np.concatenate([*texts, np.empty(0, dtype=np.int64)])
+    place = np.full(int(max(every.max(initial=0), columns.max(initial=0))) + 1, -1)
+    place[columns] = np.arange(len(columns))
+    row, column = np.repeat(np.arange(len(texts)), [len(t) for t in texts]), place[every]
     out = np.zeros((len(texts), len(columns)), dtype=np.float32)
-    for i, t in enumerate(texts):
-        out[i, np.flatnonzero(np.isin(columns, t, assume_unique=True))] = 1
+    out[row[column >= 0], column[column >= 0]] = 1
     return out
 
 
