@@ -42,6 +42,22 @@ def first(json: Column, path: str) -> Column:
     return F.get(found, F.lit(0))
 
 
+def first_of(v: Column, path: str) -> Column:
+    """The JSON value (variant) at a path of a variant, of several the first that there is; null where there is none."""
+    parts = steps(path)
+    said = lambda p: "$" + "".join(f"[{s}]" if isinstance(s, int) else f"['{s}']" for s in p)
+    if None not in parts:
+        return F.try_variant_get(v, said(parts), "variant")
+    at = parts.index(None)
+    items = F.coalesce(F.try_variant_get(v, said(parts[:at]), "array<variant>"), F.array().cast("array<variant>"))
+    rest = "$" + path_text(parts[at + 1 :])
+    return F.get(F.filter(F.transform(items, lambda x: first_of(x, rest)), lambda x: x.isNotNull()), F.lit(0))
+
+
+def path_text(parts: list[str | int | None]) -> str:
+    return "".join(f"[{s}]" if isinstance(s, int) else "[*]" if s is None else f"['{s}']" for s in parts)
+
+
 def elements(json: Column) -> Column:
     """The elements of a JSON array, each as JSON text (strings lose their quotes); no array: none."""
     return F.coalesce(F.from_json(json, "array<string>"), F.array().cast("array<string>"))

@@ -37,6 +37,8 @@ TLV = {
 STORED_RECORD, LONG_RECORD_MODEL, LONG_RECORD = 0x20CE, "EM500", 14
 #: Keys that a model's payloads may hold (fixed values); models not listed may hold all.
 MODEL_KEYS = {
+    "EM300-TH": {"battery", "temperature", "humidity"},
+    "EM320-TH": {"battery", "temperature", "humidity"},
     "EM500-CO2": {"battery", "temperature", "humidity", "co2", "pressure"},
     "AM103": {"battery", "temperature", "humidity", "co2"},
     "AM107": {"battery", "temperature", "humidity", "co2", "tvoc", "pressure", "activity", "illumination", "infrared_and_visible", "infrared"},
@@ -93,50 +95,71 @@ def _text(messages: DataFrame) -> Column:
     return F.when(F.is_valid_utf8(text), text)
 
 
-def scalars(obj: Column) -> Column:
-    """VALUES of the scalar members of a JSON object; nested ones and nulls are left out."""
-    members = F.from_json(obj, "map<string,variant>")
-    each = F.transform(F.map_entries(members), lambda e: F.struct(e["key"].alias("key"), e["value"].cast("string").alias("text"), F.schema_of_variant(e["value"]).alias("t")))
-    kept = F.filter(each, lambda e: e["text"].isNotNull() & ~e["t"].startswith("OBJECT") & ~e["t"].startswith("ARRAY") & (e["t"] != "VOID"))
-    kind = lambda e: F.when(e["t"] == "STRING", "text").when(e["t"] == "BOOLEAN", "bool").otherwise("number")
-    return F.transform(kept, lambda e: F.struct(e["key"].alias("key"), e["text"].alias("text"), kind(e).alias("kind"), F.lit(None).cast("string").alias("unit")))
+def at(v: Column, path: str, kind: str = "string") -> Column:
+    """What a JSON value (variant) holds at a path, or null."""
+    return F.try_variant_get(v, path, kind)
+
 
+def scalar(key: Column, v: Column, unit: Column | None = None) -> Column:
+    """VALUE of a JSON value with the type that it has there; null for objects, arrays and nulls."""
+    t = F.schema_of_variant(v)
+    kind = F.when(t == "STRING", "text").when(t == "BOOLEAN", "bool").otherwise("number")
+    good = v.isNotNull() & ~t.startswith("OBJECT") & ~t.startswith("ARRAY") & (t != "VOID")
+    return F.when(good, F.struct(key.alias("key"), v.cast("string").alias("text"), kind.alias("kind"), (F.lit(None) if unit is None else unit).cast("string").alias("unit")))
 
-RX = "array<struct<gatewayId:string,rssi:double,snr:double,nsTime:string,time:string>>"
+
+def scalars(obj: Column) -> Column:
+    """VALUES of the scalar members of a JSON object (map of variants); nested ones and nulls are left out."""
+    return F.filter(F.transform(F.map_entries(obj), lambda e: scalar(e["key"], e["value"])), lambda v: v.isNotNull())
 
 
 def lorawan(messages: DataFrame, codec: Column | None = None) -> DataFrame:
-    """LoRaWAN uplinks in JSON: values of ``object``, else of the binary ``data``; the earliest gateway time; the strongest gateway."""
-    j = _text(messages)
-    get = lambda path: F.get_json_object("j", path)
-    rows = messages.withColumn("j", F.when(F.try_parse_json(j).isNotNull() & F.ltrim(j).startswith("{"), j))
-    rows = rows.withColumns(
-        {
-            "eui": F.lower(F.coalesce(get("$.deviceInfo.devEui"), F.nullif(F.regexp_extract(F.coalesce("topic", F.lit("")), "(?:^|/)device/([0-9A-Fa-f]{16})/", 1), F.lit("")))),
-            "rx": F.coalesce(F.from_json(get("$.rxInfo"), RX), F.array().cast(RX)),
-            "own": scalars(get("$.object")),
-            "model": F.upper(F.coalesce(codec if codec is not None else F.lit(None).cast("string"), get("$.deviceInfo.deviceProfileName"))),
-        }
+    """LoRaWAN uplinks in JSON: values of ``object``, else of the binary ``data``; the earliest gateway time; the strongest gateway.
+
+    The payload is parsed once, into a variant from which all else is read.
+    """
+    own_codec = F.lit(None).cast("string") if codec is None else codec
+    rows = messages.withColumn("_text", F.col("payload").cast("string"))
+    rows = rows.withColumn("_json", F.try_parse_json(F.when(F.is_valid_utf8("_text"), F.col("_text"))))
+    v = F.col("_json")
+    rows = rows.withColumn(
+        "_m",
+        F.struct(
+            at(v, "$", "map<string,variant>").isNotNull().alias("is_object"),
+            F.lower(F.coalesce(at(v, "$.deviceInfo.devEui"), F.nullif(F.regexp_extract(F.coalesce("topic", F.lit("")), "(?:^|/)device/([0-9A-Fa-f]{16})/", 1), F.lit("")))).alias("eui"),
+            F.coalesce(at(v, "$.rxInfo", "array<variant>"), F.array().cast("array<variant>")).alias("rx"),
+            at(v, "$.object", "map<string,variant>").alias("object"),
+            at(v, "$.deviceInfo.tags", "map<string,variant>").alias("tags"),
+            at(v, "$.data").alias("data"),
+            at(v, "$.fCnt", "bigint").alias("frame_counter"),
+            F.try_to_timestamp(at(v, "$.time")).alias("time"),
+            F.upper(F.coalesce(own_codec, at(v, "$.deviceInfo.deviceProfileName"))).alias("model"),
+        ),
+    )
+    gateway = lambda r: F.struct(F.lower(at(r, "$.gatewayId")).alias("eui"), at(r, "$.rssi", "double").alias("rssi"), at(r, "$.snr", "double").alias("snr"), F.coalesce(F.try_to_timestamp(at(r, "$.nsTime")), F.try_to_timestamp(at(r, "$.time"))).alias("heard"))
+    rows = rows.withColumns({"_rx": F.transform("_m.rx", gateway), "_own": scalars(F.col("_m.object")), "_tags": scalars(F.col("_m.tags"))})
+    bare = (F.coalesce(F.size("_own"), F.lit(0)) <= 0) & F.col("_m.data").isNotNull()
+    rows = rows.withColumns({"_bare": bare, "_bytes": F.when(bare, F.try_to_binary("_m.data", F.lit("base64")))})
+    model = F.coalesce(*[F.when(F.contains(F.col("_m.model"), F.lit(m)), F.lit(m)) for m in MODEL_KEYS], F.lit(None).cast("string"))
+    rows = rows.withColumn("_tlv", F.when(F.col("_bare"), tlv_values(F.col("_bytes"), model)))
+    known = F.transform(F.filter("_rx", lambda r: r["eui"].isNotNull()), lambda r: F.struct(r["eui"], r["rssi"], r["snr"]))
+    rows = rows.withColumn("_gateways", known)
+    best = F.array_max(F.transform(F.filter("_gateways", lambda g: g["rssi"].isNotNull()), lambda g: F.struct(g["rssi"].alias("rssi"), g["snr"].alias("snr"))))
+    rows = rows.withColumn("_best", best)
+    some = F.size("_gateways") > 0
+    link = F.struct(F.col("_best.rssi").alias("rssi"), F.col("_best.snr").alias("snr"), F.col("_m.frame_counter").alias("frame_counter"), F.when(some, F.col("_gateways")).alias("gateways"))
+    tags = F.coalesce(F.map_from_entries(F.transform("_tags", lambda e: F.struct(e["key"], e["text"]))), F.create_map().cast("map<string,string>"))
+    error = (
+        F.when(~F.coalesce(F.col("_m.is_object"), F.lit(False)), FAILED)
+        .when(F.coalesce("_m.eui", F.lit("")) == "", NO_ID)
+        .when(F.col("_bare") & (F.col("_bytes").isNull() | F.col("_tlv.error").isNotNull()), FAILED)
     )
-    model = F.coalesce(*[F.when(F.contains("model", F.lit(m)), F.lit(m)) for m in MODEL_KEYS], F.lit(None).cast("string"))
-    bare = (F.coalesce(F.size("own"), F.lit(0)) <= 0) & get("$.data").isNotNull()
-    rows = rows.withColumn("tlv", F.when(bare, tlv_values(F.when(bare, F.try_to_binary(get("$.data"), F.lit("base64"))), model)))
-    instant = lambda s: F.try_to_timestamp(s)
-    heard = F.array_min(F.filter(F.transform("rx", lambda r: F.coalesce(instant(r["nsTime"]), instant(r["time"]))), lambda t: t.isNotNull()))
-    gateways = F.transform(F.filter("rx", lambda r: r["gatewayId"].isNotNull()), lambda r: F.struct(F.lower(r["gatewayId"]).alias("eui"), r["rssi"].alias("rssi"), r["snr"].alias("snr")))
-    rows = rows.withColumn("gateways", gateways)
-    best = F.array_max(F.transform(F.filter("gateways", lambda g: g["rssi"].isNotNull()), lambda g: F.struct(g["rssi"].alias("rssi"), g["snr"].alias("snr"))))
-    f_cnt = get("$.fCnt").cast("bigint")
-    link = F.struct(best["rssi"].alias("rssi"), best["snr"].alias("snr"), f_cnt.alias("frame_counter"), F.when(F.size("gateways") > 0, F.col("gateways")).alias("gateways"))
-    tag_values = scalars(get("$.deviceInfo.tags"))
-    tags = F.coalesce(F.map_from_entries(F.transform(tag_values, lambda e: F.struct(e["key"], e["text"]))), F.create_map().cast("map<string,string>"))
-    error = F.when(F.col("j").isNull(), FAILED).when(F.coalesce("eui", F.lit("")) == "", NO_ID).when(F.col("tlv.error").isNotNull() | (bare & F.try_to_binary(get("$.data"), F.lit("base64")).isNull()), FAILED)
     return rows.select(
         *messages.columns,
-        F.col("eui").alias("external_id"),
-        F.coalesce(heard, instant(get("$.time"))).alias("measured_at"),
-        F.coalesce(F.when(bare, F.col("tlv.values")).otherwise(F.col("own")), F.array().cast(VALUES)).cast(VALUES).alias("values"),
-        F.when((F.size("gateways") > 0) | f_cnt.isNotNull(), link).cast(LINK).alias("link"),
+        F.col("_m.eui").alias("external_id"),
+        F.coalesce(F.array_min(F.filter(F.transform("_rx", lambda r: r["heard"]), lambda t: t.isNotNull())), F.col("_m.time")).alias("measured_at"),
+        F.coalesce(F.when(F.col("_bare"), F.col("_tlv.values")).otherwise(F.col("_own")), F.array().cast(VALUES)).cast(VALUES).alias("values"),
+        F.when(some | F.col("_m.frame_counter").isNotNull(), link).cast(LINK).alias("link"),
         tags.alias("tags"),
         error.alias("error"),
     )
@@ -204,35 +227,30 @@ def mapped_json(messages: DataFrame, config: dict) -> DataFrame:
         raise ValueError("; ".join(errors))
     import re
 
-    rows = messages.withColumn("j", F.when(F.try_parse_json(_text(messages)).isNotNull(), _text(messages)))
+    rows = messages.withColumn("j", F.try_parse_json(_text(messages)))
     j = F.col("j")
     m = re.fullmatch(r"topic\[(\d+)\]", config["deviceIdFrom"])
-    own = F.get(F.split(F.coalesce("topic", F.lit("")), "/"), F.lit(int(m[1]))) if m else jsonpaths.first(j, config["deviceIdFrom"])
+    own = F.get(F.split(F.coalesce("topic", F.lit("")), "/"), F.lit(int(m[1]))) if m else jsonpaths.first_of(j, config["deviceIdFrom"]).cast("string")
     given = F.try_element_at("topic_attributes", F.lit("externalId")) if "topic_attributes" in messages.columns else F.lit(None).cast("string")
     device = F.coalesce(F.when(F.trim(own) != "", own), F.when(F.trim(given) != "", given))
     time_path, fmt = config.get("timePath") or config.get("timeFrom"), config.get("timeFormat", "AUTO")
     measured = F.lit(None).cast("timestamp")
     if time_path:
-        t = F.trim(jsonpaths.first(j, time_path))
+        t = F.trim(jsonpaths.first_of(j, time_path).cast("string"))
         number = t.try_cast("bigint")
         measured = epoch(number, fmt) if fmt.startswith("EPOCH") else F.coalesce(F.when(number.isNotNull(), epoch(number, fmt)), F.try_to_timestamp(t))
     metrics = config.get("metrics") or []
     pairs = [(x["path"], x["key"], x.get("unit")) for x in metrics] if isinstance(metrics, list) else [(p, k, None) for p, k in metrics.items()]
 
-    def value(text: Column, key: Column, unit: Column) -> Column:
-        # booleans and numbers lose their type in a path's text; what reads as one is taken as one
-        kind = F.when(text.isin("true", "false"), "bool").when(text.rlike(r"^-?[0-9]+(\.[0-9]+)?([eE][-+]?[0-9]+)?$"), "number").otherwise("text")
-        good = text.isNotNull() & ~text.startswith("{") & ~text.startswith("[")
-        return F.when(good, F.struct(key.alias("key"), text.alias("text"), kind.alias("kind"), unit.cast("string").alias("unit")))
-
-    found = F.array(*[value(jsonpaths.first(j, p), F.lit(k), F.lit(u)) for p, k, u in pairs]).cast(VALUES) if pairs else F.array().cast(VALUES)
+    found = F.array(*[scalar(F.lit(k), jsonpaths.first_of(j, p), F.lit(u)) for p, k, u in pairs]).cast(VALUES) if pairs else F.array().cast(VALUES)
     if items := config.get("items"):
         path = items["path"][:-3] if items["path"].endswith("[*]") else items["path"]
-        text = F.get_json_object(j, jsonpaths.spark_path(path))
-        each = F.when(F.startswith(text, F.lit("[")), jsonpaths.elements(text)).when(text.isNotNull(), F.array(text))
-        at = lambda x, name, default: F.get_json_object(x, jsonpaths.spark_path(items.get(name, default)))
-        unit = lambda x: at(x, "unitFrom", "$") if "unitFrom" in items else F.lit(None).cast("string")
-        more = F.transform(F.coalesce(each, F.array().cast("array<string>")), lambda x: F.when(at(x, "keyFrom", "$.key").isNotNull(), value(at(x, "valueFrom", "$.value"), at(x, "keyFrom", "$.key"), unit(x))))
+        held = jsonpaths.first_of(j, path)
+        each = F.when(F.schema_of_variant(held).startswith("ARRAY"), held.cast("array<variant>")).when(held.isNotNull(), F.array(held))
+        of = lambda x, name, default: jsonpaths.first_of(x, items.get(name, default))
+        unit = lambda x: of(x, "unitFrom", "$").cast("string") if "unitFrom" in items else F.lit(None).cast("string")
+        key = lambda x: of(x, "keyFrom", "$.key").cast("string")
+        more = F.transform(F.coalesce(each, F.array().cast("array<variant>")), lambda x: F.when(key(x).isNotNull(), scalar(key(x), of(x, "valueFrom", "$.value"), unit(x))))
         found = F.concat(found, more.cast(VALUES))
     return rows.select(
         *messages.columns,

@@ -95,16 +95,21 @@ def dead_letters(open_items: DataFrame, failures: DataFrame) -> DataFrame:
 
 
 def derived_points(points: DataFrame, devices: DataFrame, now: Column) -> DataFrame:
-    """points (device_id, metric_key, time, value) from outside with reason: null if they are taken, else why not."""
-    known = devices.select("device_id", F.lit(True).alias("_known")).distinct()
+    """points (organization_id, device_id, metric_key, time, value) from outside with reason (null if they are taken, else why not) and times cut to milliseconds.
+
+    devices: (device_id, organization_id, status). Keys are of the stricter shape without capitals; a device of another organisation is unknown.
+    """
+    known = devices.select("device_id", F.col("organization_id").alias("_org"), F.upper("status").alias("_status")).dropDuplicates(["device_id"])
     rows = points.join(known, "device_id", "left")
     reason = (
-        F.when(F.col("_known").isNull(), "UNKNOWN_DEVICE")
-        .when(~F.coalesce(F.col("metric_key").rlike("^[A-Za-z][A-Za-z0-9_]{0,63}$"), F.lit(False)), "INVALID_METRIC")
+        F.when(F.col("_org").isNull() | (F.col("_org") != F.col("organization_id")), "UNKNOWN_DEVICE")
+        .when(F.coalesce(F.col("_status").isin("DELETED", "INACTIVE"), F.lit(False)), "DEVICE_INACTIVE")
+        .when(~F.coalesce(F.col("metric_key").rlike("^[a-z][a-z0-9_]{0,63}$"), F.lit(False)), "INVALID_METRIC")
         .when(F.col("value").isNull() | F.isnan("value") | (F.abs("value") == float("inf")), "INVALID_VALUE")
+        .when(F.col("time").isNull(), "INVALID_TIME")
         .when(F.col("time") > now + F.expr("interval 5 minutes"), "FUTURE_TIME")
     )
-    return rows.select(*points.columns, reason.alias("reason"))
+    return rows.select(*[c for c in points.columns if c != "time"], F.date_trunc("millisecond", "time").alias("time"), reason.alias("reason"))
 
 
 def missing_months(existing: DataFrame, now: Column, ahead: int = 3) -> DataFrame:

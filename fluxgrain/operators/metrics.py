@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fluxgrain.functions import scalars
-from fluxgrain.operators import quality
+from fluxgrain.operators import quality, state
 
 MAX_PAYLOAD, KEPT_PAYLOAD, MAX_VALUES, MAX_KEY, MAX_TEXT = 262_144, 4_096, 100, 64, 1_024
 #: Source types, the states of a message that can be processed again, and the stages of dead letters.
@@ -77,6 +77,20 @@ def points(messages: DataFrame, definitions: DataFrame, aliases: DataFrame) -> D
     return each.drop("_at", "_text", "_kind", "_unit", "_own_unit", "_status", "_words", "_n", "valid_min", "valid_max")
 
 
+def forecast(source_type: Column, topic: Column) -> Column:
+    """Whether a message is a weather forecast: its values are of the future and marked so."""
+    return F.coalesce((source_type == "KMA_WEATHER") & F.contains(topic, F.lit("forecast")), F.lit(False))
+
+
+def stored(points: DataFrame, on_change: DataFrame) -> DataFrame:
+    """points, those of the (organization_id, metric_key) in on_change only where they change; all others are stored whole."""
+    modes = on_change.select("organization_id", "metric_key", F.lit(True).alias("_change")).distinct()
+    rows = points.join(modes, ["organization_id", "metric_key"], "left").withColumn("_change", F.coalesce("_change", F.lit(False)))
+    picked = state.stored_on_change(rows.where("_change")).select("raw_message_id", "metric_key", F.col("flags").alias("_flags"))
+    changed = rows.where("_change").join(picked, ["raw_message_id", "metric_key"]).withColumn("flags", F.col("_flags"))
+    return rows.where("NOT _change").select(*points.columns).unionByName(changed.select(*points.columns))
+
+
 def applicable(devices: DataFrame, formulas: DataFrame) -> DataFrame:
     """(device_id, formula_id, ordinal): formulas of a device's model, then its own, then its space's; formulas has target_type, target_id."""
     parts = []

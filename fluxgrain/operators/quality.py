@@ -72,7 +72,7 @@ def skew_means(messages: DataFrame) -> DataFrame:
     ms = F.unix_millis("received_at")
     hour = Window.partitionBy("device_id").orderBy(ms).rangeBetween(-3_600_000, 0)
     skew = F.unix_millis("measured_at") - ms
-    rows = messages.where(F.col("measured_at").isNotNull())
+    rows = messages.where(F.col("measured_at").isNotNull() & F.col("received_at").isNotNull() & F.col("device_id").isNotNull())
     return rows.withColumn("skew_sec", F.sum(skew).over(hour) / F.count("*").over(hour) / 1000.0)
 
 

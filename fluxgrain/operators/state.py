@@ -8,17 +8,35 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fluxgrain.sources.telemetry import STATE_CHANGE
+from fluxgrain.sources.telemetry import LATE, STATE_CHANGE
 
 
-def duplicates(messages: DataFrame, window_seconds: int = 600) -> DataFrame:
+def duplicates(messages: DataFrame, window_seconds: int = 600, seen: DataFrame | None = None) -> DataFrame:
     """messages with duplicate: the message before with the same (organization_id, dedup_key) came at most ten minutes earlier.
 
-    Each copy prolongs the time, so copies chain; exactly ten minutes still counts. Messages without a key are none.
+    Each copy prolongs the time, so copies chain; exactly ten minutes still counts. Messages without a key are none. seen: the (organization_id,
+    dedup_key, received_at, message_id) of earlier batches, of which those of the last ten minutes matter (recent()).
     """
     order = Window.partitionBy("organization_id", "dedup_key").orderBy("received_at", "message_id")
     gap = F.unix_micros("received_at") - F.unix_micros(F.lag("received_at").over(order))
-    return messages.withColumn("duplicate", F.coalesce(F.col("dedup_key").isNotNull() & (gap <= window_seconds * 1_000_000), F.lit(False)))
+    duplicate = F.coalesce(F.col("dedup_key").isNotNull() & (gap <= window_seconds * 1_000_000), F.lit(False))
+    if seen is None:
+        return messages.withColumn("duplicate", duplicate)
+    keys = seen.select("organization_id", "dedup_key", "received_at", "message_id", F.lit(True).alias("_seen"))
+    both = messages.withColumn("_seen", F.lit(False)).unionByName(keys, allowMissingColumns=True)
+    return both.withColumn("duplicate", duplicate).where("NOT _seen").drop("_seen")
+
+
+def recent(stored: DataFrame, messages: DataFrame, window_seconds: int = 600) -> DataFrame:
+    """Those stored messages that may make one of messages a duplicate: received at most ten minutes before the first of them."""
+    first = messages.agg(F.min("received_at").alias("_first"))
+    return stored.join(F.broadcast(first), F.col("received_at") >= F.col("_first") - F.make_dt_interval(secs=F.lit(window_seconds))).drop("_first")
+
+
+def unseen(messages: DataFrame, stored: DataFrame) -> DataFrame:
+    """messages whose message_id is not stored yet, each id once (the first received): what came again is not written again."""
+    first = messages.withColumn("_n", F.row_number().over(Window.partitionBy("message_id").orderBy("received_at", "id"))).where("_n = 1").drop("_n")
+    return first.join(stored.select("message_id").distinct(), "message_id", "left_anti").select(*messages.columns)
 
 
 def content_key(key: Column, received: Column, interval_seconds: Column) -> Column:
@@ -31,7 +49,7 @@ def stored_on_change(points: DataFrame, heartbeat_seconds: int = 3600) -> DataFr
     """The points that storage on change keeps, flags telling changes: a value unlike the one before, or an hour after the last stored one.
 
     What is stored depends on what was stored before, so a series is read in order of arrival as a stream of sorted rows:
-    memory holds one batch. Points older than the latest are stored without judging.
+    memory holds one batch. Points older than the latest are stored without judging. Points without a device, a metric, a time or a value are left out.
     """
     columns = ["device_id", "metric_key", "time", "value", "flags", "received_at", "raw_message_id"]
 
@@ -52,12 +70,20 @@ def stored_on_change(points: DataFrame, heartbeat_seconds: int = 3600) -> DataFr
             b = b.assign(change=change)[keep]
             yield b
 
-    rows = points.select(*columns, F.unix_micros("time").alias("us")).repartition("device_id", "metric_key").sortWithinPartitions("device_id", "metric_key", "received_at", "raw_message_id")
+    whole = points.dropna(subset=["device_id", "metric_key", "time", "value"])
+    rows = whole.select(*columns, F.unix_micros("time").alias("us")).repartition("device_id", "metric_key").sortWithinPartitions("device_id", "metric_key", "received_at", "raw_message_id")
     kinds = "device_id bigint, metric_key string, time timestamp, value double, flags smallint, received_at timestamp, raw_message_id bigint, us bigint, change boolean"
     out = rows.mapInPandas(run, kinds)
     return out.withColumn("flags", F.when(F.col("change"), F.col("flags").bitwiseOR(STATE_CHANGE)).otherwise(F.col("flags")).cast("smallint")).select(*columns)
 
 
+def window_values(points: DataFrame, seconds: int, most: int = 1440) -> DataFrame:
+    """points with recent: the values of the series' points in [time - seconds, time) that are not late, in order of time, at most the ``most`` latest."""
+    frame = Window.partitionBy("device_id", "metric_key").orderBy(F.unix_micros("time")).rangeBetween(-seconds * 1_000_000, -1)
+    on_time = F.when(F.col("flags").bitwiseAND(LATE) == 0, F.col("value"))
+    return points.withColumn("recent", F.collect_list(on_time).over(frame)).withColumn("recent", F.expr(f"slice(recent, greatest(1, size(recent) - {most - 1}), {most})"))
+
+
 def gaps(messages: DataFrame, interval: Column, factor: int = 3) -> DataFrame:
     """(device_id, gap_start, gap_end, expected_count): silences of at least ``factor`` reporting intervals before a message."""
     order = Window.partitionBy("device_id").orderBy("received_at").rowsBetween(Window.unboundedPreceding, -1)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fluxgrain.functions import formula
@@ -113,7 +113,7 @@ def dedup_10m(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "on_change_store",
-    f"""WITH RECURSIVE p AS (SELECT *, row_number() OVER (PARTITION BY device_id, metric_key ORDER BY received_at, raw_message_id) AS n FROM {from_events_sql(5)} WHERE metric_key = 'click'),
+    f"""WITH RECURSIVE p AS (SELECT *, row_number() OVER (PARTITION BY device_id, metric_key ORDER BY received_at, raw_message_id) AS n FROM {from_events_sql(5)}),
 r AS (SELECT device_id, metric_key, n, raw_message_id, time, value AS v, time AS latest, time AS stored, true AS kept, true AS change FROM p WHERE n = 1
   UNION ALL SELECT p.device_id, p.metric_key, p.n, p.raw_message_id, p.time, CASE WHEN p.time >= r.latest THEN p.value ELSE r.v END, greatest(p.time, r.latest),
   CASE WHEN (p.time >= r.latest AND p.value <> r.v) OR p.time < r.latest OR p.time - r.stored >= INTERVAL 1 HOUR THEN p.time ELSE r.stored END,
@@ -122,7 +122,7 @@ r AS (SELECT device_id, metric_key, n, raw_message_id, time, value AS v, time AS
 SELECT r.raw_message_id, CASE WHEN change THEN t.flags | 8 ELSE t.flags END AS flags FROM r JOIN {T} t USING (raw_message_id) WHERE kept""",
 )
 def on_change_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = from_events(spark, sf_dir, 5).where("metric_key = 'click'")
+    p = from_events(spark, sf_dir, 5)
     return state.stored_on_change(p).select("raw_message_id", "flags")
 
 
@@ -202,13 +202,12 @@ def formula_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "recent_window_values",
-    f"""SELECT raw_message_id, list(value) OVER w AS recent FROM {from_events_sql(5)} WINDOW w AS (PARTITION BY device_id, metric_key ORDER BY epoch_us(time) RANGE BETWEEN 21600000000 PRECEDING AND 1 PRECEDING)""",
+    f"""SELECT raw_message_id, list(value) FILTER (flags & 1 = 0) OVER w AS recent FROM {from_events_sql(5)} WINDOW w AS (PARTITION BY device_id, metric_key ORDER BY epoch_us(time) RANGE BETWEEN 21600000000 PRECEDING AND 1 PRECEDING)""",
 )
 def recent_window_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The values that a script's window(key, 6h) sees at each point."""
-    w = Window.partitionBy("device_id", "metric_key").orderBy(F.unix_micros("time")).rangeBetween(-21_600_000_000, -1)
-    recent = F.collect_list("value").over(w)
-    return from_events(spark, sf_dir, 5).select("raw_message_id", F.when(F.size(recent) > 0, recent).alias("recent"))
+    out = state.window_values(from_events(spark, sf_dir, 5), 6 * 3600)
+    return out.select("raw_message_id", F.when(F.size("recent") > 0, F.col("recent")).alias("recent"))
 
 
 @query(

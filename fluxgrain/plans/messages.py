@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fluxgrain.functions import jsonpaths, scalars
 from fluxgrain.operators import decode, metrics
+from fluxgrain.sources import store
 from fluxgrain.plans.register import registry
 from fluxgrain.sources.telemetry import from_events, from_events_sql, table
 from fluxgrain.streaming import ingest
@@ -61,7 +59,7 @@ def uplink(p: DataFrame) -> DataFrame:
     f"""SELECT raw_message_id AS id, lpad(lower(hex(device_id)), 16, '0') AS external_id, time AS measured_at, metric_key AS key, value, -60.0::DOUBLE - raw_message_id % 50 AS rssi, raw_message_id AS frame_counter, 2 AS n_gateways, 'lab' AS site FROM {T}""",
 )
 def decode_lorawan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = decode.lorawan(uplink(from_events(spark, sf_dir)))
+    out = decode.lorawan(store.written(uplink(from_events(spark, sf_dir))))
     return out.select("id", "external_id", "measured_at", F.inline("values"), "link", "tags").select("id", "external_id", "measured_at", "key", F.col("text").cast("double").alias("value"), "link.rssi", "link.frame_counter", F.size("link.gateways").alias("n_gateways"), F.col("tags")["site"].alias("site"))
 
 
@@ -92,20 +90,58 @@ def decode_mapped_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("id", "external_id", "measured_at", F.inline("values")).select("id", "external_id", "measured_at", "key", F.col("text").cast("double").alias("value"), "unit")
 
 
+#: Channel, its bytes after the two of the code as hexadecimal text of b0 and b1, and the (key, value in terms of b0 and b1) that it says; signed where s.
+CHANNELS = [
+    ("0175", "{0}", {"battery": "b0"}), ("0367", "{0}{1}", {"temperature": "s / 10.0"}), ("0468", "{0}", {"humidity": "b0 / 2.0"}), ("057D", "{0}{1}", {"co2": "u"}), ("077D", "{0}{1}", {"co2": "u"}),
+    ("087D", "{0}{1}", {"tvoc": "u"}), ("0673", "{0}{1}", {"pressure": "u / 10.0"}), ("0973", "{0}{1}", {"pressure": "u / 10.0"}), ("056A", "{0}{1}", {"activity": "u"}),
+    ("0665", "{0}{1}{1}{0}{0}{0}", {"illumination": "u", "infrared_and_visible": "b1 + b0 * 256", "infrared": "b0 + b0 * 256"}), ("055B", "{1}{0}{1}{1}{0}{0}{0}", {"LAI": "u / 10.0", "LAImax": "(b1 + b0 * 256) / 10.0", "LAeq": "(b0 + b0 * 256) / 10.0"}),
+    ("FF01", "{0}", {}), ("FF0B", "{0}", {}), ("FF0F", "{0}", {}), ("FF09", "{0}{1}", {}), ("FF0A", "{0}{1}", {}), ("FFFF", "{0}{1}", {}), ("FF16", "{0}{1}{0}{1}{0}{1}{0}{1}", {}), ("20CE", "{0}{1}{0}{1}{0}{1}{0}", {}),
+]
+SAID = ", ".join(f"('{c}', '{k}', ({v})::DOUBLE)" for c, _, keys in CHANNELS for k, v in keys.items())
+
+
 @query(
     "decode_tlv",
-    f"""SELECT raw_message_id AS id, unnest(['battery', 'temperature', 'humidity']) AS key, unnest([(raw_message_id % 100)::DOUBLE, (raw_message_id % 200 - 100) / 10.0::DOUBLE, (raw_message_id % 200) / 2.0::DOUBLE]) AS value FROM {T}""",
+    f"""WITH b AS (SELECT raw_message_id AS id, raw_message_id % 256 AS b0, raw_message_id // 256 % 256 AS b1 FROM {T}), w AS (SELECT *, b0 + b1 * 256 AS u, CASE WHEN b1 >= 128 THEN b0 + b1 * 256 - 65536 ELSE b0 + b1 * 256 END AS s FROM b)
+SELECT id, x.key, x.value FROM w, LATERAL (VALUES {SAID}) AS x(channel, key, value)""",
 )
 def decode_tlv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A binary payload of three channels, made and decoded."""
+    """A binary payload of all channels, those that are skipped too, made and decoded."""
     i = F.col("raw_message_id")
     two = lambda v: F.lpad(F.hex(v), 2, "0")
-    t = F.when(i % 200 >= 100, i % 200 - 100).otherwise(i % 200 - 100 + 65536)
-    data = F.unhex(F.concat(F.lit("0175"), two(i % 100), F.lit("0367"), two(t % 256), two(F.floor(t / 256)), F.lit("0468"), two(i % 200)))
-    p = from_events(spark, sf_dir).select(i.alias("id"), decode.tlv_values(data, F.lit(None).cast("string")).alias("r"))
+    parts = []
+    for code, form, _ in CHANNELS:
+        parts += [F.lit(code), *[two(i % 256) if x == "0" else two(F.floor(i / 256) % 256) for x in form.replace("{", "").replace("}", "")]]
+    p = from_events(spark, sf_dir).select(i.alias("id"), decode.tlv_values(F.unhex(F.concat(*parts)), F.lit(None).cast("string")).alias("r"))
     return p.select("id", F.inline("r.values")).select("id", "key", F.col("text").cast("double").alias("value"))
 
 
+MODELS = [("EM300-TH", "0175640367050104686E", None), ("EM320-TH", "0367FFFF", None), ("EM300-TH", "057DC409", "ING"), ("em500-co2 v1", "057DC4090673A027", None), ("AM103", "087D0100", "ING"), ("AM107", "087D0100056A0200", None), ("WS302", "055B000A0014001E00", None), ("WS302", "0468AA", "ING"), (None, "0468AA", None), ("EM500-CO2", "20CE" + "00" * 14 + "017564", None)]
+
+
+@query("decode_models", "SELECT * FROM (VALUES (0, NULL, 'battery=100,temperature=26.1,humidity=55'), (1, NULL, 'temperature=-0.1'), (2, 'ING_DECODE_FAILED', ''), (3, NULL, 'co2=2500,pressure=1014.4'), (4, 'ING_DECODE_FAILED', ''), (5, NULL, 'tvoc=1,activity=2'), (6, NULL, 'LAI=1,LAImax=2,LAeq=3'), (7, 'ING_DECODE_FAILED', ''), (8, NULL, 'humidity=85'), (9, NULL, 'battery=100')) AS t(id, error, said)")
+def decode_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Uplinks without values whose binary data are read by the model's codec; a model's payload may hold its own keys only."""
+    rows = spark.createDataFrame([(i, m, h) for i, (m, h, _) in enumerate(MODELS)], "id int, model string, h string")
+    info = F.struct(F.lit("24E124AABBCCDDEE").alias("devEui"), F.col("model").alias("deviceProfileName"))
+    messages = rows.select("id", F.lit("x").alias("topic"), F.to_json(F.struct(info.alias("deviceInfo"), F.base64(F.unhex("h")).alias("data"))).cast("binary").alias("payload"))
+    said = F.array_join(F.transform("values", lambda v: F.concat(v["key"], F.lit("="), F.regexp_replace(v["text"], r"\.0$", ""))), ",")
+    return decode.lorawan(messages).select("id", "error", said.alias("said"))
+
+
+@query(
+    "mapped_json_types",
+    f"""SELECT raw_message_id AS id, unnest(['text', 'number', 'flag', 'later']) AS key, unnest([(raw_message_id % 5)::VARCHAR, (raw_message_id % 7)::VARCHAR, CASE WHEN raw_message_id % 2 = 0 THEN 'true' ELSE 'false' END, 'true']) AS text, unnest(['text', 'number', 'bool', 'text']) AS kind FROM {T}""",
+)
+def mapped_json_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values keep the type that they have in the payload: "1" is text, 1 a number, true a flag and "true" text; objects and nulls are left out."""
+    p, i = from_events(spark, sf_dir), F.col("raw_message_id")
+    body = F.struct((i % 5).cast("string").alias("a"), (i % 7).alias("b"), (i % 2 == 0).alias("c"), F.array(F.struct(F.lit(None).cast("string").alias("x")), F.struct(F.lit("true").alias("x"))).alias("d"))
+    messages = store.written(envelopes(p, 3, F.concat_ws("/", F.lit("x"), F.col("device_id").cast("string")), F.to_json(body)))
+    mapping = {"deviceIdFrom": "topic[1]", "metrics": [{"path": "$.a", "key": "text"}, {"path": "$.b", "key": "number"}, {"path": "$['c']", "key": "flag"}, {"path": "$.d[*].x", "key": "later"}, {"path": "$.d", "key": "list"}, {"path": "$.none", "key": "none"}]}
+    return decode.mapped_json(messages, mapping).select("id", F.inline("values")).select("id", "key", "text", "kind")
+
+
 @query("json_paths_props", "SELECT event_id, json_extract_string(props, '$.k') AS k, NULL::VARCHAR AS missing, CAST(json_extract_string(props, '$.k') AS INTEGER) + 1 AS next FROM events")
 def json_paths_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
@@ -171,7 +207,7 @@ def dimensions(spark: SparkSession, p: DataFrame) -> tuple[DataFrame, DataFrame,
 def ingest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Uplinks through the whole pipeline: what becomes of each message."""
     p = from_events(spark, sf_dir)
-    messages, _ = ingest.process(uplink(p), SOURCES, *dimensions(spark, p))
+    messages, _ = ingest.process(store.written(uplink(p)), SOURCES, *dimensions(spark, p))
     return messages.select("id", "status", "error")
 
 
@@ -183,14 +219,14 @@ FROM {T} WHERE raw_message_id % 101 > 0 AND device_id % 7 NOT IN (3, 5)"""
 def ingest_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Uplinks through the whole pipeline: the points stored."""
     p = from_events(spark, sf_dir)
-    _, points = ingest.process(uplink(p), SOURCES, *dimensions(spark, p))
+    _, points = ingest.process(store.written(uplink(p)), SOURCES, *dimensions(spark, p))
     return points.select("raw_message_id", "device_id", "metric_key", "time", "value", "quality")
 
 
 @query("stream_equals_batch", POINTS)
 def stream_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same points from a stream of envelope files in micro-batches, each written by its number."""
-    base = f"{spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix='spark-stream-')}/stream-{uuid.uuid4().hex}"
+    base = store.scratch(spark, "stream")
     p = from_events(spark, sf_dir)
     uplink(p).repartitionByRange(4, "id").write.parquet(f"{base}/in")
     devices, definitions, aliases = dimensions(spark, p)

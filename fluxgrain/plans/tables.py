@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -100,12 +97,11 @@ def retention_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maintenance.retention_preview(p, policies(spark), at(NOW), models(p))
 
 
-@query("archive_roundtrip", f"SELECT {KEEP} FROM {T} WHERE organization_id = 1 AND time < TIMESTAMP '2024-01-11 00:00:00'")
+@query("archive_roundtrip", f"SELECT {KEEP} FROM {T}")
 def archive_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ten days of an organisation written as an ordered archive, verified, and read back."""
-    p = from_events(spark, sf_dir).where((F.col("organization_id") == 1) & (F.col("time") < at("2024-01-11 00:00:00")))
-    base = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="spark-archive-")
-    path = f"{base}/archive-{uuid.uuid4().hex}"
+    """All points written as an ordered archive, verified, and read back."""
+    p = from_events(spark, sf_dir)
+    path = store.scratch(spark, "archive")
     store.archive(p, path)
     if not store.verified(spark, p, path):
         raise RuntimeError("the archive does not hold what was written")
@@ -169,7 +165,7 @@ def reprocess_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "dead_letters",
     f"""WITH o AS (SELECT DISTINCT device_id AS raw_message_id, 'DECODE' AS stage, 'ING_DECODE_FAILED' AS code, 1 AS attempts, TIMESTAMP '2023-12-01 00:00:00' AS first_at, TIMESTAMP '2023-12-02 00:00:00' AS last_at FROM {T} WHERE device_id % 2 = 0),
-f AS (SELECT device_id AS raw_message_id, arg_max(metric_key, time) AS stage, arg_max(metric_key || '!', time) AS code, count(*) AS n, min(time) AS first_at, max(time) AS last_at FROM {T} WHERE device_id % 3 = 0 GROUP BY 1)
+f AS (SELECT device_id AS raw_message_id, arg_max(metric_key, time) AS stage, arg_max(metric_key || '!', time) AS code, count(*) AS n, min(time) AS first_at, max(time) AS last_at FROM {T} GROUP BY 1)
 SELECT coalesce(o.raw_message_id, f.raw_message_id) AS raw_message_id, coalesce(f.stage, o.stage) AS stage, coalesce(f.code, o.code) AS code, (coalesce(attempts, 0) + coalesce(n, 0))::INTEGER AS attempts, least(o.first_at, f.first_at) AS first_at, greatest(o.last_at, f.last_at) AS last_at
 FROM o FULL JOIN f ON o.raw_message_id = f.raw_message_id""",
 )
@@ -177,19 +173,25 @@ def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = from_events(spark, sf_dir)
     opened = p.where("device_id % 2 = 0").select(F.col("device_id").alias("raw_message_id")).distinct()
     opened = opened.select("*", F.lit("DECODE").alias("stage"), F.lit("ING_DECODE_FAILED").alias("code"), F.lit(1).alias("attempts"), at("2023-12-01 00:00:00").alias("first_at"), at("2023-12-02 00:00:00").alias("last_at"))
-    failures = p.where("device_id % 3 = 0").select(F.col("device_id").alias("raw_message_id"), F.col("metric_key").alias("stage"), F.concat("metric_key", F.lit("!")).alias("code"), F.col("time").alias("at"))
+    failures = p.select(F.col("device_id").alias("raw_message_id"), F.col("metric_key").alias("stage"), F.concat("metric_key", F.lit("!")).alias("code"), F.col("time").alias("at"))
     return maintenance.dead_letters(opened, failures)
 
 
 @query(
     "derived_point_validation",
-    f"""SELECT raw_message_id, CASE WHEN device_id % 10 = 7 THEN 'UNKNOWN_DEVICE' WHEN raw_message_id % 13 = 0 THEN 'INVALID_METRIC' WHEN raw_message_id % 29 = 0 THEN 'INVALID_VALUE' WHEN time > TIMESTAMP '2024-01-25 00:00:00' + INTERVAL 5 MINUTE THEN 'FUTURE_TIME' END AS reason FROM {T}""",
+    f"""WITH p AS (SELECT raw_message_id, device_id, CASE WHEN raw_message_id % 11 = 0 THEN 'Abc' WHEN raw_message_id % 13 = 0 THEN '9 bad key' ELSE metric_key END AS k,
+  CASE WHEN raw_message_id % 31 <> 0 THEN time END AS t, CASE WHEN raw_message_id % 29 = 0 THEN NULL ELSE value END AS v, CASE WHEN raw_message_id % 37 = 0 THEN 9 ELSE device_id % 3 END AS org FROM {T})
+SELECT raw_message_id, CASE WHEN t IS NOT NULL THEN date_trunc('millisecond', t) END AS time, CASE WHEN device_id % 10 = 7 OR org <> device_id % 3 THEN 'UNKNOWN_DEVICE' WHEN device_id % 10 IN (5, 6) THEN 'DEVICE_INACTIVE' WHEN NOT regexp_full_match(k, '[a-z][a-z0-9_]*') THEN 'INVALID_METRIC'
+  WHEN v IS NULL THEN 'INVALID_VALUE' WHEN t IS NULL THEN 'INVALID_TIME' WHEN t > TIMESTAMP '2024-01-25 00:05:00' THEN 'FUTURE_TIME' END AS reason FROM p""",
 )
 def derived_point_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     p, i = from_events(spark, sf_dir), F.col("raw_message_id")
-    devices = p.where("device_id % 10 <> 7").select("device_id")
-    rows = p.select("raw_message_id", "device_id", F.when(i % 13 == 0, F.lit("9 bad key")).otherwise(F.col("metric_key")).alias("metric_key"), "time", F.when(i % 29 == 0, float("nan")).otherwise(F.col("value")).alias("value"))
-    return maintenance.derived_points(rows, devices, at("2024-01-25 00:00:00")).select("raw_message_id", "reason")
+    last = F.col("device_id") % 10
+    devices = p.where(last != 7).select("device_id", "organization_id", F.when(last == 5, "DELETED").when(last == 6, "Inactive").otherwise("ACTIVE").alias("status")).distinct()
+    key = F.when(i % 11 == 0, "Abc").when(i % 13 == 0, "9 bad key").otherwise(F.col("metric_key"))
+    value = F.when(i % 29 == 0, float("nan")).otherwise(F.col("value"))
+    rows = p.select("raw_message_id", "device_id", key.alias("metric_key"), F.when(i % 31 != 0, F.col("time")).alias("time"), value.alias("value"), F.when(i % 37 == 0, 9).otherwise(F.col("organization_id")).alias("organization_id"))
+    return maintenance.derived_points(rows, devices, at("2024-01-25 00:00:00")).select("raw_message_id", "time", "reason")
 
 
 @query(

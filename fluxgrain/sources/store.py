@@ -2,10 +2,29 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder that spark.checkpoint.dir names; in a temporary one only where the session has none and is local."""
+    sc = spark.sparkContext
+    base = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir")
+    if not base and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{base or tempfile.mkdtemp(prefix='spark-scratch-')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str = "table") -> DataFrame:
+    """df, written to the shared folder once and read from there: later steps neither repeat its work nor inline its expressions."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def save(df: DataFrame, path: str, by: Column | None = None, name: str = "month") -> None:
     """Write df, partitioned by ``by``; only the partitions that df has are replaced."""
     if by is None:

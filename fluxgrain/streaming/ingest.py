@@ -1,13 +1,15 @@
 """Raw messages as a stream: read, decode, judge and store in micro-batches; the same functions serve a batch.
 
-State that must outlive a micro-batch is in the stored tables and the stream's checkpoint, so a batch that is repeated after a
-lost driver or executor writes the same rows again: points go in by key, and messages already stored are left out.
+State that must outlive a micro-batch is in the stored messages, each batch's in a folder of its own: a batch that is repeated after a lost driver or executor
+writes the same folder again. Messages whose id an earlier batch stored are left out, and duplicates are looked for among those stored in the ten minutes
+before a batch too.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -34,14 +36,18 @@ def from_json_lines(lines: DataFrame, column: str = "value") -> tuple[DataFrame,
     return good, rows.where(bad).select(F.col(column))
 
 
-def process(messages: DataFrame, sources: dict[int, dict], devices: DataFrame, definitions: DataFrame, aliases: DataFrame, scripts: dict | None = None) -> tuple[DataFrame, DataFrame]:
-    """(messages with status and error, points) of a bounded set of envelopes."""
+def process(messages: DataFrame, sources: dict[int, dict], devices: DataFrame, definitions: DataFrame, aliases: DataFrame, scripts: dict | None = None, seen: DataFrame | None = None, suspects: bool = False, on_change: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(messages with status and error, points) of a bounded set of envelopes.
+
+    seen: stored messages of the ten minutes before (state.recent()); suspects: judge stuck values and jumps too (definitions then have value_type and
+    state_type); on_change: the (organization_id, metric_key) whose points are stored only when they change.
+    """
     early = metrics.rejected(messages)
     rows = messages.withColumn("early", early)
     decoded = decode.decode(rows, sources, scripts)
     decoded = decode.overlay(decoded)
     known = metrics.identified(decoded, devices)
-    known = state.duplicates(known)
+    known = state.duplicates(known, seen=seen)
     time, reason = quality.measured_time(F.col("measured_at"), F.col("received_at"), F.col("virtual"))
     limit = metrics.over_limits(F.col("values"))
     error = F.coalesce("early", "error", limit, "device_error", F.when(F.col("duplicate"), "ING_DUPLICATE"))
@@ -59,12 +65,16 @@ def process(messages: DataFrame, sources: dict[int, dict], devices: DataFrame, d
     out = known.join(bad, "message_id", "left").withColumns(
         {"status": F.when(F.col("message_error").isNotNull(), "INVALID").otherwise(F.col("status")), "result_error": F.coalesce("message_error", "result_error")}
     )
-    code = quality.quality_code(F.lit(False), F.col("time_corrected").isNotNull(), F.col("out_of_range"), F.lit(False), F.col("unverified"))
+    each = each.withColumn("flags", quality.is_late(F.col("time"), F.col("received_at")).cast("smallint")).withColumn("raw_message_id", F.col("id"))
+    each = quality.suspects(each, definitions) if suspects else each.withColumn("suspect", F.lit(False))
+    code = quality.quality_code(metrics.forecast(F.col("source_type"), F.col("topic")), F.col("time_corrected").isNotNull(), F.col("out_of_range"), F.col("suspect"), F.col("unverified"))
     late = quality.is_late(F.col("time"), F.col("received_at"))
     points = each.where("message_error IS NULL").select(
         "device_id", "metric_key", "time", "organization_id", "value", code.alias("quality"), late.cast("smallint").alias("flags"), F.coalesce("virtual", F.lit(False)).alias("is_virtual"), "received_at", F.col("id").alias("raw_message_id")
     )
-    return out.select("id", "message_id", "organization_id", "source_id", "received_at", "external_id", "device_id", "time", "time_corrected", "status", F.col("result_error").alias("error")), points
+    if on_change is not None:
+        points = metrics.stored(points, on_change)
+    return out.select("id", "message_id", "organization_id", "source_id", "dedup_key", "received_at", "external_id", "device_id", "time", "time_corrected", "status", F.col("result_error").alias("error")), points
 
 
 def run(envelopes: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None], available_now: bool = True, every: str = "10 seconds") -> StreamingQuery:
@@ -73,6 +83,24 @@ def run(envelopes: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int]
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=every)).start()
 
 
+def run_stored(envelopes: DataFrame, base: str, sources: dict[int, dict], devices: DataFrame, definitions: DataFrame, aliases: DataFrame, **options) -> StreamingQuery:
+    """process() over a stream, its results in base/messages and base/points by batch, with duplicates and replays told from what earlier batches stored."""
+    spark = envelopes.sparkSession
+    shape = "organization_id bigint, dedup_key string, received_at timestamp, message_id string, batch bigint"
+
+    def handle(batch: DataFrame, number: int) -> None:
+        try:
+            stored = spark.read.schema(shape).parquet(f"{base}/messages").where(F.col("batch") < number)
+        except AnalysisException:  # the first batch: nothing is stored yet
+            stored = spark.createDataFrame([], shape)
+        fresh = state.unseen(batch, stored)
+        messages, points = process(fresh, sources, devices, definitions, aliases, seen=state.recent(stored, fresh), **options)
+        messages.write.mode("overwrite").parquet(f"{base}/messages/batch={number}")
+        points.write.mode("overwrite").parquet(f"{base}/points/batch={number}")
+
+    return run(envelopes, f"{base}/checkpoint", handle)
+
+
 def minute_counts(points: DataFrame, grace: str = "30 seconds") -> DataFrame:
     """Live one-minute counts and sums of a stream of points, closed after the grace time; late points are left to recompute()."""
     g = points.withWatermark("time", grace).groupBy("device_id", "metric_key", F.window("time", "1 minute").alias("w"))
