@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 #: Words that stand for numbers where a metric defines none of its own (fixed values).
 COMMON_WORDS = {"open": 1.0, "close": 0.0, "closed": 0.0, "on": 1.0, "off": 0.0, "true": 1.0, "false": 0.0}
+#: The shape of a metric's key (fixed value).
 METRIC_KEY = "^[A-Za-z][A-Za-z0-9_]{0,63}$"
 
 
@@ -17,6 +18,24 @@ def name_uuid(name: Column) -> Column:
     return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("3"), F.substring(h, 14, 3)), F.concat(variant, F.substring(h, 19, 2)), F.substring(h, 21, 12))
 
 
+def telemetry_id(organization_id: Column, message_id: Column) -> Column:
+    return name_uuid(F.concat_ws(":", F.lit("telemetry"), organization_id.cast("string"), message_id.cast("string")))
+
+
+def uplink_id(organization_id: Column, message_id: Column) -> Column:
+    return name_uuid(F.concat_ws(":", F.lit("uplink"), organization_id.cast("string"), message_id.cast("string")))
+
+
+def instant_text(t: Column) -> Column:
+    """An instant of whole milliseconds in ISO 8601; a fraction only if there is one."""
+    return F.when(F.unix_millis(t) % 1000 == 0, F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss'Z'")).otherwise(F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
+
+
+def derived_id(device_id: Column, t: Column, keys: Column) -> Column:
+    """The id of a message of derived points: the same for the same device, instant and set of keys."""
+    return name_uuid(F.concat_ws(":", F.lit("derived"), device_id.cast("string"), instant_text(t), F.array_join(F.sort_array(F.array_distinct(keys)), ",")))
+
+
 def external_id(raw: Column) -> Column:
     return F.lower(F.trim(raw))
 

@@ -67,6 +67,24 @@ def expired(now: Column, default_days: int = 365) -> Column:
     return F.coalesce(shorter(metric), no) | F.coalesce(shorter(model), no) | F.when(exempt, own).otherwise(F.coalesce(age(org), no))
 
 
+def expired_month(points: DataFrame, policies: DataFrame, before: Column, devices: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(points of months that end after ``before``, rows of older months that go to the long table because an override keeps them longer). Others of the old months are gone."""
+    ends = F.add_months(F.date_trunc("month", "time"), 1).cast("timestamp")
+    rows = retention_days(points, policies, devices)
+    org = F.coalesce("org_days", F.lit(365))
+    longer = lambda d: F.coalesce((F.col(d) == 0) | (F.col(d) > org), F.lit(False))
+    old = rows.where((ends <= before) & (longer("metric_days") | longer("model_days")))
+    return points.where(~(ends <= before)), old.select(*points.columns)
+
+
+def confirmed(scores: DataFrame, already: DataFrame, zones: DataFrame, now: Column, default_zone: str = "Asia/Seoul") -> DataFrame:
+    """The daily scores that become final at ``now``: of each device's last whole local day (from half past midnight on; before that of the day before), unless one is final already."""
+    rows = scores.join(zones.select("device_id", "timezone").dropDuplicates(["device_id"]), "device_id", "left")
+    local = F.from_utc_timestamp(now, F.coalesce("timezone", F.lit(default_zone)))
+    due = F.date_sub(F.to_date(local - F.expr("interval 30 minutes")), 1)
+    return rows.where(F.col("day") == due).select(*scores.columns).join(already.select("device_id", "day"), ["device_id", "day"], "left_anti")
+
+
 def retention_preview(points: DataFrame, policies: DataFrame, now: Column, devices: DataFrame | None = None) -> DataFrame:
     """Per organisation the rows, those that retention would delete, and their share in percent."""
     rows = retention_days(points, policies, devices).withColumn("_gone", expired(now))

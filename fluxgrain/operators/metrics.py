@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fluxgrain.functions import scalars
 from fluxgrain.operators import quality, state
+from fluxgrain.sources.telemetry import DERIVED, LATE
 
 MAX_PAYLOAD, KEPT_PAYLOAD, MAX_VALUES, MAX_KEY, MAX_TEXT = 262_144, 4_096, 100, 64, 1_024
 #: Source types, the states of a message that can be processed again, and the stages of dead letters.
@@ -77,6 +78,45 @@ def points(messages: DataFrame, definitions: DataFrame, aliases: DataFrame) -> D
     return each.drop("_at", "_text", "_kind", "_unit", "_own_unit", "_status", "_words", "_n", "valid_min", "valid_max")
 
 
+def signature_error(source_type: Column, signature: Column, device_status: Column, live: bool = True) -> Column:
+    """The code with which a platform broker's message is refused, or null: its signature is wrong, or its approved device has not signed it.
+
+    Messages that are processed again carry no signature and are not refused for lacking one; quarantined() marks them.
+    """
+    own = F.coalesce(source_type == "PLATFORM_BROKER", F.lit(False))
+    unsigned = F.lit(live) & (F.coalesce(device_status, F.lit("")) != "PENDING") & (F.coalesce(signature, F.lit("")) != "VERIFIED")
+    return F.when(own & (F.coalesce(signature == "INVALID", F.lit(False)) | (device_status.isNotNull() & unsigned)), "ING_SIGNATURE_INVALID")
+
+
+def quarantined(source_type: Column, signature: Column, device_status: Column, live: bool = True) -> Column:
+    """Whether a message's values are kept apart as unverified: its device waits for approval, or it is processed again without a signature."""
+    own = F.coalesce(source_type == "PLATFORM_BROKER", F.lit(False))
+    return own & (F.coalesce(device_status == "PENDING", F.lit(False)) | (F.lit(not live) & (F.coalesce(signature, F.lit("")) != "VERIFIED")))
+
+
+def link_rows(messages: DataFrame) -> DataFrame:
+    """One row per gateway that heard a message, or one with the gateway '' where only the message's own reception is known; once per device, gateway and time."""
+    own = F.col("link.rssi").isNotNull() | F.col("link.snr").isNotNull()
+    heard = F.when(F.size("link.gateways") > 0, F.col("link.gateways")).when(own, F.array(F.struct(F.lit("").alias("eui"), F.col("link.rssi").alias("rssi"), F.col("link.snr").alias("snr"))))
+    rows = messages.where("link IS NOT NULL").withColumn("_g", F.explode(heard))
+    rows = rows.select("device_id", F.col("_g.eui").alias("gateway_eui"), "time", "organization_id", F.col("_g.rssi").alias("rssi"), F.col("_g.snr").alias("snr"), F.col("link.frame_counter").alias("frame_counter"), "id")
+    first = F.min_by(F.struct("organization_id", "rssi", "snr", "frame_counter"), "id").alias("_f")
+    return rows.groupBy("device_id", "gateway_eui", "time").agg(first).select("device_id", "gateway_eui", "time", "_f.*")
+
+
+def canonical(points: DataFrame) -> DataFrame:
+    """One row per message of its points: id, device, times, flags, and its metrics by key; a metric says that it is derived only if it is.
+
+    points need message_id (the source's number), organization_id, device_id, metric_key, value, quality, flags, time, received_at, is_virtual.
+    """
+    derived = F.when(F.col("flags").bitwiseAND(DERIVED) != 0, True)
+    metric = F.struct(F.col("metric_key").alias("key"), F.col("value"), F.col("quality"), derived.alias("derived"))
+    g = points.groupBy("organization_id", "message_id", "device_id", F.col("time").alias("measured_at"))
+    late = F.bool_or(F.col("flags").bitwiseAND(LATE) != 0)
+    out = g.agg(F.max("received_at").alias("received_at"), late.alias("late"), F.bool_or("is_virtual").alias("virtual"), F.sort_array(F.collect_list(metric)).alias("metrics"))
+    return out.withColumns({"telemetry_id": scalars.telemetry_id(F.col("organization_id"), F.col("message_id")), "metrics": F.to_json("metrics")})
+
+
 def forecast(source_type: Column, topic: Column) -> Column:
     """Whether a message is a weather forecast: its values are of the future and marked so."""
     return F.coalesce((source_type == "KMA_WEATHER") & F.contains(topic, F.lit("forecast")), F.lit(False))

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import ast
 import json
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fluxgrain.functions.scalars import METRIC_KEY
+
 MAX_CODE, MAX_OUTPUT, MAX_DEPTH = 65_536, 65_536, 32
 FORBIDDEN = ("eval", "exec", "compile", "open", "__import__", "globals", "locals", "input", "breakpoint", "getattr", "setattr", "delattr", "vars")
 MODULES = ("math", "json", "datetime", "base64", "struct")
@@ -106,6 +109,78 @@ def transform(messages: DataFrame, functions: list[tuple[Callable, str]], column
     return messages.withColumn("_r", run_udf(F.col(column))).withColumns({column: F.col("_r.message"), "dropped": F.col("_r.dropped"), "script_error": F.col("_r.error")}).drop("_r")
 
 
+INVALID = "SCRIPT_OUTPUT_INVALID"
+
+
+def valid_output(output: Column, decodes: bool = False, most: int = 100) -> Column:
+    """struct<error, metrics> of a function's output (JSON text) by its contract: an object whose metrics are a list of {key, value, unit}.
+
+    Keys are of a metric's shape, values finite numbers or flags (1 and 0); of a repeated key the last counts, at its first place. What a decoder returns needs an
+    externalId of 1 to 128 characters too.
+    """
+    v = F.try_parse_json(output)
+    of = lambda x, name, kind: F.try_variant_get(x, f"$.{name}", kind)
+    typed = lambda x, name, *kinds: F.coalesce(F.schema_of_variant(of(x, name, "variant")).rlike("^(" + "|".join(kinds) + ")"), F.lit(False))
+    items = of(v, "metrics", "array<variant>")
+    number = lambda x: F.when(typed(x, "value", "BOOLEAN"), of(x, "value", "boolean").cast("double")).when(typed(x, "value", "BIGINT", "DECIMAL", "DOUBLE", "FLOAT", "INT"), of(x, "value", "double"))
+    read = F.transform(items, lambda x: F.struct(F.when(typed(x, "key", "STRING"), of(x, "key", "string")).alias("key"), number(x).alias("value"), F.when(typed(x, "unit", "STRING"), of(x, "unit", "string")).alias("unit")))
+    finite = lambda m: m["value"].isNotNull() & ~F.isnan(m["value"]) & (F.abs(m["value"]) < float("inf"))
+    named = lambda m: F.coalesce(m["key"].rlike(METRIC_KEY), F.lit(False))
+    own = of(v, "externalId", "string")
+    error = F.when(v.isNull() | ~F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False)), f"{INVALID}: not an object")
+    if decodes:
+        error = error.when(~typed(v, "externalId", "STRING") | (F.trim(own) == "") | (F.length(own) > 128), f"{INVALID}: externalId")
+    error = error.when(items.isNull(), f"{INVALID}: metrics").when(F.size(items) > most, f"{INVALID}: over {most} metrics").when(~F.forall(read, named), f"{INVALID}: key").when(~F.forall(read, finite), f"{INVALID}: value")
+    last = F.transform(F.array_distinct(F.transform(read, lambda m: m["key"])), lambda k: F.element_at(F.filter(read, lambda m: m["key"] == k), -1))
+    return F.struct(error.alias("error"), F.when(error.isNull(), last).alias("metrics"))
+
+
+def part(value, path: str):
+    """What a JSON value has at a path such as $.a[0].b; a name in a list is that of the element whose key it is. None if there is nothing."""
+    for name, index in re.findall(r"([^.\[\]$]+)|\[(\d+)\]", path):
+        if index:
+            value = value[int(index)] if isinstance(value, list) and int(index) < len(value) else None
+        elif isinstance(value, list):
+            value = next((x for x in value if isinstance(x, dict) and x.get("key") == name), None)
+        else:
+            value = value.get(name) if isinstance(value, dict) else None
+    return value
+
+
+def differences(expected, actual, mode: str = "EXACT", fields: list[str] | None = None, tolerance: float | None = None) -> list[tuple[str, str, str]]:
+    """(path, expected, actual) where two JSON values differ: anywhere, or (FIELDS) at some paths only; numbers may differ by the tolerance (TOLERANCE)."""
+    allowed = abs(tolerance or 0.0) if mode == "TOLERANCE" else 0.0
+    numeric = lambda x: isinstance(x, int | float) and not isinstance(x, bool)
+    open_ = [(p, part(expected, p), part(actual, p)) for p in fields] if mode == "FIELDS" and fields else [("$", expected, actual)]
+    out = []
+    while open_:
+        path, e, a = open_.pop()
+        if isinstance(e, dict) and isinstance(a, dict):
+            open_ += [(f"{path}.{k}", e.get(k, ...), a.get(k, ...)) for k in {**e, **a}]
+        elif isinstance(e, list) and isinstance(a, list):
+            open_ += [(f"{path}[{i}]", e[i] if i < len(e) else ..., a[i] if i < len(a) else ...) for i in range(max(len(e), len(a)))]
+        elif numeric(e) and numeric(a):
+            if abs(e - a) > allowed + 1e-12:
+                out.append((path, e, a))
+        elif type(e) is not type(a) or e != a:
+            out.append((path, e, a))
+    said = lambda x: None if x is ... else json.dumps(x, ensure_ascii=False)
+    return sorted((p, said(e), said(a)) for p, e, a in out)
+
+
+def compared(cases: DataFrame) -> DataFrame:
+    """cases (expected, actual: JSON text, mode, fields: array of paths, tolerance) with passed and differences."""
+
+    @F.pandas_udf("array<struct<path:string,expected:string,actual:string>>")
+    def run(expected: pd.Series, actual: pd.Series, mode: pd.Series, fields: pd.Series, tolerance: pd.Series) -> pd.Series:
+        rows = zip(expected, actual, mode, fields, tolerance)
+        found = [differences(json.loads(e), json.loads(a), m or "EXACT", None if f is None else list(f), None if t is None or t != t else t) for e, a, m, f, t in rows]
+        return pd.Series([[dict(zip(("path", "expected", "actual"), d)) for d in ds] for ds in found])
+
+    out = cases.withColumn("differences", run("expected", "actual", "mode", "fields", "tolerance"))
+    return out.withColumn("passed", F.size("differences") == 0)
+
+
 def minute_stats(runs: DataFrame) -> DataFrame:
     """Per script, version and minute: runs, errors, timeouts, mean and nearest-rank 95th percentile of the time, largest time and input.
 

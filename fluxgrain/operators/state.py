@@ -139,6 +139,13 @@ def lag_level(backlog: DataFrame, now: Column) -> DataFrame:
     return worst.select("lag_sec", F.when(F.col("lag_sec") > 300, "CRITICAL").when(F.col("lag_sec") > 60, "WARNING").otherwise("OK").alias("level"))
 
 
+def level_changes(levels: DataFrame, at: str = "at") -> DataFrame:
+    """(at, kind, level) of a series of evaluated levels: RAISED where a level other than OK is new, CLEARED where it is OK again; nothing while it stays."""
+    before = F.lag("level", 1, "OK").over(Window.partitionBy(F.lit(1)).orderBy(at))
+    rows = levels.withColumn("_was", before).where(F.col("level") != F.col("_was"))
+    return rows.select(at, F.when(F.col("level") == "OK", "CLEARED").otherwise("RAISED").alias("kind"), "level")
+
+
 def connectivity_events(messages: DataFrame, interval: Column, multiplier: Column) -> DataFrame:
     """(device_id, kind, at): ONLINE at a device's first message and at each one after a silence of more than interval times
     multiplier, OFFLINE when such a silence has lasted that long."""

@@ -96,7 +96,17 @@ def clock_skew_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.skew_means(p).select("raw_message_id", "skew_sec")
 
 
-@query("clock_skew_events")
+@query(
+    "clock_skew_events",
+    f"""WITH RECURSIVE e AS (SELECT device_id, epoch_us(received_at) // 1000 AS ms, ((epoch_us(time) // 1000) - (epoch_us(received_at) // 1000))::DOUBLE AS s FROM {from_events_sql(5)}),
+p AS (SELECT *, row_number() OVER (PARTITION BY device_id ORDER BY ms) AS n FROM (SELECT device_id, ms, sum(s) OVER w / count(*) OVER w / 1000.0::DOUBLE AS skew FROM e WINDOW w AS (PARTITION BY device_id ORDER BY ms RANGE BETWEEN 3600000 PRECEDING AND CURRENT ROW))),
+r AS (SELECT device_id, n, ms, skew, CASE WHEN abs(skew) > 300 THEN ms END AS since, NULL::BIGINT AS began, false AS held, NULL::VARCHAR AS kind FROM p WHERE n = 1
+  UNION ALL SELECT p.device_id, p.n, p.ms, p.skew, CASE WHEN abs(p.skew) > 300 THEN coalesce(r.since, p.ms) WHEN r.held AND abs(p.skew) > 120 THEN r.since END, coalesce(r.since, p.ms),
+  CASE WHEN abs(p.skew) > 300 THEN r.held OR p.ms >= coalesce(r.since, p.ms) + 1800000 ELSE r.held AND abs(p.skew) > 120 END,
+  CASE WHEN abs(p.skew) > 300 AND NOT r.held AND p.ms >= coalesce(r.since, p.ms) + 1800000 THEN 'SUSPECTED' WHEN r.held AND abs(p.skew) <= 120 THEN 'CLEARED' END
+  FROM r JOIN p ON p.device_id = r.device_id AND p.n = r.n + 1)
+SELECT device_id, kind, make_timestamp(ms * 1000) AS "at", make_timestamp(began * 1000) AS since, round(skew, 1) AS skew_sec FROM r WHERE kind IS NOT NULL""",
+)
 def clock_skew_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = from_events(spark, sf_dir, 5).withColumn("measured_at", F.col("time"))
     return quality.skew_events(p)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,3 +59,42 @@ def verified(spark: SparkSession, df: DataFrame, path: str) -> bool:
 def sort_rewrite(spark: SparkSession, path: str, to: str, order: tuple[str, ...] = ("device_id", "time", "metric_key")) -> None:
     """A partition's files anew in physical order."""
     archive(spark.read.parquet(path), to, order)
+
+
+def append_new(df: DataFrame, path: str, key: str = "message_id") -> None:
+    """Append those rows of df whose key the table at path lacks, each key once: sending the same again changes nothing."""
+    spark = df.sparkSession
+    rows = df.dropDuplicates([key])
+    try:
+        rows = rows.join(spark.read.parquet(path).select(key), key, "left_anti")
+    except AnalysisException:  # there is no table yet
+        pass
+    rows.select(*df.columns).write.mode("append").parquet(path)
+
+
+def archive_months(points: DataFrame, path: str, registry: str, before: Column, exempt: Column | None = None) -> DataFrame:
+    """Archive each organisation's months that end by ``before``, oldest first, without exempt rows; the registry's rows.
+
+    A month is written in order, read again, and only if both agree registered (organization_id, month, n, digest); registered ones are not written anew. The first
+    month that fails ends its organisation's run, so that what registry rows allow to delete has no hole. The driver loops over months, not over rows.
+    """
+    spark = points.sparkSession
+    month = F.date_format("time", "yyyy-MM")
+    rows = points if exempt is None else points.where(~exempt)
+    old = rows.where(F.add_months(F.date_trunc("month", "time"), 1).cast("timestamp") <= before)
+    try:
+        known = {tuple(r) for r in spark.read.parquet(registry).select("organization_id", "month").collect()}
+    except AnalysisException:
+        known = set()
+    stopped = set()
+    for org, m in sorted(tuple(r) for r in old.select("organization_id", month).distinct().collect()):
+        if (org, m) in known or org in stopped:
+            continue
+        own, to = old.where((F.col("organization_id") == org) & (month == m)), f"{path}/organization_id={org}/month={m}"
+        archive(own, to)
+        if not verified(spark, own, to):
+            stopped.add(org)
+            continue
+        entry = checksum(own).select(F.lit(org).cast("bigint").alias("organization_id"), F.lit(m).alias("month"), "n", "digest")
+        entry.write.mode("append").parquet(registry)
+    return spark.read.parquet(registry)
