@@ -636,3 +636,54 @@ def test_search_large_integers(spark):
     df = spark.createDataFrame([(i, [x / 256 for x in v]) for i, v in rows], "vec_id bigint, embedding array<double>")
     got = [(r["vec_id"], r["score"]) for r in search.top_k(df, F.col("vec_id") == 0).orderBy("rank").collect()]
     assert got == [(2, big**2 + 2), (1, big**2 + 1), (3, big + 1)]
+
+
+def test_pipeline_run_agrees_with_plain_stages(spark, docs, tmp_path):
+    """run() against a plain chain: the verdicts of the quality rules, all pairs of what they keep, masked texts, and the pieces of each reading rebuilt."""
+    import corpus_pipeline
+
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    good = sorted({r["doc_id"] for r in quality.quality(docs).collect() if r["kept"]})
+    of = {d: collections.Counter(zip(*[words(texts[d])[k:] for k in range(5)])) for d in good}
+    rows = [d for d in (r["doc_id"] for r in docs.collect()) if d in of]
+    df = collections.Counter(g for d in rows for g in of[d])
+    weigh = lambda c: {g: n * np.log1p(len(rows) / df[g]) for g, n in c.items()}
+    sets = {d: weigh(c) for d, c in of.items()}
+    root = {d: d for d in good}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    for i, a in enumerate(good):
+        for b in good[i + 1 :]:
+            both = sum(min(w, sets[b][g]) for g, w in sets[a].items() if g in sets[b])
+            if both >= 0.8 * (sum(sets[a].values()) + sum(sets[b].values()) - both):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    single = [d for d in good if find(d) == d]
+    masked = {d: pii.redact(texts[d]) for d in single}
+    mixed = docs.where(F.col("doc_id").isin(single)).dropDuplicates(["doc_id", "text"])
+    times = collections.Counter(r["doc_id"] for r in mixing.plan(pii.redact_pii(mixed)).collect())
+    held, encode = collections.Counter(), packing.encoder()
+    ids = {d: encode(t) for d, t in masked.items()}
+    for r in corpus_pipeline.run(spark, str(tmp_path)).collect():
+        own = ids[r["doc_id"]]
+        assert r["doc_tokens"] == len(own) and zlib.crc32(own[r["start"] : r["start"] + r["length"]].tobytes()) == r["ids_crc32"]
+        held[r["doc_id"]] += r["length"]
+    assert held == {d: times[d] * len(ids[d]) for d in single}
+
+
+def test_neardup_recall(spark):
+    """Of all pairs of similarity 0.8 or more with an id divisible by 20, nine in ten and more share a class."""
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = {r["doc_id"]: r["class_id"] for r in neardup.classes(d).collect()}
+    rows = collected(d)
+    sets = [neardup.shingles(words(t)) for _, t in rows]
+    h, n = np.unique(np.concatenate([s[0] for s in sets]), return_counts=True)
+    weighted = {i: (s[0], s[1] * np.log1p(len(rows) / n[np.searchsorted(h, s[0])])) for (i, _), s in zip(rows, sets) if len(s[0])}
+    pairs = [(a, b) for a in weighted if a % 20 == 0 for b in weighted if a != b and neardup.jaccard(weighted[a], weighted[b]) >= 0.8]
+    found = sum(got[a] == got[b] for a, b in pairs)
+    assert len(pairs) > 3 and found >= 0.9 * len(pairs), (found, len(pairs))
