@@ -4,6 +4,7 @@ import collections
 import hashlib
 import re
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -466,11 +467,28 @@ def test_search(spark):
     want = sorted((q, r, c, -s) for q, v in good if q % 50 == 0 for r, (s, c) in enumerate(best(q, v), 1))
     got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in search.top_k(df, F.col("vec_id") % 50 == 0, size=64, chunk=4).collect())
     assert got == want
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in search.top_k(df, F.col("vec_id") % 50 == 0, size=64, chunk=4, range_bytes=2 * 64 * 6 * 8).collect())
+    assert got == want  # several ranges of two blocks
     few = search.top_k(df.where("vec_id < 3"), F.col("vec_id") == 0).collect()
     assert len(few) == 2
     assert search.top_k(df.limit(0), F.col("vec_id") == 0).count() == 0
 
 
+def test_search_prunes():
+    """Blocks whose vectors are alike are left out; equal scores go to the smaller id, whatever block comes first."""
+    rng = np.random.default_rng(3)
+    m = np.concatenate([np.floor(256 * (c + 0.05 * rng.normal(size=(100, 8)))) for c in rng.normal(size=(20, 8))]).astype("<i8")
+    m[1500:1510] = m[30]
+    ids, starts = np.arange(2000), np.arange(0, 2000, 100)
+    q_ids = np.arange(0, 2000, 50)
+    parts = {"ids": ids, "matrix": m, "highs": np.maximum.reduceat(m, starts), "lows": np.minimum.reduceat(m, starts), "q_ids": q_ids, "q": m[q_ids], "kth": np.full(len(q_ids), search.LOWEST)}
+    scored, best = search.searched(SimpleNamespace(**{k: v.astype("<i8").tobytes() for k, v in parts.items()}), 100, 5)
+    assert scored.sum() < 0.3 * len(q_ids) * len(starts)
+    for i, q in enumerate(q_ids):
+        want = sorted((-int(m[q] @ m[c]), c) for c in ids if c != q)[:5]
+        assert [(-s, c) for s, c in zip(best.scores[i], best.ids[i])] == want
+
+
 def test_search_mixed_lengths(spark):
     rows = [(0, [1.0, 2.0]), (1, [3.0, 1.0]), (2, [0.5, 0.5]), (3, [1.0, 1.0, 1.0]), (50, [2.0, 0.0, 1.0])]
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
