@@ -27,8 +27,9 @@ def uplink_id(organization_id: Column, message_id: Column) -> Column:
 
 
 def instant_text(t: Column) -> Column:
-    """An instant of whole milliseconds in ISO 8601; a fraction only if there is one."""
-    return F.when(F.unix_millis(t) % 1000 == 0, F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss'Z'")).otherwise(F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
+    """An instant in ISO 8601, with no fraction, milliseconds or microseconds, whatever it takes."""
+    shown = lambda digits: F.date_format(t, f"yyyy-MM-dd'T'HH:mm:ss{digits}'Z'")
+    return F.when(F.unix_micros(t) % 1_000_000 == 0, shown("")).when(F.unix_micros(t) % 1000 == 0, shown(".SSS")).otherwise(shown(".SSSSSS"))
 
 
 def derived_id(device_id: Column, t: Column, keys: Column) -> Column:

@@ -12,6 +12,7 @@ from fluxgrain.sources.telemetry import DERIVED, LATE
 MAX_PAYLOAD, KEPT_PAYLOAD, MAX_VALUES, MAX_KEY, MAX_TEXT = 262_144, 4_096, 100, 64, 1_024
 #: Source types, the states of a message that can be processed again, and the stages of dead letters.
 SOURCE_TYPES = ("MQTT_SUBSCRIBE", "PLATFORM_BROKER", "WEBHOOK", "SIMULATION", "CONNECTOR", "EDGE", "KMA_WEATHER", "AIRKOREA", "HOLIDAY", "ICAL", "ONEM2M", "OPCUA", "MODBUS_TCP")
+HEARTBEAT, STAGES = "__heartbeat__", "sentAt string, stages array<struct<name:string,at:string>>"
 REPROCESSABLE = ("DECODE_ERROR", "SCRIPT_ERROR", "STORE_ERROR", "PUBLISH_ERROR", "UNKNOWN_DEVICE_REJECTED")
 DLQ_STAGES = {"DECODE_ERROR": "DECODE", "SCRIPT_ERROR": "SCRIPT", "STORE_ERROR": "STORE", "PUBLISH_ERROR": "PUBLISH"}
 
@@ -52,10 +53,24 @@ def identified(messages: DataFrame, devices: DataFrame, policy: Column | None =
     d = devices.where("status <> 'DELETED'").select("source_id", scalars.external_id(F.col("external_id")).alias("_x"), "device_id", "status", "ignored").dropDuplicates(["source_id", "_x"])
     rows = messages.withColumn("_x", scalars.external_id(F.col("external_id"))).join(d, ["source_id", "_x"], "left").drop("_x")
     policy = F.lit("REJECT") if policy is None else policy
-    error = F.when(F.col("device_id").isNull(), F.when(policy == "AUTO_REGISTER", "ING_DEVICE_REGISTERING").otherwise("ING_DEVICE_UNKNOWN")).when(F.coalesce("ignored", F.lit(False)), "ING_DEVICE_IGNORED")
+    error = F.when(F.col("device_id").isNull(), F.when(policy == "AUTO_REGISTER", "ING_AUTO_REGISTER_QUOTA").otherwise("ING_DEVICE_UNKNOWN")).when(F.coalesce("ignored", F.lit(False)), "ING_DEVICE_IGNORED")
     return rows.withColumn("device_error", error).drop("status", "ignored")
 
 
+def registered(messages: DataFrame, devices: DataFrame, policies: DataFrame, limit: int = 100) -> DataFrame:
+    """The unknown devices of messages (source_id, external_id, organization_id, received_at) that come from sources which register such devices: rows shaped like devices,
+    pending, with seen_at, accepted and alarm. A source takes on so many an hour (its own hourly_limit, or ``limit``), by first message; the others may come again with later calls.
+
+    policies: (source_id, policy, hourly_limit). Ids are made of source and external id, so a repeated call makes the same ones.
+    """
+    known = devices.where("status <> 'DELETED'").select("source_id", scalars.external_id(F.col("external_id")).alias("_x"))
+    open_sources = policies.where("policy = 'AUTO_REGISTER'").select("source_id", F.when(F.col("hourly_limit") > 0, F.col("hourly_limit")).otherwise(limit).alias("_limit"))
+    rows = messages.where("external_id IS NOT NULL").withColumn("_x", scalars.external_id(F.col("external_id"))).join(open_sources, "source_id").join(known, ["source_id", "_x"], "left_anti")
+    first = rows.groupBy("source_id", F.col("_x").alias("external_id"), "_limit").agg(F.min_by("organization_id", "received_at").alias("organization_id"), F.min("received_at").alias("seen_at"))
+    judged = state.registrations(first, F.col("_limit"))
+    return judged.select("source_id", "external_id", F.xxhash64("source_id", "external_id").alias("device_id"), "organization_id", F.lit("PENDING").alias("status"), F.lit(False).alias("ignored"), "seen_at", "accepted", "alarm")
+
+
 def points(messages: DataFrame, definitions: DataFrame, aliases: DataFrame) -> DataFrame:
     """One row per message and metric of messages with ``values``: key by alias, number, unit, and what is wrong with the message.
 
@@ -139,3 +154,20 @@ def applicable(devices: DataFrame, formulas: DataFrame) -> DataFrame:
         parts.append(devices.join(f, F.col(column) == F.col("_t")).select("device_id", "formula_id", F.lit(rank).alias("_rank")))
     both = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return both.select("device_id", "formula_id", F.row_number().over(Window.partitionBy("device_id").orderBy("_rank", "formula_id")).alias("ordinal"))
+
+
+def heartbeats(messages: DataFrame, now: Column) -> DataFrame:
+    """Messages (external_id, payload, time, received_at) of the canary device with heartbeat: sentAt and stages, those that the payload notes under meta.heartbeat, the ingress if it is not among them, and this one."""
+    noted = F.from_json(F.get_json_object(F.try_validate_utf8(F.col("payload").cast("string")), "$.meta.heartbeat"), STAGES)
+    before = F.coalesce(noted["stages"], F.array().cast("array<struct<name:string,at:string>>"))
+    stage = lambda name, at: F.array(F.struct(F.lit(name).alias("name"), scalars.instant_text(at).alias("at")))
+    ingress = F.when(F.exists(before, lambda s: F.coalesce(s["name"] == "ingress", F.lit(False))), before).otherwise(F.concat(before, stage("ingress", F.col("received_at"))))
+    beat = F.struct(F.coalesce(noted["sentAt"], scalars.instant_text(F.col("time"))).alias("sentAt"), F.concat(ingress, stage("pipeline", now)).alias("stages"))
+    return messages.where(F.col("external_id") == HEARTBEAT).withColumn("heartbeat", beat)
+
+
+def attempts(trace: Column, now: Column, status: Column, error: Column) -> Column:
+    """The attempts noted in a message's stored trace (JSON or null), and this one."""
+    before = F.from_json(trace, "attempts array<struct<at:string,status:string,errorCode:string>>")["attempts"]
+    this = F.struct(scalars.instant_text(now).alias("at"), status.alias("status"), error.alias("errorCode"))
+    return F.concat(F.coalesce(before, F.array().cast("array<struct<at:string,status:string,errorCode:string>>")), F.array(this))

@@ -114,7 +114,7 @@ def latest_maps(points: DataFrame) -> DataFrame:
     return v.join(seen, "device_id")
 
 
-def registrations(first_seen: DataFrame, limit: int = 100, window: str = "hour") -> DataFrame:
+def registrations(first_seen: DataFrame, limit: int | Column = 100, window: str = "hour") -> DataFrame:
     """first_seen (source_id, external_id, seen_at) of unknown devices with accepted and alarm: so many a source and hour, the first
     one beyond raises the alarm."""
     hour = Window.partitionBy("source_id", F.date_trunc(window, "seen_at")).orderBy("seen_at", "external_id")

@@ -273,3 +273,62 @@ def raw_result_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = from_events(spark, sf_dir).select(F.col("raw_message_id").alias("id"), F.lit("DECODE_ERROR").alias("status"), "received_at")
     again = raw.where("id % 4 = 0").withColumn("status", F.lit("OK"))
     return maintenance.upsert(raw, again, ["id"], "received_at").select("id", "status")
+
+
+UNSEEN = from_events_sql(None, 240)
+
+
+@query(
+    "auto_register",
+    f"""WITH m AS (SELECT *, raw_message_id % 101 = 0 AS odd FROM {UNSEEN}), f AS (SELECT device_id, min(received_at) AS seen FROM m WHERE NOT odd AND device_id % 7 = 3 GROUP BY 1),
+n AS (SELECT device_id, row_number() OVER (PARTITION BY date_trunc('hour', seen) ORDER BY seen, device_id) AS n FROM f)
+SELECT raw_message_id AS id, CASE WHEN odd THEN 'INVALID' WHEN device_id % 7 = 5 OR n > 2 THEN 'UNKNOWN_DEVICE_REJECTED' ELSE 'OK' END AS status,
+  CASE WHEN odd THEN 'ING_SOURCE_TYPE_UNKNOWN' WHEN device_id % 7 = 5 THEN 'ING_DEVICE_IGNORED' WHEN n > 2 THEN 'ING_AUTO_REGISTER_QUOTA' END AS error FROM m LEFT JOIN n USING (device_id)""",
+)
+def auto_register(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Uplinks of a source that takes on two unknown devices an hour."""
+    p = from_events(spark, sf_dir, None, 240)
+    policies = spark.createDataFrame([(1, "AUTO_REGISTER", 2)], "source_id bigint, policy string, hourly_limit int")
+    out, _ = ingest.process(store.written(messages.uplink(p)), messages.SOURCES, *messages.dimensions(spark, p), policies=policies)
+    return out.select("id", "status", "error")
+
+
+@query(
+    "ingest_formulas",
+    f"""WITH p AS ({messages.POINTS}), g AS (SELECT device_id, time, min(raw_message_id) AS raw_message_id, max(CASE WHEN metric_key = 'view' THEN value END) AS v, max(CASE WHEN metric_key = 'signup' THEN value END) AS s FROM p GROUP BY ALL)
+SELECT raw_message_id, device_id, metric_key, time, value, quality, false AS derived FROM p WHERE metric_key <> 'signup' UNION ALL SELECT raw_message_id, device_id, 'twice', time, v * 2, 2, true FROM g WHERE v IS NOT NULL
+UNION ALL SELECT raw_message_id, device_id, 'signup', time, s / 2, CASE WHEN s / 2 > 10 THEN 1 ELSE 2 END, true FROM g WHERE s IS NOT NULL""",
+)
+def ingest_formulas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Uplinks through the whole pipeline with two formulas; one takes the place of its own input."""
+    p = from_events(spark, sf_dir)
+    _, points = ingest.process(store.written(messages.uplink(p)), messages.SOURCES, *messages.dimensions(spark, p), formulas={"twice": "view * 2", "signup": "signup / 2"})
+    return points.select("raw_message_id", "device_id", "metric_key", "time", "value", "quality", (F.col("flags").bitwiseAND(16) != 0).alias("derived"))
+
+
+BEAT = """'{"meta":{"heartbeat":{' || CASE WHEN raw_message_id % 3 = 0 THEN '"sentAt":"S",' ELSE '' END || '"stages":[{"name":"sim","at":"A"}' || CASE WHEN raw_message_id % 2 = 0 THEN ',{"name":"ingress","at":"B"}' ELSE '' END || ']}}}'"""
+ISO = lambda t: f"CASE WHEN epoch_us({t}) % 1000000 = 0 THEN strftime({t}, '%Y-%m-%dT%H:%M:%SZ') WHEN epoch_us({t}) % 1000 = 0 THEN strftime({t}, '%Y-%m-%dT%H:%M:%S.%gZ') ELSE strftime({t}, '%Y-%m-%dT%H:%M:%S.%fZ') END"
+
+
+@query(
+    "heartbeat_stages",
+    f"""SELECT raw_message_id, CASE WHEN raw_message_id % 3 = 0 AND raw_message_id % 5 > 0 THEN 'S' ELSE {ISO("time")} END AS sent_at,
+  CASE WHEN raw_message_id % 5 = 0 THEN '' ELSE 'sim=A,' END || 'ingress=' || CASE WHEN raw_message_id % 2 = 0 AND raw_message_id % 5 > 0 THEN 'B' ELSE {ISO("received_at")} END || ',pipeline=2024-03-01T00:00:00Z' AS stages FROM {T} WHERE device_id % 2 = 0""",
+)
+def heartbeat_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Heartbeats of the canary device: stages noted on the way, with what is missing filled in."""
+    payload = F.when(F.col("raw_message_id") % 5 == 0, "no json").otherwise(F.expr(BEAT)).cast("binary")
+    p = from_events(spark, sf_dir).select("raw_message_id", F.when(F.col("device_id") % 2 == 0, metrics.HEARTBEAT).otherwise("dev").alias("external_id"), payload.alias("payload"), "time", "received_at")
+    out = metrics.heartbeats(p, at("2024-03-01 00:00:00"))
+    return out.select("raw_message_id", "heartbeat.sentAt", F.array_join(F.transform("heartbeat.stages", lambda s: F.concat_ws("=", s["name"], s["at"])), ",").alias("stages")).withColumnRenamed("sentAt", "sent_at")
+
+
+@query(
+    "attempts",
+    f"SELECT raw_message_id, CASE WHEN raw_message_id % 3 = 0 THEN 'DECODE_ERROR:E,OK:' ELSE 'OK:' END AS said FROM {T}",
+)
+def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history of messages that are processed again, some for the second time."""
+    before = F.when(F.col("raw_message_id") % 3 == 0, '{"attempts":[{"at":"T","status":"DECODE_ERROR","errorCode":"E"}]}').when(F.col("raw_message_id") % 3 == 1, "no json")
+    each = metrics.attempts(before, at("2024-03-01 00:00:00"), F.lit("OK"), F.lit(None).cast("string"))
+    return from_events(spark, sf_dir).select("raw_message_id", F.array_join(F.transform(each, lambda a: F.concat(a["status"], F.lit(":"), F.coalesce(a["errorCode"], F.lit("")))), ",").alias("said"))

@@ -14,7 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from fluxgrain.functions import formula
 from fluxgrain.operators import decode, metrics, quality, state
+from fluxgrain.sources import store
+from fluxgrain.sources.telemetry import DERIVED
 
 ENVELOPE = (
     "id bigint, message_id string, organization_id bigint, source_id bigint, source_type string, topic string, payload binary, received_at timestamp, "
@@ -36,17 +39,24 @@ def from_json_lines(lines: DataFrame, column: str = "value") -> tuple[DataFrame,
     return good, rows.where(bad).select(F.col(column))
 
 
-def process(messages: DataFrame, sources: dict[int, dict], devices: DataFrame, definitions: DataFrame, aliases: DataFrame, scripts: dict | None = None, seen: DataFrame | None = None, suspects: bool = False, on_change: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def process(messages: DataFrame, sources: dict[int, dict], devices: DataFrame, definitions: DataFrame, aliases: DataFrame, scripts: dict | None = None, seen: DataFrame | None = None, suspects: bool = False, on_change: DataFrame | None = None, policies: DataFrame | None = None, formulas: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
     """(messages with status and error, points) of a bounded set of envelopes.
 
     seen: stored messages of the ten minutes before (state.recent()); suspects: judge stuck values and jumps too (definitions then have value_type and
-    state_type); on_change: the (organization_id, metric_key) whose points are stored only when they change.
+    state_type); on_change: the (organization_id, metric_key) whose points are stored only when they change; policies: sources that register unknown devices
+    (metrics.registered()); formulas: metrics derived from a message's own, which take the place of a metric of the same key.
     """
     early = metrics.rejected(messages)
     rows = messages.withColumn("early", early)
     decoded = decode.decode(rows, sources, scripts)
     decoded = decode.overlay(decoded)
-    known = metrics.identified(decoded, devices)
+    if policies is not None:
+        decoded = store.written(decoded)  # read twice: for new devices and for the messages
+        asking = decoded.where("early IS NULL AND error IS NULL")
+        new = metrics.registered(asking, devices, policies).where("accepted")
+        devices = devices.select("source_id", "external_id", "device_id", "organization_id", "status", "ignored").unionByName(new.drop("seen_at", "accepted", "alarm"))
+        decoded = decoded.join(policies.select("source_id", F.col("policy").alias("_policy")).distinct(), "source_id", "left")
+    known = metrics.identified(decoded, devices, None if policies is None else F.col("_policy")).drop("_policy")
     known = state.duplicates(known, seen=seen)
     time, reason = quality.measured_time(F.col("measured_at"), F.col("received_at"), F.col("virtual"))
     limit = metrics.over_limits(F.col("values"))
@@ -66,17 +76,34 @@ def process(messages: DataFrame, sources: dict[int, dict], devices: DataFrame, d
         {"status": F.when(F.col("message_error").isNotNull(), "INVALID").otherwise(F.col("status")), "result_error": F.coalesce("message_error", "result_error")}
     )
     each = each.withColumn("flags", quality.is_late(F.col("time"), F.col("received_at")).cast("smallint")).withColumn("raw_message_id", F.col("id"))
+    each = each.withColumn("derived", F.lit(False))
+    if formulas:
+        each = with_derived(each, definitions, formulas)
     each = quality.suspects(each, definitions) if suspects else each.withColumn("suspect", F.lit(False))
     code = quality.quality_code(metrics.forecast(F.col("source_type"), F.col("topic")), F.col("time_corrected").isNotNull(), F.col("out_of_range"), F.col("suspect"), F.col("unverified"))
     late = quality.is_late(F.col("time"), F.col("received_at"))
     points = each.where("message_error IS NULL").select(
-        "device_id", "metric_key", "time", "organization_id", "value", code.alias("quality"), late.cast("smallint").alias("flags"), F.coalesce("virtual", F.lit(False)).alias("is_virtual"), "received_at", F.col("id").alias("raw_message_id")
+        "device_id", "metric_key", "time", "organization_id", "value", code.alias("quality"), (late.cast("int") + F.when(F.col("derived"), DERIVED).otherwise(0)).cast("smallint").alias("flags"), F.coalesce("virtual", F.lit(False)).alias("is_virtual"), "received_at", F.col("id").alias("raw_message_id")
     )
     if on_change is not None:
         points = metrics.stored(points, on_change)
     return out.select("id", "message_id", "organization_id", "source_id", "dedup_key", "received_at", "external_id", "device_id", "time", "time_corrected", "status", F.col("result_error").alias("error")), points
 
 
+def with_derived(points: DataFrame, definitions: DataFrame, formulas: dict[str, str]) -> DataFrame:
+    """points of good messages and what formulas make of them, judged like all others; rolling windows see these points only."""
+    points = store.written(points)  # read several times
+    good = points.where("message_error IS NULL")
+    found = formula.evaluate(good.where("device_id IS NOT NULL"), formulas)
+    own = [c for c in points.columns if c not in ("device_id", "time", "metric_key", "value", "unit", "unverified", "out_of_range", "original_key", "derived")]
+    carriers = good.groupBy("device_id", "time").agg(F.min_by(F.struct(*own), "id").alias("_m")).select("device_id", "time", "_m.*")
+    d = definitions.select("metric_key", "unit", "valid_min", "valid_max", F.col("status").alias("_status"))
+    new = found.join(carriers, ["device_id", "time"]).join(d, "metric_key", "left").where("NOT coalesce(_status = 'IGNORED', false)")
+    new = new.withColumns({"original_key": F.col("metric_key"), "derived": F.lit(True), "unverified": F.col("_status").isNull() | (F.col("_status") == "UNVERIFIED"), "out_of_range": quality.out_of_range(F.col("value"), F.col("valid_min"), F.col("valid_max"))})
+    kept = points.join(found.select("device_id", "time", "metric_key"), ["device_id", "time", "metric_key"], "left_anti")
+    return kept.unionByName(new.select(*points.columns))
+
+
 def run(envelopes: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None], available_now: bool = True, every: str = "10 seconds") -> StreamingQuery:
     """Start handling micro-batches of envelopes; handle must write by key, as a batch may come again."""
     writer = envelopes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(handle)
