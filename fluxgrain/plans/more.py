@@ -306,6 +306,37 @@ def ingest_formulas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return points.select("raw_message_id", "device_id", "metric_key", "time", "value", "quality", (F.col("flags").bitwiseAND(16) != 0).alias("derived"))
 
 
+def dropping(message: dict, context: dict) -> dict | None:
+    """Drops one in ten messages, fails on another, and adds a metric to all others."""
+    last = int(message["messageId"]) % 10
+    if last == 2:
+        raise ValueError("no such message")
+    if last == 0:
+        return None
+    return {**message, "metrics": [{**m, "value": m["value"] + 1} for m in message["metrics"]] + [{"key": "extra", "value": True, "unit": "n"}]}
+
+
+def strict(message: dict, context: dict) -> dict:
+    if int(message["messageId"]) % 10 == 1:
+        raise ValueError("refused")
+    return message
+
+
+@query(
+    "ingest_transform",
+    f"""WITH i AS ({messages.INGESTED}), p AS ({messages.POINTS}), t AS (SELECT *, CASE WHEN raw_message_id % 10 = 2 THEN value ELSE value + 1 END AS v FROM p WHERE raw_message_id % 10 > 1),
+o AS (SELECT raw_message_id AS id, metric_key, v AS value, CASE WHEN metric_key = 'view' THEN CASE WHEN v < 5 OR v > 100 THEN 1 ELSE 0 END WHEN metric_key = 'signup' AND v > 10 THEN 1 ELSE 2 END AS quality, false AS derived FROM t
+  UNION ALL SELECT raw_message_id, 'extra', 1, 2, true FROM t WHERE raw_message_id % 10 > 2)
+SELECT id, CASE WHEN status = 'OK' AND id % 10 = 1 THEN 'SCRIPT_ERROR' ELSE status END AS status, status = 'OK' AND id % 10 = 0 AS dropped, metric_key, value, quality, derived FROM i LEFT JOIN o USING (id)""",
+)
+def ingest_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Uplinks through the whole pipeline with two functions of different policies: what becomes of each message and its points."""
+    p = from_events(spark, sf_dir)
+    out, points = ingest.process(store.written(messages.uplink(p)), messages.SOURCES, *messages.dimensions(spark, p), transforms=[(dropping, "FAIL_OPEN"), (strict, "FAIL_CLOSED")])
+    own = points.select(F.col("raw_message_id").alias("id"), "metric_key", "value", "quality", (F.col("flags").bitwiseAND(16) != 0).alias("derived"))
+    return out.select("id", "status", "dropped").join(own, "id", "left")
+
+
 BEAT = """'{"meta":{"heartbeat":{' || CASE WHEN raw_message_id % 3 = 0 THEN '"sentAt":"S",' ELSE '' END || '"stages":[{"name":"sim","at":"A"}' || CASE WHEN raw_message_id % 2 = 0 THEN ',{"name":"ingress","at":"B"}' ELSE '' END || ']}}}'"""
 ISO = lambda t: f"CASE WHEN epoch_us({t}) % 1000000 = 0 THEN strftime({t}, '%Y-%m-%dT%H:%M:%SZ') WHEN epoch_us({t}) % 1000 = 0 THEN strftime({t}, '%Y-%m-%dT%H:%M:%S.%gZ') ELSE strftime({t}, '%Y-%m-%dT%H:%M:%S.%fZ') END"
 

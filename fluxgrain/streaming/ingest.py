@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fluxgrain.functions import formula
+from fluxgrain.functions import formula, scalars
 from fluxgrain.operators import decode, metrics, quality, state
+from fluxgrain.operators import scripts as scripts_
 from fluxgrain.sources import store
 from fluxgrain.sources.telemetry import DERIVED
 
@@ -39,12 +40,13 @@ def from_json_lines(lines: DataFrame, column: str = "value") -> tuple[DataFrame,
     return good, rows.where(bad).select(F.col(column))
 
 
-def process(messages: DataFrame, sources: dict[int, dict], devices: DataFrame, definitions: DataFrame, aliases: DataFrame, scripts: dict | None = None, seen: DataFrame | None = None, suspects: bool = False, on_change: DataFrame | None = None, policies: DataFrame | None = None, formulas: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+def process(messages: DataFrame, sources: dict[int, dict], devices: DataFrame, definitions: DataFrame, aliases: DataFrame, scripts: dict | None = None, seen: DataFrame | None = None, suspects: bool = False, on_change: DataFrame | None = None, policies: DataFrame | None = None, formulas: dict[str, str] | None = None, transforms: list[tuple[Callable, str]] | None = None) -> tuple[DataFrame, DataFrame]:
     """(messages with status and error, points) of a bounded set of envelopes.
 
     seen: stored messages of the ten minutes before (state.recent()); suspects: judge stuck values and jumps too (definitions then have value_type and
     state_type); on_change: the (organization_id, metric_key) whose points are stored only when they change; policies: sources that register unknown devices
-    (metrics.registered()); formulas: metrics derived from a message's own, which take the place of a metric of the same key.
+    (metrics.registered()); formulas: metrics derived from a message's own, which take the place of a metric of the same key; transforms: (function, policy) pairs that
+    good messages go through before (with_transformed()).
     """
     early = metrics.rejected(messages)
     rows = messages.withColumn("early", early)
@@ -77,6 +79,10 @@ def process(messages: DataFrame, sources: dict[int, dict], devices: DataFrame, d
     )
     each = each.withColumn("flags", quality.is_late(F.col("time"), F.col("received_at")).cast("smallint")).withColumn("raw_message_id", F.col("id"))
     each = each.withColumn("derived", F.lit(False))
+    if transforms:
+        each, told = with_transformed(each, definitions, transforms)
+        out = out.join(told, "message_id", "left").withColumns({"status": F.when(F.col("script_error").isNotNull(), "SCRIPT_ERROR").otherwise(F.col("status")), "result_error": F.coalesce("script_error", "result_error")})
+    out = out.withColumn("dropped", F.coalesce("dropped", F.lit(False)) if transforms else F.lit(False))
     if formulas:
         each = with_derived(each, definitions, formulas)
     each = quality.suspects(each, definitions) if suspects else each.withColumn("suspect", F.lit(False))
@@ -87,7 +93,43 @@ def process(messages: DataFrame, sources: dict[int, dict], devices: DataFrame, d
     )
     if on_change is not None:
         points = metrics.stored(points, on_change)
-    return out.select("id", "message_id", "organization_id", "source_id", "dedup_key", "received_at", "external_id", "device_id", "time", "time_corrected", "status", F.col("result_error").alias("error")), points
+    return out.select("id", "message_id", "organization_id", "source_id", "dedup_key", "received_at", "external_id", "device_id", "time", "time_corrected", "status", F.col("result_error").alias("error"), "dropped"), points
+
+
+#: Columns that a point has for itself; all others are its message's.
+OWN = ("metric_key", "value", "unit", "unverified", "out_of_range", "original_key", "derived")
+
+
+def judged(rows: DataFrame, definitions: DataFrame, columns: list[str]) -> DataFrame:
+    """New points (metric_key, value, given unit, derived) with unit, range and state by their definitions, ignored metrics left out."""
+    d = definitions.select("metric_key", F.col("unit").alias("_own_unit"), "valid_min", "valid_max", F.col("status").alias("_status"))
+    found = rows.join(d, "metric_key", "left").where("NOT coalesce(_status = 'IGNORED', false)")
+    beyond = quality.out_of_range(F.col("value"), F.col("valid_min"), F.col("valid_max"))
+    return found.withColumns({"unit": F.coalesce("_own_unit", "unit"), "unverified": F.col("_status").isNull() | (F.col("_status") == "UNVERIFIED"), "out_of_range": beyond}).select(*columns)
+
+
+def with_transformed(points: DataFrame, definitions: DataFrame, functions: list[tuple[Callable, str]]) -> tuple[DataFrame, DataFrame]:
+    """(points, (message_id, script_error, dropped)) of good messages that go as JSON through functions(message, context), which may change their metrics.
+
+    A message is {messageId, deviceId, measuredAt, metrics: [{key, value, unit}]}. None drops its points; keys that were not there are derived. What
+    breaks the contract (scripts.valid_output()) counts as a failure: of a closed policy if any function has one, else the message stays as it was.
+    """
+    points = store.written(points)  # read several times
+    good = points.where("message_error IS NULL")
+    shared = [c for c in points.columns if c not in OWN and c != "message_id"]
+    metric = F.struct(F.col("metric_key").alias("key"), "value", "unit")
+    m = good.groupBy("message_id").agg(F.min_by(F.struct(*shared), "metric_key").alias("_m"), F.sort_array(F.collect_list(metric)).alias("metrics"), F.map_from_entries(F.collect_list(F.struct("metric_key", F.struct("original_key", "derived")))).alias("_before"))
+    said = F.to_json(F.struct(F.col("message_id").alias("messageId"), F.col("_m.device_id").alias("deviceId"), scalars.instant_text(F.col("_m.time")).alias("measuredAt"), "metrics"))
+    done = scripts_.transform(m.withColumn("message", said), functions).withColumn("_r", scripts_.valid_output(F.col("message")))
+    broken = F.when(F.col("script_error").isNull() & ~F.col("dropped"), F.col("_r.error"))
+    closed = any(policy == "FAIL_CLOSED" for _, policy in functions)
+    done = done.withColumn("script_error", F.coalesce("script_error", broken) if closed else F.col("script_error"))
+    done = store.written(done.withColumn("metrics", F.coalesce("_r.metrics", "metrics")).drop("_r", "message"))
+    each = done.where("script_error IS NULL AND NOT dropped").select("message_id", "_m.*", "_before", F.explode("metrics").alias("_v")).select("*", "_v.*").drop("_v").withColumnRenamed("key", "metric_key")
+    was = F.try_element_at("_before", F.col("metric_key"))
+    each = each.withColumns({"original_key": F.coalesce(was["original_key"], "metric_key"), "derived": F.coalesce(was["derived"], F.lit(True))})
+    rest = points.where("message_error IS NOT NULL")
+    return rest.unionByName(judged(each, definitions, points.columns)), done.select("message_id", "script_error", "dropped")
 
 
 def with_derived(points: DataFrame, definitions: DataFrame, formulas: dict[str, str]) -> DataFrame:
@@ -95,13 +137,11 @@ def with_derived(points: DataFrame, definitions: DataFrame, formulas: dict[str,
     points = store.written(points)  # read several times
     good = points.where("message_error IS NULL")
     found = formula.evaluate(good.where("device_id IS NOT NULL"), formulas)
-    own = [c for c in points.columns if c not in ("device_id", "time", "metric_key", "value", "unit", "unverified", "out_of_range", "original_key", "derived")]
-    carriers = good.groupBy("device_id", "time").agg(F.min_by(F.struct(*own), "id").alias("_m")).select("device_id", "time", "_m.*")
-    d = definitions.select("metric_key", "unit", "valid_min", "valid_max", F.col("status").alias("_status"))
-    new = found.join(carriers, ["device_id", "time"]).join(d, "metric_key", "left").where("NOT coalesce(_status = 'IGNORED', false)")
-    new = new.withColumns({"original_key": F.col("metric_key"), "derived": F.lit(True), "unverified": F.col("_status").isNull() | (F.col("_status") == "UNVERIFIED"), "out_of_range": quality.out_of_range(F.col("value"), F.col("valid_min"), F.col("valid_max"))})
+    shared = [c for c in points.columns if c not in OWN and c not in ("device_id", "time")]
+    carriers = good.groupBy("device_id", "time").agg(F.min_by(F.struct(*shared), "id").alias("_m")).select("device_id", "time", "_m.*")
+    new = found.join(carriers, ["device_id", "time"]).withColumns({"original_key": F.col("metric_key"), "derived": F.lit(True), "unit": F.lit(None).cast("string")})
     kept = points.join(found.select("device_id", "time", "metric_key"), ["device_id", "time", "metric_key"], "left_anti")
-    return kept.unionByName(new.select(*points.columns))
+    return kept.unionByName(judged(new, definitions, points.columns))
 
 
 def run(envelopes: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None], available_now: bool = True, every: str = "10 seconds") -> StreamingQuery:
