@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
-MAX_LENGTH = 500
+MAX_LENGTH, MAX_POINTS = 500, 1440
 
 
 class FormulaError(ValueError):
@@ -224,12 +224,13 @@ def _column(tree: tuple, metric: Callable, rolling: Callable | None) -> Column:
     return {"+": lambda: a + b, "-": lambda: a - b, "*": lambda: a * b, "/": lambda: F.try_divide(a, b), "%": lambda: F.try_mod(a, b), "^": lambda: F.pow(a, b)}[kind]()
 
 
-def evaluate(points, formulas: dict[str, str]):
+def evaluate(points, formulas: dict[str, str], most: int = MAX_POINTS):
     """Derived points (device_id, time, metric_key, value) of points (device_id, metric_key, time, value, flags), one for each formula and
     instant at which the device has all of its inputs and the result is finite.
 
-    A rolling window of d seconds at t holds the key's earlier points with t - d <= time < t, late ones left out, and the point at t. Inputs
-    are pivoted to one row per device and instant by a grouped maximum, and all windows share one exchange on the device.
+    A rolling window of d seconds at t holds the key's earlier points with t - d <= time < t, late ones left out and of the others the ``most``
+    latest, and the point at t. Inputs are pivoted to one row per device and instant by a grouped maximum, and all windows share one exchange on
+    the device. The latest points are a range of their numbers, so that no window is gathered in a list.
     """
     parsed = {name: parse(source) for name, source in formulas.items()}
     keys = sorted({k for f in parsed.values() for k in f.inputs})
@@ -237,16 +238,23 @@ def evaluate(points, formulas: dict[str, str]):
     at = points.where(F.col("metric_key").isin(*keys)).groupBy("device_id", "time")
     wide = at.agg(*[F.max(F.when(F.col("metric_key") == k, F.col("value"))).alias(f"v_{k}") for k in keys], *[F.max(F.when((F.col("metric_key") == k) & ~late, F.col("value"))).alias(f"s_{k}") for k in keys])
 
+    series = Window.partitionBy("device_id")
+    earlier = series.orderBy(F.unix_micros("time")).rowsBetween(Window.unboundedPreceding, -1)
+    wide = wide.withColumns({f"n_{k}": F.count(f"s_{k}").over(earlier) for k in sorted({k for f in parsed.values() for k, _ in f.windows})})
+
     def rolling(name: str, key: str, size: int) -> Column:
-        frame = Window.partitionBy("device_id").orderBy(F.unix_micros("time")).rangeBetween(-size * 1_000_000, -1)
+        frame = series.orderBy(F.unix_micros("time")).rangeBetween(-size * 1_000_000, -1)
+        latest = series.orderBy(f"n_{key}").rangeBetween(-most, -1)
         before, now = F.col(f"s_{key}"), F.col(f"v_{key}")
-        total, n = F.coalesce(F.sum(before.cast("decimal(18,6)")).over(frame), F.lit(0).cast("decimal(28,6)")) + now.cast("decimal(18,6)"), F.count(before).over(frame) + 1
+        over = lambda f: F.when(F.count(before).over(frame) > most, f.over(latest)).otherwise(f.over(frame))
+        total = F.coalesce(over(F.sum(before.cast("decimal(18,6)"))), F.lit(0).cast("decimal(28,6)")) + now.cast("decimal(18,6)")
+        n = F.least(F.count(before).over(frame), F.lit(most)) + 1
         values = {
             "rolling_mean": total.cast("double") / n,
             "rolling_sum": total.cast("double"),
             "rolling_count": n.cast("double"),
-            "rolling_min": F.least(F.min(before).over(frame), now),
-            "rolling_max": F.greatest(F.max(before).over(frame), now),
+            "rolling_min": F.least(over(F.min(before)), now),
+            "rolling_max": F.greatest(over(F.max(before)), now),
         }
         return F.when(now.isNotNull(), values[name])
 

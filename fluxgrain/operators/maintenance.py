@@ -5,6 +5,8 @@ Tables are DataFrames in and DataFrames out; sources.store writes them. Nothing
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -92,6 +94,33 @@ def retention_preview(points: DataFrame, policies: DataFrame, now: Column, devic
     return out.withColumn("percent", F.round((F.col("n_expired") * 100 / F.col("n_rows")).cast("decimal(12,6)"), 1).cast("double"))
 
 
+def retention_preview_items(tables: dict[str, tuple[DataFrame, str, int]], items: list[tuple[str, str | None, str, int]], organization_id: int, now: Column) -> DataFrame:
+    """(position, scope, scope_ref, data_class, n_rows, n_bytes) for each item (scope, scope_ref, data_class, retain_days): the organisation's rows older
+    than its days, and their part of the table's bytes.
+
+    tables: data class -> (rows, time column, bytes of the table). 0 days keep for ever. METRIC items count their metric's rows where the table has metrics.
+    A table is scanned once for all of its items, by one global aggregate with partial sums.
+    """
+    if unknown := {c for _, _, c, _ in items} - tables.keys():
+        raise ValueError(f"unknown data classes {sorted(unknown)}")
+    out = []
+    for name, (rows, time, size) in tables.items():
+        own = [(i, *item) for i, item in enumerate(items) if item[2] == name]
+        if not own:
+            continue
+        counts = [F.count("*").alias("n")]
+        for i, scope, ref, _, days in own:
+            old = (F.col("organization_id") == organization_id) & (F.col(time) < now - F.expr(f"interval {int(days)} days")) if days else F.lit(False)
+            if scope.upper() == "METRIC" and ref is not None and "metric_key" in rows.columns:
+                old &= F.col("metric_key") == ref
+            counts.append(F.count(F.when(old, 1)).alias(f"n{i}"))
+        text = lambda x: F.lit(x).cast("string")
+        part = lambda i: F.coalesce(F.floor(F.try_divide(F.lit(size).cast("decimal(20,0)") * F.col(f"n{i}"), F.col("n"))), F.lit(0)).cast("bigint")
+        structs = [F.struct(F.lit(i).alias("position"), text(s).alias("scope"), text(r).alias("scope_ref"), text(c).alias("data_class"), F.col(f"n{i}").alias("n_rows"), part(i).alias("n_bytes")) for i, s, r, c, _ in own]
+        out.append(rows.agg(*counts).select(F.inline(F.array(*structs))))
+    return reduce(DataFrame.unionByName, out)
+
+
 def reprocess_targets(raw: DataFrame, source_id: int, start: Column, end: Column, only_failed: bool = False, device_ids: list[int] | None = None, after_id: int = 0) -> DataFrame:
     """The raw messages that a repeat of processing takes, in the order of their ids: duplicates never, OK ones unless only failed ones are asked for."""
     rows = raw.where((F.col("source_id") == source_id) & (F.col("received_at") >= start) & (F.col("received_at") < end) & (F.col("id") > after_id) & (F.col("status") != "DUPLICATE"))

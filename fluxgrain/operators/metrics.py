@@ -14,6 +14,9 @@ MAX_PAYLOAD, KEPT_PAYLOAD, MAX_VALUES, MAX_KEY, MAX_TEXT = 262_144, 4_096, 100,
 SOURCE_TYPES = ("MQTT_SUBSCRIBE", "PLATFORM_BROKER", "WEBHOOK", "SIMULATION", "CONNECTOR", "EDGE", "KMA_WEATHER", "AIRKOREA", "HOLIDAY", "ICAL", "ONEM2M", "OPCUA", "MODBUS_TCP")
 HEARTBEAT, STAGES = "__heartbeat__", "sentAt string, stages array<struct<name:string,at:string>>"
 REPROCESSABLE = ("DECODE_ERROR", "SCRIPT_ERROR", "STORE_ERROR", "PUBLISH_ERROR", "UNKNOWN_DEVICE_REJECTED")
+STATUSES = ("RECEIVED", "OK", "DUPLICATE", *REPROCESSABLE, "INVALID")
+PAYLOAD_FORMATS = ("JSON", "CBOR", "MSGPACK", "PROTOBUF", "AVRO", "CSV", "TEXT", "BINARY", "SPARKPLUG_B")
+SIGNATURES = ("VERIFIED", "UNSIGNED", "INVALID")
 DLQ_STAGES = {"DECODE_ERROR": "DECODE", "SCRIPT_ERROR": "SCRIPT", "STORE_ERROR": "STORE", "PUBLISH_ERROR": "PUBLISH"}
 
 
@@ -45,6 +48,17 @@ def dlq_stage(status: Column) -> Column:
     return F.try_element_at(F.create_map(*[F.lit(x) for kv in DLQ_STAGES.items() for x in kv]), status)
 
 
+def may_become(status: Column, following: Column, again: bool = False) -> Column:
+    """Whether a message may go from one status to the next: from RECEIVED to any result or, processed again, from a failure to any result."""
+    source = status.isin(*REPROCESSABLE) if again else status == "RECEIVED"
+    return F.coalesce(source & following.isin(*STATUSES) & (following != "RECEIVED"), F.lit(False))
+
+
+def known_name(value: Column, names: tuple[str, ...]) -> Column:
+    """The value if it is one of the names that the contract lists (PAYLOAD_FORMATS, SIGNATURES), else null."""
+    return F.when(value.isin(*names), value)
+
+
 def identified(messages: DataFrame, devices: DataFrame, policy: Column | None = None) -> DataFrame:
     """messages (source_id, external_id) with device_id and device_error; deleted devices are missing, ignored ones rejected.
 

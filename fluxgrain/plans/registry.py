@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from fluxgrain.plans import checks, messages, more, rollups, tables
+from fluxgrain.plans import checks, items, messages, more, rollups, tables
 
 QUERIES: dict = {}
 ORACLES: dict = {}
-for module in (rollups, checks, messages, tables, more):
+for module in (rollups, checks, messages, tables, more, items):
     QUERIES.update(module.QUERIES)
     ORACLES.update(module.ORACLES)
 FLAGSHIP = "rollup_1d_local"

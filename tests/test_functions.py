@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fluxgrain.functions import formula, jsonpaths, scalars
-from fluxgrain.operators import decode, maintenance, metrics, quality, rollup, scripts, state
+from fluxgrain.operators import decode, letters, maintenance, metrics, quality, rollup, scripts, state
 from fluxgrain.sources import store
 
 T0 = dt.datetime(2026, 10, 3)
@@ -53,6 +53,21 @@ def test_rolling_window_bounds(spark):
     assert got[at(12)] == pytest.approx((sum(400 + 10 * m for m in range(2, 12)) + 600) / 11)
 
 
+def test_rolling_window_length(spark):
+    rows = [(1, "co2", T0 + dt.timedelta(seconds=i), float(i), int(i == 1490)) for i in range(1500)]
+    p = spark.createDataFrame(rows, "device_id bigint, metric_key string, time timestamp, value double, flags int")
+    got = {(r["metric_key"], r["time"]): r["value"] for r in formula.evaluate(p, {"n": "rolling_count(co2, 1h)", "low": "rolling_min(co2, 1h)"}).collect()}
+    last = T0 + dt.timedelta(seconds=1499)
+    assert (got["n", last], got["low", last]) == (1441, 58)
+    assert (got["n", T0 + dt.timedelta(seconds=100)], got["low", T0 + dt.timedelta(seconds=100)]) == (101, 0)
+
+
+def test_letters_are_limited(spark):
+    assert letters.checked(spark.range(5000)).count() == 5000
+    with pytest.raises(ValueError):
+        letters.checked(spark.range(5001))
+
+
 def test_paths(spark):
     j = json.dumps({"a": [{"k": 1}, {"k": None}, {"b": "x"}], "c d": {"e": True}})
     row = spark.createDataFrame([(j,)], "j string").select(jsonpaths.first(F.col("j"), "$['c d'].e"), jsonpaths.first(F.col("j"), "$.a[*].b"), jsonpaths.first(F.col("j"), "$.a[1].k")).first()
