@@ -69,6 +69,59 @@ SELECT query_id, (row_number() OVER w)::INTEGER AS rank, vec_id, score FROM pair
 WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY rank <= 5"""
 
 
+def quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op5's fixed rules are judged by, of which SQL can say all."""
+    found = quality.counts(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+QUALITY_COUNTS_SQL = r"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+windows AS (SELECT r, unnest(range(1, len(w) - 1)) AS i, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS words FROM w),
+again AS (SELECT r, unnest([i, i + 1, i + 2]) AS i FROM (SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, words) > 1)),
+covered AS (SELECT r, count(DISTINCT i) AS n FROM again GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+  (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words, len(w) < 50 OR 100 * coalesce(n, 0) > 50 * len(w) AS base_failed
+FROM w LEFT JOIN covered USING (r)"""
+
+
+def pii_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The kinds of op7 with a fixed definition: counts and places."""
+    return pii.pii_digest(table(spark, sf_dir, "documents")).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256")
+
+
+def spans_sql(rank: int, kind: str, pattern: str, holds: str) -> str:
+    """The matches of a pattern with what stands before each, so that lengths add up to places."""
+    part = lambda group: f"unnest(regexp_extract_all(t, '(?s)(.*?)({pattern})', {group}))"
+    return rf"""SELECT r, {rank} AS rank, '{kind}' AS kind, till - length(hit) AS start, till FROM (SELECT r, hit, sum(length(gap) + length(hit)) OVER (PARTITION BY r ORDER BY i) AS till
+  FROM (SELECT r, {part(1)} AS gap, {part(2)} AS hit, unnest(range(len(regexp_extract_all(t, '(?s)(.*?)({pattern})', 2)))) AS i FROM d)) WHERE {holds}"""
+
+
+DIGITS = "regexp_replace(hit, '[^0-9]', '', 'g')"
+LUHN = f"list_sum(list_transform(range(length({DIGITS})), lambda j: CASE WHEN j % 2 = 0 THEN reverse({DIGITS})[j + 1]::INTEGER ELSE [0, 2, 4, 6, 8, 1, 3, 5, 7, 9][reverse({DIGITS})[j + 1]::INTEGER + 1] END)) % 10 = 0"
+PII_BASE_SQL = rf"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+s AS ({spans_sql(0, 'email', '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:[.][A-Za-z0-9-]+)+', 'true')}
+UNION ALL {spans_sql(1, 'ip', '[0-9]+[.][0-9]+[.][0-9]+[.][0-9]+', "len(list_filter(string_split(hit, '.'), lambda x: coalesce(try_cast(x AS HUGEINT), 256) > 255)) = 0")}
+UNION ALL {spans_sql(2, 'card', '[0-9](?:[ -]?[0-9])+', f'CASE WHEN length({DIGITS}) BETWEEN 14 AND 19 THEN {LUHN} ELSE false END')}
+UNION ALL {spans_sql(3, 'phone', '[+][0-9][ ().0-9-]+[0-9]', f'length({DIGITS}) BETWEEN 10 AND 15')}),
+g AS (SELECT r, count(*) FILTER (rank = 0) AS e, count(*) FILTER (rank = 1) AS i, count(*) FILTER (rank = 2) AS c, count(*) FILTER (rank = 3) AS p, string_agg(kind || ':' || start || ':' || till, ',' ORDER BY start, rank) AS said FROM s GROUP BY r)
+SELECT doc_id, coalesce(e, 0) AS n_email, coalesce(i, 0) AS n_ip, coalesce(c, 0) AS n_card, coalesce(p, 0) AS n_phone, sha256(coalesce(said, '')) AS base_sha256 FROM d LEFT JOIN g USING (r)"""
+
+
+def mixing_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per source of op8's plan: rows and tokens of its first pass, and whether no row is read more often than the limit."""
+    first = F.col("copy") == 1
+    found = mixing.plan(table(spark, sf_dir, "documents")).groupBy("source")
+    return found.agg(
+        F.count(F.when(first, 1)).alias("n_docs"),
+        F.coalesce(F.sum(F.when(first, F.col("n_tokens"))), F.lit(0)).alias("n_tokens"),
+        ((F.max("copy") <= mixing.REPEATS) & (F.sum("n_tokens") <= mixing.REPEATS * F.sum(F.when(first, F.col("n_tokens"))))).alias("within"),
+    )
+
+
+MIXING_LIMITS_SQL = r"""SELECT source, count(*) AS n_docs, coalesce(sum(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))), 0)::BIGINT AS n_tokens, true AS within FROM documents GROUP BY source"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -87,6 +140,9 @@ def queries() -> dict:
         "op8_mixing": op8_mixing,
         "op9_toxicity": op9_toxicity,
         "op10_search": op10_search,
+        "quality_counts": quality_counts,
+        "pii_base": pii_base,
+        "mixing_limits": mixing_limits,
         "pipeline": pipeline,
     }
 
@@ -95,4 +151,7 @@ def oracle_sql() -> dict:
     return {
         "op1_license": license.scan_sql(),
         "op10_search": OP10_SQL,
+        "quality_counts": QUALITY_COUNTS_SQL,
+        "pii_base": PII_BASE_SQL,
+        "mixing_limits": MIXING_LIMITS_SQL,
     }
