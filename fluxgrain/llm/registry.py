@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fluxgrain.llm import langid, license, mixing, neardup, packing, pii, quality, search, substring, toxicity
+from fluxgrain.llm import importance, langid, license, mixing, neardup, packedids, packing, periodic, pii, quality, search, substring, toxicity
+from fluxgrain.llm.crc import crc32_sql
+from fluxgrain.llm.lineage import folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +73,58 @@ SELECT query_id, (row_number() OVER w)::INTEGER AS rank, vec_id, score FROM pair
 WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY rank <= 5"""
 
 
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def features_sql(text: str) -> str:
+    return rf"regexp_extract_all(translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')"
+
+
+OP11_SQL = f"""WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {features_sql('text')} AS w FROM documents),
+b AS (SELECT {features_sql('text')} AS w FROM benchmark),
+said AS MATERIALIZED (SELECT r, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS f FROM d),
+asked AS (SELECT unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS f FROM b),
+every AS (SELECT f FROM said UNION SELECT f FROM asked),
+hashed AS MATERIALIZED (SELECT f, {crc32_sql('f')} % 10000 AS bucket FROM every),
+s AS (SELECT bucket, count(*) AS s FROM said JOIN hashed USING (f) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM asked JOIN hashed USING (f) GROUP BY bucket),
+gain AS (SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM said) + 10000)::DOUBLE / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT count(*) FROM asked) + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM (SELECT DISTINCT bucket FROM hashed) LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket)),
+weight AS (SELECT r, count(*) AS n, sum(gain) AS g FROM said JOIN hashed USING (f) JOIN gain USING (bucket) GROUP BY r),
+scored AS (SELECT doc_id, len(w) AS n_words, coalesce(n, 0)::BIGINT AS n_features, floor(coalesce(g / n, 0))::BIGINT AS weight,
+  floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS noise FROM d LEFT JOIN weight USING (r)),
+placed AS (SELECT *, weight + noise AS score, row_number() OVER (PARTITION BY n_words >= 20 AND doc_id IS NOT NULL ORDER BY weight + noise DESC, doc_id) AS place,
+  25 * count(*) FILTER (n_words >= 20 AND doc_id IS NOT NULL) OVER () // 100 AS drawn FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND doc_id IS NOT NULL AND place <= drawn THEN place END AS rank FROM placed"""
+
+
+def op12_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{folder(spark)}/ids-{uuid.uuid4().hex}"
+    packedids.write(table(spark, sf_dir, "documents"), path)
+    return packedids.read(spark, path).select("doc_id", "start", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digest(periodic.find(table(spark, sf_dir, "documents"), change=periodic.looped))
+
+
+OP13_SQL = rf"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, coalesce({crc32_sql('doc_id::VARCHAR')}, 1) AS h FROM documents),
+e AS (SELECT r, doc_id, w, h % 10 = 0 AND len(w) > 0 AS loops, (h // 10) % greatest(len(w), 1) AS a, 3 + (h // 10) % 8 AS folds FROM d),
+f AS (SELECT r, doc_id, CASE WHEN loops THEN w[1:a] || list_transform(range(len(w) - a), lambda i: w[a + i % (1 + (len(w) - a) // folds) + 1]) ELSE w END AS w FROM e),
+each AS (SELECT r, unnest(w) AS word, unnest(range(len(w))) AS i, len(w) AS n FROM f),
+pairs AS (SELECT x.r, x.i, y.i - x.i AS q FROM each x JOIN each y ON x.r = y.r AND x.word = y.word AND y.i > x.i WHERE 4 * (y.i - x.i) <= x.n),
+kept AS (SELECT r, q, min(i) AS start, count(*) + q AS length FROM (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM pairs) GROUP BY r, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (SELECT r, start, length, min(q) AS period FROM kept GROUP BY r, start, length),
+told AS (SELECT r, count(*) AS n_runs, max(struct_pack(length, s := -start, p := -period)) AS best, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM runs GROUP BY r),
+gone AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM runs),
+texts AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS words FROM each ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, -best.s::BIGINT AS start, best.length::BIGINT AS length, -best.p::BIGINT AS period, (1000 * best.length // -best.p)::BIGINT AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(words, '')) AS collapsed_sha256
+FROM f LEFT JOIN told USING (r) LEFT JOIN texts USING (r)"""
+
+
 def quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What op5's fixed rules are judged by, of which SQL can say all."""
     found = quality.counts(table(spark, sf_dir, "documents"))
@@ -140,6 +196,9 @@ def queries() -> dict:
         "op8_mixing": op8_mixing,
         "op9_toxicity": op9_toxicity,
         "op10_search": op10_search,
+        "op11_resample": op11_resample,
+        "op12_binary": op12_binary,
+        "op13_runs": op13_runs,
         "quality_counts": quality_counts,
         "pii_base": pii_base,
         "mixing_limits": mixing_limits,
@@ -151,6 +210,8 @@ def oracle_sql() -> dict:
     return {
         "op1_license": license.scan_sql(),
         "op10_search": OP10_SQL,
+        "op11_resample": OP11_SQL,
+        "op13_runs": OP13_SQL,
         "quality_counts": QUALITY_COUNTS_SQL,
         "pii_base": PII_BASE_SQL,
         "mixing_limits": MIXING_LIMITS_SQL,
