@@ -11,7 +11,7 @@ import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_LENGTH, MAX_POINTS = 500, 1440
@@ -224,41 +224,118 @@ def _column(tree: tuple, metric: Callable, rolling: Callable | None) -> Column:
     return {"+": lambda: a + b, "-": lambda: a - b, "*": lambda: a * b, "/": lambda: F.try_divide(a, b), "%": lambda: F.try_mod(a, b), "^": lambda: F.pow(a, b)}[kind]()
 
 
-def evaluate(points, formulas: dict[str, str], most: int = MAX_POINTS):
+#: Seconds of a part of a device's rows, if its windows are not longer.
+PART = 6 * 3600
+#: Sums are carried as whole millionths in two numbers of which the lower one has so many bits.
+LOW_BITS = 31
+
+
+def _shape(windows: list[tuple[str, int]]) -> str:
+    return "".join(f", n_{i} bigint, high_{i} bigint, low_{i} bigint, min_{i} double, max_{i} double" for i in range(len(windows)))
+
+
+def _range_extremes(values, low, high, combine):
+    """combine (np.fmin or np.fmax) of values[low:high] for many ranges at once, each by the two powers of two that cover it; NaN where it is empty."""
+    import numpy as np
+
+    out = np.full(len(low), np.nan)
+    level, table, size = 0, values, 1
+    wide = np.maximum(high - low, 1)
+    power = np.floor(np.log2(wide)).astype(np.int64)
+    while True:
+        at = np.flatnonzero((power == level) & (high > low))
+        if len(at):
+            out[at] = combine(table[low[at]], table[high[at] - size])
+        if level >= power.max(initial=0):
+            return out
+        table = combine(table[:-size], table[size:])
+        level, size = level + 1, size * 2
+
+
+def windowed(wide: DataFrame, keys: list[str], windows: list[tuple[str, int]], most: int = MAX_POINTS) -> DataFrame:
+    """wide (device_id, time, late, asks, v_key and u_key …) with count, sum, least and greatest of each window (key, seconds) before the row.
+
+    A device's rows are cut into parts as long as the longest window (six hours at least); each row goes to its own part and, to be looked back on, to the next one, so no
+    task holds more than two parts of one device. Within a part a window is two binary searches: sums are differences of running sums of whole numbers, extremes come from a table of
+    powers of two. Only the ``most`` latest points of a key count; late rows have no window; rows without asks are only looked back on.
+    """
+    import numpy as np
+    import pandas as pd
+
+    part = max([PART, *[size for _, size in windows]]) * 1_000_000
+    own = [c for c in wide.columns if c not in ("asks", *[f"u_{k}" for k in keys])]
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("us", kind="stable")
+        asked = pdf[pdf["asks"]]
+        at, on_time, out = asked["us"].to_numpy(), ~asked["late"].to_numpy(), {}
+        for i, (key, size) in enumerate(windows):
+            units = pdf[f"u_{key}"]
+            points = pdf[units.notna().to_numpy() & ~pdf["late"].to_numpy()].drop_duplicates("us")  # of one instant's values the first
+            us, value = points["us"].to_numpy(), points[f"v_{key}"].to_numpy(dtype=np.float64)
+            u = np.array([int(x) for x in points[f"u_{key}"]], dtype=np.int64)
+            running = [np.r_[0, np.cumsum(u >> LOW_BITS)], np.r_[0, np.cumsum(u & (1 << LOW_BITS) - 1)]]
+            high = np.where(on_time, np.searchsorted(us, at, side="left"), 0)
+            low = np.minimum(np.maximum(np.searchsorted(us, at - size * 1_000_000, side="left"), high - most), high)
+            out |= {f"n_{i}": high - low, f"high_{i}": running[0][high] - running[0][low], f"low_{i}": running[1][high] - running[1][low]}
+            out |= {f"min_{i}": _range_extremes(value, low, high, np.fmin), f"max_{i}": _range_extremes(value, low, high, np.fmax)}
+        return pd.concat([asked[own].reset_index(drop=True), pd.DataFrame(out)], axis=1)
+
+    rows = wide.withColumn("us", F.unix_micros("time")).withColumn("_part", F.floor(F.col("us") / part))
+    rows = rows.withColumn("_to", F.explode(F.array("_part", F.col("_part") + 1))).withColumn("asks", F.col("asks") & (F.col("_to") == F.col("_part")))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in wide.schema.fields if f.name in own)
+    return rows.drop("_part").groupBy("device_id", "_to").applyInPandas(run, kinds + _shape(windows))
+
+
+def evaluate(points: DataFrame, formulas: dict[str, str], most: int = MAX_POINTS, by: tuple[str, ...] = (), history: DataFrame | None = None, lists: DataFrame | None = None) -> DataFrame:
     """Derived points (device_id, time, metric_key, value) of points (device_id, metric_key, time, value, flags), one for each formula and
-    instant at which the device has all of its inputs and the result is finite.
+    instant (and values of the columns ``by``, such as a message's id) at which the device has all of its inputs and the result is finite.
 
-    A rolling window of d seconds at t holds the key's earlier points with t - d <= time < t, late ones left out and of the others the ``most``
-    latest, and the point at t. Inputs are pivoted to one row per device and instant by a grouped maximum, and all windows share one exchange on
-    the device. The latest points are a range of their numbers, so that no window is gathered in a list.
+    A rolling window of d seconds at t holds the key's points with t - d <= time < t, late ones left out and of the others the ``most``
+    latest, and the value at hand; it speaks if it holds any. What is late has no window but the value at hand. history: points of the same kind that
+    windows look back on too. lists: (device_id, names as map<string,int>): a device's formulas with an ordinal each, which the result then has; without it every formula applies to
+    every device. Inputs are pivoted by a grouped maximum; windows take one more exchange (windowed()).
     """
     parsed = {name: parse(source) for name, source in formulas.items()}
     keys = sorted({k for f in parsed.values() for k in f.inputs})
-    late = F.col("flags").bitwiseAND(1) != 0
-    at = points.where(F.col("metric_key").isin(*keys)).groupBy("device_id", "time")
-    wide = at.agg(*[F.max(F.when(F.col("metric_key") == k, F.col("value"))).alias(f"v_{k}") for k in keys], *[F.max(F.when((F.col("metric_key") == k) & ~late, F.col("value"))).alias(f"s_{k}") for k in keys])
-
-    series = Window.partitionBy("device_id")
-    earlier = series.orderBy(F.unix_micros("time")).rowsBetween(Window.unboundedPreceding, -1)
-    wide = wide.withColumns({f"n_{k}": F.count(f"s_{k}").over(earlier) for k in sorted({k for f in parsed.values() for k, _ in f.windows})})
+    windows = sorted({w for f in parsed.values() for w in f.windows})
+
+    def pivoted(rows: DataFrame, extra: tuple[str, ...]) -> DataFrame:
+        late = F.bool_or(F.col("flags").bitwiseAND(1) != 0)
+        value = {k: F.max(F.when(F.col("metric_key") == k, F.col("value"))).alias(f"v_{k}") for k in keys}
+        out = rows.where(F.col("metric_key").isin(*keys)).groupBy("device_id", "time", *extra).agg(late.alias("late"), *value.values())
+        return out
+
+    wide = pivoted(points, by)
+    if windows:
+        wide = wide.withColumn("asks", F.lit(True))
+        if history is not None:
+            old = pivoted(history.select("device_id", "metric_key", "time", "value", "flags"), ()).withColumn("asks", F.lit(False))
+            wide = wide.unionByName(old, allowMissingColumns=True)
+        units = {f"u_{k}": (F.col(f"v_{k}").try_cast("decimal(18,6)") * 1_000_000).cast("bigint") for k in {k for k, _ in windows}}
+        wide = windowed(wide.withColumns(units), list(dict.fromkeys(k for k, _ in windows)), windows, most)
 
     def rolling(name: str, key: str, size: int) -> Column:
-        frame = series.orderBy(F.unix_micros("time")).rangeBetween(-size * 1_000_000, -1)
-        latest = series.orderBy(f"n_{key}").rangeBetween(-most, -1)
-        before, now = F.col(f"s_{key}"), F.col(f"v_{key}")
-        over = lambda f: F.when(F.count(before).over(frame) > most, f.over(latest)).otherwise(f.over(frame))
-        total = F.coalesce(over(F.sum(before.cast("decimal(18,6)"))), F.lit(0).cast("decimal(28,6)")) + now.cast("decimal(18,6)")
-        n = F.least(F.count(before).over(frame), F.lit(most)) + 1
+        i, now = windows.index((key, size)), F.col(f"v_{key}")
+        n = F.col(f"n_{i}") + now.isNotNull().cast("int")
+        total = (F.col(f"high_{i}").cast("decimal(28,0)") * (1 << LOW_BITS) + F.col(f"low_{i}")) * F.lit("0.000001").cast("decimal(7,6)") + F.coalesce(now.try_cast("decimal(18,6)"), F.lit(0))
+        # pandas' NaN is an empty window's extreme
+        real = lambda c: F.when(~F.isnan(c), c)
         values = {
             "rolling_mean": total.cast("double") / n,
             "rolling_sum": total.cast("double"),
             "rolling_count": n.cast("double"),
-            "rolling_min": F.least(over(F.min(before)), now),
-            "rolling_max": F.greatest(over(F.max(before)), now),
+            "rolling_min": F.least(real(F.col(f"min_{i}")), now),
+            "rolling_max": F.greatest(real(F.col(f"max_{i}")), now),
         }
-        return F.when(now.isNotNull(), values[name])
+        return F.when(n > 0, values[name])
 
-    wide = wide.select("device_id", "time", *[f.column(lambda k: F.col(f"v_{k}"), rolling).alias(f"f_{i}") for i, f in enumerate(parsed.values())])
+    if lists is not None:
+        wide = wide.join(lists.select("device_id", "names"), "device_id")
+    own = lambda name: F.lit(True) if lists is None else F.map_contains_key("names", name)
+    columns = [F.when(own(name), f.column(lambda k: F.col(f"v_{k}"), rolling)).alias(f"f_{i}") for i, (name, f) in enumerate(parsed.items())]
+    wide = wide.select("device_id", "time", *by, *([] if lists is None else ["names"]), *columns)
     results = F.array(*[F.struct(F.lit(name).alias("metric_key"), F.col(f"f_{i}").alias("value")) for i, name in enumerate(parsed)])
-    out = wide.select("device_id", "time", F.inline(results))
-    return out.where(F.col("value").isNotNull())
+    ordinal = [] if lists is None else [F.try_element_at("names", F.col("metric_key")).alias("ordinal")]
+    out = wide.select("*", F.inline(results)).where(F.col("value").isNotNull())
+    return out.select("device_id", "time", *by, "metric_key", "value", *ordinal)

@@ -10,7 +10,7 @@ from fluxgrain.operators import quality, state
 from fluxgrain.sources.telemetry import DERIVED, LATE
 
 MAX_PAYLOAD, KEPT_PAYLOAD, MAX_VALUES, MAX_KEY, MAX_TEXT = 262_144, 4_096, 100, 64, 1_024
-#: Source types, the states of a message that can be processed again, and the stages of dead letters.
+#: Source types, the states of a message (those that can be processed again first), payload formats, signatures, and the stages of dead letters.
 SOURCE_TYPES = ("MQTT_SUBSCRIBE", "PLATFORM_BROKER", "WEBHOOK", "SIMULATION", "CONNECTOR", "EDGE", "KMA_WEATHER", "AIRKOREA", "HOLIDAY", "ICAL", "ONEM2M", "OPCUA", "MODBUS_TCP")
 HEARTBEAT, STAGES = "__heartbeat__", "sentAt string, stages array<struct<name:string,at:string>>"
 REPROCESSABLE = ("DECODE_ERROR", "SCRIPT_ERROR", "STORE_ERROR", "PUBLISH_ERROR", "UNKNOWN_DEVICE_REJECTED")
@@ -36,12 +36,12 @@ def stored_payload(payload: Column) -> Column:
 
 
 def over_limits(values: Column) -> Column:
-    """The first limit that a message's values break, or null."""
-    return (
-        F.when(F.size(values) > MAX_VALUES, "ING_TOO_MANY_VALUES")
-        .when(F.exists(values, lambda v: F.length(v["key"]) > MAX_KEY), "ING_KEY_TOO_LONG")
-        .when(F.exists(values, lambda v: (v["kind"] == "text") & (F.octet_length(v["text"]) > MAX_TEXT)), "ING_VALUE_TOO_LONG")
+    """The first limit that a message's values break, or null: their number, then value by value the key's length and the text's size."""
+    each = F.transform(
+        values,
+        lambda v: F.when(F.length(v["key"]) > MAX_KEY, "ING_KEY_TOO_LONG").when((v["kind"] == "text") & (F.octet_length(v["text"]) > MAX_TEXT), "ING_VALUE_TOO_LONG"),
     )
+    return F.when(F.size(values) > MAX_VALUES, "ING_TOO_MANY_VALUES").otherwise(F.get(F.filter(each, lambda x: x.isNotNull()), F.lit(0)))
 
 
 def dlq_stage(status: Column) -> Column:
@@ -60,28 +60,29 @@ def known_name(value: Column, names: tuple[str, ...]) -> Column:
 
 
 def identified(messages: DataFrame, devices: DataFrame, policy: Column | None = None) -> DataFrame:
-    """messages (source_id, external_id) with device_id and device_error; deleted devices are missing, ignored ones rejected.
+    """messages (source_id, external_id) with device_id, device_status and device_error; deleted devices are missing, ignored ones rejected.
 
     devices: (source_id, external_id, device_id, organization_id, status, ignored). The optimizer broadcasts it if it is small.
     """
-    d = devices.where("status <> 'DELETED'").select("source_id", scalars.external_id(F.col("external_id")).alias("_x"), "device_id", "status", "ignored").dropDuplicates(["source_id", "_x"])
+    d = devices.where("status <> 'DELETED'").select("source_id", scalars.external_id(F.col("external_id")).alias("_x"), "device_id", F.col("status").alias("device_status"), "ignored").dropDuplicates(["source_id", "_x"])
     rows = messages.withColumn("_x", scalars.external_id(F.col("external_id"))).join(d, ["source_id", "_x"], "left").drop("_x")
     policy = F.lit("REJECT") if policy is None else policy
     error = F.when(F.col("device_id").isNull(), F.when(policy == "AUTO_REGISTER", "ING_AUTO_REGISTER_QUOTA").otherwise("ING_DEVICE_UNKNOWN")).when(F.coalesce("ignored", F.lit(False)), "ING_DEVICE_IGNORED")
-    return rows.withColumn("device_error", error).drop("status", "ignored")
+    return rows.withColumn("device_error", error).drop("ignored")
 
 
-def registered(messages: DataFrame, devices: DataFrame, policies: DataFrame, limit: int = 100) -> DataFrame:
+def registered(messages: DataFrame, devices: DataFrame, policies: DataFrame, limit: int = 100, before: DataFrame | None = None) -> DataFrame:
     """The unknown devices of messages (source_id, external_id, organization_id, received_at) that come from sources which register such devices: rows shaped like devices,
     pending, with seen_at, accepted and alarm. A source takes on so many an hour (its own hourly_limit, or ``limit``), by first message; the others may come again with later calls.
 
-    policies: (source_id, policy, hourly_limit). Ids are made of source and external id, so a repeated call makes the same ones.
+    policies: (source_id, policy, hourly_limit); before: rows of earlier calls, whose devices are known and whose places in an hour are taken.
+    Ids are made of source and external id, so a repeated call makes the same ones.
     """
     known = devices.where("status <> 'DELETED'").select("source_id", scalars.external_id(F.col("external_id")).alias("_x"))
     open_sources = policies.where("policy = 'AUTO_REGISTER'").select("source_id", F.when(F.col("hourly_limit") > 0, F.col("hourly_limit")).otherwise(limit).alias("_limit"))
     rows = messages.where("external_id IS NOT NULL").withColumn("_x", scalars.external_id(F.col("external_id"))).join(open_sources, "source_id").join(known, ["source_id", "_x"], "left_anti")
     first = rows.groupBy("source_id", F.col("_x").alias("external_id"), "_limit").agg(F.min_by("organization_id", "received_at").alias("organization_id"), F.min("received_at").alias("seen_at"))
-    judged = state.registrations(first, F.col("_limit"))
+    judged = state.registrations(first, F.col("_limit"), before=before)
     return judged.select("source_id", "external_id", F.xxhash64("source_id", "external_id").alias("device_id"), "organization_id", F.lit("PENDING").alias("status"), F.lit(False).alias("ignored"), "seen_at", "accepted", "alarm")
 
 

@@ -17,7 +17,8 @@ def duplicates(messages: DataFrame, window_seconds: int = 600, seen: DataFrame |
     Each copy prolongs the time, so copies chain; exactly ten minutes still counts. Messages without a key are none. seen: the (organization_id,
     dedup_key, received_at, message_id) of earlier batches, of which those of the last ten minutes matter (recent()).
     """
-    order = Window.partitionBy("organization_id", "dedup_key").orderBy("received_at", "message_id")
+    alone = F.when(F.col("dedup_key").isNull(), F.xxhash64("message_id", "received_at") % 4096)  # rows without a key are dealt out
+    order = Window.partitionBy("organization_id", "dedup_key", alone).orderBy("received_at", "message_id")
     gap = F.unix_micros("received_at") - F.unix_micros(F.lag("received_at").over(order))
     duplicate = F.coalesce(F.col("dedup_key").isNotNull() & (gap <= window_seconds * 1_000_000), F.lit(False))
     if seen is None:
@@ -27,15 +28,11 @@ def duplicates(messages: DataFrame, window_seconds: int = 600, seen: DataFrame |
     return both.withColumn("duplicate", duplicate).where("NOT _seen").drop("_seen")
 
 
-def recent(stored: DataFrame, messages: DataFrame, window_seconds: int = 600) -> DataFrame:
-    """Those stored messages that may make one of messages a duplicate: received at most ten minutes before the first of them."""
-    first = messages.agg(F.min("received_at").alias("_first"))
-    return stored.join(F.broadcast(first), F.col("received_at") >= F.col("_first") - F.make_dt_interval(secs=F.lit(window_seconds))).drop("_first")
-
-
 def unseen(messages: DataFrame, stored: DataFrame) -> DataFrame:
-    """messages whose message_id is not stored yet, each id once (the first received): what came again is not written again."""
-    first = messages.withColumn("_n", F.row_number().over(Window.partitionBy("message_id").orderBy("received_at", "id"))).where("_n = 1").drop("_n")
+    """messages whose message_id is not stored yet, each id once (the first received): what came again is not written again. Messages without an id all stay."""
+    alone = F.when(F.col("message_id").isNull(), F.coalesce("id", F.monotonically_increasing_id()))
+    first = messages.withColumn("_alone", alone)
+    first = first.withColumn("_n", F.row_number().over(Window.partitionBy("message_id", "_alone").orderBy("received_at", "id"))).where("_n = 1 OR message_id IS NULL")
     return first.join(stored.select("message_id").distinct(), "message_id", "left_anti").select(*messages.columns)
 
 
@@ -114,12 +111,18 @@ def latest_maps(points: DataFrame) -> DataFrame:
     return v.join(seen, "device_id")
 
 
-def registrations(first_seen: DataFrame, limit: int | Column = 100, window: str = "hour") -> DataFrame:
+def registrations(first_seen: DataFrame, limit: int | Column = 100, window: str = "hour", before: DataFrame | None = None) -> DataFrame:
     """first_seen (source_id, external_id, seen_at) of unknown devices with accepted and alarm: so many a source and hour, the first
-    one beyond raises the alarm."""
-    hour = Window.partitionBy("source_id", F.date_trunc(window, "seen_at")).orderBy("seen_at", "external_id")
-    rows = first_seen.withColumn("n", F.row_number().over(hour))
-    return rows.select(*first_seen.columns, (F.col("n") <= limit).alias("accepted"), (F.col("n") == limit + 1).alias("alarm"))
+    one beyond raises the alarm. before: what earlier calls said (source_id, seen_at, accepted, alarm); its hours' places are taken and its alarms raised."""
+    at = F.date_trunc(window, "seen_at")
+    rows = first_seen.withColumn("_hour", at).withColumn("n", F.row_number().over(Window.partitionBy("source_id", "_hour").orderBy("seen_at", "external_id")))
+    held, raised = F.lit(0), F.lit(False)
+    if before is not None:
+        taken = before.groupBy("source_id", at.alias("_hour")).agg(F.count(F.when(F.col("accepted"), 1)).alias("_held"), F.bool_or("alarm").alias("_raised"))
+        rows = rows.join(taken, ["source_id", "_hour"], "left")
+        held, raised = F.coalesce("_held", F.lit(0)), F.coalesce("_raised", F.lit(False))
+    place = F.col("n") + held
+    return rows.select(*first_seen.columns, (place <= limit).alias("accepted"), ((place == limit + 1) & ~raised).alias("alarm"))
 
 
 def messages_last_day(messages: DataFrame, now: Column) -> DataFrame:

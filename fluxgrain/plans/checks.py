@@ -200,10 +200,10 @@ def formula_arithmetic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "formula_rolling",
-    f"""WITH g AS (SELECT device_id, time, max(CASE WHEN metric_key = 'view' THEN value END) AS v, max(CASE WHEN metric_key = 'view' AND flags & 1 = 0 THEN value END) AS s FROM {from_events_sql(5)} WHERE metric_key = 'view' GROUP BY ALL),
-x AS (SELECT *, coalesce(sum(s::DECIMAL(18,6)) OVER w, 0) + v::DECIMAL(18,6) AS total, count(s) OVER w + 1 AS n, least(min(s) OVER w, v) AS low, greatest(max(s) OVER w, v) AS high FROM g
-  WINDOW w AS (PARTITION BY device_id ORDER BY epoch_us(time) RANGE BETWEEN 21600000000 PRECEDING AND 1 PRECEDING))
-SELECT device_id, time, unnest(['mean', 'sum', 'count', 'low', 'high']) AS metric_key, unnest([total::DOUBLE / n, total::DOUBLE, n::DOUBLE, low, high]) AS value FROM x""",
+    f"""WITH g AS (SELECT device_id, time, max(value) AS v, bool_or(flags & 1 = 1) AS late FROM {from_events_sql(5)} WHERE metric_key = 'view' GROUP BY ALL),
+x AS (SELECT a.device_id, a.time, a.v::DECIMAL(18,6) AS v, b.v::DECIMAL(18,6) AS w FROM g a LEFT JOIN g b ON NOT a.late AND NOT b.late AND a.device_id = b.device_id AND b.time >= a.time - INTERVAL 6 HOUR AND b.time < a.time),
+y AS (SELECT device_id, time, v, v + coalesce(sum(w), 0) AS total, 1 + count(w) AS n, least(v, min(w)) AS low, greatest(v, max(w)) AS high FROM x GROUP BY device_id, time, v)
+SELECT device_id, time, unnest(['mean', 'sum', 'count', 'low', 'high']) AS metric_key, unnest([total::DOUBLE / n, total::DOUBLE, n::DOUBLE, low::DOUBLE, high::DOUBLE]) AS value FROM y""",
 )
 def formula_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = {"mean": "rolling_mean", "sum": "rolling_sum", "count": "rolling_count", "low": "rolling_min", "high": "rolling_max"}

@@ -109,8 +109,8 @@ def retention_preview_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "formula_rolling_latest",
-    f"""WITH p AS (SELECT * FROM {from_events_sql(5, 30)} WHERE metric_key = 'view'), now AS (SELECT device_id, time, max(value) AS v FROM p GROUP BY ALL), old AS (SELECT device_id, time, max(value) AS s FROM p WHERE flags & 1 = 0 GROUP BY ALL),
-j AS (SELECT n.device_id, n.time, n.v, o.s FROM now n LEFT JOIN old o ON o.device_id = n.device_id AND o.time < n.time AND o.time >= n.time - INTERVAL 18 HOUR QUALIFY row_number() OVER (PARTITION BY n.device_id, n.time ORDER BY o.time DESC) <= 10),
+    f"""WITH p AS (SELECT * FROM {from_events_sql(5, 30)} WHERE metric_key = 'view'), now AS (SELECT device_id, time, max(value) AS v, bool_or(flags & 1 = 1) AS late FROM p GROUP BY ALL), old AS (SELECT device_id, time, max(value) AS s FROM p WHERE flags & 1 = 0 GROUP BY ALL),
+j AS (SELECT n.device_id, n.time, n.v, o.s FROM now n LEFT JOIN old o ON NOT n.late AND o.device_id = n.device_id AND o.time < n.time AND o.time >= n.time - INTERVAL 18 HOUR QUALIFY row_number() OVER (PARTITION BY n.device_id, n.time ORDER BY o.time DESC) <= 10),
 a AS (SELECT device_id, time, any_value(v) AS v, coalesce(sum(s::DECIMAL(18,6)), 0) + any_value(v)::DECIMAL(18,6) AS total, count(s) + 1 AS n, least(min(s), any_value(v)) AS low, greatest(max(s), any_value(v)) AS high FROM j GROUP BY ALL)
 SELECT device_id, time, unnest(['mean', 'sum', 'count', 'low', 'high']) AS metric_key, unnest([total::DOUBLE / n, total::DOUBLE, n::DOUBLE, low, high]) AS value FROM a""",
 )

@@ -224,7 +224,7 @@ REPLAYED = f"(SELECT raw_message_id AS id, organization_id, 'k' || device_id % 4
 @query(
     "stream_dedup",
     f"""WITH d AS (SELECT *, coalesce(epoch_us(received_at) - epoch_us(lag(received_at) OVER (PARTITION BY organization_id, dedup_key ORDER BY received_at, id::VARCHAR)) <= 600000000, false) AS again FROM {REPLAYED})
-SELECT id, CASE WHEN id % 101 = 0 THEN 'INVALID' WHEN device_id % 7 IN (3, 5) THEN 'UNKNOWN_DEVICE_REJECTED' WHEN again THEN 'DUPLICATE' ELSE 'OK' END AS status FROM d""",
+SELECT id, CASE WHEN id % 101 = 0 THEN 'INVALID' WHEN again THEN 'DUPLICATE' WHEN device_id % 7 IN (3, 5) THEN 'UNKNOWN_DEVICE_REJECTED' ELSE 'OK' END AS status FROM d""",
 )
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream in micro-batches of one file with duplicates on both sides of their bounds, whose second file comes a second time."""
@@ -237,7 +237,7 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     for low, high in [*zip(days[:-1], days[1:]), days[1:3]]:
         rows.where((F.col("received_at") >= at(low)) & (F.col("received_at") < at(high))).coalesce(1).write.mode("append").parquet(f"{base}/in")
     devices, definitions, aliases = messages.dimensions(spark, p)
-    ingest.run_stored(ingest.read_envelopes(spark, f"{base}/in", 1), base, messages.SOURCES, devices, definitions, aliases).awaitTermination()
+    ingest.run_stored(ingest.read_envelopes(spark, f"{base}/in", 1), base, messages.SOURCES, devices, definitions, aliases, slot="yyyyMMdd").awaitTermination()
     return spark.read.parquet(f"{base}/messages").select("id", "status")
 
 

@@ -26,6 +26,32 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def published(df: DataFrame, path: str) -> DataFrame:
+    """df as the folder path, which appears whole or not at all: written beside it and renamed. A folder that is there already stays as it is."""
+    spark = df.sparkSession
+    if not exists(spark, path):
+        parent, _, name = path.rpartition("/")
+        staged = f"{parent}/.{name}-{uuid.uuid4().hex}"
+        df.write.parquet(staged)
+        at, to = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (staged, path))
+        files = to.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        if not files.rename(at, to):
+            raise OSError(f"{path} could not be published")
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(at)
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds; none if there is no such folder."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return [f.getPath().getName() for f in files.listStatus(at)] if files.exists(at) else []
+
+
 def save(df: DataFrame, path: str, by: Column | None = None, name: str = "month") -> None:
     """Write df, partitioned by ``by``; only the partitions that df has are replaced."""
     if by is None:

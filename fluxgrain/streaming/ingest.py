@@ -1,15 +1,14 @@
 """Raw messages as a stream: read, decode, judge and store in micro-batches; the same functions serve a batch.
 
-State that must outlive a micro-batch is in the stored messages, each batch's in a folder of its own: a batch that is repeated after a lost driver or executor
-writes the same folder again. Messages whose id an earlier batch stored are left out, and duplicates are looked for among those stored in the ten minutes
-before a batch too.
+State that must outlive a micro-batch is stored, each batch's in a folder of its own that appears whole: ids and keys of messages by received hour, so that replays and
+duplicates are told by reading a batch's own hours, registered devices, and points. Series are judged by a second stream with keyed state (series.py).
 """
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,7 +17,10 @@ from fluxgrain.functions import formula, scalars
 from fluxgrain.operators import decode, metrics, quality, state
 from fluxgrain.operators import scripts as scripts_
 from fluxgrain.sources import store
-from fluxgrain.sources.telemetry import DERIVED
+from fluxgrain.sources.telemetry import DERIVED, TELEMETRY
+
+#: Reporting interval in seconds of a device that has none (fixed value).
+DEFAULT_INTERVAL = 300
 
 ENVELOPE = (
     "id bigint, message_id string, organization_id bigint, source_id bigint, source_type string, topic string, payload binary, received_at timestamp, "
@@ -40,51 +42,96 @@ def from_json_lines(lines: DataFrame, column: str = "value") -> tuple[DataFrame,
     return good, rows.where(bad).select(F.col(column))
 
 
-def process(messages: DataFrame, sources: dict[int, dict], devices: DataFrame, definitions: DataFrame, aliases: DataFrame, scripts: dict | None = None, seen: DataFrame | None = None, suspects: bool = False, on_change: DataFrame | None = None, policies: DataFrame | None = None, formulas: dict[str, str] | None = None, transforms: list[tuple[Callable, str]] | None = None) -> tuple[DataFrame, DataFrame]:
+def process(
+    messages: DataFrame,
+    sources: dict[int, dict],
+    devices: DataFrame,
+    definitions: DataFrame,
+    aliases: DataFrame,
+    scripts: dict | None = None,
+    seen: DataFrame | None = None,
+    suspects: bool = False,
+    on_change: DataFrame | None = None,
+    policies: DataFrame | None = None,
+    formulas: dict[str, str] | DataFrame | None = None,
+    transforms: list[tuple[Callable, str]] | None = None,
+    before: DataFrame | None = None,
+    keep: Callable[[DataFrame], DataFrame] = store.written,
+    history: DataFrame | None = None,
+    live: bool = True,
+) -> tuple[DataFrame, DataFrame]:
     """(messages with status and error, points) of a bounded set of envelopes.
 
-    seen: stored messages of the ten minutes before (state.recent()); suspects: judge stuck values and jumps too (definitions then have value_type and
+    A message is judged in this order: envelope, signature, source, duplicate, decoding, limits, device, the device's signature, duplicate by content, values. So a copy
+    is one whatever its payload or device, unless its key is of its content only (``sha256:``): such a key counts anew in each half reporting interval of the device
+    (its interval_sec, if devices has such a column) if the message has neither a time nor a counter of its own, and is judged once the device is known.
+
+    seen: stored messages of the ten minutes before; suspects: judge stuck values and jumps too (definitions then have value_type and
     state_type); on_change: the (organization_id, metric_key) whose points are stored only when they change; policies: sources that register unknown devices
-    (metrics.registered()); formulas: metrics derived from a message's own, which take the place of a metric of the same key; transforms: (function, policy) pairs that
-    good messages go through before (with_transformed()).
+    (metrics.registered()), before: what earlier calls registered, keep: what becomes of this call's registrations (written, as they are read several times);
+    formulas: metrics derived from a message's own, which take the place of a metric of the same key: {key: formula}, or by scope, as a table that with_scoped() describes;
+    history: stored points that rolling windows look back on; transforms: (function, policy) pairs that
+    good messages go through before (with_transformed()); live: false for messages that are processed again, which carry no signature.
     """
-    early = metrics.rejected(messages)
-    rows = messages.withColumn("early", early)
-    decoded = decode.decode(rows, sources, scripts)
-    decoded = decode.overlay(decoded)
+    signature = F.col("signature_status") if "signature_status" in messages.columns else F.lit(None).cast("string")
+    # messages without an id are told apart by the row's own
+    named = F.coalesce("message_id", F.concat(F.lit("\0"), F.coalesce("id", F.monotonically_increasing_id()).cast("string")))
+    early = F.coalesce(metrics.rejected(messages), metrics.signature_error(F.col("source_type"), signature, F.lit(None).cast("string"), live))
+    rows = messages.withColumns({"early": early, "message_id": named, "_signature": signature})
+    decoded = decode.overlay(decode.decode(rows, sources, scripts))
     if policies is not None:
         decoded = store.written(decoded)  # read twice: for new devices and for the messages
+        known = devices
+        if before is not None:
+            known = known.select("source_id", "external_id", "device_id", "organization_id", "status", "ignored").unionByName(before.where("accepted").select("source_id", "external_id", "device_id", "organization_id", "status", "ignored"))
         asking = decoded.where("early IS NULL AND error IS NULL")
-        new = metrics.registered(asking, devices, policies).where("accepted")
-        devices = devices.select("source_id", "external_id", "device_id", "organization_id", "status", "ignored").unionByName(new.drop("seen_at", "accepted", "alarm"))
+        new = keep(metrics.registered(asking, known, policies, before=before)).where("accepted")
+        devices = known.select("source_id", "external_id", "device_id", "organization_id", "status", "ignored").unionByName(new.drop("seen_at", "accepted", "alarm"))
         decoded = decoded.join(policies.select("source_id", F.col("policy").alias("_policy")).distinct(), "source_id", "left")
     known = metrics.identified(decoded, devices, None if policies is None else F.col("_policy")).drop("_policy")
+    by_content = F.coalesce(F.startswith("dedup_key", F.lit("sha256:")), F.lit(False))
+    if "interval_sec" in devices.columns:
+        known = known.join(devices.select("device_id", F.col("interval_sec").alias("_interval")).dropDuplicates(["device_id"]), "device_id", "left")
+    else:
+        known = known.withColumn("_interval", F.lit(None).cast("int"))
+    plain = by_content & F.col("measured_at").isNull() & F.col("link.frame_counter").isNull()
+    bucket = state.content_key(F.col("dedup_key"), F.col("received_at"), F.coalesce(F.when(F.col("_interval") > 0, F.col("_interval")), F.lit(DEFAULT_INTERVAL)))
+    known = known.withColumns({"dedup_key": F.when(plain, bucket).otherwise(F.col("dedup_key")), "_content": by_content})
     known = state.duplicates(known, seen=seen)
     time, reason = quality.measured_time(F.col("measured_at"), F.col("received_at"), F.col("virtual"))
-    limit = metrics.over_limits(F.col("values"))
-    error = F.coalesce("early", "error", limit, "device_error", F.when(F.col("duplicate"), "ING_DUPLICATE"))
-    status = (
-        F.when(F.col("early").isNotNull() & (F.col("early") != "ING_DECODE_FAILED"), "INVALID")
-        .when(F.coalesce("early", "error").isNotNull(), "DECODE_ERROR")
-        .when(limit.isNotNull(), "INVALID")
-        .when(F.col("device_error").isNotNull(), "UNKNOWN_DEVICE_REJECTED")
-        .when(F.col("duplicate"), "DUPLICATE")
-        .otherwise("OK")
-    )
-    known = known.withColumns({"time": time, "time_corrected": reason, "result_error": error, "status": status})
+    sourced = F.coalesce(F.col("source_id").isin(*sources), F.lit(False)) if sources else F.lit(False)
+    signed = metrics.signature_error(F.col("source_type"), F.col("_signature"), F.col("device_status"), live)
+    copy = F.when(F.col("duplicate"), "ING_DUPLICATE")
+    steps = [
+        (F.col("early"), F.when(F.col("early") == "ING_DECODE_FAILED", "DECODE_ERROR").otherwise("INVALID")),
+        (F.when(~sourced, "ING_DECODE_FAILED"), F.lit("DECODE_ERROR")),
+        (F.when(~F.col("_content"), copy), F.lit("DUPLICATE")),
+        (F.col("error"), F.lit("DECODE_ERROR")),
+        (metrics.over_limits(F.col("values")), F.lit("INVALID")),
+        (F.col("device_error"), F.lit("UNKNOWN_DEVICE_REJECTED")),
+        (signed, F.lit("INVALID")),
+        (copy, F.lit("DUPLICATE")),
+    ]
+    status = F.lit("OK")
+    for code, becomes in reversed(steps):
+        status = F.when(code.isNotNull(), becomes).otherwise(status)
+    apart = metrics.quarantined(F.col("source_type"), F.col("_signature"), F.col("device_status"), live)
+    known = known.withColumns({"time": time, "time_corrected": reason, "result_error": F.coalesce(*[code for code, _ in steps]), "status": status, "_apart": apart})
     each = metrics.points(known.where("status = 'OK'"), definitions, aliases)
     bad = each.where("message_error IS NOT NULL").select("message_id", "message_error").distinct()
     out = known.join(bad, "message_id", "left").withColumns(
         {"status": F.when(F.col("message_error").isNotNull(), "INVALID").otherwise(F.col("status")), "result_error": F.coalesce("message_error", "result_error")}
     )
     each = each.withColumn("flags", quality.is_late(F.col("time"), F.col("received_at")).cast("smallint")).withColumn("raw_message_id", F.col("id"))
-    each = each.withColumn("derived", F.lit(False))
+    each = each.withColumns({"derived": F.lit(False), "unverified": F.col("unverified") | F.col("_apart")})
     if transforms:
         each, told = with_transformed(each, definitions, transforms)
         out = out.join(told, "message_id", "left").withColumns({"status": F.when(F.col("script_error").isNotNull(), "SCRIPT_ERROR").otherwise(F.col("status")), "result_error": F.coalesce("script_error", "result_error")})
     out = out.withColumn("dropped", F.coalesce("dropped", F.lit(False)) if transforms else F.lit(False))
-    if formulas:
-        each = with_derived(each, definitions, formulas)
+    if isinstance(formulas, DataFrame):
+        each = with_scoped(each, definitions, devices, formulas, history)
+    elif formulas:
+        each = with_derived(each, definitions, formulas, history)
     each = quality.suspects(each, definitions) if suspects else each.withColumn("suspect", F.lit(False))
     code = quality.quality_code(metrics.forecast(F.col("source_type"), F.col("topic")), F.col("time_corrected").isNotNull(), F.col("out_of_range"), F.col("suspect"), F.col("unverified"))
     late = quality.is_late(F.col("time"), F.col("received_at"))
@@ -93,7 +140,8 @@ def process(messages: DataFrame, sources: dict[int, dict], devices: DataFrame, d
     )
     if on_change is not None:
         points = metrics.stored(points, on_change)
-    return out.select("id", "message_id", "organization_id", "source_id", "dedup_key", "received_at", "external_id", "device_id", "time", "time_corrected", "status", F.col("result_error").alias("error"), "dropped"), points
+    own = F.when(~F.startswith("message_id", F.lit("\0")), F.col("message_id")).alias("message_id")
+    return out.select("id", own, "organization_id", "source_id", "dedup_key", "received_at", "external_id", "device_id", "time", "time_corrected", "status", F.col("result_error").alias("error"), "dropped", "link"), points
 
 
 #: Columns that a point has for itself; all others are its message's.
@@ -132,38 +180,127 @@ def with_transformed(points: DataFrame, definitions: DataFrame, functions: list[
     return rest.unionByName(judged(each, definitions, points.columns)), done.select("message_id", "script_error", "dropped")
 
 
-def with_derived(points: DataFrame, definitions: DataFrame, formulas: dict[str, str]) -> DataFrame:
-    """points of good messages and what formulas make of them, judged like all others; rolling windows see these points only."""
+def with_derived(points: DataFrame, definitions: DataFrame, formulas: dict[str, str], history: DataFrame | None = None) -> DataFrame:
+    """points of good messages and what formulas make of each message's, judged like all others; rolling windows see these points and history."""
     points = store.written(points)  # read several times
-    good = points.where("message_error IS NULL")
-    found = formula.evaluate(good.where("device_id IS NOT NULL"), formulas)
-    shared = [c for c in points.columns if c not in OWN and c not in ("device_id", "time")]
-    carriers = good.groupBy("device_id", "time").agg(F.min_by(F.struct(*shared), "id").alias("_m")).select("device_id", "time", "_m.*")
-    new = found.join(carriers, ["device_id", "time"]).withColumns({"original_key": F.col("metric_key"), "derived": F.lit(True), "unit": F.lit(None).cast("string")})
-    kept = points.join(found.select("device_id", "time", "metric_key"), ["device_id", "time", "metric_key"], "left_anti")
+    found = formula.evaluate(points.where("message_error IS NULL AND device_id IS NOT NULL"), formulas, by=("message_id",), history=history)
+    return replaced(points, found.withColumn("unit", F.lit(None).cast("string")), definitions)
+
+
+def with_scoped(points: DataFrame, definitions: DataFrame, devices: DataFrame, formulas: DataFrame, history: DataFrame | None = None) -> DataFrame:
+    """Like with_derived(), with formulas (id, target_type, target_id, result_key, expression, unit) of models, devices and spaces; devices have model_id and space_id then.
+
+    All formulas of a message read the message's own metrics; of those with one result key the last in the order model, device, space, then id, counts. Formulas are a
+    configuration: each is compiled once in the driver, and one that cannot be read is left out. Which ones a device has is joined as one row per device.
+    """
+    compiled = {}
+    for f in formulas.select("id", "expression", "result_key").where("result_key IS NOT NULL").collect():
+        try:
+            formula.parse(f["expression"])
+            compiled[str(f["id"])] = f["expression"]
+        except formula.FormulaError:  # left out, as said above
+            continue
+    points = store.written(points)  # read several times
+    if not compiled:
+        return points
+    lists = metrics.applicable(devices, formulas.where(F.col("id").cast("string").isin(*compiled)))
+    lists = lists.groupBy("device_id").agg(F.map_from_entries(F.collect_list(F.struct(F.col("formula_id").cast("string"), "ordinal"))).alias("names"))
+    found = formula.evaluate(points.where("message_error IS NULL AND device_id IS NOT NULL"), compiled, by=("message_id",), history=history, lists=lists)
+    says = formulas.select(F.col("id").cast("string").alias("metric_key"), "result_key", F.col("unit"))
+    last = found.join(says, "metric_key").groupBy("device_id", "time", "message_id", "result_key").agg(F.max_by(F.struct("value", "unit"), "ordinal").alias("_l"))
+    return replaced(points, last.select("device_id", "time", "message_id", F.col("result_key").alias("metric_key"), "_l.*"), definitions)
+
+
+def replaced(points: DataFrame, found: DataFrame, definitions: DataFrame) -> DataFrame:
+    """points with the derived ones found (device_id, time, message_id, metric_key, value, unit), each in place of its message's point of the same key."""
+    found = store.written(found)  # read twice
+    shared = [c for c in points.columns if c not in OWN and c not in ("device_id", "time", "message_id")]
+    carriers = points.where("message_error IS NULL").groupBy("message_id").agg(F.first(F.struct(*shared)).alias("_m")).select("message_id", "_m.*")
+    new = found.join(carriers, "message_id").withColumns({"original_key": F.col("metric_key"), "derived": F.lit(True)})
+    kept = points.join(found.select("message_id", "metric_key"), ["message_id", "metric_key"], "left_anti")
     return kept.unionByName(judged(new, definitions, points.columns))
 
 
+REGISTERED = "source_id bigint, external_id string, device_id bigint, organization_id bigint, status string, ignored boolean, seen_at timestamp, accepted boolean, alarm boolean"
+#: How far rolling windows look back: 24 hours, and the hour after which a point is late.
+LOOK_BACK = datetime.timedelta(hours=26)
+
+
 def run(envelopes: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None], available_now: bool = True, every: str = "10 seconds") -> StreamingQuery:
     """Start handling micro-batches of envelopes; handle must write by key, as a batch may come again."""
     writer = envelopes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(handle)
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=every)).start()
 
 
-def run_stored(envelopes: DataFrame, base: str, sources: dict[int, dict], devices: DataFrame, definitions: DataFrame, aliases: DataFrame, **options) -> StreamingQuery:
-    """process() over a stream, its results in base/messages and base/points by batch, with duplicates and replays told from what earlier batches stored."""
+IDS = "organization_id bigint, dedup_key string, received_at timestamp, message_id string, slot string, batch bigint"
+#: The part of a received time that names the folder of its ids.
+HOUR = "yyyyMMddHH"
+
+
+def earlier_ids(spark: SparkSession, base: str, messages: DataFrame, number: int, slot: str = HOUR) -> DataFrame:
+    """Ids and keys that earlier batches stored in the slots in which this batch's messages were received, and ten minutes before each: only those slots' folders are listed, and of their
+    files only row groups within the batch's own bounds are read."""
+    name = lambda t: F.date_format(t, slot)
+    before = F.col("received_at") - F.expr("interval 10 minutes")
+    asked = messages.select("received_at", F.explode(F.array(name(F.col("received_at")), name(before))).alias("h")).groupBy("h").agg(F.min("received_at").alias("first"), F.max("received_at").alias("last"))
+    slots = asked.where("h IS NOT NULL").collect()  # at most two rows for each slot that the batch spans
+    paths = [p for r in slots if store.exists(spark, p := f"{base}/ids/slot={r['h']}")]
+    if not paths:
+        return spark.createDataFrame([], IDS)
+    first, last = min(r["first"] for r in slots), max(r["last"] for r in slots)
+    near = F.col("received_at").between(F.lit(first) - F.expr("interval 10 minutes"), F.lit(last))
+    return spark.read.schema(IDS).option("basePath", f"{base}/ids").parquet(*paths).where((F.col("batch") < number) & near)
+
+
+def history(spark: SparkSession, base: str, messages: DataFrame, number: int, slot: str = HOUR) -> DataFrame:
+    """The points on which a batch's rolling windows may look back: those of the batches that hold messages received from a day before its first to its last, found by the folders of ids."""
+    first, last = messages.agg(F.min("received_at"), F.max("received_at")).first()
+    hourly, batches = "HH" in slot, set()
+    at = None if first is None else (first - LOOK_BACK).replace(minute=0, second=0, microsecond=0)
+    while at is not None and at.date() <= last.date():
+        name = f"{at:%Y%m%d%H}" if hourly else f"{at:%Y%m%d}"
+        batches |= {int(x.removeprefix("batch=")) for x in store.names(spark, f"{base}/ids/slot={name}") if x.startswith("batch=")}
+        at += datetime.timedelta(hours=1 if hourly else 24)
+    paths = [f"{base}/points/batch={b}" for b in sorted(batches) if b < number]
+    return spark.read.schema(TELEMETRY).parquet(*paths).where(F.col("time") >= F.lit(first) - F.expr("interval 25 hours")) if paths else spark.createDataFrame([], TELEMETRY)
+
+
+def run_stored(envelopes: DataFrame, base: str, sources: dict[int, dict], devices: DataFrame, definitions: DataFrame, aliases: DataFrame, slot: str = HOUR, **options) -> StreamingQuery:
+    """process() over a stream, its results in base/messages, base/points and base/links by batch, each published whole (store.published()), so that
+    a batch which comes again after a lost driver changes nothing and other streams may read the folders.
+
+    What a later batch must know is stored too: ids and keys by received hour (earlier_ids(); slot ``yyyyMMdd``: by day, for batches that span many hours), for duplicates and replays on both sides of a batch's bounds; registered
+    devices and raised alarms in base/registered; points, on which rolling windows look back a day. Stuck values, jumps and storage on change depend on each
+    series' points before: they are judged by a stream over base/points with keyed state (series.run_judged()).
+    """
     spark = envelopes.sparkSession
-    shape = "organization_id bigint, dedup_key string, received_at timestamp, message_id string, batch bigint"
+    if options.get("suspects") or options.get("on_change") is not None:
+        raise ValueError("series.run_judged() judges suspects and changes of a stream")
+    registering = options.get("policies") is not None
+
+    def earlier(name: str, shape: str, number: int) -> DataFrame:
+        if not store.exists(spark, f"{base}/{name}"):
+            return spark.createDataFrame([], shape)
+        return spark.read.schema(f"{shape}, batch bigint").parquet(f"{base}/{name}").where(F.col("batch") < number).drop("batch")
 
     def handle(batch: DataFrame, number: int) -> None:
-        try:
-            stored = spark.read.schema(shape).parquet(f"{base}/messages").where(F.col("batch") < number)
-        except AnalysisException:  # the first batch: nothing is stored yet
-            stored = spark.createDataFrame([], shape)
+        if store.exists(spark, f"{base}/points/batch={number}"):  # the last that a batch publishes
+            return
+        batch = store.written(batch, "batch")  # read several times
+        stored = earlier_ids(spark, base, batch, number, slot)
         fresh = state.unseen(batch, stored)
-        messages, points = process(fresh, sources, devices, definitions, aliases, seen=state.recent(stored, fresh), **options)
-        messages.write.mode("overwrite").parquet(f"{base}/messages/batch={number}")
-        points.write.mode("overwrite").parquet(f"{base}/points/batch={number}")
+        more = dict(options)
+        if registering:
+            more |= {"before": earlier("registered", REGISTERED, number), "keep": lambda new: store.published(new, f"{base}/registered/batch={number}")}
+        if options.get("formulas") is not None:
+            more["history"] = history(spark, base, batch, number, slot)
+        messages, points = process(fresh, sources, devices, definitions, aliases, seen=stored.drop("slot", "batch"), **more)
+        messages = store.published(messages, f"{base}/messages/batch={number}")
+        links = metrics.link_rows(messages.where("status = 'OK'"))
+        store.published(links, f"{base}/links/batch={number}")
+        ids = messages.select("organization_id", "dedup_key", "received_at", "message_id", F.date_format("received_at", slot).alias("slot"), F.lit(number).cast("bigint").alias("batch"))
+        ids.repartition("slot").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slot", "batch").parquet(f"{base}/ids")
+        store.published(points, f"{base}/points/batch={number}")
 
     return run(envelopes, f"{base}/checkpoint", handle)
 
