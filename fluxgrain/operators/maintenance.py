@@ -57,7 +57,8 @@ def retention_days(points: DataFrame, policies: DataFrame, devices: DataFrame |
 
 
 def expired(now: Column, default_days: int = 365) -> Column:
-    """Whether a row of retention_days() goes: any shorter override deletes it, a longer one exempts it from the organisation's days."""
+    """Whether a row of retention_days() goes: any shorter override deletes it, a longer one exempts it from the organisation's days. An organisation that keeps
+    for ever (0 days) loses nothing, whatever its overrides say."""
     age = lambda days: (days > 0) & (F.col("time") < now - F.make_dt_interval(days=days))
     org = F.coalesce("org_days", F.lit(default_days))
     forever = lambda d: (d == 0) | ((d > org) & (org > 0))
@@ -66,17 +67,45 @@ def expired(now: Column, default_days: int = 365) -> Column:
     metric, model = F.col("metric_days"), F.col("model_days")
     exempt = F.coalesce(forever(metric), no) | F.coalesce(forever(model), no)
     own = F.coalesce(age(metric), no) | F.coalesce(age(model), no)
-    return F.coalesce(shorter(metric), no) | F.coalesce(shorter(model), no) | F.when(exempt, own).otherwise(F.coalesce(age(org), no))
+    gone = F.coalesce(shorter(metric), no) | F.coalesce(shorter(model), no) | F.when(exempt, own).otherwise(F.coalesce(age(org), no))
+    return (org > 0) & gone
+
+
+def purge(points: DataFrame, policies: DataFrame, now: Column, devices: DataFrame | None = None, manifest: DataFrame | None = None, archiving: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(points that stay, what went: organization_id, by, n_rows, archived) by the policies of retention_days().
+
+    Organisations in archiving (organization_id) lose by their own days only whole months that the manifest (organization_id, month) holds, up to the first month that it
+    lacks; shorter overrides delete what they name all the same. Which months an organisation has is a grouped minimum over months, not over rows.
+    """
+    rows = retention_days(points, policies, devices).withColumn("_gone", expired(now))
+    org = F.coalesce("org_days", F.lit(365))
+    named = F.coalesce((F.col("metric_days") > 0) & (F.col("time") < now - F.make_dt_interval(days="metric_days")), F.lit(False)) | F.coalesce((F.col("model_days") > 0) & (F.col("time") < now - F.make_dt_interval(days="model_days")), F.lit(False))
+    rows = rows.withColumn("_by", F.when(F.col("_gone"), F.when(named, "OVERRIDE").otherwise("ORG")))
+    if archiving is not None:
+        month = F.date_format("time", "yyyy-MM")
+        own = rows.join(archiving.select("organization_id", F.lit(True).alias("_archives")).distinct(), "organization_id", "left")
+        wanted = own.where("_archives AND _by = 'ORG'").groupBy("organization_id", month.alias("month")).agg(F.first("org_days").alias("org_days"))
+        cutoff = F.date_trunc("month", now - F.make_dt_interval(days=org))
+        lacking = wanted if manifest is None else wanted.join(manifest.select("organization_id", "month").distinct(), ["organization_id", "month"], "left_anti")
+        hole = lacking.groupBy("organization_id").agg(F.min(F.to_timestamp("month", "yyyy-MM")).alias("_hole"))
+        own = own.join(hole, "organization_id", "left")
+        kept_back = F.col("_archives") & (F.col("_by") == "ORG") & (F.col("time") >= F.least(cutoff, "_hole"))
+        rows = own.withColumn("_by", F.when(~F.coalesce(kept_back, F.lit(False)), F.col("_by")))
+    else:
+        rows = rows.withColumn("_archives", F.lit(None).cast("boolean"))
+    went = rows.where("_by IS NOT NULL").groupBy("organization_id", F.col("_by").alias("by")).agg(F.count("*").alias("n_rows"), F.bool_or(F.coalesce("_archives", F.lit(False)) & (F.col("_by") == "ORG")).alias("archived"))
+    return rows.where("_by IS NULL").select(*points.columns), went
 
 
 def expired_month(points: DataFrame, policies: DataFrame, before: Column, devices: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(points of months that end after ``before``, rows of older months that go to the long table because an override keeps them longer). Others of the old months are gone."""
+    """(points that stay, rows of months that ended by ``before`` which go to the long table because an override keeps them longer). What else an old month still has stays in it,
+    such as rows that wait for the archive: purge() alone deletes, and a month may be dropped once it has no rows."""
     ends = F.add_months(F.date_trunc("month", "time"), 1).cast("timestamp")
     rows = retention_days(points, policies, devices)
     org = F.coalesce("org_days", F.lit(365))
     longer = lambda d: F.coalesce((F.col(d) == 0) | (F.col(d) > org), F.lit(False))
-    old = rows.where((ends <= before) & (longer("metric_days") | longer("model_days")))
-    return points.where(~(ends <= before)), old.select(*points.columns)
+    moves = (ends <= before) & (longer("metric_days") | longer("model_days"))
+    return rows.where(~moves).select(*points.columns), rows.where(moves).select(*points.columns)
 
 
 def confirmed(scores: DataFrame, already: DataFrame, zones: DataFrame, now: Column, default_zone: str = "Asia/Seoul") -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fluxgrain.operators import maintenance
+from fluxgrain.plans import tables
 from fluxgrain.plans.checks import at
 from fluxgrain.plans.register import registry
 from fluxgrain.sources import store
@@ -75,3 +77,36 @@ def silence_timers(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = spark.readStream.schema("device_id bigint, received_at timestamp").option("maxFilesPerTrigger", 1).parquet(f"{base}/in").drop("batch")
     series.run_keyed(series.silences(source, F.lit(14400), F.lit(3.0)), f"{base}/out", f"{base}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{base}/out").select("device_id", "kind", "at")
+
+
+SLOW, PURGES = from_events_sql(None, 0.25), [(0, "ORG", None, 0), (0, "METRIC", "view", 5), (1, "ORG", None, 40), (1, "METRIC", "click", 100), (1, "MODEL", "m-1", 10), (2, "ORG", None, 40)]
+AGE = lambda days: f"time < TIMESTAMP '2024-05-01' - INTERVAL {days} DAY"
+GONE = f"""CASE organization_id WHEN 0 THEN false WHEN 2 THEN time < TIMESTAMP '2024-02-01' ELSE (device_id % 4 = 1 AND {AGE(10)}) OR CASE metric_key WHEN 'click' THEN {AGE(100)} ELSE time < TIMESTAMP '2024-03-01' END END"""
+
+
+def purged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Four months of points: one organisation keeps all, two archive; of the last one's archive a month is lost before it is checked."""
+    p, base = from_events(spark, sf_dir, None, 0.25), store.scratch(spark, "purge")
+    policies = spark.createDataFrame(PURGES, "organization_id bigint, scope string, scope_ref string, retain_days int")
+    now, models = at("2024-05-01 00:00:00"), tables.models(p)
+    rows = maintenance.retention_days(p, policies, models)
+    own = rows.where("organization_id > 0").where(~F.coalesce(F.col("metric_days") > F.col("org_days"), F.lit(False)) & ~F.coalesce((F.col("model_days") < F.col("org_days")) & (F.col("time") < now - F.make_dt_interval(days="model_days")), F.lit(False)))
+
+    def lose(folder: str) -> None:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_organization=2/month=2024-02")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    manifest = store.archive_months(own.select(*p.columns), f"{base}/rows", f"{base}/registry", now - F.expr("interval 40 days"), written=lose)
+    return maintenance.purge(p, policies, now, models, manifest, spark.createDataFrame([(1,), (2,)], "organization_id bigint"))
+
+
+@query("retention_purge", f"SELECT {tables.KEEP} FROM {SLOW} WHERE NOT {GONE}")
+def retention_purge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays: all of who keeps for ever; of who archives what the manifest does not hold, and all later months."""
+    return purged(spark, sf_dir)[0]
+
+
+@query("retention_purged", f"""SELECT organization_id, CASE WHEN organization_id = 1 AND ((device_id % 4 = 1 AND {AGE(10)}) OR metric_key = 'click') THEN 'OVERRIDE' ELSE 'ORG' END AS "by", count(*) AS n_rows, NOT (organization_id = 1 AND ((device_id % 4 = 1 AND {AGE(10)}) OR metric_key = 'click')) AS archived FROM {SLOW} WHERE {GONE} GROUP BY ALL""")
+def retention_purged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events of the deletion: rows by organisation and by what deleted them."""
+    return purged(spark, sf_dir)[1]

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -98,29 +99,54 @@ def append_new(df: DataFrame, path: str, key: str = "message_id") -> None:
     rows.select(*df.columns).write.mode("append").parquet(path)
 
 
-def archive_months(points: DataFrame, path: str, registry: str, before: Column, exempt: Column | None = None) -> DataFrame:
-    """Archive each organisation's months that end by ``before``, oldest first, without exempt rows; the registry's rows.
+ORGANIZATION, MONTH = "organization_id", "month"
 
-    A month is written in order, read again, and only if both agree registered (organization_id, month, n, digest); registered ones are not written anew. The first
-    month that fails ends its organisation's run, so that what registry rows allow to delete has no hole. The driver loops over months, not over rows.
+
+def month_sums(rows: DataFrame) -> DataFrame:
+    """Per organisation and month (a column) the rows' number and the sum of their hashes, which do not depend on order."""
+    digest = F.sum(F.xxhash64(*sorted(c for c in rows.columns if c != MONTH)).cast("decimal(38,0)"))
+    return rows.groupBy(ORGANIZATION, MONTH).agg(F.count("*").alias("n"), digest.alias("digest"))
+
+
+def archive_months(points: DataFrame, path: str, registry: str, before: Column, exempt: Column | None = None, written: Callable[[str], None] | None = None) -> DataFrame:
+    """Archive each organisation's months that end by ``before``, without exempt rows; the registry's rows (organization_id, month, n, digest, folder).
+
+    All months that are not registered yet are written in one pass, in order and partitioned by organisation and month, into a folder of the run's own, while an Observation counts and
+    digests what goes in. The folder is read again: if both agree all its months are registered, else only those whose own sums agree, and of an organisation none from the first
+    broken month on, so that what the registry allows to delete has no hole. The registry's part of a run appears whole or not at all, after its files; only what it names counts, so
+    a run that dies leaves nothing but files that nobody reads. written: called with the folder between writing and checking.
     """
     spark = points.sparkSession
-    month = F.date_format("time", "yyyy-MM")
     rows = points if exempt is None else points.where(~exempt)
-    old = rows.where(F.add_months(F.date_trunc("month", "time"), 1).cast("timestamp") <= before)
-    try:
-        known = {tuple(r) for r in spark.read.parquet(registry).select("organization_id", "month").collect()}
-    except AnalysisException:
-        known = set()
-    stopped = set()
-    for org, m in sorted(tuple(r) for r in old.select("organization_id", month).distinct().collect()):
-        if (org, m) in known or org in stopped:
-            continue
-        own, to = old.where((F.col("organization_id") == org) & (month == m)), f"{path}/organization_id={org}/month={m}"
-        archive(own, to)
-        if not verified(spark, own, to):
-            stopped.add(org)
-            continue
-        entry = checksum(own).select(F.lit(org).cast("bigint").alias("organization_id"), F.lit(m).alias("month"), "n", "digest")
-        entry.write.mode("append").parquet(registry)
-    return spark.read.parquet(registry)
+    old = rows.where(F.add_months(F.date_trunc("month", "time"), 1).cast("timestamp") <= before).withColumn(MONTH, F.date_format("time", "yyyy-MM"))
+    shape = "organization_id bigint, month string, n bigint, digest decimal(38,0), folder string"
+    if exists(spark, registry):
+        old = old.join(spark.read.schema(shape).option("recursiveFileLookup", "true").parquet(registry).select(ORGANIZATION, MONTH), [ORGANIZATION, MONTH], "left_anti")
+    old = old.select(*points.columns, MONTH)
+    if old.isEmpty():
+        return spark.read.schema(shape).option("recursiveFileLookup", "true").parquet(registry) if exists(spark, registry) else spark.createDataFrame([], shape)
+    run = uuid.uuid4().hex
+    to, seen, order = f"{path}/run={run}", Observation(), (ORGANIZATION, MONTH, "device_id", "metric_key", "time")
+    hashes = F.sum(F.xxhash64(*sorted(points.columns)).cast("decimal(38,0)"))
+    writer = old.observe(seen, F.count("*").alias("n"), hashes.alias("digest")).repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_organization", F.col(ORGANIZATION)).write
+    writer.option("compression", "zstd").option("parquet.compression.codec.zstd.level", "3").option("maxRecordsPerFile", 10_000_000).partitionBy("_organization", MONTH).parquet(to)
+    if written is not None:
+        written(to)
+    held = spark.read.schema(old.schema).option("basePath", to).parquet(to).select(*points.columns, MONTH)
+    sums = kept = month_sums(held)
+    total = kept.agg(F.sum("n").alias("n"), F.sum("digest").alias("digest")).first()
+    if (total["n"], total["digest"]) != (seen.get["n"], seen.get["digest"]):
+        want = month_sums(old)
+        both = want.join(kept.withColumnsRenamed({"n": "_n", "digest": "_digest"}), [ORGANIZATION, MONTH], "left")
+        broken = both.where(~F.coalesce((F.col("n") == F.col("_n")) & (F.col("digest") == F.col("_digest")), F.lit(False)))
+        first = broken.groupBy(ORGANIZATION).agg(F.min(MONTH).alias("_broken"))
+        sums = want.join(first, ORGANIZATION, "left").where(F.col("_broken").isNull() | (F.col(MONTH) < F.col("_broken"))).drop("_broken")
+    published(sums.withColumn("folder", F.lit(f"run={run}")).select(ORGANIZATION, MONTH, "n", F.col("digest").cast("decimal(38,0)").alias("digest"), "folder"), f"{registry}/{run}")
+    return spark.read.schema(shape).option("recursiveFileLookup", "true").parquet(registry)
+
+
+def archived(spark: SparkSession, path: str, registry: DataFrame, schema: str) -> DataFrame:
+    """The rows of the months that the registry's rows name."""
+    held = spark.read.schema(f"{schema}, month string, run string").option("basePath", path).parquet(path)
+    named = registry.select(ORGANIZATION, MONTH, F.expr("substr(folder, 5)").alias("run"))
+    return held.join(named, [ORGANIZATION, MONTH, "run"], "left_semi")
