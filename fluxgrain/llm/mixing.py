@@ -7,7 +7,8 @@ dropped; a source's budget over its tokens is how often it is read.
 
 The budget is realised in blocks: a source's documents fall by a hash of their id into blocks of about ``block`` documents.
 Each block is read in whole passes, each in a permutation of its own, and once more up to the remaining share of its
-tokens; the document at the edge is taken with the probability of its part that fits, drawn from its hash. No step gathers a source: shares are grouped sums, the
+tokens; the document at the edge is taken with the probability of its part that fits, drawn from its hash. The passes of all blocks and sources are dealt among
+each other by a hash, so that neighbouring passes are of different sources. No step gathers a source: shares are grouped sums, the
 table of sources is counted and then broadcast (or, if large, sources are salted), and ordering is within a block.
 
 Only built-in functions run. Null texts and texts without words have no tokens and are read once, as are sources without tokens; null
@@ -56,7 +57,8 @@ def planned(docs: DataFrame, entropy: float, repeats: float, block: int, seed: i
     """One row per reading of a document in the order of its block's permutations; whole_rows adds ``row``, the document's own columns."""
     key = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("null"))
     row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if whole_rows else []
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "source", key.alias("g"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("n_tokens"), *row)
+    alone = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).alias("_alone")  # rows without an id are dealt out by a running number
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), alone, "source", key.alias("g"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("n_tokens"), *row)
     rows = rows if whole_rows else kept(rows)
     sizes = kept(rows.groupBy("g").agg(F.sum("n_tokens").alias("t"), F.count("*").alias("n")))
     total = sizes.agg(F.sum("t")).first()[0] or 0
@@ -71,14 +73,15 @@ def planned(docs: DataFrame, entropy: float, repeats: float, block: int, seed: i
         F.coalesce(reads, F.lit(1.0)).alias("reads"),
     )
     drawn = lambda *c: F.pmod(F.xxhash64(F.lit(seed), *c), F.lit(1 << 40))
-    dealt = with_groups(rows, kept(mixed), ["g"]).withColumn("block", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text_hash"), "blocks"))
+    dealt = with_groups(rows, kept(mixed), ["g"]).withColumn("block", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text_hash", "_alone"), "blocks"))
     whole = F.floor(F.col("reads") + 1e-9)
-    every = dealt.withColumn("copy", F.explode(F.sequence(F.lit(1), F.when(whole < F.col("reads") - 1e-9, whole + 1).otherwise(whole).cast("int")))).withColumn("order", drawn("copy", "doc_id", "text_hash"))
-    own = Window.partitionBy("g", "block", "copy")
-    order = own.orderBy("order", "doc_id", "text_hash")
+    every = dealt.withColumn("copy", F.explode(F.sequence(F.lit(1), F.when(whole < F.col("reads") - 1e-9, whole + 1).otherwise(whole).cast("int")))).withColumn("order", drawn("copy", "doc_id", "text_hash", "_alone"))
+    every = every.withColumn("deal", drawn("g", "block", "copy"))
+    own = Window.partitionBy("deal", "g", "block", "copy")  # sorted by deal first: passes of all sources come in the order of their draws
+    order = own.orderBy("order", "doc_id", "text_hash", "_alone")
     every = every.withColumns({"place": F.row_number().over(order), "upto": F.sum("n_tokens").over(order.rowsBetween(Window.unboundedPreceding, 0)), "all": F.sum("n_tokens").over(own)})
     room = (F.col("reads") - whole) * F.col("all") - (F.col("upto") - F.col("n_tokens"))
-    part = (room >= F.col("n_tokens")) | (drawn(F.lit("edge"), "doc_id", "text_hash") / float(1 << 40) < room / F.col("n_tokens"))
+    part = (room >= F.col("n_tokens")) | (drawn(F.lit("edge"), "doc_id", "text_hash", "_alone") / float(1 << 40) < room / F.col("n_tokens"))
     return every.where((F.col("copy") <= whole) | ((F.col("n_tokens") > 0) & (room > 0) & part))
 
 
@@ -88,5 +91,5 @@ def plan(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, bl
 
 
 def mix(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, block: int = BLOCK, seed: int = SEED) -> DataFrame:
-    """docs with each row as often as the plan reads it, block by block, each pass of a block in its permutation."""
+    """docs with each row as often as the plan reads it: passes of blocks of all sources in a drawn order, dealt among each other, each pass in its permutation."""
     return planned(docs, entropy, repeats, block, seed, True).select("row.*")

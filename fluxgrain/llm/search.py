@@ -10,7 +10,8 @@ is not below that (wave two). Within a range it takes the blocks by falling boun
 result, not even by a tie, which the smaller id wins. Bounds of ranges are computed twice instead of being stored. Queries travel in chunks, and only those rows of a chunk that
 want a range meet it: a task holds one range and one chunk at a time, both limited in bytes, however many rows share an id.
 
-Products of integers below 2**53 are taken in floating point, where they are exact; larger ones in 64-bit integers, up to 2**63.
+Products of integers below 2**53 are taken in floating point, where they are exact; larger ones in 64-bit integers up to 2**63, and beyond
+in Python's, block by block. A score that 64 bits cannot hold becomes the largest or smallest number that they can.
 
 Rows without an id, and vectors null or with null or non-finite components, take no part; vectors of each length are
 searched among themselves (an inner product between lengths is undefined). Rows that repeat an id are candidates each for itself, but
@@ -94,17 +95,22 @@ def packed(batches: Iterator[pd.DataFrame], most: int) -> Iterator[pd.DataFrame]
 
 
 def exact(*parts: np.ndarray) -> list[np.ndarray]:
-    """The first matrix and those it is multiplied with, as numbers in which the products are exact."""
+    """The first matrix and those it is multiplied with, as numbers in which the products are exact: doubles, 64-bit integers or, where they may be larger, Python's."""
     top = lambda x: max(int(x.max(initial=0)), -int(x.min(initial=0)))
     most = top(parts[0]) * max(map(top, parts[1:])) * parts[0].shape[-1]
-    if most >= 1 << 63:
-        raise OverflowError("scores of these vectors do not fit into 64 bits")
-    return [x.astype(np.float64 if most < 1 << 53 else np.int64) for x in parts]
+    return [x.astype(np.float64 if most < 1 << 53 else np.int64 if most < 1 << 63 else object) for x in parts]
+
+
+def within(products: np.ndarray) -> np.ndarray:
+    """Products of Python's integers as 64-bit ones: what is beyond them becomes the largest or smallest score (LOWEST + 1)."""
+    if products.dtype != object:
+        return products
+    return np.clip(products, LOWEST + 1, np.iinfo(np.int64).max).astype(np.int64)
 
 
 def bounds(q: np.ndarray, high: np.ndarray, low: np.ndarray) -> np.ndarray:
     """No vector between low and high (a row each) scores higher for the queries (rows of q); exact numbers go in, integers come out."""
-    return (np.maximum(q, 0) @ high.T + np.minimum(q, 0) @ low.T).astype(np.int64)
+    return within(np.maximum(q, 0) @ high.T + np.minimum(q, 0) @ low.T).astype(np.int64)
 
 
 class Best:
@@ -155,7 +161,7 @@ def searched(r, size: int, k: int, slice_rows: int = 512) -> tuple[np.ndarray, B
             scored[b] += len(rows)
             for at in range(0, len(rows), slice_rows):
                 part = rows[at : at + slice_rows]
-                best.add(part, q[part] @ m[b * size : (b + 1) * size].T, ids[b * size : (b + 1) * size])
+                best.add(part, within(q[part] @ m[b * size : (b + 1) * size].T), ids[b * size : (b + 1) * size])
     return scored, best
 
 
