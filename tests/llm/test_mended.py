@@ -59,3 +59,41 @@ def test_search_very_large_vectors(spark):
     for q in (0, 50, 100):
         scores = sorted(((max(-top, min(top, sum(a * b for a, b in zip(whole[q], v)))), i) for i, v in whole.items() if i != q), key=lambda x: (-x[0], x[1]))[:5]
         assert [(r["score"], r["vec_id"]) for r in sorted((r for r in got if r["query_id"] == q), key=lambda r: r["rank"])] == scores
+
+
+def test_language_is_the_smallest_compression(spark, docs):
+    """Predictions against plain compression with the same dictionaries, one text at a time."""
+    import zstandard
+
+    from fluxgrain.llm import langid
+
+    model = langid.learn(docs)
+    got = {(r["doc_id"], r["lang_pred"], round(r["score"], 9)) for r in langid.classify(docs, model).collect()}
+    want = set()
+    for i, t in docs.select("doc_id", "text").collect():
+        if t is None or not any(c.isalpha() for c in t):
+            want.add((i, "und", 0.0))
+            continue
+        raw = "".join(c for c in t if not langid.NOISE.match(c)).lower().encode()
+        sizes = []
+        for k, (name, content) in enumerate(model):
+            d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            sizes.append((len(zstandard.ZstdCompressor(level=3, dict_data=d, write_content_size=False).compress(raw)), k, name))
+        sizes.sort()
+        lead = sizes[1][0] - sizes[0][0]
+        want.add((i, sizes[0][2], round(lead / (lead + 8), 9)))
+    assert got == want
+
+
+def test_toxicity_scores_naively():
+    """Scores against w0, the weights and all pairs of factors, added up one by one."""
+    from fluxgrain.llm import toxicity
+
+    rng = np.random.default_rng(1)
+    m = toxicity.Machine(10, 4)
+    m.w0, m.w, m.v = -0.3, rng.normal(size=1 << 10).astype(np.float32), rng.normal(0, 0.4, (1 << 10, 4)).astype(np.float32)
+    texts = ["", None, "one", "One, two! three four five", "insulting words about a mentioned group of people " * 3]
+    ids = [toxicity.terms(t, 10) for t in texts]
+    for t, got in zip(ids, m.score(ids)):
+        z = m.w0 + sum(float(m.w[i]) for i in t) + sum(float(m.v[a] @ m.v[b]) for n, a in enumerate(t) for b in t[:n])
+        assert abs(got - 1 / (1 + np.exp(-z))) < 1e-4
