@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fluxgrain.operators import parts
 from fluxgrain.sources.telemetry import CORRECTED, FORECAST, GOOD, IMPORTED, LATE, OUT_OF_RANGE, SUSPECT, UNVERIFIED
 
 STUCK_COUNT, JUMP_FRACTION, STUCK_EXEMPT = 12, 0.1875, ("battery",)
@@ -46,22 +47,20 @@ def suspects(points: DataFrame, definitions: DataFrame) -> DataFrame:
     them are not judged and do not count. Ties of time are in the order of raw_message_id.
     """
     d = definitions.select("metric_key", "valid_min", "valid_max", "value_type", "state_type", F.lit(True).alias("defined"))
-    arrival = Window.partitionBy("device_id", "metric_key").orderBy("received_at", "raw_message_id")
     late = F.col("flags").bitwiseAND(LATE) != 0
-    before = F.max(F.when(~late, F.col("time"))).over(arrival.rowsBetween(Window.unboundedPreceding, -1))
-    rows = points.join(d, "metric_key", "left").withColumn("top", before)
-    rows = rows.withColumn("counts", ~late & (F.col("top").isNull() | (F.col("time") > F.col("top"))))
-    order = Window.partitionBy("device_id", "metric_key", "counts").orderBy("time", "raw_message_id")
-    rows = rows.withColumns({"last": F.lag("value").over(order), "last_time": F.lag("time").over(order)})
-    rows = rows.withColumn("island", F.sum(F.when(F.col("last") == F.col("value"), 0).otherwise(1)).over(order))
-    run = F.row_number().over(Window.partitionBy("device_id", "metric_key", "counts", "island").orderBy("time", "raw_message_id"))
+    keys, series = ["device_id", "metric_key"], ["time", "raw_message_id"]
+    rows = points.join(d, "metric_key", "left")
+    rows = parts.earlier_max(rows, keys, ["received_at", "raw_message_id"], F.when(~late, F.col("time")), "_top", parts.day("received_at"))
+    rows = rows.withColumn("_counts", F.coalesce(~late & (F.col("_top").isNull() | (F.col("time") > F.col("_top"))), F.lit(False)))
+    # what counts comes in the order of its times, so that days of arrival are parts of that order too
+    some = parts.previous(rows.where("_counts"), keys, series, F.struct("value", "time"), "_last")
+    some = parts.run_lengths(some, keys, series, F.coalesce(F.col("_last.value") == F.col("value"), F.lit(False)), "_length")
     number = F.col("value_type").isNull() | (F.upper("value_type") == "NUMBER")
-    stuck = F.col("defined") & ~F.coalesce("state_type", F.lit(False)) & number & ~F.col("metric_key").isin(*STUCK_EXEMPT) & F.col("last").isNotNull() & (F.col("run") >= STUCK_COUNT)
-    gap = F.greatest(F.lit(1.0), (F.unix_millis("time") - F.unix_millis("last_time")) / 60000.0)
-    jump = (F.col("valid_max") > F.col("valid_min")) & (F.abs(F.col("value") - F.col("last")) / gap > (F.col("valid_max") - F.col("valid_min")) * JUMP_FRACTION)
-    rows = rows.withColumn("run", run)
-    suspect = F.col("counts") & (F.coalesce(stuck, F.lit(False)) | F.coalesce(jump, F.lit(False)))
-    return rows.select(*points.columns, suspect.alias("suspect"))
+    stuck = F.col("defined") & ~F.coalesce("state_type", F.lit(False)) & number & ~F.col("metric_key").isin(*STUCK_EXEMPT) & F.col("_last").isNotNull() & (F.col("_length") >= STUCK_COUNT)
+    gap = F.greatest(F.lit(1.0), (F.unix_millis("time") - F.unix_millis("_last.time")) / 60000.0)
+    jump = (F.col("valid_max") > F.col("valid_min")) & (F.abs(F.col("value") - F.col("_last.value")) / gap > (F.col("valid_max") - F.col("valid_min")) * JUMP_FRACTION)
+    judged = some.select(*points.columns, (F.coalesce(stuck, F.lit(False)) | F.coalesce(jump, F.lit(False))).alias("suspect"))
+    return judged.unionByName(rows.where("NOT _counts").select(*points.columns, F.lit(False).alias("suspect")))
 
 
 def skew_means(messages: DataFrame) -> DataFrame:
@@ -70,10 +69,14 @@ def skew_means(messages: DataFrame) -> DataFrame:
     Means are of whole milliseconds, so they do not depend on the order of summing.
     """
     ms = F.unix_millis("received_at")
-    hour = Window.partitionBy("device_id").orderBy(ms).rangeBetween(-3_600_000, 0)
+    hour = Window.partitionBy("device_id", "_to").orderBy(ms).rangeBetween(-3_600_000, 0)
     skew = F.unix_millis("measured_at") - ms
     rows = messages.where(F.col("measured_at").isNotNull() & F.col("received_at").isNotNull() & F.col("device_id").isNotNull())
-    return rows.withColumn("skew_sec", F.sum(skew).over(hour) / F.count("*").over(hour) / 1000.0)
+    # a day's last hour is looked back on from the next day, so that a device's days are apart
+    rows = rows.withColumn("_day", F.floor(ms / 86_400_000))
+    rows = rows.withColumn("_to", F.explode(F.when(ms % 86_400_000 >= 82_800_000, F.array("_day", F.col("_day") + 1)).otherwise(F.array("_day"))))
+    rows = rows.withColumn("skew_sec", F.sum(skew).over(hour) / F.count("*").over(hour) / 1000.0)
+    return rows.where("_to = _day").drop("_to", "_day")
 
 
 def skew_events(messages: DataFrame, threshold: float = 300, sustain: float = 1800, clear: float = 120) -> DataFrame:

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fluxgrain.operators import parts
 from fluxgrain.sources.telemetry import LATE, STATE_CHANGE
 
 
@@ -83,8 +84,8 @@ def window_values(points: DataFrame, seconds: int, most: int = 1440) -> DataFram
 
 def gaps(messages: DataFrame, interval: Column, factor: int = 3) -> DataFrame:
     """(device_id, gap_start, gap_end, expected_count): silences of at least ``factor`` reporting intervals before a message."""
-    order = Window.partitionBy("device_id").orderBy("received_at").rowsBetween(Window.unboundedPreceding, -1)
-    rows = messages.withColumn("interval_sec", interval).where(F.col("interval_sec") > 0).withColumn("seen", F.max("received_at").over(order))
+    rows = messages.withColumn("interval_sec", interval).where(F.col("interval_sec") > 0)
+    rows = parts.earlier_max(rows, ["device_id"], ["received_at"], F.col("received_at"), "seen", parts.day("received_at"))
     silent = (F.unix_micros("received_at") - F.unix_micros("seen")) / 1_000_000
     rows = rows.where(silent >= factor * F.col("interval_sec"))
     return rows.select("device_id", F.col("seen").alias("gap_start"), F.col("received_at").alias("gap_end"), F.floor(silent / F.col("interval_sec")).cast("int").alias("expected_count")).dropDuplicates(["device_id", "gap_start"])
@@ -178,16 +179,17 @@ def lag_level(backlog: DataFrame, now: Column) -> DataFrame:
 
 def level_changes(levels: DataFrame, at: str = "at") -> DataFrame:
     """(at, kind, level) of a series of evaluated levels: RAISED where a level other than OK is new, CLEARED where it is OK again; nothing while it stays."""
-    before = F.lag("level", 1, "OK").over(Window.partitionBy(F.lit(1)).orderBy(at))
-    rows = levels.withColumn("_was", before).where(F.col("level") != F.col("_was"))
+    rows = levels.withColumns({parts.PART: parts.day(at), "_one": F.lit(1)})  # only days' last levels meet in one task
+    rows = parts.previous(rows, ["_one"], [at], F.struct("level"), "_before").withColumn("_was", F.coalesce("_before.level", F.lit("OK")))
+    rows = rows.where(F.col("level") != F.col("_was"))
     return rows.select(at, F.when(F.col("level") == "OK", "CLEARED").otherwise("RAISED").alias("kind"), "level")
 
 
 def connectivity_events(messages: DataFrame, interval: Column, multiplier: Column) -> DataFrame:
     """(device_id, kind, at): ONLINE at a device's first message and at each one after a silence of more than interval times
     multiplier, OFFLINE when such a silence has lasted that long."""
-    order = Window.partitionBy("device_id").orderBy("received_at").rowsBetween(Window.unboundedPreceding, -1)
-    rows = messages.select("device_id", "received_at", F.floor(interval * multiplier * 1000 + 0.5).cast("bigint").alias("limit_ms")).withColumn("seen", F.max("received_at").over(order))
+    rows = messages.select("device_id", "received_at", F.floor(interval * multiplier * 1000 + 0.5).cast("bigint").alias("limit_ms"))
+    rows = parts.earlier_max(rows, ["device_id"], ["received_at"], F.col("received_at"), "seen", parts.day("received_at"))
     back = F.col("seen").isNull() | ((F.unix_micros("received_at") - F.unix_micros("seen")) / 1000 > F.col("limit_ms"))
     rows = rows.where(back)
     gone = F.timestamp_micros(F.unix_micros("seen") + F.col("limit_ms") * 1000)
