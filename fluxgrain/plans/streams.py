@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fluxgrain.operators import maintenance, scripts, state
-from fluxgrain.plans import tables
+from fluxgrain.plans import rollups, tables
 from fluxgrain.plans.checks import at
 from fluxgrain.plans.register import registry
 from fluxgrain.sources import store
 from fluxgrain.sources.telemetry import from_events, from_events_sql
-from fluxgrain.streaming import series
+from fluxgrain.streaming import aggregation, series
 
 QUERIES, ORACLES, query = registry()
 DEFS = [("click", 0.0, 1.0, "NUMBER", False), ("view", 0.0, 0.5, None, False), ("purchase", None, None, "TEXT", False), ("error", 0.0, 100000.0, "NUMBER", True)]
@@ -173,3 +175,13 @@ def script_stats_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = p.select(F.col("metric_key").alias("script_id"), (F.col("device_id") % 3).alias("version"), second.alias("at"), F.col("raw_message_id").alias("id"), F.col("value").alias("elapsed_ms"))
     runs = rows.withColumnRenamed("at", "run_at").withColumns({"failed": F.lit(False), "timed_out": F.lit(False), "input_bytes": F.lit(0)})
     return scripts.minute_stats(runs, rows, samples=8).select("script_id", "version", "bucket", "processed", "p95_ms", "logs_dropped")
+
+
+@query("rollup_1m_advancing", f"WITH {rollups.MINUTES} SELECT * FROM m1")
+def rollup_1m_advancing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All columns of the minutes, rolled up by four runs of which each sees what has been received by then, in chunks of half an hour."""
+    base, p = store.scratch(spark, "advancing"), store.written(rollups.unique_points(spark, sf_dir))
+    for now in ((1, 0, 45), (2, 10, 10), (2, 10, 40), (5, 0, 0)):
+        t = datetime.datetime(2024, 1, 1, *now)
+        aggregation.advance(p.where(F.col("received_at") <= F.lit(t)), base, t, datetime.timedelta(minutes=30), state_keys=rollups.STATES)
+    return aggregation.minutes(spark, base)

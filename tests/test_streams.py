@@ -180,3 +180,23 @@ def test_unreadable_lines(spark):
     whole = {"id": 1, "message_id": "m", "payload": "MQ==", "received_at": "2024-01-01T00:00:00Z"}
     good, bad = ingest.from_json_lines(spark.createDataFrame([(json.dumps(whole),), ("{",), ('{"id": 2}',), (None,)], "value string"))
     assert [(r["id"], bytes(r["payload"])) for r in good.collect()] == [(1, b"1")] and bad.count() == 3
+
+
+def test_minutes_advance(spark):
+    from fluxgrain.operators import rollup
+    from fluxgrain.streaming import aggregation
+
+    base, at = store.scratch(spark, "minutes"), lambda m: T0 + dt.timedelta(minutes=m)
+    rows = [point(1, 0, 1), point(2, 0.5, 2), point(3, 3, 4), point(4, 1, 9, 10), point(5, 12, 5)]  # the fourth comes nine minutes late
+    p = spark.createDataFrame(rows, TELEMETRY)
+    seen = lambda m: p.where(F.col("received_at") <= F.lit(at(m)))
+    assert aggregation.advance(seen(0).limit(0), base, at(0)) is None
+    assert aggregation.advance(seen(4), base, at(4), dt.timedelta(minutes=2)) == at(3)
+    first = {r["bucket"]: r["count"] for r in aggregation.minutes(spark, base).collect()}
+    assert first == {at(0): 2}  # minute 3 is open until 4:30
+    for _ in range(2):  # a run that comes again changes nothing
+        assert aggregation.advance(seen(11), base, at(11), dt.timedelta(minutes=2)) == at(10)
+        got = sorted(map(str, aggregation.minutes(spark, base).collect()))
+        whole = rollup.minutes(p.where(F.col("time") < F.lit(at(10))))
+        assert got == sorted(map(str, whole.select(*aggregation.minutes(spark, base).columns).collect()))
+    assert aggregation.last_run(spark, base) == (at(11), at(10))
