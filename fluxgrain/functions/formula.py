@@ -225,7 +225,7 @@ def _column(tree: tuple, metric: Callable, rolling: Callable | None) -> Column:
 
 
 #: Seconds of a part of a device's rows, if its windows are not longer.
-PART = 6 * 3600
+PART = 24 * 3600
 #: Sums are carried as whole millionths in two numbers of which the lower one has so many bits.
 LOW_BITS = 31
 
@@ -255,7 +255,7 @@ def _range_extremes(values, low, high, combine):
 def windowed(wide: DataFrame, keys: list[str], windows: list[tuple[str, int]], most: int = MAX_POINTS) -> DataFrame:
     """wide (device_id, time, late, asks, v_key and u_key …) with count, sum, least and greatest of each window (key, seconds) before the row.
 
-    A device's rows are cut into parts as long as the longest window (six hours at least); each row goes to its own part and, to be looked back on, to the next one, so no
+    A device's rows are cut into parts as long as the longest window (a day at least); each row goes to its own part and, to be looked back on, to the next one, so no
     task holds more than two parts of one device. Within a part a window is two binary searches: sums are differences of running sums of whole numbers, extremes come from a table of
     powers of two. Only the ``most`` latest points of a key count; late rows have no window; rows without asks are only looked back on.
     """
