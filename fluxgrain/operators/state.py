@@ -112,6 +112,19 @@ def latest_maps(points: DataFrame) -> DataFrame:
     return v.join(seen, "device_id")
 
 
+def latest_after(points: DataFrame, before: DataFrame) -> DataFrame:
+    """before (device_id, metric_key, value, time, raw_message_id), brought up to date by points in order of arrival: a message that is not older than its device's newest one replaces the values of its metrics."""
+    names = ["device_id", "metric_key", "value", "time", "raw_message_id"]
+    held = before.groupBy("device_id").agg(F.max("time").alias("_held"))
+    order = F.struct("received_at", "raw_message_id")
+    earlier = F.max("time").over(Window.partitionBy("device_id").orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = points.select(*names, "received_at").join(held, "device_id", "left").withColumn("_top", F.greatest(earlier, "_held")).where("time >= _top")
+    new = rows.select(*names, F.struct("time", F.col("received_at"), "raw_message_id").alias("_o"))
+    old = before.select(*names, F.struct("time", F.lit(None).cast("timestamp").alias("received_at"), "raw_message_id").alias("_o"))
+    best = old.unionByName(new).groupBy("device_id", "metric_key").agg(F.max_by(F.struct("value", "time", "raw_message_id"), "_o").alias("_l"))
+    return best.select("device_id", "metric_key", "_l.*")
+
+
 STATE_FIELDS = ("battery", "rssi", "snr", "gateway")
 
 

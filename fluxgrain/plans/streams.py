@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fluxgrain.operators import maintenance, scripts, state
+from fluxgrain.operators import contexts, maintenance, quality, scripts, state
 from fluxgrain.plans import rollups, tables
 from fluxgrain.plans.checks import at
 from fluxgrain.plans.register import registry
@@ -185,3 +185,52 @@ def rollup_1m_advancing(spark: SparkSession, sf_dir: str) -> DataFrame:
         t = datetime.datetime(2024, 1, 1, *now)
         aggregation.advance(p.where(F.col("received_at") <= F.lit(t)), base, t, datetime.timedelta(minutes=30), state_keys=rollups.STATES)
     return aggregation.minutes(spark, base)
+
+
+LOOKING = f"(SELECT raw_message_id AS id, device_id, metric_key, time, received_at, coalesce(value, 0) AS value, time <= received_at - INTERVAL 1 HOUR AS late, device_id = 1 AND raw_message_id % 7 = 0 AS failed FROM {from_events_sql(20, 30)})"
+
+
+def doubled(message: dict, context: dict) -> dict:
+    """Twice each value, with the one before it and what the hour before says."""
+    out = []
+    for m in message["metrics"]:
+        hour, was = context["window"](m["key"], "1h"), context["last"].get(m["key"])
+        out += [{"key": m["key"], "value": m["value"] * 2}, {"key": "n", "value": len(hour)}]
+        out += [{"key": "top", "value": max(hour)}] if hour else []
+        out += [{"key": "was", "value": was["value"]}] if was else []
+    return {**message, "metrics": out}
+
+
+def scaled(message: dict, context: dict) -> dict:
+    """A metric by the step's factor, for one model's devices; fails for device 1, whose messages then stay as they were."""
+    if context["device"]["id"] == 1:
+        raise ValueError("not this one")
+    return {**message, "metrics": [*message["metrics"], {"key": "scaled", "value": message["metrics"][0]["value"] * context["config"]["factor"]}]}
+
+
+def seventh(message: dict, context: dict) -> dict:
+    if message["messageId"] % 7 == 0:
+        raise ValueError("refused")
+    return message
+
+
+@query(
+    "transform_contexts",
+    f"""WITH p AS (SELECT *, max(time) FILTER (NOT failed) OVER (PARTITION BY device_id ORDER BY received_at, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest, max(epoch_ms(time)) FILTER (NOT late AND NOT failed) OVER (PARTITION BY device_id, metric_key ORDER BY received_at, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM {LOOKING}),
+q AS (SELECT *, NOT late AND NOT failed AND coalesce(epoch_ms(time) > seen, true) AS taken FROM p),
+r AS (SELECT *, last_value(CASE WHEN NOT failed AND coalesce(time >= newest, true) THEN value * 2 END IGNORE NULLS) OVER w AS was, coalesce(sum(taken::INT) OVER w, 0) AS n_taken FROM q WINDOW w AS (PARTITION BY device_id, metric_key ORDER BY received_at, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+h AS (SELECT a.id, count(*) AS n, max(b.value * 2) AS top FROM r a JOIN r b ON a.device_id = b.device_id AND a.metric_key = b.metric_key AND b.taken AND b.n_taken < a.n_taken AND b.n_taken >= a.n_taken - 1440 AND epoch_ms(b.time) < epoch_ms(a.time) AND epoch_ms(b.time) >= epoch_ms(a.time) - 3600000 WHERE NOT a.late GROUP BY 1)
+SELECT r.id, metric_key, value * 2 AS value, was, coalesce(n, 0) AS n, top, CASE WHEN device_id % 3 = 1 AND device_id <> 1 THEN value * 20 END AS scaled, failed FROM r LEFT JOIN h ON r.id = h.id""",
+)
+def transform_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Functions that look back on what functions made of their device's earlier messages: the last value, an hour's values, a step for one model and one that fails."""
+    p = from_events(spark, sf_dir, 20, 30)
+    metric = F.struct(F.col("metric_key").alias("key"), F.coalesce("value", F.lit(0.0)).alias("value"))
+    rows = p.select(
+        "device_id", "metric_key", F.col("raw_message_id").alias("id"), "time", "received_at", quality.is_late(F.col("time"), F.col("received_at")).alias("late"),
+        F.to_json(F.struct(F.col("device_id").alias("id"), (F.col("device_id") % 3).alias("modelId"))).alias("device"), F.to_json(F.struct(F.col("raw_message_id").alias("messageId"), F.array(metric).alias("metrics"))).alias("message"),
+    )
+    steps = [contexts.Step(doubled), contexts.Step(scaled, config={"factor": 10}, model_id=1), contexts.Step(seventh, "FAIL_CLOSED", device_id=1)]
+    out = contexts.with_past(rows, steps).withColumn("_m", F.from_json(F.get_json_object("message", "$.metrics"), "array<struct<key:string,value:double>>"))
+    of = lambda key: F.try_element_at(F.map_from_arrays("_m.key", "_m.value"), key)
+    return out.select("id", "metric_key", of(F.col("metric_key")).alias("value"), of(F.lit("was")).alias("was"), of(F.lit("n")).cast("bigint").alias("n"), of(F.lit("top")).alias("top"), of(F.lit("scaled")).alias("scaled"), F.col("script_error").isNotNull().alias("failed"))

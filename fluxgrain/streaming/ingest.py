@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fluxgrain.functions import formula, scalars
-from fluxgrain.operators import decode, metrics, quality, state
+from fluxgrain.operators import contexts, decode, metrics, quality, state
 from fluxgrain.operators import scripts as scripts_
 from fluxgrain.sources import store
 from fluxgrain.sources.telemetry import DERIVED, TELEMETRY
@@ -54,11 +54,12 @@ def process(
     on_change: DataFrame | None = None,
     policies: DataFrame | None = None,
     formulas: dict[str, str] | DataFrame | None = None,
-    transforms: list[tuple[Callable, str]] | None = None,
+    transforms: list[tuple[Callable, str]] | list[contexts.Step] | None = None,
     before: DataFrame | None = None,
     keep: Callable[[DataFrame], DataFrame] = store.written,
     history: DataFrame | None = None,
     live: bool = True,
+    last: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(messages with status and error, points) of a bounded set of envelopes.
 
@@ -71,7 +72,8 @@ def process(
     (metrics.registered()), before: what earlier calls registered, keep: what becomes of this call's registrations (written, as they are read several times);
     formulas: metrics derived from a message's own, which take the place of a metric of the same key: {key: formula}, or by scope, as a table that with_scoped() describes;
     history: stored points that rolling windows look back on; transforms: (function, policy) pairs that
-    good messages go through before (with_transformed()); live: false for messages that are processed again, which carry no signature.
+    good messages go through before, or contexts.Step, whose functions see their device (name, model_id, space_id and attributes, as far as devices has them), its last values and windows of
+    history, last (device_id, metric_key, value, time) and this call's earlier messages (with_transformed()); live: false for messages that are processed again, which carry no signature.
     """
     signature = F.col("signature_status") if "signature_status" in messages.columns else F.lit(None).cast("string")
     # messages without an id are told apart by the row's own
@@ -125,7 +127,7 @@ def process(
     each = each.withColumn("flags", quality.is_late(F.col("time"), F.col("received_at")).cast("smallint")).withColumn("raw_message_id", F.col("id"))
     each = each.withColumns({"derived": F.lit(False), "unverified": F.col("unverified") | F.col("_apart")})
     if transforms:
-        each, told = with_transformed(each, definitions, transforms)
+        each, told = with_transformed(each, definitions, transforms, devices, history, last)
         out = out.join(told, "message_id", "left").withColumns({"status": F.when(F.col("script_error").isNotNull(), "SCRIPT_ERROR").otherwise(F.col("status")), "result_error": F.coalesce("script_error", "result_error")})
     out = out.withColumn("dropped", F.coalesce("dropped", F.lit(False)) if transforms else F.lit(False))
     if isinstance(formulas, DataFrame):
@@ -156,11 +158,22 @@ def judged(rows: DataFrame, definitions: DataFrame, columns: list[str]) -> DataF
     return found.withColumns({"unit": F.coalesce("_own_unit", "unit"), "unverified": F.col("_status").isNull() | (F.col("_status") == "UNVERIFIED"), "out_of_range": beyond}).select(*columns)
 
 
-def with_transformed(points: DataFrame, definitions: DataFrame, functions: list[tuple[Callable, str]]) -> tuple[DataFrame, DataFrame]:
+def looks_back(functions: list | None) -> bool:
+    return any(isinstance(f, contexts.Step) for f in functions or [])
+
+
+def described(devices: DataFrame) -> DataFrame:
+    """(device_id, device): what functions are told of a device, as JSON text with those of its facts that devices has; one row each."""
+    facts = [F.col(c).alias(name) for c, name in (("name", "name"), ("model_id", "modelId"), ("space_id", "spaceId"), ("attributes", "attributes")) if c in devices.columns]
+    return devices.where("device_id IS NOT NULL").dropDuplicates(["device_id"]).select("device_id", F.to_json(F.struct(F.col("device_id").alias("id"), *facts)).alias("device"))
+
+
+def with_transformed(points: DataFrame, definitions: DataFrame, functions: list, devices: DataFrame | None = None, history: DataFrame | None = None, last: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(points, (message_id, script_error, dropped)) of good messages that go as JSON through functions(message, context), which may change their metrics.
 
     A message is {messageId, deviceId, measuredAt, metrics: [{key, value, unit}]}. None drops its points; keys that were not there are derived. What
-    breaks the contract (scripts.valid_output()) counts as a failure: of a closed policy if any function has one, else the message stays as it was.
+    breaks the contract (scripts.valid_output()) counts as a failure: of a closed policy if any function has one, else the message stays as it was. Steps (contexts.with_past()), which
+    may not be mixed with plain functions, are judged each by its own policy and look back on their device.
     """
     points = store.written(points)  # read several times
     good = points.where("message_error IS NULL")
@@ -168,9 +181,18 @@ def with_transformed(points: DataFrame, definitions: DataFrame, functions: list[
     metric = F.struct(F.col("metric_key").alias("key"), "value", "unit")
     m = good.groupBy("message_id").agg(F.min_by(F.struct(*shared), "metric_key").alias("_m"), F.sort_array(F.collect_list(metric)).alias("metrics"), F.map_from_entries(F.collect_list(F.struct("metric_key", F.struct("original_key", "derived")))).alias("_before"))
     said = F.to_json(F.struct(F.col("message_id").alias("messageId"), F.col("_m.device_id").alias("deviceId"), scalars.instant_text(F.col("_m.time")).alias("measuredAt"), "metrics"))
-    done = scripts_.transform(m.withColumn("message", said), functions).withColumn("_r", scripts_.valid_output(F.col("message")))
+    m = m.withColumn("message", said)
+    if looks_back(functions):
+        if not all(isinstance(f, contexts.Step) for f in functions):
+            raise ValueError("steps and plain functions may not be mixed")
+        m = m.withColumns({"device_id": F.col("_m.device_id"), "id": F.col("_m.id"), "time": F.col("_m.time"), "received_at": F.col("_m.received_at"), "late": quality.is_late(F.col("_m.time"), F.col("_m.received_at"))})
+        m = m.join(described(devices), "device_id", "left") if devices is not None else m.withColumn("device", F.lit(None).cast("string"))
+        done = contexts.with_past(m, functions, history, last).drop("device_id", "id", "time", "received_at", "late", "device")
+    else:
+        done = scripts_.transform(m, functions)
+    done = done.withColumn("_r", scripts_.valid_output(F.col("message")))
     broken = F.when(F.col("script_error").isNull() & ~F.col("dropped"), F.col("_r.error"))
-    closed = any(policy == "FAIL_CLOSED" for _, policy in functions)
+    closed = any(f[1] == "FAIL_CLOSED" for f in functions)
     done = done.withColumn("script_error", F.coalesce("script_error", broken) if closed else F.col("script_error"))
     done = store.written(done.withColumn("metrics", F.coalesce("_r.metrics", "metrics")).drop("_r", "message"))
     each = done.where("script_error IS NULL AND NOT dropped").select("message_id", "_m.*", "_before", F.explode("metrics").alias("_v")).select("*", "_v.*").drop("_v").withColumnRenamed("key", "metric_key")
@@ -265,12 +287,22 @@ def history(spark: SparkSession, base: str, messages: DataFrame, number: int, sl
     return spark.read.schema(TELEMETRY).parquet(*paths).where(F.col("time") >= F.lit(first) - F.expr("interval 25 hours")) if paths else spark.createDataFrame([], TELEMETRY)
 
 
+LATEST = "device_id bigint, metric_key string, value double, time timestamp, raw_message_id bigint"
+
+
+def latest(spark: SparkSession, base: str, number: int) -> DataFrame:
+    """The newest values of all series after the batches before ``number``: what the last of them stored, whose size is that of the devices, not of the stream's past."""
+    stored = [int(x.removeprefix("batch=")) for x in store.names(spark, f"{base}/latest") if x.startswith("batch=")]
+    before = max((b for b in stored if b < number), default=None)
+    return spark.createDataFrame([], LATEST) if before is None else spark.read.schema(LATEST).parquet(f"{base}/latest/batch={before}")
+
+
 def run_stored(envelopes: DataFrame, base: str, sources: dict[int, dict], devices: DataFrame, definitions: DataFrame, aliases: DataFrame, slot: str = HOUR, **options) -> StreamingQuery:
     """process() over a stream, its results in base/messages, base/points and base/links by batch, each published whole (store.published()), so that
     a batch which comes again after a lost driver changes nothing and other streams may read the folders.
 
     What a later batch must know is stored too: ids and keys by received hour (earlier_ids(); slot ``yyyyMMdd``: by day, for batches that span many hours), for duplicates and replays on both sides of a batch's bounds; registered
-    devices and raised alarms in base/registered; points, on which rolling windows look back a day. Stuck values, jumps and storage on change depend on each
+    devices and raised alarms in base/registered; points, on which rolling windows and functions look back a day; every series' newest value in base/latest, if functions look back. Stuck values, jumps and storage on change depend on each
     series' points before: they are judged by a stream over base/points with keyed state (series.run_judged()).
     """
     spark = envelopes.sparkSession
@@ -292,14 +324,20 @@ def run_stored(envelopes: DataFrame, base: str, sources: dict[int, dict], device
         more = dict(options)
         if registering:
             more |= {"before": earlier("registered", REGISTERED, number), "keep": lambda new: store.published(new, f"{base}/registered/batch={number}")}
-        if options.get("formulas") is not None:
+        back = looks_back(options.get("transforms"))
+        if back or options.get("formulas") is not None:
             more["history"] = history(spark, base, batch, number, slot)
+        if back:
+            more["last"] = latest(spark, base, number)
         messages, points = process(fresh, sources, devices, definitions, aliases, seen=stored.drop("slot", "batch"), **more)
         messages = store.published(messages, f"{base}/messages/batch={number}")
         links = metrics.link_rows(messages.where("status = 'OK'"))
         store.published(links, f"{base}/links/batch={number}")
         ids = messages.select("organization_id", "dedup_key", "received_at", "message_id", F.date_format("received_at", slot).alias("slot"), F.lit(number).cast("bigint").alias("batch"))
         ids.repartition("slot").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slot", "batch").parquet(f"{base}/ids")
+        if back:
+            points = store.written(points)
+            store.published(state.latest_after(points, more["last"]), f"{base}/latest/batch={number}")
         store.published(points, f"{base}/points/batch={number}")
 
     return run(envelopes, f"{base}/checkpoint", handle)
