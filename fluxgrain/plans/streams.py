@@ -11,7 +11,7 @@ from fluxgrain.operators import contexts, maintenance, quality, scripts, state
 from fluxgrain.plans import rollups, tables
 from fluxgrain.plans.checks import at
 from fluxgrain.plans.register import registry
-from fluxgrain.sources import store
+from fluxgrain.sources import segments, store
 from fluxgrain.sources.telemetry import from_events, from_events_sql
 from fluxgrain.streaming import aggregation, series
 
@@ -234,3 +234,21 @@ def transform_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = contexts.with_past(rows, steps).withColumn("_m", F.from_json(F.get_json_object("message", "$.metrics"), "array<struct<key:string,value:double>>"))
     of = lambda key: F.try_element_at(F.map_from_arrays("_m.key", "_m.value"), key)
     return out.select("id", "metric_key", of(F.col("metric_key")).alias("value"), of(F.lit("was")).alias("was"), of(F.lit("n")).cast("bigint").alias("n"), of(F.lit("top")).alias("top"), of(F.lit("scaled")).alias("scaled"), F.col("script_error").isNotNull().alias("failed"))
+
+
+@query(
+    "log_resumed",
+    f"""SELECT coalesce(device_id % 4, 0)::INTEGER AS "partition", row_number() OVER (PARTITION BY device_id % 4 ORDER BY received_at >= TIMESTAMP '2024-01-09', received_at >= TIMESTAMP '2024-01-20', received_at, raw_message_id) - 1 AS "offset", raw_message_id, metric_key, value,
+  1 + (received_at >= TIMESTAMP '2024-01-09')::INTEGER + (received_at >= TIMESTAMP '2024-01-20')::INTEGER AS run FROM {T}""",
+)
+def log_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log of four partitions that grows three times; a stream that is stopped after each time goes on after the last offset."""
+    spark.dataSource.register(segments.Segments)
+    base, p = store.scratch(spark, "log"), from_events(spark, sf_dir)
+    for run, (low, high) in enumerate((("2000-01-01", "2024-01-09"), ("2024-01-09", "2024-01-20"), ("2024-01-20", "2100-01-01")), 1):
+        rows = p.where((F.col("received_at") >= at(low)) & (F.col("received_at") < at(high)))
+        segments.append(rows, f"{base}/log", F.col("device_id") % 4, ("received_at", "raw_message_id"), 1000)
+        source = spark.readStream.format("segments").schema("partition int, offset bigint, raw_message_id bigint, metric_key string, value double").option("rowsPerTask", 700).load(f"{base}/log")
+        out = source.withColumn("run", F.lit(run)).writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True)
+        out.start(f"{base}/out").awaitTermination()
+    return spark.read.parquet(f"{base}/out")

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from fluxgrain.functions import formula, scalars
 from fluxgrain.operators import contexts, decode, metrics, quality, state
 from fluxgrain.operators import scripts as scripts_
-from fluxgrain.sources import store
+from fluxgrain.sources import segments, store
 from fluxgrain.sources.telemetry import DERIVED, TELEMETRY
 
 #: Reporting interval in seconds of a device that has none (fixed value).
@@ -33,6 +33,12 @@ def read_envelopes(spark: SparkSession, path: str, per_trigger: int = 16) -> Dat
     return spark.readStream.schema(ENVELOPE).option("maxFilesPerTrigger", per_trigger).parquet(path)
 
 
+def read_log(spark: SparkSession, path: str, rows_per_task: int = 1_000_000) -> DataFrame:
+    """Envelopes from a log of segments (sources/segments.py) as a stream that goes on after the last offset of each partition that its checkpoint holds."""
+    spark.dataSource.register(segments.Segments)
+    return spark.readStream.format("segments").schema(ENVELOPE).option("rowsPerTask", rows_per_task).load(path)
+
+
 def from_json_lines(lines: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
     """(envelopes, unreadable lines) of JSON text; payloads are base64."""
     text = ENVELOPE.replace("payload binary", "payload string")
