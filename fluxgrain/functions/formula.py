@@ -11,7 +11,7 @@ import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_LENGTH, MAX_POINTS = 500, 1440
@@ -339,3 +339,24 @@ def evaluate(points: DataFrame, formulas: dict[str, str], most: int = MAX_POINTS
     ordinal = [] if lists is None else [F.try_element_at("names", F.col("metric_key")).alias("ordinal")]
     out = wide.select("*", F.inline(results)).where(F.col("value").isNotNull())
     return out.select("device_id", "time", *by, "metric_key", "value", *ordinal)
+
+
+#: Fixed value: instants that a preview shows.
+MAX_PREVIEW = 1_440
+
+
+def preview(points: DataFrame, source: str, start: Column, end: Column, shown: int = MAX_PREVIEW, known: Callable[[str], bool] = lambda key: True) -> tuple[DataFrame, DataFrame]:
+    """(series, inputs) of a formula that is not stored yet: (device_id, time, value) and (device_id, metric_key, time, value) from start to before end.
+
+    Of each device the first ``shown`` instants at which it has any input count; inputs are all of the span. Late points count as others do, and windows look back before
+    start, as points are read from there on. Nothing is written.
+    """
+    f = parse(source, known)
+    size = max((w for _, w in f.windows), default=0)
+    rows = points.where(F.col("metric_key").isin(*f.inputs) & (F.col("time") >= start - F.make_dt_interval(secs=F.lit(size))) & (F.col("time") < end))
+    rows = rows.select("device_id", "metric_key", "time", "value", F.lit(0).alias("flags"))
+    inside = rows.where(F.col("time") >= start)
+    place = F.dense_rank().over(Window.partitionBy("device_id").orderBy("time"))
+    first = inside.withColumn("_n", place).where(F.col("_n") <= shown).drop("_n")
+    series = evaluate(first, {"preview": source}, most=1 << 30, history=rows.join(first.select("device_id", "time").distinct(), ["device_id", "time"], "left_anti"))
+    return series.select("device_id", "time", "value"), inside.drop("flags")

@@ -6,6 +6,8 @@ Spark's functions; only the sequential binary codec is an Arrow UDF.
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -186,8 +188,6 @@ def single_value(messages: DataFrame) -> DataFrame:
 
 def check_mapping(config: dict) -> list[str]:
     """What is wrong with a mapping of mapped_json()."""
-    import re
-
     errors, keys = [], []
 
     def path(name: str, p) -> None:
@@ -221,17 +221,12 @@ def check_mapping(config: dict) -> list[str]:
     return errors
 
 
-def mapped_json(messages: DataFrame, config: dict) -> DataFrame:
-    """JSON by a mapping: where the device id, the time and each metric stand. The mapping becomes a projection; no UDF."""
+def mapped(j: Column, topic: Column, given: Column, config: dict) -> Column:
+    """struct<external_id, measured_at, values> of a JSON message (a variant) by a mapping; given: the topic's own device id, for messages that name none."""
     if errors := check_mapping(config):
         raise ValueError("; ".join(errors))
-    import re
-
-    rows = messages.withColumn("j", F.try_parse_json(_text(messages)))
-    j = F.col("j")
     m = re.fullmatch(r"topic\[(\d+)\]", config["deviceIdFrom"])
-    own = F.get(F.split(F.coalesce("topic", F.lit("")), "/"), F.lit(int(m[1]))) if m else jsonpaths.first_of(j, config["deviceIdFrom"]).cast("string")
-    given = F.try_element_at("topic_attributes", F.lit("externalId")) if "topic_attributes" in messages.columns else F.lit(None).cast("string")
+    own = F.get(F.split(F.coalesce(topic, F.lit("")), "/"), F.lit(int(m[1]))) if m else jsonpaths.first_of(j, config["deviceIdFrom"]).cast("string")
     device = F.coalesce(F.when(F.trim(own) != "", own), F.when(F.trim(given) != "", given))
     time_path, fmt = config.get("timePath") or config.get("timeFrom"), config.get("timeFormat", "AUTO")
     measured = F.lit(None).cast("timestamp")
@@ -252,11 +247,30 @@ def mapped_json(messages: DataFrame, config: dict) -> DataFrame:
         key = lambda x: of(x, "keyFrom", "$.key").cast("string")
         more = F.transform(F.coalesce(each, F.array().cast("array<variant>")), lambda x: F.when(key(x).isNotNull(), scalar(key(x), of(x, "valueFrom", "$.value"), unit(x))))
         found = F.concat(found, more.cast(VALUES))
+    return F.struct(device.alias("external_id"), measured.alias("measured_at"), F.filter(found, lambda v: v.isNotNull()).alias("values"))
+
+
+def mapped_json(messages: DataFrame, *configs: dict | tuple[dict, list[int]]) -> DataFrame:
+    """JSON by mappings: where the device id, the time and each metric stand. A mapping becomes an expression; no UDF.
+
+    One mapping serves all messages. Several, each with the ids of its sources, are cases of one projection, so that messages are read and parsed once however many there are.
+    """
+    rows = messages.withColumn("j", F.try_parse_json(_text(messages)))
+    j = F.col("j")
+    given = F.try_element_at("topic_attributes", F.lit("externalId")) if "topic_attributes" in messages.columns else F.lit(None).cast("string")
+    found = None
+    for c in configs:
+        config, ids = c if isinstance(c, tuple) else (c, None)
+        read = mapped(j, F.col("topic"), given, config)
+        mine = F.lit(True) if ids is None else F.col("source_id").isin(ids)
+        found = F.when(mine, read) if found is None else found.when(mine, read)
+    rows = rows.withColumn("_mapped", found)
+    device = F.col("_mapped.external_id")
     return rows.select(
         *messages.columns,
         device.alias("external_id"),
-        measured.alias("measured_at"),
-        F.filter(found, lambda v: v.isNotNull()).alias("values"),
+        F.col("_mapped.measured_at").alias("measured_at"),
+        F.col("_mapped.values").alias("values"),
         F.lit(None).cast(LINK).alias("link"),
         F.create_map().cast("map<string,string>").alias("tags"),
         F.when(j.isNull(), FAILED).when(device.isNull(), NO_ID).alias("error"),
@@ -307,20 +321,29 @@ def overlay(decoded: DataFrame) -> DataFrame:
 def decode(messages: DataFrame, sources: dict[int, dict], scripts: dict[str, object] | None = None) -> DataFrame:
     """Messages decoded by their source's decoder: sources is source_id -> {"decoder": name, "config": ...}.
 
-    Sources of one decoder and configuration are decoded together; messages of unknown sources or decoders fail.
+    Each decoder reads the messages of all its sources at once: what a configuration changes is a case of its expressions, so the plan has a branch per decoder and user
+    function, not per configuration. Messages of unknown sources or decoders fail.
     """
-    by: dict[str, tuple[dict, list[int]]] = {}
+    by: dict[str, list[tuple[dict, list[int]]]] = {}
     for source_id, s in sources.items():
-        by.setdefault(repr((s.get("decoder"), s.get("config"))), (s, []))[1].append(source_id)
+        name, config = s.get("decoder") or "chirpstack-v4", s.get("config") or {}
+        alike = by.setdefault(name, [])
+        same = next((ids for c, ids in alike if c == config), None)
+        if same is None:
+            alike.append((config, [source_id]))
+        else:
+            same.append(source_id)
     parts, known = [], []
-    for s, ids in by.values():
-        rows, name, config = messages.where(F.col("source_id").isin(ids)), s.get("decoder") or "chirpstack-v4", s.get("config") or {}
+    for name, configs in by.items():
+        ids = [i for _, own in configs for i in own]
+        rows = messages.where(F.col("source_id").isin(ids))
         if name == "chirpstack-v4":
-            parts.append(lorawan(rows, F.lit(config["codec"]) if config.get("codec") else None))
+            codecs = {i: c["codec"] for c, own in configs for i in own if c.get("codec")}
+            parts.append(lorawan(rows, F.try_element_at(F.create_map(*[F.lit(x) for i, c in codecs.items() for x in (i, c)]), F.col("source_id").cast("int")) if codecs else None))
         elif name == "single-value":
             parts.append(single_value(rows))
         elif name == "generic-json":
-            parts.append(mapped_json(rows, config))
+            parts.append(mapped_json(rows, *configs))
         elif name.startswith("script") and scripts and name in scripts:
             parts.append(scripted(rows, scripts[name]))
         else:

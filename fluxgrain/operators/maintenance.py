@@ -10,7 +10,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fluxgrain.sources.telemetry import REPROCESSED
+from fluxgrain.functions import scalars
+from fluxgrain.sources.telemetry import DERIVED, REPROCESSED
 
 KEY = ["device_id", "metric_key", "time"]
 
@@ -188,6 +189,36 @@ def derived_points(points: DataFrame, devices: DataFrame, now: Column) -> DataFr
     return rows.select(*[c for c in points.columns if c != "time"], F.date_trunc("millisecond", "time").alias("time"), reason.alias("reason"))
 
 
+def stored_derived(judged: DataFrame, now: Column, watermark: Column | None = None, order: str = "position") -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(rows, messages, latest, dirty) of the points that derived_points() took (reason is null): what is to be upserted, published, merged into device states and rolled up anew.
+
+    rows: as telemetry, one per device, metric and millisecond, of several the one given last by ``order``. messages: one for each device and instant, whose id is the same whenever the same metrics are
+    sent again (scalars.derived_id()). latest: (device_id, metric_key, value, time) of each device's newest instant. dirty: the minutes before the watermark, as late data are.
+    judged should be a stored table, as all four read it.
+    """
+    taken = judged.where("reason IS NULL").groupBy("organization_id", "device_id", "metric_key", "time").agg(F.max_by("value", order).alias("value"))
+    rows = taken.select("device_id", "metric_key", "time", "organization_id", "value", F.lit(0).cast("smallint").alias("quality"), F.lit(DERIVED).cast("smallint").alias("flags"), F.lit(False).alias("is_virtual"), now.alias("received_at"), F.lit(None).cast("bigint").alias("raw_message_id"))
+    metric = F.struct(F.col("metric_key").alias("key"), "value")
+    messages = taken.groupBy("organization_id", "device_id", F.col("time").alias("measured_at")).agg(F.sort_array(F.collect_list(metric)).alias("metrics"))
+    messages = messages.withColumns({"message_id": scalars.derived_id(F.col("device_id"), F.col("measured_at"), F.col("metrics.key")), "received_at": now, "late": F.lit(False), "derived": F.lit(True)})
+    newest = messages.groupBy("device_id").agg(F.max_by("metrics", "measured_at").alias("_m"), F.max("measured_at").alias("time"))
+    latest = newest.select("device_id", "time", F.inline("_m")).select("device_id", F.col("key").alias("metric_key"), "value", "time")
+    start = F.date_trunc("minute", "time")
+    late = F.lit(False) if watermark is None else F.col("time") < watermark
+    dirty = taken.where(late).select("organization_id", F.lit("1m").alias("level"), "device_id", "metric_key", start.alias("start"), (start + F.expr("interval 1 minute")).alias("end"), F.lit("LATE").alias("reason")).distinct()
+    return rows, messages, latest, dirty
+
+
+def misplaced(existing: DataFrame, rows: DataFrame, table: str, now: Column, warned: DataFrame | None = None) -> DataFrame:
+    """The warnings (table, reason, n_rows, day) of a day for rows (month as yyyy-MM) that no partition of the table holds; at most one for a table and day.
+
+    existing: the partitions there are (month); warned: warnings given before (table, day). Rows are counted by month before they meet the partitions.
+    """
+    counted = rows.groupBy("month").agg(F.count("*").alias("_n")).join(existing.select("month").distinct(), "month", "left_anti")
+    out = counted.groupBy(F.lit(table).alias("table"), F.lit("DEFAULT_PARTITION_ROWS").alias("reason")).agg(F.sum("_n").alias("n_rows")).withColumn("day", F.to_date(now))
+    return out if warned is None else out.join(warned.select("table", "day").distinct(), ["table", "day"], "left_anti").select(*out.columns)
+
+
 def missing_months(existing: DataFrame, now: Column, ahead: int = 3) -> DataFrame:
     """The months from now's on, ``ahead`` more, that no partition in existing (month as yyyy-MM) holds."""
     first = F.date_trunc("month", now)

@@ -237,3 +237,33 @@ def stream_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ingest.run(ingest.read_envelopes(spark, f"{base}/in", 2), f"{base}/checkpoint", handle).awaitTermination()
     return spark.read.parquet(f"{base}/out").select("raw_message_id", "device_id", "metric_key", "time", "value", "quality")
+
+
+#: Two mappings of one decoder, a decoder that is not there, and (6) a source that is not configured.
+MANY = {**SOURCES, 4: {"decoder": "generic-json", "config": {"deviceIdFrom": "$.dev", "metrics": {"$.v": "reading", "$.flag": "flag"}}}, 5: {"decoder": "other"}}
+ZEROED = f"(SELECT * REPLACE (coalesce(value, 0) AS value), 1 + raw_message_id % 6 AS source FROM {T})"
+
+
+@query(
+    "ingest_sources",
+    f"""WITH s AS (SELECT *, CASE WHEN raw_message_id % 101 = 0 THEN 'INVALID' WHEN source > 4 THEN 'DECODE_ERROR' WHEN device_id % 7 IN (3, 5) THEN 'UNKNOWN_DEVICE_REJECTED' ELSE 'OK' END AS status FROM {ZEROED}),
+v AS (SELECT raw_message_id, metric_key AS key, value AS v, time AS told FROM s WHERE source = 1 UNION ALL SELECT raw_message_id, metric_key, value, received_at FROM s WHERE source = 2
+  UNION ALL SELECT raw_message_id, 'value', value, date_trunc('second', time) FROM s WHERE source = 3 UNION ALL SELECT raw_message_id, metric_key, (raw_message_id % 9)::DOUBLE, date_trunc('second', time) FROM s WHERE source = 3
+  UNION ALL SELECT raw_message_id, 'reading', value, received_at FROM s WHERE source = 4 UNION ALL SELECT raw_message_id, 'flag', (device_id % 2)::DOUBLE, received_at FROM s WHERE source = 4)
+SELECT s.raw_message_id AS id, source AS source_id, status, CASE WHEN status = 'INVALID' THEN 'ING_SOURCE_TYPE_UNKNOWN' WHEN status = 'DECODE_ERROR' THEN 'ING_DECODE_FAILED' WHEN status <> 'OK' THEN CASE WHEN device_id % 7 = 3 THEN 'ING_DEVICE_UNKNOWN' ELSE 'ING_DEVICE_IGNORED' END END AS error,
+  key AS metric_key, v AS value, told AS time FROM s LEFT JOIN v ON v.raw_message_id = s.raw_message_id AND status = 'OK'""",
+)
+def ingest_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of six sources through the whole pipeline at once: three decoders, two mappings, a decoder that is not there and a source that is not configured."""
+    p = from_events(spark, sf_dir).withColumns({"value": F.coalesce("value", F.lit(0.0)), "_s": 1 + F.col("raw_message_id") % 6})
+    own, of = F.col("device_id").cast("string"), lambda k: p.where(F.col("_s") == k)
+    sensor = F.struct(F.col("metric_key").alias("name"), (F.col("raw_message_id") % 9).alias("k"))
+    third = F.to_json(F.struct(F.unix_seconds("time").alias("t"), F.struct(F.col("value").alias("v")).alias("reading"), F.array(sensor).alias("sensors")))
+    fourth = F.to_json(F.struct(own.alias("dev"), F.col("value").alias("v"), (F.col("device_id") % 2 == 1).alias("flag")))
+    rows = uplink(of(1)).unionByName(envelopes(of(2), 2, F.concat_ws("/", F.lit("site/1"), own, "metric_key"), F.col("value").cast("string"))).unionByName(envelopes(of(3), 3, F.concat_ws("/", F.lit("x"), own), third))
+    for k in (4, 5, 6):
+        rows = rows.unionByName(envelopes(of(k), k, F.lit("x"), fourth))
+    devices, definitions, aliases = dimensions(spark, p)
+    more = devices.select(F.explode(F.array(*[F.lit(k).cast("bigint") for k in (2, 3, 4)])).alias("source_id"), F.col("device_id").cast("string").alias("external_id"), "device_id", "organization_id", "status", "ignored")
+    out, points = ingest.process(store.written(rows), MANY, devices.unionByName(more), definitions, aliases)
+    return out.select("id", "source_id", "status", "error").join(points.select(F.col("raw_message_id").alias("id"), "metric_key", "value", "time"), "id", "left")
