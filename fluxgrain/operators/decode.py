@@ -6,14 +6,17 @@ Spark's functions; only the sequential binary codec is an Arrow UDF.
 
 from __future__ import annotations
 
+import json
 import re
+from collections.abc import Callable
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fluxgrain.functions import jsonpaths
-from fluxgrain.functions.scalars import epoch
+from fluxgrain.functions.scalars import epoch, instant_text
 
 VALUE = "struct<key:string,text:string,kind:string,unit:string>"
 VALUES = f"array<{VALUE}>"
@@ -277,22 +280,51 @@ def mapped_json(messages: DataFrame, *configs: dict | tuple[dict, list[int]]) ->
     )
 
 
-def scripted(messages: DataFrame, function, name: str = "script") -> DataFrame:
-    """A user's decode(topic, payload) -> {"external_id", "measured_at", "values": [(key, value, unit)], "tags"}; any exception is a failed message."""
+class Whole(NamedTuple):
+    """A user's decode(input) -> the same as scripted()'s, whose input is all of a message (decode_input()) as a dict, with its source's config."""
+
+    function: Callable
+
+
+def decode_input(messages: DataFrame, config: Column) -> Column:
+    """What a user's decoder is given of a message, as JSON text: topic, payload (JSON as it is, all else in base64), payloadBase64, payloadEncoding, payloadText (of text only), receivedAt and source
+    (id, code, type, config: JSON text). JSON that cannot be read counts as text."""
+    payload = F.coalesce("payload", F.lit("").cast("binary"))
+    raw = F.base64(payload)
+    json_ = F.when(payload_encoding(payload) == "JSON", F.try_parse_json(payload.cast("string")))
+    encoding = F.when(json_.isNotNull(), "JSON").when(payload_encoding(payload) == "JSON", "TEXT").otherwise(payload_encoding(payload))
+    quoted = F.try_parse_json(F.concat(F.lit('"'), raw, F.lit('"')))
+    source = F.struct(F.col("source_id").alias("id"), F.concat(F.lit("source-"), F.col("source_id").cast("string")).alias("code"), F.col("source_type").alias("type"), F.coalesce(F.try_parse_json(config), F.try_parse_json(F.lit("{}"))).alias("config"))
+    return F.to_json(
+        F.struct(
+            "topic", F.coalesce(json_, quoted).alias("payload"), raw.alias("payloadBase64"), encoding.alias("payloadEncoding"), F.when(encoding == "TEXT", payload.cast("string")).alias("payloadText"), instant_text(F.col("received_at")).alias("receivedAt"), source.alias("source")
+        )
+    )
+
+
+def scripted(messages: DataFrame, function: Callable | Whole, configs: dict[int, dict] | None = None) -> DataFrame:
+    """A user's decode(topic, payload) -> {"external_id", "measured_at", "values": [(key, value, unit)], "tags"}, or Whole; any exception is a failed message. configs: source_id -> config."""
+    whole = isinstance(function, Whole)
 
     @F.pandas_udf(f"struct<external_id:string,measured_at:timestamp,values:{VALUES},tags:map<string,string>,error:string>")
-    def run(topic: pd.Series, payload: pd.Series) -> pd.DataFrame:
+    def run(first: pd.Series, second: pd.Series) -> pd.DataFrame:
         out = []
-        for t, p in zip(topic, payload):
+        for a, b in zip(first, second):
             try:
-                r = function(t, None if p is None else bytes(p))
+                r = function.function(json.loads(a)) if whole else function(a, None if b is None else bytes(b))
                 values = [{"key": k, "text": str(v).lower() if isinstance(v, bool) else str(v), "kind": "bool" if isinstance(v, bool) else "number" if isinstance(v, int | float) else "text", "unit": u} for k, v, u in r.get("values", [])]
                 out.append((r.get("external_id"), pd.Timestamp(r["measured_at"]) if r.get("measured_at") else pd.NaT, values, r.get("tags") or {}, None if r.get("external_id") else NO_ID))
             except Exception:  # whatever a user's function raises makes its message a failed one
                 out.append((None, pd.NaT, [], {}, FAILED))
         return pd.DataFrame(out, columns=["external_id", "measured_at", "values", "tags", "error"])
 
-    rows = messages.withColumn("r", run("topic", "payload"))
+    if whole:
+        said = {i: json.dumps(c) for i, c in (configs or {}).items()}
+        config = F.try_element_at(F.create_map(*[F.lit(x) for pair in said.items() for x in pair]), F.col("source_id").cast("int")) if said else F.lit(None).cast("string")
+        arguments = (decode_input(messages, config), F.lit(None).cast("binary"))
+    else:
+        arguments = ("topic", "payload")
+    rows = messages.withColumn("r", run(*arguments))
     return rows.select(*messages.columns, "r.external_id", "r.measured_at", "r.values", F.lit(None).cast(LINK).alias("link"), "r.tags", "r.error")
 
 
@@ -345,7 +377,7 @@ def decode(messages: DataFrame, sources: dict[int, dict], scripts: dict[str, obj
         elif name == "generic-json":
             parts.append(mapped_json(rows, *configs))
         elif name.startswith("script") and scripts and name in scripts:
-            parts.append(scripted(rows, scripts[name]))
+            parts.append(scripted(rows, scripts[name], {i: c for c, own in configs for i in own}))
         else:
             continue
         known += ids

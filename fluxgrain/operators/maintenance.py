@@ -163,6 +163,20 @@ def progress_percent(done: Column, total: Column) -> Column:
     return F.when(total == 0, F.lit(100.0)).otherwise(F.round((F.least(done, total) * F.lit(100) / total).cast("decimal(20,8)"), 1).cast("double"))
 
 
+def reprocess_finished(jobs: DataFrame, outcomes: DataFrame, now: Column) -> DataFrame:
+    """The events of repeats that are over: status COMPLETED, FAILED (the job has an error) or CANCELLED, counts and percentage; jobs that go on are left out.
+
+    jobs: (job_id, organization_id, source_id, total, cancelled, error); outcomes: (job_id, status, replayed), one per target that is done, status null if its raw message is gone. Such ones and
+    replayed ones (the same result as before) are skipped; others are processed, failed unless OK or DUPLICATE.
+    """
+    skipped = F.col("status").isNull() | F.coalesce("replayed", F.lit(False))
+    counted = outcomes.groupBy("job_id").agg(F.count(F.when(~skipped, 1)).alias("processed"), F.count(F.when(~skipped & ~F.col("status").isin("OK", "DUPLICATE"), 1)).alias("failed"), F.count(F.when(skipped, 1)).alias("skipped"))
+    rows = jobs.join(counted, "job_id", "left").na.fill(0, ["processed", "failed", "skipped"])
+    status = F.when(F.col("cancelled"), "CANCELLED").when(F.col("error").isNotNull(), "FAILED").when(F.col("processed") + F.col("skipped") >= F.col("total"), "COMPLETED")
+    rows = rows.withColumns({"status": status, "percent": progress_percent(F.col("processed"), F.col("total")), "finished_at": now}).where("status IS NOT NULL")
+    return rows.select("job_id", "organization_id", "source_id", "status", "total", "processed", "failed", "skipped", "percent", "error", "finished_at")
+
+
 def dead_letters(open_items: DataFrame, failures: DataFrame) -> DataFrame:
     """One open item per raw message: failures (raw_message_id, stage, code, at) raise the attempts of open items or open new ones."""
     f = failures.groupBy("raw_message_id").agg(F.max_by("stage", "at").alias("stage"), F.max_by("code", "at").alias("code"), F.count("*").cast("int").alias("n"), F.min("at").alias("first_at"), F.max("at").alias("last_at"))

@@ -1,4 +1,4 @@
-"""Queries on points that are computed outside: judged, stored, published, shown before a formula is stored; and the warnings of partitions."""
+"""Queries on points that are computed outside: judged, stored, published, shown before a formula is stored; the warnings of partitions, the ends of repeats, and what decoders are given."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fluxgrain.functions import formula
-from fluxgrain.operators import maintenance
+from fluxgrain.operators import decode, maintenance
 from fluxgrain.plans.checks import at
 from fluxgrain.plans.register import registry
 from fluxgrain.sources import store
@@ -83,3 +83,39 @@ def partition_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = maintenance.misplaced(there, rows, "telemetry", now)
     again = maintenance.misplaced(there, rows, "telemetry", now, told.withColumn("day", F.date_sub("day", 1)))
     return again.withColumn("day", F.col("day").cast("string"))
+
+
+E = from_events_sql()
+
+
+@query(
+    "reprocess_finished",
+    f"""WITH o AS (SELECT device_id % 20 AS job_id, CASE WHEN raw_message_id % 17 > 0 THEN CASE raw_message_id % 5 WHEN 0 THEN 'INVALID' WHEN 1 THEN 'DUPLICATE' ELSE 'OK' END END AS status, raw_message_id % 13 = 0 AS replayed, raw_message_id % 3 > 0 OR device_id % 20 > 9 AS done FROM {E}),
+c AS (SELECT job_id, count(*) AS total, count(*) FILTER (done AND status IS NOT NULL AND NOT replayed) AS processed, count(*) FILTER (done AND status = 'INVALID' AND NOT replayed) AS failed, count(*) FILTER (done AND (status IS NULL OR replayed)) AS skipped FROM o GROUP BY 1)
+SELECT job_id, job_id % 3 AS organization_id, CASE WHEN job_id % 4 = 0 THEN 'CANCELLED' WHEN job_id % 5 = 1 THEN 'FAILED' ELSE 'COMPLETED' END AS status, total, processed, failed, skipped, CASE WHEN job_id % 5 = 1 THEN 'lost' END AS error FROM c WHERE job_id % 4 = 0 OR job_id % 5 = 1 OR processed + skipped >= total""",
+)
+def reprocess_finished(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty repeats: those that are through, cancelled or failed, and what they counted; others go on."""
+    p, i = from_events(spark, sf_dir), F.col("raw_message_id")
+    rows = p.select((F.col("device_id") % 20).alias("job_id"), F.when(i % 17 > 0, F.when(i % 5 == 0, "INVALID").when(i % 5 == 1, "DUPLICATE").otherwise("OK")).alias("status"), (i % 13 == 0).alias("replayed"), ((i % 3 > 0) | (F.col("device_id") % 20 > 9)).alias("done"))
+    job = F.col("job_id")
+    jobs = rows.groupBy("job_id").agg(F.count("*").alias("total")).select("job_id", (job % 3).alias("organization_id"), F.lit(1).alias("source_id"), "total", (job % 4 == 0).alias("cancelled"), F.when(job % 5 == 1, "lost").alias("error"))
+    out = maintenance.reprocess_finished(jobs, rows.where("done").drop("done"), at("2024-03-01 00:00:00"))
+    return out.select("job_id", "organization_id", "status", "total", "processed", "failed", "skipped", "error")
+
+
+@query(
+    "decoder_inputs",
+    f"""WITH p AS (SELECT raw_message_id, 't/' || device_id AS topic, received_at, CASE raw_message_id % 4 WHEN 0 THEN '{{"v":' || raw_message_id || '}}' WHEN 1 THEN '{{"v":' || raw_message_id WHEN 2 THEN 'v ' || raw_message_id ELSE chr(1) || raw_message_id END AS body FROM {E})
+SELECT raw_message_id, topic, CASE WHEN raw_message_id % 4 = 0 THEN body ELSE base64(encode(body)) END AS payload, base64(encode(body)) AS base64, CASE raw_message_id % 4 WHEN 0 THEN 'JSON' WHEN 3 THEN 'BINARY' ELSE 'TEXT' END AS encoding, CASE WHEN raw_message_id % 4 IN (1, 2) THEN body END AS body,
+  (raw_message_id % 2)::VARCHAR AS source_id, CASE WHEN raw_message_id % 2 = 1 THEN '5' END AS factor FROM p""",
+)
+def decoder_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a user's decoder is given of JSON, of what only looks like it, of text and of bytes."""
+    p, i = from_events(spark, sf_dir), F.col("raw_message_id")
+    text = i.cast("string")
+    body = F.when(i % 4 == 0, F.concat(F.lit('{"v":'), text, F.lit("}"))).when(i % 4 == 1, F.concat(F.lit('{"v":'), text)).when(i % 4 == 2, F.concat(F.lit("v "), text)).otherwise(F.concat(F.char(F.lit(1)), text))
+    rows = p.select("raw_message_id", F.concat(F.lit("t/"), F.col("device_id").cast("string")).alias("topic"), body.cast("binary").alias("payload"), "received_at", (i % 2).alias("source_id"), F.lit("HTTP").alias("source_type"))
+    out = rows.select("raw_message_id", decode.decode_input(rows, F.when(i % 2 == 1, '{"factor":5}')).alias("j"))
+    of = lambda path: F.get_json_object("j", path)
+    return out.select("raw_message_id", of("$.topic").alias("topic"), of("$.payload").alias("payload"), of("$.payloadBase64").alias("base64"), of("$.payloadEncoding").alias("encoding"), of("$.payloadText").alias("body"), of("$.source.id").alias("source_id"), of("$.source.config.factor").alias("factor"))

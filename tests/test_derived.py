@@ -77,3 +77,18 @@ def test_many_configurations_are_one_projection(spark):
     together = {r["source_id"]: r["values"] for r in decode.decode(rows, codecs).collect()}
     apart = {k: decode.decode(rows.where(F.col("source_id") == k), {k: codecs[k]}).collect()[0]["values"] for k in codecs}
     assert together == apart
+
+
+def test_decoders_are_given_whole_messages(spark):
+    schema = "source_id bigint, source_type string, topic string, payload binary, received_at timestamp, topic_attributes map<string,string>"
+    body = [b'{"id": "a", "v": 2}', b"3", b"\x01\x02", b'{"id"', None]
+    m = spark.createDataFrame([(1 + k % 2, "HTTP", f"t/{k}", None if x is None else bytearray(x), T0, {}) for k, x in enumerate(body)], schema)
+
+    def read(given):
+        p = given["payload"]
+        number = p["v"] if isinstance(p, dict) else len(given["payloadBase64"])
+        return {"external_id": given["topic"], "values": [("v", number * given["source"]["config"].get("factor", 1), None)], "tags": {"e": given["payloadEncoding"], "t": given.get("payloadText", "-"), "at": given["receivedAt"]}}
+
+    sources = {1: {"decoder": "script:1", "config": {"factor": 10}}, 2: {"decoder": "script:1"}}
+    out = {r["external_id"]: (r["values"][0]["text"], r["tags"]["e"], r["tags"]["t"]) for r in decode.decode(m, sources, {"script:1": decode.Whole(read)}).collect()}
+    assert out == {"t/0": ("20", "JSON", "-"), "t/1": ("4", "TEXT", "3"), "t/2": ("40", "BINARY", "-"), "t/3": ("8", "TEXT", '{"id"'), "t/4": ("0", "TEXT", "")}
