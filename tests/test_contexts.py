@@ -95,7 +95,7 @@ def test_streams_look_back(spark):
     options = {"transforms": [contexts.Step(halved)]}
     given = dims(spark)
     results = []
-    for batches in ([rows], [rows[:2], rows[2:5], rows[5:]]):
+    for batches in ([rows], [[r] for r in rows]):
         base = store.scratch(spark, "looking")
         stream(spark, base, batches, given, **options)
         results.append({(r["raw_message_id"], r["metric_key"]): r["value"] for r in spark.read.parquet(f"{base}/points").collect()})
