@@ -64,10 +64,20 @@ def metrics_of(result) -> list[dict]:
     return list({x["key"]: {**x, "value": int(x["value"]) if isinstance(x["value"], bool) else x["value"]} for x in items}.values())
 
 
+def floored(us: int) -> int:
+    return us // 1_000
+
+
+def rounded(us: int) -> int:
+    """The nearest millisecond, halves away from zero, as DuckDB's epoch_ms() has it."""
+    return (us + 500) // 1_000 if us >= 0 else -((500 - us) // 1_000)
+
+
 class Past:
     """What a device's functions may look back on: the newest value of each metric, and each metric's last points that came in time and in order."""
 
-    def __init__(self) -> None:
+    def __init__(self, whole: Callable[[int], int] = floored) -> None:
+        self.whole = whole
         self.last: dict[str, tuple[float, int]] = {}
         self.top: int | None = None
         self.points: dict[str, deque] = {}
@@ -76,14 +86,14 @@ class Past:
         if self.top is None or us >= self.top:
             self.last[key], self.top = (value, us), us
         if not late:
-            held, ms = self.points.setdefault(key, deque(maxlen=MAX_POINTS)), us // 1000
+            held, ms = self.points.setdefault(key, deque(maxlen=MAX_POINTS)), self.whole(us)
             if not held or held[-1][0] < ms:
                 held.append((ms, value))
                 while held[0][0] < ms - DAY:
                     held.popleft()
 
     def window(self, us: int, late: bool) -> Callable[[str, str], list[float]]:
-        now = us // 1000
+        now = self.whole(us)
 
         def values(key: str, duration: str) -> list[float]:
             first = now - milliseconds(duration)
@@ -92,7 +102,7 @@ class Past:
         return values
 
 
-def with_past(messages: DataFrame, steps: list[Step], history: DataFrame | None = None, last: DataFrame | None = None, column: str = "message") -> DataFrame:
+def with_past(messages: DataFrame, steps: list[Step], history: DataFrame | None = None, last: DataFrame | None = None, column: str = "message", whole: Callable[[int], int] = floored) -> DataFrame:
     """messages (device_id, id, time, received_at, late, device as JSON text with its modelId, and JSON text in ``column``) with what the steps make of the text, dropped and script_error.
 
     A function gets the message and a read-only context: device, config of its step, last ({key: {value, measuredAt}}) and window(key, duration), the values of the
@@ -103,6 +113,7 @@ def with_past(messages: DataFrame, steps: list[Step], history: DataFrame | None
 
     What a function returns is what the next message's function looks back on, so a device's messages run one after the other; they pass as a sorted stream, with a state of
     1,440 points a metric, so no task holds a device. Messages without a device look back on nothing and are spread. Columns keep their types and values.
+    whole: how microseconds become the milliseconds by which windows are bounded: floored (the product's way) or rounded.
     """
     us = lambda c: F.unix_micros(c)
     own = messages.withColumns({"_kind": F.lit(2), "_id": F.col("id").cast("bigint"), "_came": us("received_at"), "_us": us("time"), "_late": F.coalesce("late", F.lit(False)), "_key": F.lit(None).cast("string"), "_value": F.lit(None).cast("double")})
@@ -116,13 +127,13 @@ def with_past(messages: DataFrame, steps: list[Step], history: DataFrame | None
     steps = [Step(*s) for s in steps]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        device, past, about, mine = None, Past(), None, []
+        device, past, about, mine = None, Past(whole), None, []
         for batch in batches:
             said, mask = [], []
             columns = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("device_id", "_kind", "_us", "_late", "_key", "_value", "device", column)]
             for d, kind, t, late, key, value, described, text in zip(*columns):
                 if d is None or d != device:
-                    device, past, about = d, Past(), None
+                    device, past, about = d, Past(whole), None
                 mask.append(kind == 2)
                 if kind == 0:
                     past.last[key] = (value, t)

@@ -223,7 +223,7 @@ h AS (SELECT a.id, count(*) AS n, max(b.value * 2) AS top FROM r a JOIN r b ON a
 SELECT r.id, metric_key, value * 2 AS value, was, coalesce(n, 0) AS n, top, CASE WHEN device_id % 3 = 1 AND device_id <> 1 THEN value * 20 END AS scaled, failed FROM r LEFT JOIN h ON r.id = h.id""",
 )
 def transform_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Functions that look back on what functions made of their device's earlier messages: the last value, an hour's values, a step for one model and one that fails."""
+    """Functions that look back on what functions made of their device's earlier messages: the last value, an hour's values, a step for one model and one that fails. Milliseconds are rounded, as epoch_ms() of the SQL does."""
     p = from_events(spark, sf_dir, 20, 30)
     metric = F.struct(F.col("metric_key").alias("key"), F.coalesce("value", F.lit(0.0)).alias("value"))
     rows = p.select(
@@ -231,7 +231,7 @@ def transform_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_json(F.struct(F.col("device_id").alias("id"), (F.col("device_id") % 3).alias("modelId"))).alias("device"), F.to_json(F.struct(F.col("raw_message_id").alias("messageId"), F.array(metric).alias("metrics"))).alias("message"),
     )
     steps = [contexts.Step(doubled), contexts.Step(scaled, config={"factor": 10}, model_id=1), contexts.Step(seventh, "FAIL_CLOSED", device_id=1)]
-    out = contexts.with_past(rows, steps).withColumn("_m", F.from_json(F.get_json_object("message", "$.metrics"), "array<struct<key:string,value:double>>"))
+    out = contexts.with_past(rows, steps, whole=contexts.rounded).withColumn("_m", F.from_json(F.get_json_object("message", "$.metrics"), "array<struct<key:string,value:double>>"))
     of = lambda key: F.try_element_at(F.map_from_arrays("_m.key", "_m.value"), key)
     return out.select("id", "metric_key", of(F.col("metric_key")).alias("value"), of(F.lit("was")).alias("was"), of(F.lit("n")).cast("bigint").alias("n"), of(F.lit("top")).alias("top"), of(F.lit("scaled")).alias("scaled"), F.col("script_error").isNotNull().alias("failed"))
 

@@ -113,3 +113,11 @@ def test_latest_after(spark):
     got = lambda df: sorted((r["device_id"], r["metric_key"], r["value"]) for r in df.collect())
     assert got(whole) == got(parts) == [(1, "a", 1.0), (1, "b", 4.0), (2, "a", 5.0)]
     assert ingest.looks_back([contexts.Step(smooth)]) and not ingest.looks_back([(smooth, "FAIL_OPEN")])
+
+
+def test_milliseconds_of_windows(spark):
+    assert [contexts.rounded(us) for us in (148_210, 148_499, 148_500, 148_760, -500, -499)] == [148, 148, 149, 149, -1, 0]
+    at = lambda i, us: (1, i, T0 + dt.timedelta(microseconds=us), T0 + dt.timedelta(minutes=i), False, None, json.dumps({"messageId": i, "metrics": [{"key": "temp", "value": 1.0}]}), None)
+    df = spark.createDataFrame([at(1, 148_210), at(2, 148_760)], COLUMNS)
+    n = lambda **options: values(contexts.with_past(df, [contexts.Step(smooth)], **options))[2][2]["n"]
+    assert (n(), n(whole=contexts.rounded)) == (0, 1)  # the same whole millisecond, but not the same nearest one
