@@ -62,10 +62,11 @@ def known_name(value: Column, names: tuple[str, ...]) -> Column:
 def identified(messages: DataFrame, devices: DataFrame, policy: Column | None = None) -> DataFrame:
     """messages (source_id, external_id) with device_id, device_status and device_error; deleted devices are missing, ignored ones rejected.
 
-    devices: (source_id, external_id, device_id, organization_id, status, ignored). The optimizer broadcasts it if it is small.
+    devices: (source_id, external_id, device_id, organization_id, status, ignored). They are as many as the input has, so both sides are dealt out by device: a join that is made a broadcast
+    only while it runs has messages dealt already, and then a task reads what several tasks wrote, which grows with the input.
     """
     d = devices.where("status <> 'DELETED'").select("source_id", scalars.external_id(F.col("external_id")).alias("_x"), "device_id", F.col("status").alias("device_status"), "ignored").dropDuplicates(["source_id", "_x"])
-    rows = messages.withColumn("_x", scalars.external_id(F.col("external_id"))).join(d, ["source_id", "_x"], "left").drop("_x")
+    rows = messages.withColumn("_x", scalars.external_id(F.col("external_id"))).join(d.hint("merge"), ["source_id", "_x"], "left").drop("_x")
     policy = F.lit("REJECT") if policy is None else policy
     error = F.when(F.col("device_id").isNull(), F.when(policy == "AUTO_REGISTER", "ING_AUTO_REGISTER_QUOTA").otherwise("ING_DEVICE_UNKNOWN")).when(F.coalesce("ignored", F.lit(False)), "ING_DEVICE_IGNORED")
     return rows.withColumn("device_error", error).drop("ignored")
@@ -80,7 +81,7 @@ def registered(messages: DataFrame, devices: DataFrame, policies: DataFrame, lim
     """
     known = devices.where("status <> 'DELETED'").select("source_id", scalars.external_id(F.col("external_id")).alias("_x"))
     open_sources = policies.where("policy = 'AUTO_REGISTER'").select("source_id", F.when(F.col("hourly_limit") > 0, F.col("hourly_limit")).otherwise(limit).alias("_limit"))
-    rows = messages.where("external_id IS NOT NULL").withColumn("_x", scalars.external_id(F.col("external_id"))).join(open_sources, "source_id").join(known, ["source_id", "_x"], "left_anti")
+    rows = messages.where("external_id IS NOT NULL").withColumn("_x", scalars.external_id(F.col("external_id"))).join(F.broadcast(open_sources), "source_id").join(known.hint("merge"), ["source_id", "_x"], "left_anti")
     first = rows.groupBy("source_id", F.col("_x").alias("external_id"), "_limit").agg(F.min_by("organization_id", "received_at").alias("organization_id"), F.min("received_at").alias("seen_at"))
     judged = state.registrations(first, F.col("_limit"), before=before)
     return judged.select("source_id", "external_id", F.xxhash64("source_id", "external_id").alias("device_id"), "organization_id", F.lit("PENDING").alias("status"), F.lit(False).alias("ignored"), "seen_at", "accepted", "alarm")
@@ -89,16 +90,17 @@ def registered(messages: DataFrame, devices: DataFrame, policies: DataFrame, lim
 def points(messages: DataFrame, definitions: DataFrame, aliases: DataFrame) -> DataFrame:
     """One row per message and metric of messages with ``values``: key by alias, number, unit, and what is wrong with the message.
 
-    definitions: (metric_key, unit, valid_min, valid_max, status, enum_map); aliases: (organization_id, alias, metric_key). The first value of a canonical key
+    definitions: (metric_key, unit, valid_min, valid_max, status, enum_map); aliases: (organization_id, alias, metric_key); both are configuration and are broadcast, as
+    a few keys have all values and dealing values out by key would leave each key's to one task. The first value of a canonical key
     counts; keys of another shape and ignored metrics are left out; a value that is no number makes its whole message invalid.
     """
     each = messages.select("*", F.posexplode("values").alias("_at", "_v")).drop("values")
     each = each.withColumns({"original_key": F.col("_v.key"), "_text": F.col("_v.text"), "_kind": F.col("_v.kind"), "_unit": F.col("_v.unit")}).drop("_v")
     each = each.where(F.col("original_key").rlike(scalars.METRIC_KEY))
     a = aliases.select(F.col("organization_id"), F.col("alias").alias("original_key"), F.col("metric_key").alias("_canonical"))
-    each = each.join(a, ["organization_id", "original_key"], "left").withColumn("metric_key", F.coalesce("_canonical", "original_key")).drop("_canonical")
+    each = each.join(F.broadcast(a), ["organization_id", "original_key"], "left").withColumn("metric_key", F.coalesce("_canonical", "original_key")).drop("_canonical")
     d = definitions.select("metric_key", F.col("unit").alias("_own_unit"), "valid_min", "valid_max", F.col("status").alias("_status"), F.col("enum_map").alias("_words"))
-    each = each.join(d, "metric_key", "left").where(~F.coalesce(F.col("_status") == "IGNORED", F.lit(False)))
+    each = each.join(F.broadcast(d), "metric_key", "left").where(~F.coalesce(F.col("_status") == "IGNORED", F.lit(False)))
     value = scalars.number(F.col("_text"), F.col("_kind"), F.col("_words"))
     each = each.withColumn("value", value)
     message = Window.partitionBy("message_id")
@@ -155,7 +157,7 @@ def forecast(source_type: Column, topic: Column) -> Column:
 def stored(points: DataFrame, on_change: DataFrame) -> DataFrame:
     """points, those of the (organization_id, metric_key) in on_change only where they change; all others are stored whole."""
     modes = on_change.select("organization_id", "metric_key", F.lit(True).alias("_change")).distinct()
-    rows = points.join(modes, ["organization_id", "metric_key"], "left").withColumn("_change", F.coalesce("_change", F.lit(False)))
+    rows = points.join(F.broadcast(modes), ["organization_id", "metric_key"], "left").withColumn("_change", F.coalesce("_change", F.lit(False)))
     picked = state.stored_on_change(rows.where("_change")).select("raw_message_id", "metric_key", F.col("flags").alias("_flags"))
     changed = rows.where("_change").join(picked, ["raw_message_id", "metric_key"]).withColumn("flags", F.col("_flags"))
     return rows.where("NOT _change").select(*points.columns).unionByName(changed.select(*points.columns))

@@ -49,7 +49,7 @@ def suspects(points: DataFrame, definitions: DataFrame) -> DataFrame:
     d = definitions.select("metric_key", "valid_min", "valid_max", "value_type", "state_type", F.lit(True).alias("defined"))
     late = F.col("flags").bitwiseAND(LATE) != 0
     keys, series = ["device_id", "metric_key"], ["time", "raw_message_id"]
-    rows = points.join(d, "metric_key", "left")
+    rows = points.join(F.broadcast(d), "metric_key", "left")
     rows = parts.earlier_max(rows, keys, ["received_at", "raw_message_id"], F.when(~late, F.col("time")), "_top", parts.day("received_at"))
     rows = rows.withColumn("_counts", F.coalesce(~late & (F.col("_top").isNull() | (F.col("time") > F.col("_top"))), F.lit(False)))
     # what counts comes in the order of its times, so that days of arrival are parts of that order too

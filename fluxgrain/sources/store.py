@@ -20,10 +20,14 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base or tempfile.mkdtemp(prefix='spark-scratch-')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Bytes of a row group of what is written to be read soon: a task reads whole ones, so that large ones leave the others idle.
+BLOCK = 16 << 20
+
+
 def written(df: DataFrame, name: str = "table") -> DataFrame:
     """df, written to the shared folder once and read from there: later steps neither repeat its work nor inline its expressions."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", BLOCK).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

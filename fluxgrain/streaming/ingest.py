@@ -95,11 +95,11 @@ def process(
         asking = decoded.where("early IS NULL AND error IS NULL")
         new = keep(metrics.registered(asking, known, policies, before=before)).where("accepted")
         devices = known.select("source_id", "external_id", "device_id", "organization_id", "status", "ignored").unionByName(new.drop("seen_at", "accepted", "alarm"))
-        decoded = decoded.join(policies.select("source_id", F.col("policy").alias("_policy")).distinct(), "source_id", "left")
+        decoded = decoded.join(F.broadcast(policies.select("source_id", F.col("policy").alias("_policy")).distinct()), "source_id", "left")  # a source may have all messages
     known = metrics.identified(decoded, devices, None if policies is None else F.col("_policy")).drop("_policy")
     by_content = F.coalesce(F.startswith("dedup_key", F.lit("sha256:")), F.lit(False))
     if "interval_sec" in devices.columns:
-        known = known.join(devices.select("device_id", F.col("interval_sec").alias("_interval")).dropDuplicates(["device_id"]), "device_id", "left")
+        known = known.join(devices.select("device_id", F.col("interval_sec").alias("_interval")).dropDuplicates(["device_id"]).hint("merge"), "device_id", "left")
     else:
         known = known.withColumn("_interval", F.lit(None).cast("int"))
     plain = by_content & F.col("measured_at").isNull() & F.col("link.frame_counter").isNull()
@@ -127,14 +127,14 @@ def process(
     known = known.withColumns({"time": time, "time_corrected": reason, "result_error": F.coalesce(*[code for code, _ in steps]), "status": status, "_apart": apart})
     each = metrics.points(known.where("status = 'OK'"), definitions, aliases)
     bad = each.where("message_error IS NOT NULL").select("message_id", "message_error").distinct()
-    out = known.join(bad, "message_id", "left").withColumns(
+    out = known.join(bad.hint("merge"), "message_id", "left").withColumns(
         {"status": F.when(F.col("message_error").isNotNull(), "INVALID").otherwise(F.col("status")), "result_error": F.coalesce("message_error", "result_error")}
     )
     each = each.withColumn("flags", quality.is_late(F.col("time"), F.col("received_at")).cast("smallint")).withColumn("raw_message_id", F.col("id"))
     each = each.withColumns({"derived": F.lit(False), "unverified": F.col("unverified") | F.col("_apart")})
     if transforms:
         each, told = with_transformed(each, definitions, transforms, devices, history, last)
-        out = out.join(told, "message_id", "left").withColumns({"status": F.when(F.col("script_error").isNotNull(), "SCRIPT_ERROR").otherwise(F.col("status")), "result_error": F.coalesce("script_error", "result_error")})
+        out = out.join(told.hint("merge"), "message_id", "left").withColumns({"status": F.when(F.col("script_error").isNotNull(), "SCRIPT_ERROR").otherwise(F.col("status")), "result_error": F.coalesce("script_error", "result_error")})
     out = out.withColumn("dropped", F.coalesce("dropped", F.lit(False)) if transforms else F.lit(False))
     if isinstance(formulas, DataFrame):
         each = with_scoped(each, definitions, devices, formulas, history)
@@ -159,7 +159,7 @@ OWN = ("metric_key", "value", "unit", "unverified", "out_of_range", "original_ke
 def judged(rows: DataFrame, definitions: DataFrame, columns: list[str]) -> DataFrame:
     """New points (metric_key, value, given unit, derived) with unit, range and state by their definitions, ignored metrics left out."""
     d = definitions.select("metric_key", F.col("unit").alias("_own_unit"), "valid_min", "valid_max", F.col("status").alias("_status"))
-    found = rows.join(d, "metric_key", "left").where("NOT coalesce(_status = 'IGNORED', false)")
+    found = rows.join(F.broadcast(d), "metric_key", "left").where("NOT coalesce(_status = 'IGNORED', false)")
     beyond = quality.out_of_range(F.col("value"), F.col("valid_min"), F.col("valid_max"))
     return found.withColumns({"unit": F.coalesce("_own_unit", "unit"), "unverified": F.col("_status").isNull() | (F.col("_status") == "UNVERIFIED"), "out_of_range": beyond}).select(*columns)
 
@@ -235,7 +235,7 @@ def with_scoped(points: DataFrame, definitions: DataFrame, devices: DataFrame, f
     lists = lists.groupBy("device_id").agg(F.map_from_entries(F.collect_list(F.struct(F.col("formula_id").cast("string"), "ordinal"))).alias("names"))
     found = formula.evaluate(points.where("message_error IS NULL AND device_id IS NOT NULL"), compiled, by=("message_id",), history=history, lists=lists)
     says = formulas.select(F.col("id").cast("string").alias("metric_key"), "result_key", F.col("unit"))
-    last = found.join(says, "metric_key").groupBy("device_id", "time", "message_id", "result_key").agg(F.max_by(F.struct("value", "unit"), "ordinal").alias("_l"))
+    last = found.join(F.broadcast(says), "metric_key").groupBy("device_id", "time", "message_id", "result_key").agg(F.max_by(F.struct("value", "unit"), "ordinal").alias("_l"))
     return replaced(points, last.select("device_id", "time", "message_id", F.col("result_key").alias("metric_key"), "_l.*"), definitions)
 
 
@@ -244,8 +244,8 @@ def replaced(points: DataFrame, found: DataFrame, definitions: DataFrame) -> Dat
     found = store.written(found)  # read twice
     shared = [c for c in points.columns if c not in OWN and c not in ("device_id", "time", "message_id")]
     carriers = points.where("message_error IS NULL").groupBy("message_id").agg(F.first(F.struct(*shared)).alias("_m")).select("message_id", "_m.*")
-    new = found.join(carriers, "message_id").withColumns({"original_key": F.col("metric_key"), "derived": F.lit(True)})
-    kept = points.join(found.select("message_id", "metric_key"), ["message_id", "metric_key"], "left_anti")
+    new = found.join(carriers.hint("merge"), "message_id").withColumns({"original_key": F.col("metric_key"), "derived": F.lit(True)})
+    kept = points.join(found.select("message_id", "metric_key").hint("merge"), ["message_id", "metric_key"], "left_anti")
     return kept.unionByName(judged(new, definitions, points.columns))
 
 

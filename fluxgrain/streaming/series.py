@@ -78,7 +78,7 @@ def judged(points: DataFrame, definitions: DataFrame, on_change: DataFrame | Non
     """A stream of points with suspect, kept and changed, quality and flags set accordingly. definitions and on_change are those of quality.suspects() and metrics.stored();
     points of metrics that are not stored on change are kept whatever their value. Points without a device, a metric, a time or a value are left out."""
     d = definitions.select("metric_key", "valid_min", "valid_max", F.col("value_type").alias("_kind"), F.col("state_type").alias("_state"), F.lit(True).alias("_defined"))
-    rows = points.dropna(subset=["device_id", "metric_key", "time", "value"]).join(d, "metric_key", "left")
+    rows = points.dropna(subset=["device_id", "metric_key", "time", "value"]).join(F.broadcast(d), "metric_key", "left")
     number = F.col("_kind").isNull() | (F.upper("_kind") == "NUMBER")
     stuck = F.coalesce(F.col("_defined") & ~F.coalesce("_state", F.lit(False)) & number & ~F.col("metric_key").isin(*quality.STUCK_EXEMPT), F.lit(False))
     jump = F.coalesce(F.when(F.col("valid_max") > F.col("valid_min"), (F.col("valid_max") - F.col("valid_min")) * quality.JUMP_FRACTION), F.lit(float("inf")))
@@ -87,7 +87,7 @@ def judged(points: DataFrame, definitions: DataFrame, on_change: DataFrame | Non
         rows = rows.withColumn("by_change", F.lit(False))
     else:
         modes = on_change.select("organization_id", "metric_key", F.lit(True).alias("by_change")).distinct()
-        rows = rows.join(modes, ["organization_id", "metric_key"], "left").withColumn("by_change", F.coalesce("by_change", F.lit(False)))
+        rows = rows.join(F.broadcast(modes), ["organization_id", "metric_key"], "left").withColumn("by_change", F.coalesce("by_change", F.lit(False)))
     columns = ["device_id", "metric_key", "us", "organization_id", "value", "quality", "flags", "is_virtual", "received_us", "raw_message_id", "by_change"]
     rows = rows.select(*columns, "late", "stuck", "jump")
     kinds = "device_id bigint, metric_key string, us bigint, organization_id bigint, value double, quality smallint, flags smallint, is_virtual boolean, received_us bigint, raw_message_id bigint, by_change boolean, suspect boolean, kept boolean, changed boolean"
