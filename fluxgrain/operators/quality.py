@@ -68,15 +68,18 @@ def skew_means(messages: DataFrame) -> DataFrame:
 
     Means are of whole milliseconds, so they do not depend on the order of summing.
     """
-    ms = F.unix_millis("received_at")
-    hour = Window.partitionBy("device_id", "_to").orderBy(ms).rangeBetween(-3_600_000, 0)
-    skew = F.unix_millis("measured_at") - ms
+    ms, hour = F.unix_millis("received_at"), 3_600_000
     rows = messages.where(F.col("measured_at").isNotNull() & F.col("received_at").isNotNull() & F.col("device_id").isNotNull())
+    rows = rows.withColumns({"_ms": ms, "_skew": F.unix_millis("measured_at") - ms, "_n": F.lit(1).cast("bigint"), "_day": F.floor(ms / 86_400_000)})
     # a day's last hour is looked back on from the next day, so that a device's days are apart
-    rows = rows.withColumn("_day", F.floor(ms / 86_400_000))
-    rows = rows.withColumn("_to", F.explode(F.when(ms % 86_400_000 >= 82_800_000, F.array("_day", F.col("_day") + 1)).otherwise(F.array("_day"))))
-    rows = rows.withColumn("skew_sec", F.sum(skew).over(hour) / F.count("*").over(hour) / 1000.0)
-    return rows.where("_to = _day").drop("_to", "_day")
+    rows = rows.withColumn("_to", F.explode(F.when(F.col("_ms") % 86_400_000 >= 82_800_000, F.array("_day", F.col("_day") + 1)).otherwise(F.array("_day"))))
+    # each message is taken away again once its hour is over, so that a mean is two running sums, not a sum over the hour at each message
+    gone = F.col("_ms") + hour + 1
+    over = rows.where(F.floor(gone / 86_400_000) == F.col("_to")).select("device_id", "_to", gone.alias("_ms"), (-F.col("_skew")).alias("_skew"), (-F.col("_n")).alias("_n"))
+    so_far = Window.partitionBy("device_id", "_to").orderBy("_ms").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    both = rows.withColumn("_own", F.col("_to") == F.col("_day")).unionByName(over, allowMissingColumns=True)
+    both = both.withColumn("skew_sec", F.sum("_skew").over(so_far) / F.sum("_n").over(so_far) / 1000.0)
+    return both.where("_own").select(*messages.columns, "skew_sec")
 
 
 def skew_events(messages: DataFrame, threshold: float = 300, sustain: float = 1800, clear: float = 120) -> DataFrame:
