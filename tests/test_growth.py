@@ -8,7 +8,7 @@ import re
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
-from fluxgrain.operators import metrics
+from fluxgrain.operators import metrics, quality, state
 from fluxgrain.plans import messages
 from fluxgrain.sources import store
 from fluxgrain.sources.telemetry import from_events
@@ -50,3 +50,32 @@ def test_row_groups_of_written_tables(spark):
     t = store.written(spark.range(0, 6_000_000, 1, 1).withColumn("x", F.xxhash64("id")))
     assert t.count() == 6_000_000
     assert min(pq.ParquetFile(f.removeprefix("file://")).num_row_groups for f in t.inputFiles()) > 2
+
+
+SERIES = "device_id bigint, metric_key string, us bigint, value double, flags int, raw_message_id bigint"
+
+
+def test_windows_are_cut_by_day(spark):
+    noon, second = 1_704_110_400_000_000, 1_000_000
+    rows = [(1, "t", noon + i * 20 * second, float(i), i % 10 == 0, i) for i in range(4_000)] + [(1, "t", None, -1.0, 0, 9_000), (None, None, noon, 7.0, 0, 9_001)]
+    p = spark.createDataFrame([(*r[:4], int(r[4]), r[5]) for r in rows], SERIES).withColumn("time", F.timestamp_micros("us"))
+    wide = lambda most: {r["raw_message_id"]: r["recent"] for r in state.window_values(p, 12 * 3600, most).collect()}
+    every, some = wide(None), wide(1440)
+    for i in range(4_000):
+        seen = [float(j) for j in range(max(0, i - 2_160), i) if j % 10]  # over midnight too, and more than 1,440 of them
+        assert every[i] == seen and some[i] == seen[-1440:]
+    assert len(every) == 4_002 and every[9_001] == []
+    assert "hashpartitioning(device_id" in (said := plan(state.window_values(p, 3600))) and "_to#" in said.split("hashpartitioning(device_id")[1].split(")")[0]
+
+
+def test_mean_skew_by_running_sums(spark):
+    at, hour = 1_704_110_400_000, 3_600_000
+    came = [at, at, at + 1, at + hour, at + hour + 1, at + hour + 1, at + 12 * hour - 1, at + 12 * hour, at + 13 * hour - 1, at + 13 * hour]
+    rows = [(d, i, ms, ms - 1000 * i * (d + 1)) for d in range(3) for i, ms in enumerate(came)]
+    m = spark.createDataFrame(rows, "device_id bigint, id bigint, ms bigint, told bigint").withColumns({"received_at": F.timestamp_millis("ms"), "measured_at": F.timestamp_millis("told")})
+    out = quality.skew_means(m)
+    for r in out.collect():
+        near = [t - ms for d, _, ms, t in rows if d == r["device_id"] and r["ms"] - hour <= ms <= r["ms"]]
+        assert r["skew_sec"] == sum(near) / len(near) / 1000
+    assert out.count() == len(rows)
+    assert "-3600000" not in plan(out)  # no sum over the hour at each message
