@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime
+import functools
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,13 +22,13 @@ DEFS = [("click", 0.0, 1.0, "NUMBER", False), ("view", 0.0, 0.5, None, False), (
 BOUNDS = ("2000-01-01", "2024-01-07", "2024-01-13", "2024-01-19", "2024-01-25", "2100-01-01")
 
 
-def in_batches(p: DataFrame, to: str, name: str = "batch") -> None:
-    """p in five folders of one file each, by received time to the hour; of the hour at a bound one half of the ids goes before it and one after, so that bounds fall between ties."""
-    half = p.agg(F.max("raw_message_id")).first()[0] // 2
-    for k, (low, high) in enumerate(zip(BOUNDS[:-1], BOUNDS[1:])):
-        after = (F.col("received_at") > at(low)) | ((F.col("received_at") == at(low)) & (F.col("raw_message_id") > half))
-        before = (F.col("received_at") < at(high)) | ((F.col("received_at") == at(high)) & (F.col("raw_message_id") <= half))
-        store.published(p.where(after & before).coalesce(1), f"{to}/{name}={k}")
+def in_batches(p: DataFrame, to: str) -> Iterator[str]:
+    """p in five folders, one after the other, by received time to the hour; of the hour at a bound one half of the ids goes before it and one after, so that bounds fall between ties."""
+    half = F.lit(p.agg(F.max("raw_message_id")).first()[0] // 2)
+    came = F.col("received_at")
+    over = [F.coalesce((came > at(b)) | ((came == at(b)) & (F.col("raw_message_id") > half)), F.lit(False)).cast("int") for b in BOUNDS]
+    number = functools.reduce(lambda a, b: a + b, over) - 1
+    return store.folders(p, F.when(came.isNotNull(), number), len(BOUNDS) - 1, to)
 
 
 def hourly(p: DataFrame) -> DataFrame:
@@ -55,10 +57,10 @@ FROM r JOIN {HOURLY} t USING (raw_message_id, device_id, metric_key)""",
 def series_over_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stuck values, jumps and storage on change over five micro-batches, with ties at their bounds."""
     base = store.scratch(spark, "series")
-    in_batches(hourly(from_events(spark, sf_dir, 5)), f"{base}/points")
     defs = spark.createDataFrame(DEFS, "metric_key string, valid_min double, valid_max double, value_type string, state_type boolean")
     on_change = spark.createDataFrame([(o, m) for o in range(3) for m in ("click", "view")], "organization_id bigint, metric_key string")
-    series.run_judged(spark, base, defs, on_change, files=1).awaitTermination()
+    for _ in in_batches(hourly(from_events(spark, sf_dir, 5)), f"{base}/points"):  # what is new is one micro-batch
+        series.run_judged(spark, base, defs, on_change).awaitTermination()
     return spark.read.parquet(f"{base}/judged").select("raw_message_id", "quality", "flags", "suspect", "kept")
 
 
@@ -75,9 +77,9 @@ UNION SELECT device_id, 'OFFLINE', seen + INTERVAL 12 HOUR FROM l WHERE epoch_us
 def silence_timers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Devices that go silent and come back, by timers over five micro-batches; those still silent at the end too."""
     base, p = store.scratch(spark, "silence"), from_events(spark, sf_dir).select("device_id", "received_at", "raw_message_id")
-    in_batches(p, f"{base}/in")
-    source = spark.readStream.schema("device_id bigint, received_at timestamp").option("maxFilesPerTrigger", 1).parquet(f"{base}/in").drop("batch")
-    series.run_keyed(series.silences(source, F.lit(14400), F.lit(3.0)), f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    for _ in in_batches(p, f"{base}/in"):  # what is new is one micro-batch
+        source = spark.readStream.schema("device_id bigint, received_at timestamp").parquet(f"{base}/in").drop("batch")
+        series.run_keyed(series.silences(source, F.lit(14400), F.lit(3.0)), f"{base}/out", f"{base}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{base}/out").select("device_id", "kind", "at")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -38,13 +38,33 @@ def published(df: DataFrame, path: str) -> DataFrame:
         parent, _, name = path.rpartition("/")
         staged = f"{parent}/.{name}-{uuid.uuid4().hex}"
         df.write.parquet(staged)
-        at, to = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (staged, path))
-        files = to.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-        if not files.rename(at, to):
-            raise OSError(f"{path} could not be published")
+        moved(spark, staged, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def moved(spark: SparkSession, staged: str, path: str) -> None:
+    """The folder staged, in one step, as path."""
+    at, to = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (staged, path))
+    files = to.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    files.mkdirs(to.getParent())
+    if not files.rename(at, to):
+        raise OSError(f"{path} could not be published")
+
+
+def folders(df: DataFrame, number: Column, count: int, to: str) -> Iterator[str]:
+    """df cut by number (0 to count - 1, others are left out) in one pass; each folder to/batch=N appears as the iterator comes to it, whole, so that a stream may be run upon it before the next one is there."""
+    staged = scratch(df.sparkSession, "staged")
+    rows = df.withColumn("batch", number).where(F.col("batch").between(0, count - 1))
+    rows.write.option("parquet.block.size", BLOCK).partitionBy("batch").parquet(staged)
+    for k in range(count):
+        path = f"{to}/batch={k}"
+        if exists(df.sparkSession, f"{staged}/batch={k}"):
+            moved(df.sparkSession, f"{staged}/batch={k}", path)
+        else:
+            published(df.limit(0), path)
+        yield path
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(at)

@@ -134,9 +134,10 @@ class Watch(StatefulProcessor):
         self.handle, self.seen = handle, handle.getValueState("seen", "at_us bigint, limit_ms bigint, online boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        at, limit, online = self.seen.get() if self.seen.exists() else (None, None, False)
-        out, frame = [], pd.concat(list(rows)).sort_values("us", kind="stable")
-        for us, ms in zip(frame["us"].tolist(), frame["limit_ms"].tolist()):
+        at, limit, online = self.seen.get() or (None, None, False)
+        before = at // 1000 + limit + 1 if online else None  # the timer about the message before
+        out = []
+        for us, ms in sorted(pair for f in rows for pair in zip(f["us"].tolist(), f["limit_ms"].tolist())):
             if at is not None and us <= at:
                 continue  # an older message than the latest says nothing about silence
             if online and us - at > ms * 1000:
@@ -145,18 +146,20 @@ class Watch(StatefulProcessor):
             if not online:
                 out.append((key[0], "ONLINE", us))
             at, limit, online = us, ms, True
-        for timer in [t[0] if isinstance(t, tuple) else t for t in self.handle.listTimers()]:
-            self.handle.deleteTimer(timer)  # what was to be said about the message before
-        if online:
-            self.handle.registerTimer(at // 1000 + limit + 1)
+        after = at // 1000 + limit + 1 if online else None
+        if after != before:  # each call to the state takes longer than the rows of most devices
+            if before is not None:
+                self.handle.deleteTimer(before)
+            self.handle.registerTimer(after)
         self.seen.update((at, limit, online))
-        yield pd.DataFrame(out, columns=["device_id", "kind", "us"])
+        if out:
+            yield pd.DataFrame(out, columns=["device_id", "kind", "us"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         at, limit, online = self.seen.get()
-        out = [(key[0], "OFFLINE", at + limit * 1000)] if online and expiredTimerInfo.getExpiryTimeInMs() > at // 1000 + limit else []
-        self.seen.update((at, limit, online and not out))
-        yield pd.DataFrame(out, columns=["device_id", "kind", "us"])
+        if online and expiredTimerInfo.getExpiryTimeInMs() > at // 1000 + limit:
+            self.seen.update((at, limit, False))
+            yield pd.DataFrame([(key[0], "OFFLINE", at + limit * 1000)], columns=["device_id", "kind", "us"])
 
     def close(self) -> None:
         pass

@@ -9,7 +9,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from fluxgrain.operators import metrics, quality, state
-from fluxgrain.plans import messages
+from fluxgrain.plans import messages, streams
 from fluxgrain.sources import store
 from fluxgrain.sources.telemetry import from_events
 from fluxgrain.streaming import ingest
@@ -79,3 +79,23 @@ def test_mean_skew_by_running_sums(spark):
         assert r["skew_sec"] == sum(near) / len(near) / 1000
     assert out.count() == len(rows)
     assert "-3600000" not in plan(out)  # no sum over the hour at each message
+
+
+def test_folders_are_written_by_all_tasks(spark):
+    base = store.scratch(spark, "folders")
+    rows = spark.range(0, 1_000, 1, 4)
+    number = F.when(F.col("id") < 990, F.col("id") % 3 * F.when(F.col("id") % 3 == 2, 2).otherwise(1))  # none in 2 and 3, ten rows in no folder
+    for k, path in enumerate(store.folders(rows, number, 5, base)):
+        assert path == f"{base}/batch={k}" and len([x for x in store.names(spark, base) if x.startswith("batch=")]) == k + 1
+        held = spark.read.schema("id bigint").parquet(path)
+        assert held.count() == (330 if k in (0, 1, 4) else 0)
+        assert k in (2, 3) or len([x for x in store.names(spark, path) if x.endswith(".parquet")]) == 4
+
+
+def test_batches_by_received_time(spark):
+    p = from_events(spark, DATA)
+    base = store.scratch(spark, "batches")
+    paths = list(streams.in_batches(p, base))
+    assert len(paths) == 5
+    sums = [spark.read.parquet(x).agg(F.min("received_at").alias("a"), F.max("received_at").alias("b"), F.count("*").alias("n")).first() for x in paths]
+    assert sum(r["n"] for r in sums) == p.count() and all(a["b"] <= b["a"] for a, b in zip(sums, sums[1:]))
