@@ -228,14 +228,15 @@ def stream_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same points from a stream of envelope files in micro-batches, each written by its number."""
     base = store.scratch(spark, "stream")
     p = from_events(spark, sf_dir)
-    uplink(p).repartitionByRange(4, "id").write.parquet(f"{base}/in")
+    files = max(4, spark.sparkContext.defaultParallelism)  # written by all cores, read in two micro-batches
+    uplink(p).repartition(files, "id").write.option("parquet.block.size", store.BLOCK).parquet(f"{base}/in")
     devices, definitions, aliases = dimensions(spark, p)
 
     def handle(batch: DataFrame, number: int) -> None:
         _, points = ingest.process(batch, SOURCES, devices, definitions, aliases)
         points.write.mode("overwrite").parquet(f"{base}/out/batch={number}")
 
-    ingest.run(ingest.read_envelopes(spark, f"{base}/in", 2), f"{base}/checkpoint", handle).awaitTermination()
+    ingest.run(ingest.read_envelopes(spark, f"{base}/in", (files + 1) // 2), f"{base}/checkpoint", handle).awaitTermination()
     return spark.read.parquet(f"{base}/out").select("raw_message_id", "device_id", "metric_key", "time", "value", "quality")
 
 
