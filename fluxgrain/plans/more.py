@@ -227,17 +227,27 @@ REPLAYED = f"(SELECT raw_message_id AS id, organization_id, 'k' || device_id % 4
 SELECT id, CASE WHEN id % 101 = 0 THEN 'INVALID' WHEN again THEN 'DUPLICATE' WHEN device_id % 7 IN (3, 5) THEN 'UNKNOWN_DEVICE_REJECTED' ELSE 'OK' END AS status FROM d""",
 )
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stream in micro-batches of one file with duplicates on both sides of their bounds, whose second file comes a second time."""
+    """A stream in micro-batches of one folder with duplicates on both sides of their bounds, whose second folder comes a second time."""
     base, p = store.scratch(spark, "dedup"), from_events(spark, sf_dir)
     key = F.concat(F.lit("k"), (F.col("device_id") % 40).cast("string"), F.lit("-"), F.col("metric_key"))
     topic = F.concat_ws("/", F.lit("application/a/device"), messages.eui(), F.lit("event/up"))
     body = F.to_json(F.struct(F.struct(messages.eui().alias("devEui")).alias("deviceInfo"), F.map_from_arrays(F.array(F.lit("n")), F.array(F.lit(1))).alias("object")))
-    rows = store.written(messages.envelopes(p, 1, topic, body, key))
     days = ("2024-01-01", "2024-01-08", "2024-01-16", "2024-01-24", "2100-01-01")
-    for low, high in [*zip(days[:-1], days[1:]), days[1:3]]:
-        rows.where((F.col("received_at") >= at(low)) & (F.col("received_at") < at(high))).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    number = F.when(F.col("received_at") < at(days[0]), -1)
+    for k, day in enumerate(days[1:]):
+        number = number.when(F.col("received_at") < at(day), k)
     devices, definitions, aliases = messages.dimensions(spark, p)
-    ingest.run_stored(ingest.read_envelopes(spark, f"{base}/in", 1), base, messages.SOURCES, devices, definitions, aliases, slot="yyyyMMdd").awaitTermination()
+
+    def run() -> None:
+        source = ingest.read_envelopes(spark, f"{base}/in", 1_000_000).drop("batch")  # what is new is one micro-batch
+        ingest.run_stored(source, base, messages.SOURCES, devices, definitions, aliases, slot="yyyyMMdd").awaitTermination()
+
+    folders = []
+    for folder in store.folders(messages.envelopes(p, 1, topic, body, key), number, len(days) - 1, f"{base}/in"):
+        folders.append(folder)
+        run()
+    store.published(spark.read.schema(ingest.ENVELOPE).parquet(folders[1]), f"{base}/in/batch={len(folders)}")
+    run()
     return spark.read.parquet(f"{base}/messages").select("id", "status")
 
 
