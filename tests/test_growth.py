@@ -99,3 +99,23 @@ def test_batches_by_received_time(spark):
     assert len(paths) == 5
     sums = [spark.read.parquet(x).agg(F.min("received_at").alias("a"), F.max("received_at").alias("b"), F.count("*").alias("n")).first() for x in paths]
     assert sum(r["n"] for r in sums) == p.count() and all(a["b"] <= b["a"] for a, b in zip(sums, sums[1:]))
+
+
+def test_windows_are_slices_of_a_day(spark):
+    midnight, second = 1_704_153_600_000_000, 1_000_000
+    rows = [(d, m, midnight + (i // 3 - 20) * 600 * second, None if i % 7 == 0 else float(i), None if i % 11 == 0 else int(i % 5 == 0), i) for i in range(120) for d, m in ((1, "t"), (None, "t"), (0, "t"), (1, None), (1, ""))]
+    rows += [(1, "t", None, float(i), i % 2, 200 + i) for i in range(4)]
+    p = spark.createDataFrame(rows[::-1], SERIES).withColumn("time", F.timestamp_micros("us"))
+    df = state.window_values(p, 6 * 3600, None)
+    got = {(r["device_id"], r["metric_key"], r["raw_message_id"]): r["recent"] for r in df.collect()}
+    assert len(got) == len(rows) and df.columns == [*p.columns, "recent"]
+    for d, m, us, _, _, i in rows:
+        near = [x for x in rows if x[:2] == (d, m) and x[4] == 0 and (x[2] is None if us is None else x[2] is not None and us - 21_600 * second <= x[2] < us)]
+        assert got[d, m, i] == [x[3] for x in sorted(near, key=lambda x: (x[2] or 0, x[5]))]  # values that are null too, equal times by id
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        said = plan(state.window_values(p, 6 * 3600, None)).split("Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "collect_list" in said and "specifiedwindowframe(RangeFrame, -" not in said  # no list is gathered anew at each point
+    assert said.count("Exchange hashpartitioning") == 2 and "Generate explode(_" not in said  # the join deals nothing anew, and a day's rows are not made at once
